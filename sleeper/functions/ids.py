@@ -34,7 +34,7 @@ def ids_from_attribute_html(html: Column | str, pattern: str = SEARCH_ID_ATTRIBU
         return F.when(bracketed, F.split(inner, ",")).otherwise(F.array(t))
 
     flat = F.flatten(F.transform(raw, tokens))
-    digits = F.filter(F.transform(flat, F.trim), lambda t: t.rlike("^[0-9]+$"))
+    digits = F.filter(F.transform(flat, lambda t: F.trim(t)), lambda t: t.rlike("^[0-9]+$"))
     return F.filter(F.transform(digits, lambda t: t.try_cast("bigint")), lambda v: v.isNotNull())
 
 

@@ -171,4 +171,290 @@ SELECT appid, run, prev_score, hidden_gem_score, score_delta, rise_streak FROM s
     q["q_latest_snapshot"] = with_(SNAPSHOTS) + """,
 r AS (SELECT *, row_number() OVER (PARTITION BY appid ORDER BY run DESC) AS rn FROM snapshots)
 SELECT appid, run, nombre, total_resenas, resenas_positivas, puntuacion FROM r WHERE rn = 1"""
+    q.update(extract_oracles())
+    q.update(scalar_oracles())
+    q.update(quality_oracles())
+    return q
+
+
+# ---------------------------------------------------------------------------
+# extract stage: candidates, funnel, payload flattening, landed pages
+# ---------------------------------------------------------------------------
+
+CANDIDATES = """
+per_part AS (
+  SELECT l_partkey AS appid, count(*) AS lines, sum(l_quantity) AS qty,
+         count(*) FILTER (WHERE l_returnflag = 'R') AS returns
+  FROM lineitem GROUP BY l_partkey
+),
+s0 AS (SELECT appid, row_number() OVER (ORDER BY lines DESC, appid) AS pos FROM per_part
+       ORDER BY lines DESC, appid LIMIT 300),
+s1 AS (SELECT appid, row_number() OVER (ORDER BY qty DESC, appid) AS pos FROM per_part
+       ORDER BY qty DESC, appid LIMIT 300),
+s2 AS (SELECT appid, row_number() OVER (ORDER BY returns DESC, appid) AS pos FROM per_part
+       ORDER BY returns DESC, appid LIMIT 100),
+tagged AS (
+  SELECT appid, pos, 0 AS prio, 'top_lines' AS source FROM s0
+  UNION ALL SELECT appid, pos, 1, 'top_quantity' FROM s1
+  UNION ALL SELECT appid, pos, 2, 'top_returns' FROM s2
+),
+merged AS (
+  SELECT appid, min(prio * 1000000 + pos) AS k,
+         array_to_string(list_sort(list_distinct(list(source))), ',') AS sources
+  FROM tagged GROUP BY appid
+),
+cands AS (
+  SELECT row_number() OVER (ORDER BY k, appid) AS candidate_rank, appid,
+         CASE k // 1000000 WHEN 0 THEN 'top_lines' WHEN 1 THEN 'top_quantity' ELSE 'top_returns' END
+           AS first_source,
+         CAST(k % 1000000 AS BIGINT) AS first_pos, sources
+  FROM merged ORDER BY k, appid LIMIT 400
+)"""
+
+ITEM = """
+item AS (
+  SELECT p.*, coalesce(s.total_resenas, 0) AS tot, coalesce(s.resenas_positivas, 0) AS pos,
+         coalesce(s.resenas_negativas, 0) AS neg, coalesce(s.open_lines, 0) AS open_lines
+  FROM part p LEFT JOIN (
+    SELECT l_partkey, count(*) AS total_resenas,
+           count(*) FILTER (WHERE l_returnflag <> 'R') AS resenas_positivas,
+           count(*) FILTER (WHERE l_returnflag = 'R') AS resenas_negativas,
+           count(*) FILTER (WHERE l_linestatus = 'O') AS open_lines
+    FROM lineitem GROUP BY l_partkey) s ON p.p_partkey = s.l_partkey
+),
+flat AS (
+  SELECT p_partkey AS key, CAST(p_partkey AS INTEGER) AS appid,
+         CASE WHEN p_partkey % 101 = 5 OR p_partkey % 13 = 0 OR p_partkey % 17 = 0
+              THEN 'App ' || CAST(p_partkey AS VARCHAR) ELSE p_name END AS nombre,
+         CAST(CASE WHEN open_lines > 0 THEN open_lines END AS INTEGER) AS jugadores_actuales_api,
+         CASE WHEN has_data THEN p_brand ELSE '' END AS desarrolladores,
+         CASE WHEN has_data THEN p_brand ELSE '' END AS editores,
+         CASE WHEN has_data THEN p_type || ' | ' || split_part(p_name, ' ', 1) ELSE '' END AS generos,
+         CASE WHEN has_data THEN '1 Jan, ' || CAST(1990 + p_size % 10 AS VARCHAR) END AS fecha_lanzamiento,
+         CASE WHEN NOT has_data THEN NULL
+              WHEN p_partkey % 6 = 0 THEN '$' || printf('%.2f', p_retailprice)
+              WHEN p_partkey % 6 = 1 THEN replace(printf('%.2f', p_retailprice), '.', ',') || '€'
+              WHEN p_partkey % 6 = 2 THEN 'Mex$ ' || format('{:,.2f}', p_retailprice * 10)
+              WHEN p_partkey % 6 = 3 THEN translate(format('{:,.2f}', p_retailprice * 10), ',.', '.,') || '€'
+              WHEN p_partkey % 6 = 4 THEN 'ARS$ ' || replace(format('{:,.0f}', p_retailprice * 10), ',', '.')
+              ELSE 'S/.' || printf('%.2f', p_retailprice) END AS precio,
+         CASE WHEN has_data AND p_size % 10 <> 0 THEN CAST(p_size * 3 - 20 AS INTEGER) END AS metacritic_score,
+         CASE WHEN has_data AND p_size % 10 <> 0
+              THEN 'https://example.org/item/' || CAST(p_partkey AS VARCHAR) END AS metacritic_url,
+         CASE WHEN has_data THEN 'Size ' || CAST(p_size AS VARCHAR) ELSE '' END AS descripcion_corta,
+         CASE WHEN rev_ok THEN CAST(tot AS INTEGER) END AS total_resenas,
+         CASE WHEN rev_ok THEN CAST(pos AS INTEGER) END AS resenas_positivas,
+         CASE WHEN rev_ok THEN CAST(neg AS INTEGER) END AS resenas_negativas,
+         CASE WHEN rev_ok THEN CAST(floor(CAST(10 AS DOUBLE) * pos / nullif(tot, 0)) AS INTEGER) END
+           AS puntuacion,
+         CASE WHEN NOT rev_ok THEN NULL
+              WHEN pos / nullif(tot, 0) >= 0.8
+                THEN CASE WHEN p_size % 2 = 0 THEN 'Extremadamente positivas' ELSE ' OVERWHELMINGLY Positive ' END
+              WHEN pos / nullif(tot, 0) >= 0.7
+                THEN CASE WHEN p_size % 2 = 0 THEN 'Muy positivas' ELSE 'Very Positive' END
+              ELSE 'Mixed' END AS descripcion_puntuacion,
+         p_partkey % 101 <> 5 AS details_ok, has_data AND p_type <> 'PROMO' AS is_game, rev_ok,
+         open_lines
+  FROM (SELECT *, p_partkey % 101 <> 5 AND p_partkey % 13 <> 0 AS has_data,
+               p_partkey % 103 <> 9 AS rev_ok FROM item)
+),
+classified AS (
+  SELECT c.candidate_rank, c.appid,
+         CASE WHEN f.key IS NULL OR NOT f.details_ok THEN 'error_detalles'
+              WHEN NOT f.is_game THEN 'descartado_no_juego'
+              WHEN NOT f.rev_ok THEN 'error_resenas'
+              WHEN f.descripcion_puntuacion IN ('Mixed') THEN 'descartado_label'
+              WHEN coalesce(f.puntuacion < 8, true) THEN 'descartado_puntaje'
+              WHEN NOT (coalesce(f.total_resenas, 0) BETWEEN 20 AND 45) THEN 'descartado_cantidad_resenas'
+              WHEN f.open_lines > 18 THEN 'descartado_jugadores_actuales'
+              ELSE 'accepted' END AS outcome
+  FROM cands c LEFT JOIN flat f ON c.appid = f.key
+),
+walked AS (
+  SELECT *, coalesce(sum(CASE WHEN outcome = 'accepted' THEN 1 ELSE 0 END)
+                       OVER (ORDER BY candidate_rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+              AS accepted_before
+  FROM classified
+),
+evaluated AS (
+  SELECT * FROM walked WHERE candidate_rank <= 300 AND accepted_before < 3
+)"""
+
+FLAT_COLS = ("appid, nombre, jugadores_actuales_api, desarrolladores, editores, generos, "
+             "fecha_lanzamiento, precio, metacritic_score, metacritic_url, descripcion_corta, "
+             "total_resenas, resenas_positivas, resenas_negativas, puntuacion, descripcion_puntuacion")
+
+SEARCH = """
+pages AS (
+  SELECT l_orderkey AS session_id, CAST(l_linenumber AS INTEGER) AS page_idx, l_partkey, l_suppkey,
+         l_returnflag = 'N' AND l_linestatus = 'O' AS empty,
+         CASE WHEN l_linenumber = 1 THEN 0 ELSE CAST(l_quantity AS BIGINT) END AS total
+  FROM lineitem
+),
+stops AS (SELECT session_id, min(CASE WHEN empty THEN page_idx END) AS stop FROM pages GROUP BY session_id),
+kept AS (SELECT p.* FROM pages p JOIN stops s USING (session_id) WHERE s.stop IS NULL OR p.page_idx <= s.stop),
+ids AS (
+  SELECT session_id, page_idx, 0 AS pos, l_partkey AS appid FROM kept WHERE NOT empty
+  UNION ALL SELECT session_id, page_idx, 1, l_suppkey FROM kept WHERE NOT empty
+  UNION ALL SELECT session_id, page_idx, 2, l_partkey FROM kept WHERE NOT empty
+),
+firsts AS (SELECT session_id, appid, min(page_idx * 10 + pos) AS k FROM ids GROUP BY session_id, appid),
+totals AS (
+  SELECT session_id, min(total) FILTER (WHERE page_idx = first_page) AS reported_total
+  FROM (SELECT *, min(page_idx) OVER (PARTITION BY session_id) AS first_page FROM kept WHERE total <> 0)
+  GROUP BY session_id
+)"""
+
+
+def extract_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["q_candidates"] = with_(CANDIDATES) + """
+SELECT candidate_rank, appid, first_source, first_pos, sources FROM cands"""
+    q["q_funnel_rows"] = with_(CANDIDATES, ITEM) + """
+SELECT candidate_rank, appid, outcome FROM evaluated"""
+    q["q_funnel_stats"] = with_(CANDIDATES, ITEM) + """
+SELECT outcome, count(*) AS n FROM evaluated GROUP BY outcome
+UNION ALL SELECT 'evaluados', count(*) FROM evaluated"""
+    q["q_funnel_entries"] = with_(CANDIDATES, ITEM) + f"""
+SELECT {', '.join('f.' + c.strip() for c in FLAT_COLS.split(','))}
+FROM evaluated e JOIN flat f ON e.appid = f.key WHERE e.outcome = 'accepted'"""
+    q["q_flatten_payload"] = with_(ITEM.split("classified AS")[0].rstrip().rstrip(",")) + f"""
+SELECT {FLAT_COLS} FROM flat"""
+    q["q_ranked_list"] = """
+WITH e AS (
+  SELECT l_partkey AS appid, l_orderkey AS list_id, CAST(l_linenumber AS INTEGER) AS list_page,
+         0 AS pos, 1 AS rank FROM lineitem
+  UNION ALL
+  SELECT l_suppkey, l_orderkey, CAST(l_linenumber AS INTEGER), 1, 2 FROM lineitem
+),
+r AS (SELECT *, row_number() OVER (PARTITION BY appid ORDER BY list_id DESC, list_page DESC, pos DESC)
+             AS rn FROM e)
+SELECT appid, list_id, list_page, rank FROM r WHERE rn = 1"""
+    q["q_search_pages"] = with_(SEARCH) + """
+SELECT f.session_id, f.appid, CAST(f.k // 10 AS INTEGER) AS first_page, CAST(f.k % 10 AS INTEGER) AS first_pos,
+       t.reported_total
+FROM firsts f LEFT JOIN totals t USING (session_id)"""
+    q["q_html_ids"] = """
+WITH l AS (SELECT page_id, regexp_extract_all(html, 'href="/([^"]+)"', 1) AS links FROM pages),
+s AS (SELECT min(CASE WHEN len(links) = 0 THEN page_id END) AS stop FROM l),
+k AS (SELECT l.* FROM l, s WHERE s.stop IS NULL OR l.page_id <= s.stop),
+x AS (SELECT page_id, unnest(links) AS link, unnest(range(len(links))) AS pos FROM k)
+SELECT page_id, CAST(pos AS INTEGER) AS pos, link FROM x"""
+    return q
+
+
+def scalar_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["q_parse_price"] = """
+SELECT p_partkey AS appid, p_partkey % 6 AS price_style,
+       CASE WHEN p_partkey % 97 = 3 THEN CASE WHEN p_partkey % 2 = 0 THEN CAST(0 AS DECIMAL(10,2)) END
+            WHEN p_partkey % 6 IN (0, 1, 5) THEN CAST(p_retailprice AS DECIMAL(10,2))
+            WHEN p_partkey % 6 IN (2, 3) THEN CAST(p_retailprice * 10 AS DECIMAL(10,2))
+            ELSE CAST(round(p_retailprice * 10) AS DECIMAL(10,2)) END AS precio
+FROM part"""
+    q["q_normalize_text"] = """
+WITH n AS (SELECT doc_id, text, trim(strip_accents(lower(coalesce(text, '')))) AS norm FROM documents)
+SELECT doc_id, md5(norm) AS norm_md5, CAST(strlen(norm) AS INTEGER) AS norm_bytes,
+       norm IN ('extremadamente positivas', 'overwhelmingly positive', 'muy positivas', 'very positive')
+         AS is_label
+FROM n"""
+    # Python int() semantics for text: optional sign and digits, surrounding whitespace.
+    q["q_safe_int"] = """
+WITH k AS (SELECT event_id, json_extract_string(props, '$.k') AS s FROM events),
+v AS (SELECT event_id, s, ' ' || s || ' ' AS padded, s || '.5' AS fraction, 'x' || s AS junk FROM k)
+SELECT event_id,
+       CASE WHEN regexp_full_match(trim(s), '[+-]?[0-9]+') THEN CAST(trim(s) AS BIGINT) END AS v_plain,
+       CASE WHEN regexp_full_match(trim(padded), '[+-]?[0-9]+') THEN CAST(trim(padded) AS BIGINT) END
+         AS v_padded,
+       CASE WHEN regexp_full_match(trim(fraction), '[+-]?[0-9]+') THEN CAST(trim(fraction) AS BIGINT) END
+         AS v_fraction,
+       CASE WHEN regexp_full_match(trim(junk), '[+-]?[0-9]+') THEN CAST(trim(junk) AS BIGINT) END AS v_junk
+FROM v"""
+    q["q_slug"] = """
+WITH t AS (SELECT p_partkey,
+                  CASE WHEN p_partkey % 89 = 0 THEN '!!! ?'
+                       ELSE p_name || '! #' || p_brand || ' (v' || CAST(p_size AS VARCHAR) || ')' END AS txt
+           FROM part)
+SELECT p_partkey AS appid,
+       coalesce(nullif(replace(trim(regexp_replace(txt, '[^\\p{L}\\p{N} _-]', '', 'g')), ' ', '_'), ''),
+                'sin_nombre') AS slug
+FROM t"""
+    q["q_apply_mapping"] = """
+SELECT TRY_CAST(o_orderkey AS BIGINT) AS order_id, TRY_CAST(o_custkey AS INTEGER) AS customer_id,
+       TRY_CAST(o_orderstatus AS VARCHAR) AS status, TRY_CAST(o_totalprice AS DOUBLE) AS total_price,
+       TRY_CAST(o_orderdate AS DATE) AS order_date, TRY_CAST(o_orderpriority AS INTEGER) AS priority_level
+FROM orders"""
+    return q
+
+
+# ---------------------------------------------------------------------------
+# data quality and upsert
+# ---------------------------------------------------------------------------
+
+SILVER_RULES = [
+    ('IsComplete "nombre"', "nombre IS NULL"),
+    ('IsComplete "appid"', "appid IS NULL"),
+    ('IsComplete "precio"', "precio IS NULL"),
+    ('IsComplete "total_resenas"', "total_resenas IS NULL"),
+    ('IsComplete "resenas_positivas"', "resenas_positivas IS NULL"),
+    ('IsComplete "resenas_negativas"', "resenas_negativas IS NULL"),
+    ('IsComplete "puntuacion"', "puntuacion IS NULL"),
+    ('ColumnValues "metacritic_score" between 0 and 100',
+     "coalesce(NOT (metacritic_score BETWEEN 0 AND 100), false)"),
+    ('ColumnValues "puntuacion" between 0 and 100', "coalesce(NOT (puntuacion BETWEEN 0 AND 100), false)"),
+    ('ColumnValues "jugadores_actuales_api" >= 0', "coalesce(jugadores_actuales_api < 0, false)"),
+    ('ColumnValues "resenas_positivas" >= 0', "coalesce(resenas_positivas < 0, false)"),
+    ('ColumnValues "resenas_negativas" >= 0', "coalesce(resenas_negativas < 0, false)"),
+    ('ColumnValues "total_resenas" >= 10', "coalesce(total_resenas < 10, false)"),
+]
+README_RULES = [
+    ("positive <= total", "coalesce(NOT (resenas_positivas <= total_resenas), false)"),
+    ("price >= 0", "coalesce(NOT (precio >= 0), false)"),
+    ("positive pct between 0 and 100",
+     "coalesce(NOT (100.0 * resenas_positivas / nullif(total_resenas, 0) BETWEEN 0 AND 100), false)"),
+    ("total > 0", "coalesce(NOT (total_resenas > 0), true)"),
+]
+
+
+def _outcomes(rules: list[tuple[str, str]]) -> str:
+    counts = ", ".join(f"count(*) FILTER (WHERE {f}) AS f{i}" for i, (_, f) in enumerate(rules))
+    rows = "\nUNION ALL ".join(
+        f"SELECT {i} AS rule_idx, '{n}' AS rule, evaluated, f{i} AS failed, "
+        f"{r4(f'CAST(evaluated - f{i} AS DOUBLE) / nullif(evaluated, 0)')} AS pass_ratio, "
+        f"CASE WHEN f{i} = 0 THEN 'Passed' ELSE 'Failed' END AS outcome FROM a"
+        for i, (n, _) in enumerate(rules))
+    return f""",
+a AS (SELECT count(*) AS evaluated, {counts} FROM snapshots)
+{rows}"""
+
+
+def _gold_between(name: str, lo: int, hi: int) -> str:
+    return f"""
+{name}_src AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY appid ORDER BY run DESC) AS rn
+                 FROM snapshots WHERE run BETWEEN {lo} AND {hi}) WHERE rn = 1
+),""" + scored(f"{name}_src", name)
+
+
+def quality_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["q_dq_outcomes"] = with_(SNAPSHOTS) + _outcomes(SILVER_RULES)
+    q["q_readme_rules"] = with_(SNAPSHOTS) + _outcomes(README_RULES)
+    names = ", ".join(f"CASE WHEN {f} THEN '{n}' END" for n, f in SILVER_RULES)
+    anyf = " OR ".join(f"({f})" for _, f in SILVER_RULES)
+    q["q_dq_rejected"] = with_(SNAPSHOTS) + f"""
+SELECT appid, run, concat_ws(', ', {names}) AS failed_rules FROM snapshots WHERE {anyf}"""
+    q["q_dq_passed"] = with_(SNAPSHOTS) + f"""
+SELECT run, count(*) AS "rows" FROM snapshots WHERE NOT ({anyf}) GROUP BY run"""
+    gold = with_(SNAPSHOTS, _gold_between("t", 0, 1999), _gold_between("u", 2000, 9999))
+    for name, upd in (("q_upsert_all", {"nombre", "precio", "hidden_gem_score", "tier"}),
+                      ("q_upsert_name_only", {"nombre"})):
+        cols = []
+        for c in ("nombre", "precio", "hidden_gem_score", "tier"):
+            matched = f"u.{c}" if c in upd else f"t.{c}"
+            cols.append(f"CASE WHEN u.appid IS NULL THEN t.{c} WHEN t.appid IS NULL THEN u.{c} "
+                        f"ELSE {matched} END AS {c}")
+        q[name] = gold + f"""
+SELECT CAST(coalesce(t.appid, u.appid) AS BIGINT) AS appid, {', '.join(cols)}
+FROM t FULL OUTER JOIN u ON t.appid = u.appid"""
     return q

@@ -11,12 +11,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sleeper.config import ScoreParams
+from sleeper.config import Profile, ScoreParams
+from sleeper.functions.ids import safe_int
 from sleeper.functions.price import parse_price
+from sleeper.functions.text import is_target_label, normalize_text, slug
+from sleeper.operators import candidates as C
 from sleeper.operators import insights
+from sleeper.operators import quality as DQ
 from sleeper.operators.dedup import latest_per_key
+from sleeper.operators.funnel import funnel_stats
+from sleeper.operators.mapping import apply_mapping
 from sleeper.operators.score import score_items
+from sleeper.operators.upsert import upsert
+from sleeper.plans import extract as X
+from sleeper.plans import landing as L
 from sleeper.plans import workload as W
+from sleeper.sources import payloads as P
 
 DRIVER_SCORE = ScoreParams(price_cap=W.DRIVER_PRICE_CAP, tier_s=W.DRIVER_TIER_S,
                            tier_a=W.DRIVER_TIER_A)
@@ -76,5 +86,169 @@ def q_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.select("appid", "run", "nombre", "total_resenas", "resenas_positivas", "puntuacion")
 
 
+# Candidate sources over the whole lineitem table: the most-sold parts, the parts
+# with the largest quantity and the most-returned parts (ties by part key).
+DRIVER_PROFILE = Profile(target=3, max_candidates=400, max_evaluations=300, min_review_score=8,
+                         min_total_reviews=20, max_total_reviews=45, allow_very_positive=True,
+                         max_current_players=18)
+
+
+def candidate_sources(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
+    li = W.table(spark, sf_dir, "lineitem")
+    per_part = li.groupBy(F.col("l_partkey").alias("appid")).agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum("l_quantity").alias("qty"),
+        F.count_if(F.col("l_returnflag") == "R").alias("returns"))
+    key = F.col("appid").asc()
+    return [
+        ("top_lines", C.top_ranked(per_part, 300, [F.col("lines").desc(), key])),
+        ("top_quantity", C.top_ranked(per_part, 300, [F.col("qty").desc(), key])),
+        ("top_returns", C.top_ranked(per_part, 100, [F.col("returns").desc(), key])),
+    ]
+
+
+def driver_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return X.select_candidates(candidate_sources(spark, sf_dir), DRIVER_PROFILE)
+
+
+def driver_extract(spark: SparkSession, sf_dir: str) -> X.ExtractResult:
+    return X.evaluate_candidates(driver_candidates(spark, sf_dir), L.details_payloads(spark, sf_dir),
+                                 L.reviews_payloads(spark, sf_dir), L.players_payloads(spark, sf_dir),
+                                 DRIVER_PROFILE)
+
+
+def q_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = driver_candidates(spark, sf_dir)
+    return c.select("candidate_rank", "appid", "first_source", "first_pos",
+                    F.array_join("sources", ",").alias("sources"))
+
+
+def q_funnel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = driver_extract(spark, sf_dir).funnel
+    return f.where("evaluated").select("candidate_rank", "appid", "outcome")
+
+
+def q_funnel_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return funnel_stats(driver_extract(spark, sf_dir).funnel)
+
+
+def q_funnel_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return driver_extract(spark, sf_dir).entries
+
+
+def q_flatten_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part's landed payloads parsed back and flattened to a Bronze record."""
+    items = W.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("appid"))
+    from sleeper.operators.funnel import build_entry, enrich
+    e = enrich(items, P.parse_details(L.details_payloads(spark, sf_dir)),
+               P.parse_reviews(L.reviews_payloads(spark, sf_dir)),
+               P.parse_players(L.players_payloads(spark, sf_dir)))
+    return build_entry(e)
+
+
+def q_ranked_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First two entries of every ranked list; the last occurrence of an id wins."""
+    r = P.parse_ranks(L.ranks_payloads(spark, sf_dir), limit=2, list_cols=["list_id", "list_page"])
+    last = latest_per_key(r, ["appid"], ["list_id", "list_page", "pos"], tiebreak=False)
+    return last.select("appid", "list_id", "list_page", "rank")
+
+
+def q_search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids, totals = P.search_page_ids(L.search_pages(spark, sf_dir))
+    first = ids.groupBy("session_id", "appid").agg(
+        F.min(F.struct("page_idx", "pos")).alias("f"))
+    out = first.join(totals, "session_id", "left")
+    return out.select("session_id", "appid", F.col("f.page_idx").alias("first_page"),
+                      F.col("f.pos").alias("first_pos"), "reported_total")
+
+
+def q_html_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = W.table(spark, sf_dir, "pages").select(
+        F.lit(0).cast("long").alias("session_id"), F.col("page_id").alias("page_idx"), "html")
+    out = P.chart_page_links(pages, r'href="/([^"]+)"', as_ids=False)
+    return out.select(F.col("page_idx").alias("page_id"), "pos", F.col("value").alias("link"))
+
+
+def q_parse_price(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = W.table(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    text = F.when(key % 97 == 3, F.lit("Free")).otherwise(W.price_text(F.col("p_retailprice"), key % 6))
+    return p.select(key.alias("appid"), (key % 6).alias("price_style"),
+                    parse_price(text, is_free=(key % 2 == 0)).alias("precio"))
+
+
+def q_normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = W.table(spark, sf_dir, "documents").select("doc_id", "text")
+    n = d.withColumn("norm", normalize_text("text"))
+    return n.select("doc_id", F.md5("norm").alias("norm_md5"), F.octet_length("norm").alias("norm_bytes"),
+                    is_target_label("text", allow_very_positive=True).alias("is_label"))
+
+
+def q_safe_int(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = W.table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k")
+    return e.select("event_id",
+                    safe_int(k).alias("v_plain"),
+                    safe_int(F.concat(F.lit(" "), k, F.lit(" "))).alias("v_padded"),
+                    safe_int(F.concat(k, F.lit(".5"))).alias("v_fraction"),
+                    safe_int(F.concat(F.lit("x"), k)).alias("v_junk"))
+
+
+def q_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = W.table(spark, sf_dir, "part")
+    text = F.when(F.col("p_partkey") % 89 == 0, F.lit("!!! ?")).otherwise(
+        F.concat(F.col("p_name"), F.lit("! #"), F.col("p_brand"), F.lit(" (v"),
+                 F.col("p_size").cast("string"), F.lit(")")))
+    return p.select(F.col("p_partkey").alias("appid"), slug(text).alias("slug"))
+
+
+def q_dq_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DQ.outcomes(silver_snapshots(spark, sf_dir), DQ.RULES_SILVER)
+
+
+def q_dq_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _passed, rejected = DQ.split(silver_snapshots(spark, sf_dir), DQ.RULES_SILVER)
+    return rejected.select("appid", "run", F.array_join("failed_rules", ", ").alias("failed_rules"))
+
+
+def q_dq_passed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    passed, _rejected = DQ.split(silver_snapshots(spark, sf_dir), DQ.RULES_SILVER)
+    return passed.groupBy("run").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def q_readme_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DQ.outcomes(silver_snapshots(spark, sf_dir), DQ.RULES_README)
+
+
+ORDERS_MAPPING = [
+    ("o_orderkey", "bigint", "order_id", "bigint"),
+    ("o_custkey", "bigint", "customer_id", "int"),
+    ("o_orderstatus", "string", "status", "string"),
+    ("o_totalprice", "double", "total_price", "double"),
+    ("o_orderdate", "timestamp", "order_date", "date"),
+    ("o_orderpriority", "string", "priority_level", "int"),
+]
+
+
+def q_apply_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return apply_mapping(W.table(spark, sf_dir, "orders"), ORDERS_MAPPING)
+
+
+def _gold_between(spark: SparkSession, sf_dir: str, lo: int, hi: int) -> DataFrame:
+    snaps = silver_snapshots(spark, sf_dir).where(F.col("run").between(lo, hi))
+    latest = latest_per_key(snaps, ["appid"], ["run"])
+    g = score_items(latest, DRIVER_SCORE)
+    return g.select(F.col("appid").cast("long").alias("appid"), "nombre", "precio", "hidden_gem_score", "tier")
+
+
+def q_upsert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upsert(_gold_between(spark, sf_dir, 0, 1999), _gold_between(spark, sf_dir, 2000, 9999), "appid")
+
+
+def q_upsert_name_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return upsert(_gold_between(spark, sf_dir, 0, 1999), _gold_between(spark, sf_dir, 2000, 9999), "appid",
+                  update_cols=["nombre"])
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
