@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sleeper.schemas import RUN_FOLDER_FORMAT
 
-_RUN_DIR = r"/(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})/"
+_RUN_DIR = r"/(?:run=)?(\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2})/"
 
 
 def _c(x: Column | str) -> Column:

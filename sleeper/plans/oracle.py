@@ -99,6 +99,7 @@ snapshots AS (
               WHEN p.p_partkey % 6 IN (0, 1, 5) THEN CAST(p.p_retailprice AS DECIMAL(10,2))
               WHEN p.p_partkey % 6 IN (2, 3) THEN CAST(p.p_retailprice * 10 AS DECIMAL(10,2))
               ELSE CAST(round(p.p_retailprice * 10) AS DECIMAL(10,2)) END AS precio,
+         CASE WHEN p.p_partkey % 97 = 3 THEN 'Free' ELSE {PRICE_TEXT} END AS precio_text,
          CASE WHEN p.p_size % 10 = 0 THEN NULL ELSE CAST(p.p_size * 3 - 20 AS INTEGER) END
            AS metacritic_score,
          CASE WHEN p.p_size % 10 = 0 THEN NULL
@@ -120,6 +121,19 @@ snapshots AS (
 )"""
 
 
+def price_text(p: str, key: str) -> str:
+    """The six localised store formats the snapshots render prices in."""
+    return (f"CASE WHEN {key} % 6 = 0 THEN '$' || printf('%.2f', {p}) "
+            f"WHEN {key} % 6 = 1 THEN replace(printf('%.2f', {p}), '.', ',') || '€' "
+            f"WHEN {key} % 6 = 2 THEN 'Mex$ ' || format('{{:,.2f}}', {p} * 10) "
+            f"WHEN {key} % 6 = 3 THEN translate(format('{{:,.2f}}', {p} * 10), ',.', '.,') || '€' "
+            f"WHEN {key} % 6 = 4 THEN 'ARS$ ' || replace(format('{{:,.0f}}', {p} * 10), ',', '.') "
+            f"ELSE 'S/.' || printf('%.2f', {p}) END")
+
+
+SNAPSHOTS = SNAPSHOTS.replace("{PRICE_TEXT}", price_text("p.p_retailprice", "p.p_partkey"))
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
@@ -174,6 +188,7 @@ SELECT appid, run, nombre, total_resenas, resenas_positivas, puntuacion FROM r W
     q.update(extract_oracles())
     q.update(scalar_oracles())
     q.update(quality_oracles())
+    q.update(job_oracles())
     return q
 
 
@@ -231,13 +246,7 @@ flat AS (
          CASE WHEN has_data THEN p_brand ELSE '' END AS editores,
          CASE WHEN has_data THEN p_type || ' | ' || split_part(p_name, ' ', 1) ELSE '' END AS generos,
          CASE WHEN has_data THEN '1 Jan, ' || CAST(1990 + p_size % 10 AS VARCHAR) END AS fecha_lanzamiento,
-         CASE WHEN NOT has_data THEN NULL
-              WHEN p_partkey % 6 = 0 THEN '$' || printf('%.2f', p_retailprice)
-              WHEN p_partkey % 6 = 1 THEN replace(printf('%.2f', p_retailprice), '.', ',') || '€'
-              WHEN p_partkey % 6 = 2 THEN 'Mex$ ' || format('{:,.2f}', p_retailprice * 10)
-              WHEN p_partkey % 6 = 3 THEN translate(format('{:,.2f}', p_retailprice * 10), ',.', '.,') || '€'
-              WHEN p_partkey % 6 = 4 THEN 'ARS$ ' || replace(format('{:,.0f}', p_retailprice * 10), ',', '.')
-              ELSE 'S/.' || printf('%.2f', p_retailprice) END AS precio,
+         CASE WHEN NOT has_data THEN NULL ELSE """ + price_text("p_retailprice", "p_partkey") + """ END AS precio,
          CASE WHEN has_data AND p_size % 10 <> 0 THEN CAST(p_size * 3 - 20 AS INTEGER) END AS metacritic_score,
          CASE WHEN has_data AND p_size % 10 <> 0
               THEN 'https://example.org/item/' || CAST(p_partkey AS VARCHAR) END AS metacritic_url,
@@ -458,3 +467,69 @@ SELECT run, count(*) AS "rows" FROM snapshots WHERE NOT ({anyf}) GROUP BY run"""
 SELECT CAST(coalesce(t.appid, u.appid) AS BIGINT) AS appid, {', '.join(cols)}
 FROM t FULL OUTER JOIN u ON t.appid = u.appid"""
     return q
+
+
+# ---------------------------------------------------------------------------
+# jobs over landed files
+# ---------------------------------------------------------------------------
+
+def _passed() -> str:
+    anyf = " OR ".join(f"({f})" for _, f in SILVER_RULES)
+    return f"""
+passed AS (
+  SELECT *, precio_text AS precio_raw, CAST(run AS VARCHAR) || '-01-01_00-00-00' AS run_folder
+  FROM snapshots WHERE NOT ({anyf})
+),
+latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY appid ORDER BY run DESC) AS rn FROM passed)
+  WHERE rn = 1
+),""" + scored("latest", "g")
+
+
+BRONZE_COLS = ("appid, nombre, jugadores_actuales_api, desarrolladores, editores, generos, "
+               "fecha_lanzamiento, precio_text AS precio, metacritic_score, metacritic_url, "
+               "descripcion_corta, total_resenas, resenas_positivas, resenas_negativas, puntuacion, "
+               "descripcion_puntuacion")
+
+
+def job_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["q_bronze_roundtrip"] = with_(SNAPSHOTS) + f"""
+SELECT {BRONZE_COLS}, CAST(run AS VARCHAR) || '-01-01_00-00-00' AS run_folder FROM snapshots"""
+    q["q_bronze_to_silver"] = with_(SNAPSHOTS, _passed()) + """
+SELECT appid, run_folder, nombre, precio, precio_raw, total_resenas, resenas_positivas, puntuacion
+FROM passed"""
+    counts = ", ".join(f"count(*) FILTER (WHERE {f}) AS f{i}" for i, (_, f) in enumerate(SILVER_RULES))
+    rows = "\nUNION ALL ".join(
+        f"SELECT '{n}' AS rule, evaluated, f{i} AS failed, "
+        f"CASE WHEN f{i} = 0 THEN 'Passed' ELSE 'Failed' END AS outcome FROM a"
+        for i, (n, _) in enumerate(SILVER_RULES))
+    q["q_silver_observed"] = with_(SNAPSHOTS) + f""",
+a AS (SELECT count(*) AS evaluated, {counts} FROM snapshots)
+{rows}"""
+    q["q_gold_publish"] = with_(SNAPSHOTS, _passed()) + """
+SELECT CAST(appid AS BIGINT) AS appid, nombre, generos, CAST(precio AS DECIMAL(8,2)) AS precio,
+       puntuacion, total_resenas, resenas_positivas,
+       CAST(hidden_gem_score AS DECIMAL(5,4)) AS hidden_gem_score, tier
+FROM g"""
+    q["q_stream_incremental"] = with_(SNAPSHOTS, _passed()) + """
+SELECT CAST(appid AS BIGINT) AS appid, nombre, precio, total_resenas, hidden_gem_score, tier FROM g"""
+    q["q_score_history"] = with_(SNAPSHOTS, scored("snapshots", "h", by="run")) + """
+SELECT CAST(appid AS BIGINT) AS appid, make_date(run, 1, 1) AS run_date, hidden_gem_score, tier FROM h"""
+    q["q_gold_upsert_table"] = quality_oracles()["q_upsert_name_only"]
+    q["q_run_metadata"] = with_(CANDIDATES, ITEM) + """
+SELECT (SELECT count(*) FROM s0) AS top_lines_ids_unicos,
+       (SELECT count(*) FROM s1) AS top_quantity_ids_unicos,
+       (SELECT count(*) FROM s2) AS top_returns_ids_unicos,
+       (SELECT count(*) FROM cands) AS candidatos_unicos_combinados,
+       count(*) AS evaluados,
+       count(*) FILTER (WHERE outcome = 'error_detalles') AS error_detalles,
+       count(*) FILTER (WHERE outcome = 'descartado_no_juego') AS descartado_no_juego,
+       count(*) FILTER (WHERE outcome = 'error_resenas') AS error_resenas,
+       count(*) FILTER (WHERE outcome = 'descartado_label') AS descartado_label,
+       count(*) FILTER (WHERE outcome = 'descartado_puntaje') AS descartado_puntaje,
+       count(*) FILTER (WHERE outcome = 'descartado_cantidad_resenas') AS descartado_cantidad_resenas,
+       count(*) FILTER (WHERE outcome = 'descartado_jugadores_actuales') AS descartado_jugadores_actuales,
+       count(*) FILTER (WHERE outcome = 'accepted') AS total_resultados
+FROM evaluated"""
+    return q

@@ -250,5 +250,138 @@ def q_upsert_name_only(spark: SparkSession, sf_dir: str) -> DataFrame:
                   update_cols=["nombre"])
 
 
+# ---------------------------------------------------------------------------
+# jobs over landed files (each writes under the shared checkpoint dir, then reads back)
+# ---------------------------------------------------------------------------
+
+def _land_snapshots(spark: SparkSession, sf_dir: str, root: str | None = None, lo: int = 0,
+                    hi: int = 9999) -> str:
+    """Land the snapshot runs lo..hi as Bronze JSONL (one folder per run) in one job."""
+    from sleeper.sinks.files import write_bronze
+    from sleeper.session import scratch_path
+
+    root = root or scratch_path(spark, "bronze")
+    snaps = W.snapshots(spark, sf_dir).where(F.col("run").between(lo, hi))
+    snaps = snaps.withColumn("run_ts", F.to_timestamp(F.format_string("%d-01-01", F.col("run")))).drop("run")
+    write_bronze(snaps, root, run_ts_col="run_ts")
+    return root
+
+
+def q_bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sleeper.functions.runs import run_folder
+    from sleeper.schemas import BRONZE_COLUMNS
+    from sleeper.sources.files import read_bronze
+
+    b = read_bronze(spark, _land_snapshots(spark, sf_dir))
+    return b.select(*BRONZE_COLUMNS, run_folder("run_ts").alias("run_folder"))
+
+
+def _silver(spark: SparkSession, sf_dir: str):
+    from sleeper.plans.silver import bronze_to_silver
+    from sleeper.session import scratch_path
+
+    return bronze_to_silver(spark, _land_snapshots(spark, sf_dir), scratch_path(spark, "silver"))
+
+
+def q_bronze_to_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sleeper.functions.runs import run_folder
+    from sleeper.sources.files import read_silver
+
+    s = read_silver(spark, _silver(spark, sf_dir).path)
+    return s.select("appid", run_folder("run_ts").alias("run_folder"), "nombre", "precio", "precio_raw",
+                    "total_resenas", "resenas_positivas", "puntuacion")
+
+
+def q_silver_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counters collected by Observation during the Silver write (no second scan)."""
+    res = _silver(spark, sf_dir)
+    return spark.createDataFrame(res.outcomes, "rule string, evaluated long, failed long, "
+                                               "pass_ratio double, outcome string").select(
+        "rule", "evaluated", "failed", "outcome")
+
+
+def q_gold_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sleeper.plans.gold import publish_gold, score_gems, to_gold
+    from sleeper.session import scratch_path
+    from sleeper.sources.files import read_silver
+
+    silver = read_silver(spark, _silver(spark, sf_dir).path)
+    gold_path = scratch_path(spark, "gold")
+    publish_gold(to_gold(score_gems(silver, DRIVER_SCORE)), gold_path)
+    return spark.read.parquet(gold_path).drop("updated_at")
+
+
+def q_score_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sleeper.sinks.files import append_history
+    from sleeper.session import scratch_path
+
+    path = scratch_path(spark, "history")
+    h = score_history(spark, sf_dir).select(
+        F.col("appid").cast("long").alias("appid"), "hidden_gem_score", "tier",
+        F.make_date(F.col("run"), F.lit(1), F.lit(1)).alias("run_date"))
+    append_history(h, path)
+    return spark.read.parquet(path).select("appid", "run_date", "hidden_gem_score", "tier")
+
+
+def q_gold_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish runs up to 1999, then upsert 2000+ with the name-only policy."""
+    from sleeper.sinks.files import parquet_upsert
+    from sleeper.session import scratch_path
+
+    path = scratch_path(spark, "gold_table")
+    parquet_upsert(_gold_between(spark, sf_dir, 0, 1999), path, "appid")
+    parquet_upsert(_gold_between(spark, sf_dir, 2000, 9999), path, "appid", update_cols=["nombre"])
+    return spark.read.parquet(path)
+
+
+def q_run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The extract run's metadata document: parameters, source counts, funnel counters."""
+    from sleeper.functions.runs import iso_seconds
+    from sleeper.operators.funnel import OUTCOMES
+    from sleeper.sinks.files import write_run_metadata
+    from sleeper.session import scratch_path
+
+    sources = candidate_sources(spark, sf_dir)
+    res = driver_extract(spark, sf_dir)
+    ev = res.funnel.where("evaluated")
+    counts = {name: df.select(F.count_distinct("appid")).scalar() for name, df in sources}
+    fuentes = F.struct(*[c.alias(f"{n}_ids_unicos") for n, c in counts.items()],
+                       res.candidates.select(F.count(F.lit(1))).scalar().alias("candidatos_unicos_combinados"))
+    stats = F.struct(ev.select(F.count(F.lit(1))).scalar().alias("evaluados"),
+                     *[ev.select(F.count_if(F.col("outcome") == o)).scalar().alias(o) for o in OUTCOMES
+                       if o != "accepted"])
+    params = F.struct(*[F.lit(v).alias(k) for k, v in DRIVER_PROFILE.as_dict().items()])
+    meta = spark.range(1).select(
+        iso_seconds(F.current_timestamp()).alias("fecha_ejecucion"), params.alias("parametros"),
+        fuentes.alias("fuentes"), stats.alias("estadisticas_evaluacion"),
+        res.entries.select(F.count(F.lit(1))).scalar().alias("total_resultados"))
+    root = scratch_path(spark, "bronze_meta")
+    path = write_run_metadata(meta, root, "run")
+    back = spark.read.schema(meta.schema).json(path)
+    return back.select("fuentes.*", "estadisticas_evaluacion.*", "total_resultados")
+
+
+def q_stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three landing waves, each followed by an availableNow Silver increment and
+    an incremental Gold refresh; the result equals the batch Gold."""
+    from sleeper.session import scratch_path
+    from sleeper.sources.files import read_silver
+    from sleeper.streaming.incremental import refresh_gold, run_silver_increment
+
+    bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    ckpt = scratch_path(spark, "stream_ckpt")
+    latest, gold, seen = None, None, None
+    for lo, hi in ((0, 1997), (1998, 1999), (2000, 9999)):
+        _land_snapshots(spark, sf_dir, bronze, lo, hi)
+        run_silver_increment(spark, bronze, silver, ckpt)
+        s = read_silver(spark, silver)
+        delta = s if seen is None else s.where(F.col("run_ts") > F.lit(seen))
+        seen = s.select(F.max("run_ts")).first()[0]
+        latest, gold = refresh_gold(latest, delta, DRIVER_SCORE)
+        latest = latest.checkpoint(eager=True)  # cut lineage between refreshes (shared checkpoint dir)
+    return gold.select(F.col("appid").cast("long").alias("appid"), "nombre", "precio", "total_resenas",
+                       "hidden_gem_score", "tier")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}
