@@ -1,0 +1,18 @@
+"""Parallelism guard for CPU-heavy per-row stages."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, factor: int = 1) -> DataFrame:
+    """Round-robin ``df`` over the cluster when its scan yields too few partitions.
+
+    A small input in one file with one row group scans as a single partition, and
+    every per-row stage before the first shuffle (JSON parsing, regex extraction,
+    text normalisation) would then run in one task. Large inputs already split
+    into many partitions and pass through unchanged, so no shuffle is added at
+    scale. Only planning happens here, no job.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism * factor
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sleeper.operators.parallel import spread
 from sleeper.plans import workload as W
 
 
@@ -26,7 +27,7 @@ def details_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     No payload for p_partkey % 101 = 5 (failed fetch); success=false for
     p_partkey % 13 = 0; no ``name`` key for p_partkey % 17 = 0.
     """
-    p = W.table(spark, sf_dir, "part")
+    p = spread(W.table(spark, sf_dir, "part"))
     key = F.col("p_partkey")
     no_meta = F.col("p_size") % 10 == 0
     data = F.struct(
@@ -85,7 +86,7 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flag 'N' and status 'O' render a page without ids (end of results).
     total_count is the line quantity ('0' on line 1).
     """
-    li = W.table(spark, sf_dir, "lineitem")
+    li = spread(W.table(spark, sf_dir, "lineitem"))
     empty = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O")
     full = F.concat(
         F.lit('<div class="row" data-ds-appid="'), F.col("l_partkey").cast("string"), F.lit('"></div>'),
@@ -103,7 +104,7 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ranks_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(list_id, list_page, payload): a ranked list per lineitem row:
     [part (rank 1), supplier (rank 2), a non-integer id (rank 3)]."""
-    li = W.table(spark, sf_dir, "lineitem")
+    li = spread(W.table(spark, sf_dir, "lineitem"))
     ranks = F.array(
         F.struct(F.col("l_partkey").cast("string").alias("appid"), F.lit(1).alias("rank")),
         F.struct(F.col("l_suppkey").cast("string").alias("appid"), F.lit(2).alias("rank")),

@@ -178,7 +178,9 @@ def q_parse_price(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = W.table(spark, sf_dir, "documents").select("doc_id", "text")
+    from sleeper.operators.parallel import spread
+
+    d = spread(W.table(spark, sf_dir, "documents").select("doc_id", "text"))
     n = d.withColumn("norm", normalize_text("text"))
     return n.select("doc_id", F.md5("norm").alias("norm_md5"), F.octet_length("norm").alias("norm_bytes"),
                     is_target_label("text", allow_very_positive=True).alias("is_label"))

@@ -10,6 +10,12 @@ from sleeper.functions.runs import run_folder
 RUN_DIR_COL = "run"
 
 
+def path_exists(spark, path: str) -> bool:
+    """Whether ``path`` exists on its file system (local, HDFS or object store)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
+
+
 def write_bronze(df: DataFrame, root: str, run_ts=None, run_ts_col: str | None = None,
                  mode: str = "append") -> None:
     """JSON Lines (UTF-8, compact) with NULL fields kept as keys.
@@ -71,13 +77,10 @@ def parquet_upsert(updates: DataFrame, path: str, key: str, update_cols: list[st
     from sleeper.session import checkpoint_root
 
     spark = updates.sparkSession
-    try:
-        current = spark.read.parquet(path)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
+    if not path_exists(spark, path):
         write_parquet(updates, path)
         return
+    current = spark.read.parquet(path)
     checkpoint_root(spark)
     merged = upsert(current, updates.select(*current.columns), key, update_cols).checkpoint(eager=True)
     write_parquet(merged, path)

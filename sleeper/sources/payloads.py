@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sleeper import schemas as T
 from sleeper.functions.ids import ids_from_attribute_html, links, safe_int
+from sleeper.operators.parallel import spread
 
 
 def parse_details(df: DataFrame, key: str = "appid") -> DataFrame:
@@ -22,14 +23,14 @@ def parse_details(df: DataFrame, key: str = "appid") -> DataFrame:
     """
     m = F.from_json(F.col("payload"), T.DETAILS_PAYLOAD)
     e = F.try_element_at(m, F.col(key).cast("string"))
-    return df.select(F.col(key), m.isNotNull().alias("details_ok"),
+    return spread(df).select(F.col(key), m.isNotNull().alias("details_ok"),
                      F.when(e.getField("success"), e.getField("data")).alias("details"))
 
 
 def parse_reviews(df: DataFrame, key: str = "appid") -> DataFrame:
     """(key, reviews_ok, summary). Sample reviews in the payload are not read."""
     p = F.from_json(F.col("payload"), T.REVIEWS_PAYLOAD)
-    return df.select(F.col(key), p.isNotNull().alias("reviews_ok"),
+    return spread(df).select(F.col(key), p.isNotNull().alias("reviews_ok"),
                      p.getField("query_summary").alias("summary"))
 
 
@@ -37,14 +38,14 @@ def parse_players(df: DataFrame, key: str = "appid") -> DataFrame:
     """(key, players): the count only when ``result == 1``, else NULL."""
     r = F.from_json(F.col("payload"), T.PLAYERS_PAYLOAD).getField("response")
     ok = F.coalesce(safe_int(r.getField("result")), F.lit(0)) == 1
-    return df.select(F.col(key), F.when(ok, safe_int(r.getField("player_count")).cast("int")).alias("players"))
+    return spread(df).select(F.col(key), F.when(ok, safe_int(r.getField("player_count")).cast("int")).alias("players"))
 
 
 def parse_ranks(df: DataFrame, limit: int = 0, list_cols: list[str] | None = None) -> DataFrame:
     """Ranked list payloads -> (list cols..., pos, appid, rank); first ``limit`` entries
     when ``limit > 0``. Entries whose id is not an integer are dropped."""
     ranks = F.from_json(F.col("payload"), T.RANKS_PAYLOAD).getField("response").getField("ranks")
-    ex = df.select(*(list_cols or []), F.posexplode(ranks).alias("pos", "entry"))
+    ex = spread(df).select(*(list_cols or []), F.posexplode(ranks).alias("pos", "entry"))
     if limit > 0:
         ex = ex.where(F.col("pos") < limit)
     out = ex.select(*(list_cols or []), "pos", safe_int(F.col("entry.appid")).alias("appid"),
@@ -67,19 +68,33 @@ def search_page_ids(df: DataFrame, max_pages: int | None = None, session: str =
                     page: str = "page_idx") -> tuple[DataFrame, DataFrame]:
     """Search-result pages -> ((session, page, pos, appid), (session, reported_total)).
 
-    Ids come from ``data-ds-appid`` attributes of ``results_html``; paging stops at
-    the first page with no ids; the reported total is the first non-zero
-    ``total_count`` in page order (the smaller one if two pages share an index).
+    Ids come from ``data-ds-appid`` attributes of ``results_html`` (missing HTML
+    counts as a page without ids); paging stops at the first page with no ids;
+    the reported total is the first non-zero ``total_count`` in page order (the
+    smaller one if two pages share an index).
+
+    One per-session aggregate yields both the stop page and the first non-zero
+    total: that total belongs to a kept page exactly when its page is not after
+    the stop, so the pages are parsed for two consumers, not four.
     """
     p = F.from_json(F.col("payload"), T.SEARCH_PAYLOAD)
-    pages = df.select(session, page,
-                      ids_from_attribute_html(p.getField("results_html")).alias("ids"),
-                      F.coalesce(safe_int(p.getField("total_count")), F.lit(0)).alias("total"))
+    pages = spread(df).select(
+        session, page,
+        F.coalesce(ids_from_attribute_html(p.getField("results_html")), F.array().cast("array<bigint>"))
+         .alias("ids"),
+        F.coalesce(safe_int(p.getField("total_count")), F.lit(0)).alias("total"))
     if max_pages is not None:
         pages = pages.where(F.col(page) < max_pages)
-    kept = _stop_at_first_empty(pages.withColumn("_n", F.size("ids")), session, page, "_n")
-    totals = kept.where(F.col("total") != 0).groupBy(session).agg(
-        F.min_by("total", F.struct(page, "total")).alias("reported_total"))
+    summary = pages.groupBy(session).agg(
+        F.min(F.when(F.size("ids") == 0, F.col(page))).alias("_stop"),
+        # min_by skips rows whose ordering is NULL: zero totals do not compete.
+        F.min_by(F.struct(F.col(page).alias("p"), F.col("total").alias("t")),
+                 F.when(F.col("total") != 0, F.struct(page, "total"))).alias("_first"))
+    keep = F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))
+    kept = pages.join(summary.select(session, "_stop"), session).where(keep)
+    first_ok = F.col("_stop").isNull() | (F.col("_first.p") <= F.col("_stop"))
+    totals = summary.where(F.col("_first").isNotNull() & first_ok).select(
+        session, F.col("_first.t").alias("reported_total"))
     ids = kept.select(session, page, F.posexplode("ids").alias("pos", "appid"))
     return ids, totals
 
@@ -89,7 +104,7 @@ def chart_page_links(df: DataFrame, pattern: str, max_pages: int | None = None,
                      html: str = "html", as_ids: bool = True) -> DataFrame:
     """Chart/listing pages -> (session, page, pos, value), stopping at the first page
     whose HTML has no match of ``pattern``. ``as_ids`` casts captures to bigint."""
-    pages = df.select(session, page, links(F.col(html), pattern).alias("vals"))
+    pages = spread(df).select(session, page, links(F.col(html), pattern).alias("vals"))
     if max_pages is not None:
         pages = pages.where(F.col(page) <= max_pages)
     kept = _stop_at_first_empty(pages.withColumn("_n", F.size("vals")), session, page, "_n")
