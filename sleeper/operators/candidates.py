@@ -17,27 +17,57 @@ def top_ranked(df: DataFrame, k: int, order: list[Column], key: str = "appid",
     return top.select(F.col(key), F.row_number().over(Window.orderBy(*order)).alias(pos))
 
 
+def top_ranked_many(df: DataFrame, lists: list[tuple[str, int, list[Column]]], key: str = "appid",
+                    pos: str = "pos") -> DataFrame:
+    """Several top-k lists from one input in one pass: (source, prio, key, pos).
+
+    ``lists`` is ``[(name, k, values), ...]`` in priority order, where ``values``
+    are ascending sort values ending in ``key`` (negate a metric for "largest
+    first"). The input is exploded to one row per (list, key) carrying that
+    list's sort key, then ranked per list; the rank filter lets Spark apply a
+    partial WindowGroupLimit before the shuffle, so each map task sends at most
+    ``max(k)`` rows per list.
+    """
+    kmax = max(k for _, k, _ in lists)
+    entries = []
+    for prio, (name, _k, order) in enumerate(lists):
+        sort = F.struct(*[o.alias(f"_s{i}") for i, o in enumerate(order)])
+        entries.append(F.struct(F.lit(name).alias("source"), F.lit(prio).alias("prio"), sort.alias("sort")))
+    ex = df.select(F.col(key), F.explode(F.array(*entries)).alias("e")).select(key, "e.*")
+    ranked = ex.withColumn(pos, F.row_number().over(Window.partitionBy("source").orderBy("sort")))
+    limits = F.create_map(*[x for name, k, _ in lists for x in (F.lit(name), F.lit(k))])
+    return (ranked.where(F.col(pos) <= kmax).where(F.col(pos) <= F.element_at(limits, F.col("source")))
+                  .select("source", "prio", key, F.col(pos).cast("long").alias(pos)))
+
+
 def first_occurrence(ids: DataFrame, key: str = "appid", pos: str = "pos",
                      by: list[str] | None = None) -> DataFrame:
     """Ordered distinct, keep first: one row per key (per ``by`` group) at its first position."""
     return ids.groupBy(*(by or []), key).agg(F.min(pos).alias(pos))
 
 
-def merge_sources(sources: list[tuple[str, DataFrame]], max_candidates: int = 0,
+def tag_sources(sources: list[tuple[str, DataFrame]], key: str = "appid", pos: str = "pos") -> DataFrame:
+    """``[(name, DataFrame(key, pos)), ...]`` in priority order -> (source, prio, key, pos)."""
+    tagged = None
+    for prio, (name, df) in enumerate(sources):
+        t = df.select(F.lit(name).alias("source"), F.lit(prio).alias("prio"), F.col(key),
+                      F.col(pos).cast("long").alias(pos))
+        tagged = t if tagged is None else tagged.unionByName(t)
+    return tagged
+
+
+def merge_sources(sources: list[tuple[str, DataFrame]] | DataFrame, max_candidates: int = 0,
                   key: str = "appid", pos: str = "pos") -> DataFrame:
     """Union of id lists in priority order, duplicates merged.
 
-    ``sources`` is ``[(name, DataFrame(key, pos)), ...]`` in priority order.
+    ``sources`` is ``[(name, DataFrame(key, pos)), ...]`` in priority order, or an
+    already tagged DataFrame (source, prio, key, pos).
     Result: candidate_rank (1-based, first-seen order), key, first_source,
     first_pos and ``sources`` (sorted names of every list the id appears in).
     The per-key aggregate is partial+final; ``collect_set`` holds at most one
     entry per source. With ``max_candidates > 0`` only that prefix is kept.
     """
-    tagged = None
-    for prio, (name, df) in enumerate(sources):
-        t = df.select(F.col(key), F.col(pos).cast("long").alias(pos),
-                      F.lit(prio).alias("prio"), F.lit(name).alias("source"))
-        tagged = t if tagged is None else tagged.unionByName(t)
+    tagged = sources if isinstance(sources, DataFrame) else tag_sources(sources, key, pos)
     merged = tagged.groupBy(key).agg(
         F.min(F.struct("prio", pos, "source")).alias("first"),
         F.array_sort(F.collect_set("source")).alias("sources"),
@@ -54,10 +84,6 @@ def merge_sources(sources: list[tuple[str, DataFrame]], max_candidates: int = 0,
     return ranked.select("candidate_rank", key, "first_source", "first_pos", "sources")
 
 
-def source_counts(sources: list[tuple[str, DataFrame]], key: str = "appid") -> DataFrame:
-    """Unique ids per source (long form: source, unique_ids)."""
-    out = None
-    for name, df in sources:
-        c = df.agg(F.count_distinct(key).alias("unique_ids")).select(F.lit(name).alias("source"), "unique_ids")
-        out = c if out is None else out.unionByName(c)
-    return out
+def source_counts(tagged: DataFrame, key: str = "appid") -> DataFrame:
+    """Unique ids per source (long form: source, unique_ids) from a tagged frame."""
+    return tagged.groupBy("source").agg(F.count_distinct(key).alias("unique_ids"))

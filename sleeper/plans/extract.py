@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sleeper.config import Profile
 from sleeper.operators import candidates as C
 from sleeper.operators import funnel as FN
+from sleeper.session import materialize
 from sleeper.sources import payloads as P
 
 
@@ -21,17 +22,26 @@ class ExtractResult:
     stats: DataFrame        # (outcome, n) over evaluated rows
 
 
-def select_candidates(sources: list[tuple[str, DataFrame]], profile: Profile) -> DataFrame:
-    """JOB-1: each source is (name, DataFrame(appid, pos)) in priority order."""
-    firsts = [(name, C.first_occurrence(df)) for name, df in sources]
-    return C.merge_sources(firsts, profile.max_candidates)
+def select_candidates(sources: list[tuple[str, DataFrame]] | DataFrame, profile: Profile,
+                      materialized: bool = True) -> DataFrame:
+    """JOB-1. ``sources``: [(name, DataFrame(appid, pos)), ...] in priority order, or
+    a tagged DataFrame (source, prio, appid, pos). Duplicates within a source keep
+    their first position. The (bounded) result is materialized once because the
+    funnel reads it from several branches."""
+    tagged = sources if isinstance(sources, DataFrame) else C.tag_sources(sources)
+    firsts = C.first_occurrence(tagged, by=["source", "prio"])
+    cands = C.merge_sources(firsts, profile.max_candidates)
+    return materialize(cands, "candidates") if materialized else cands
 
 
 def evaluate_candidates(cands: DataFrame, details: DataFrame, reviews: DataFrame,
                         players: DataFrame, profile: Profile) -> ExtractResult:
     """JOB-2 over landed payload tables (appid, payload)."""
+    bound = profile.max_candidates if profile.max_candidates > 0 else None
     enriched = FN.enrich(cands, P.parse_details(details), P.parse_reviews(reviews),
-                         P.parse_players(players))
+                         P.parse_players(players), max_keys=bound)
+    # read by the stop-rank subquery and by every output: parse and join once
+    enriched = materialize(enriched, "enriched")
     funnel = FN.run_funnel(enriched, profile)
     accepted = funnel.where(F.col("evaluated") & (F.col("outcome") == FN.ACCEPTED))
     return ExtractResult(cands, funnel, FN.build_entry(accepted), FN.funnel_stats(funnel))

@@ -10,6 +10,7 @@ from sleeper.config import ScoreParams
 from sleeper.functions.runs import now_ntz
 from sleeper.operators.dedup import latest_per_key
 from sleeper.operators.score import score_items
+from sleeper.session import materialize
 from sleeper.sinks.files import append_history, write_parquet
 
 GOLD_COLUMNS = [f.name for f in T.GOLD.fields]
@@ -22,9 +23,15 @@ def latest_snapshot(silver: DataFrame, key: str = "appid") -> DataFrame:
     return latest_per_key(silver, [key], ["run_ts", "source_file"])
 
 
-def score_gems(silver: DataFrame, params: ScoreParams = ScoreParams()) -> DataFrame:
-    """JOB-4: dedup to the latest snapshot, then score with the global maximum."""
-    return score_items(latest_snapshot(silver), params)
+def score_gems(silver: DataFrame, params: ScoreParams = ScoreParams(), materialized: bool = True) -> DataFrame:
+    """JOB-4: dedup to the latest snapshot, then score with the global maximum.
+
+    The deduplicated snapshot feeds both the max and the scoring pass, so it is
+    written once (one row per item) instead of deduplicating Silver twice."""
+    latest = latest_snapshot(silver)
+    if materialized:
+        latest = materialize(latest, "latest")
+    return score_items(latest, params)
 
 
 def to_gold(scored: DataFrame) -> DataFrame:

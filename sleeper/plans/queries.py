@@ -26,6 +26,7 @@ from sleeper.operators.upsert import upsert
 from sleeper.plans import extract as X
 from sleeper.plans import landing as L
 from sleeper.plans import workload as W
+from sleeper.session import materialize
 from sleeper.sources import payloads as P
 
 DRIVER_SCORE = ScoreParams(price_cap=W.DRIVER_PRICE_CAP, tier_s=W.DRIVER_TIER_S,
@@ -37,7 +38,9 @@ SCORE_COLS = ["appid", "nombre", "generos", "precio", "total_resenas", "resenas_
 
 
 def gold_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_items(W.catalog(spark, sf_dir), DRIVER_SCORE)
+    """The catalogue is read twice (the max subquery and the scoring pass), so it is
+    written once rather than re-aggregating lineitem per reader."""
+    return score_items(materialize(W.catalog(spark, sf_dir), "catalog"), DRIVER_SCORE)
 
 
 def silver_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +51,7 @@ def silver_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def score_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every run scored against that run's own maximum."""
-    return score_items(silver_snapshots(spark, sf_dir), DRIVER_SCORE, by=["run"])
+    return score_items(materialize(silver_snapshots(spark, sf_dir), "snapshots"), DRIVER_SCORE, by=["run"])
 
 
 def q_hgs_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,18 +96,19 @@ DRIVER_PROFILE = Profile(target=3, max_candidates=400, max_evaluations=300, min_
                          max_current_players=18)
 
 
-def candidate_sources(spark: SparkSession, sf_dir: str) -> list[tuple[str, DataFrame]]:
+def candidate_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tagged (source, prio, appid, pos): three ranked lists from one lineitem pass."""
     li = W.table(spark, sf_dir, "lineitem")
     per_part = li.groupBy(F.col("l_partkey").alias("appid")).agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum("l_quantity").alias("qty"),
         F.count_if(F.col("l_returnflag") == "R").alias("returns"))
-    key = F.col("appid").asc()
-    return [
-        ("top_lines", C.top_ranked(per_part, 300, [F.col("lines").desc(), key])),
-        ("top_quantity", C.top_ranked(per_part, 300, [F.col("qty").desc(), key])),
-        ("top_returns", C.top_ranked(per_part, 100, [F.col("returns").desc(), key])),
-    ]
+    key = F.col("appid")
+    return C.top_ranked_many(per_part, [
+        ("top_lines", 300, [-F.col("lines"), key]),
+        ("top_quantity", 300, [-F.col("qty"), key]),
+        ("top_returns", 100, [-F.col("returns"), key]),
+    ])
 
 
 def driver_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,7 +158,8 @@ def q_ranked_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids, totals = P.search_page_ids(L.search_pages(spark, sf_dir))
+    # land the rendered pages once, as the extract stage lands fetched pages
+    ids, totals = P.search_page_ids(materialize(L.search_pages(spark, sf_dir), "search_pages"))
     first = ids.groupBy("session_id", "appid").agg(
         F.min(F.struct("page_idx", "pos")).alias("f"))
     out = first.join(totals, "session_id", "left")
@@ -238,7 +243,7 @@ def q_apply_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _gold_between(spark: SparkSession, sf_dir: str, lo: int, hi: int) -> DataFrame:
     snaps = silver_snapshots(spark, sf_dir).where(F.col("run").between(lo, hi))
-    latest = latest_per_key(snaps, ["appid"], ["run"])
+    latest = materialize(latest_per_key(snaps, ["appid"], ["run"]), "latest")
     g = score_items(latest, DRIVER_SCORE)
     return g.select(F.col("appid").cast("long").alias("appid"), "nombre", "precio", "hidden_gem_score", "tier")
 
@@ -346,7 +351,8 @@ def q_run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources = candidate_sources(spark, sf_dir)
     res = driver_extract(spark, sf_dir)
     ev = res.funnel.where("evaluated")
-    counts = {name: df.select(F.count_distinct("appid")).scalar() for name, df in sources}
+    counts = {name: sources.where(F.col("source") == name).select(F.count_distinct("appid")).scalar()
+              for name in ("top_lines", "top_quantity", "top_returns")}
     fuentes = F.struct(*[c.alias(f"{n}_ids_unicos") for n, c in counts.items()],
                        res.candidates.select(F.count(F.lit(1))).scalar().alias("candidatos_unicos_combinados"))
     stats = F.struct(ev.select(F.count(F.lit(1))).scalar().alias("evaluados"),

@@ -56,3 +56,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the checkpoint root."""
     return os.path.join(checkpoint_root(spark), "sleeper", f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    For intermediates that several consumers read (a scalar subquery plus the
+    main plan, or several branches): without this Spark recomputes the whole
+    upstream plan per consumer. Parquet keeps it columnar (a max over one
+    column reads one column), and the files outlive a lost executor.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -19,14 +19,23 @@ def test_global_max_is_a_scalar_subquery_not_a_window_or_cross_join(spark):
 
 
 def test_scan_reads_only_needed_columns(spark):
-    p = plan(Q.q_hgs_score(spark, SF_SMALL))
+    from sleeper.plans import workload as W
+
+    p = plan(W.catalog(spark, SF_SMALL))
     schemas = [line for line in p.splitlines() if line.startswith("ReadSchema") and "l_" in line]
     assert schemas and all("l_extendedprice" not in s and "l_comment" not in s for s in schemas)
 
 
 def test_top_k_is_take_ordered(spark):
+    from sleeper.plans import extract as X
+
     assert "TakeOrderedAndProject" in plan(Q.q_hgs_topk(spark, SF_SMALL))
-    assert "TakeOrderedAndProject" in plan(Q.q_candidates(spark, SF_SMALL))
+    cands = X.select_candidates(Q.candidate_sources(spark, SF_SMALL), Q.DRIVER_PROFILE, materialized=False)
+    p = plan(cands)
+    assert "TakeOrderedAndProject" in p  # the candidate cap
+    assert "WindowGroupLimit" in p       # each source list trimmed before its shuffle
+    scans = [ln for ln in p.splitlines() if ln.startswith("(") and "Scan parquet" in ln]
+    assert len(scans) == 1  # all three lists from one lineitem pass
 
 
 def test_rank_within_group_limits_before_the_shuffle(spark):
