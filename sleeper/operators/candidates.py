@@ -14,7 +14,7 @@ def top_ranked(df: DataFrame, k: int, order: list[Column], key: str = "appid",
                pos: str = "pos") -> DataFrame:
     """Top ``k`` rows of ``order`` (which ends in ``key``) as (key, pos 1..k)."""
     top = df.orderBy(*order).limit(k)
-    return top.select(F.col(key), F.row_number().over(Window.orderBy(*order)).alias(pos))
+    return top.select(F.col(key), F.row_number().over(Window.orderBy(*order)).cast("long").alias(pos))
 
 
 def top_ranked_many(df: DataFrame, lists: list[tuple[str, int, list[Column]]], key: str = "appid",
@@ -76,7 +76,7 @@ def merge_sources(sources: list[tuple[str, DataFrame]] | DataFrame, max_candidat
     order = [F.col("prio"), F.col("first_pos"), F.col(key)]
     if 0 < max_candidates <= WINDOW_LIMIT:
         capped = merged.orderBy(*order).limit(max_candidates)
-        ranked = capped.withColumn("candidate_rank", F.row_number().over(Window.orderBy(*order)))
+        ranked = capped.withColumn("candidate_rank", F.row_number().over(Window.orderBy(*order)).cast("long"))
     else:
         ranked = with_position(merged, order, "candidate_rank")
         if max_candidates > 0:

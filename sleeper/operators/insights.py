@@ -21,7 +21,7 @@ def top_gems(df: DataFrame, k: int, score: str = "hidden_gem_score", key: str =
     keeps its own top ``k`` and only those reach the final merge."""
     order = [F.col(score).desc_nulls_last(), F.col(key).asc()]
     top = df.orderBy(*order).limit(k)
-    return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)))
+    return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
 
 
 def rank_within(df: DataFrame, group: str, k: int, score: str = "hidden_gem_score",
@@ -33,7 +33,8 @@ def rank_within(df: DataFrame, group: str, k: int, score: str = "hidden_gem_scor
     map task instead of all of its rows.
     """
     w = Window.partitionBy(group).orderBy(F.col(score).desc_nulls_last())
-    return df.withColumn(rank_col, F.rank().over(w)).where(F.col(rank_col) <= k)
+    ranked = df.withColumn(rank_col, F.rank().over(w)).where(F.col(rank_col) <= k)
+    return ranked.withColumn(rank_col, F.col(rank_col).cast("long"))
 
 
 def explode_genres(df: DataFrame, genres: str = "generos", out: str = "genero") -> DataFrame:
@@ -82,7 +83,8 @@ def score_changes(history: DataFrame, key: str = "appid", run: str = "run",
     out = out.withColumn("_breaks", F.sum(F.when(rising, 0).otherwise(1)).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     streak_w = Window.partitionBy(key, "_breaks").orderBy(run)
-    out = out.withColumn("rise_streak", F.when(rising, F.row_number().over(streak_w) - 1).otherwise(0))
+    out = out.withColumn("rise_streak",
+                         F.when(rising, F.row_number().over(streak_w) - 1).otherwise(0).cast("long"))
     return out.drop("_breaks")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sleeper.session import materialize
+
 
 def with_position(df: DataFrame, order: list[Column | str], name: str = "position",
                   num_partitions: int | None = None) -> DataFrame:
@@ -13,7 +15,9 @@ def with_position(df: DataFrame, order: list[Column | str], name: str = "positio
     Range-partition by the order, sort inside partitions, count rows per
     partition (one small row each), turn the counts into offsets and add
     them back. ``row_number()`` over an unpartitioned window would instead
-    move every row into a single task.
+    move every row into a single task. The partitioned rows are written once
+    with their (partition, local index) so the counts and the offsets come from
+    the same partitioning, even when the input order is not deterministic.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -21,6 +25,7 @@ def with_position(df: DataFrame, order: list[Column | str], name: str = "positio
     ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_local", F.monotonically_increasing_id()))
+    ranged = materialize(ranged, "positions")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off"))
     # One row per partition: a bounded broadcast.

@@ -241,20 +241,28 @@ def q_apply_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_mapping(W.table(spark, sf_dir, "orders"), ORDERS_MAPPING)
 
 
-def _gold_between(spark: SparkSession, sf_dir: str, lo: int, hi: int) -> DataFrame:
-    snaps = silver_snapshots(spark, sf_dir).where(F.col("run").between(lo, hi))
-    latest = materialize(latest_per_key(snaps, ["appid"], ["run"]), "latest")
+def _gold_between(snaps: DataFrame, lo: int, hi: int) -> DataFrame:
+    latest = materialize(latest_per_key(snaps.where(F.col("run").between(lo, hi)), ["appid"], ["run"]),
+                         "latest")
     g = score_items(latest, DRIVER_SCORE)
     return g.select(F.col("appid").cast("long").alias("appid"), "nombre", "precio", "hidden_gem_score", "tier")
 
 
+def _gold_target_and_updates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Gold as of runs up to 1999 (the table) and as of runs 2000+ (the updates),
+    both from one materialized snapshot table."""
+    snaps = materialize(silver_snapshots(spark, sf_dir), "snapshots")
+    return _gold_between(snaps, 0, 1999), _gold_between(snaps, 2000, 9999)
+
+
 def q_upsert_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upsert(_gold_between(spark, sf_dir, 0, 1999), _gold_between(spark, sf_dir, 2000, 9999), "appid")
+    target, updates = _gold_target_and_updates(spark, sf_dir)
+    return upsert(target, updates, "appid")
 
 
 def q_upsert_name_only(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return upsert(_gold_between(spark, sf_dir, 0, 1999), _gold_between(spark, sf_dir, 2000, 9999), "appid",
-                  update_cols=["nombre"])
+    target, updates = _gold_target_and_updates(spark, sf_dir)
+    return upsert(target, updates, "appid", update_cols=["nombre"])
 
 
 # ---------------------------------------------------------------------------
@@ -336,8 +344,9 @@ def q_gold_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sleeper.session import scratch_path
 
     path = scratch_path(spark, "gold_table")
-    parquet_upsert(_gold_between(spark, sf_dir, 0, 1999), path, "appid")
-    parquet_upsert(_gold_between(spark, sf_dir, 2000, 9999), path, "appid", update_cols=["nombre"])
+    target, updates = _gold_target_and_updates(spark, sf_dir)
+    parquet_upsert(target, path, "appid")
+    parquet_upsert(updates, path, "appid", update_cols=["nombre"])
     return spark.read.parquet(path)
 
 
