@@ -14,5 +14,9 @@ def spread(df: DataFrame, factor: int = 1) -> DataFrame:
     into many partitions and pass through unchanged, so no shuffle is added at
     scale. Only planning happens here, no job.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism * factor
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism * factor
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave the plan as is
+        return df
+    return df.repartition(target) if current < target else df

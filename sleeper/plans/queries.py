@@ -270,13 +270,13 @@ def q_upsert_name_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def _land_snapshots(spark: SparkSession, sf_dir: str, root: str | None = None, lo: int = 0,
-                    hi: int = 9999) -> str:
+                    hi: int = 9999, snaps: DataFrame | None = None) -> str:
     """Land the snapshot runs lo..hi as Bronze JSONL (one folder per run) in one job."""
     from sleeper.sinks.files import write_bronze
     from sleeper.session import scratch_path
 
     root = root or scratch_path(spark, "bronze")
-    snaps = W.snapshots(spark, sf_dir).where(F.col("run").between(lo, hi))
+    snaps = (snaps if snaps is not None else W.snapshots(spark, sf_dir)).where(F.col("run").between(lo, hi))
     snaps = snaps.withColumn("run_ts", F.to_timestamp(F.format_string("%d-01-01", F.col("run")))).drop("run")
     write_bronze(snaps, root, run_ts_col="run_ts")
     return root
@@ -388,14 +388,15 @@ def q_stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
     ckpt = scratch_path(spark, "stream_ckpt")
     latest, gold, seen = None, None, None
+    snaps = materialize(W.snapshots(spark, sf_dir), "snapshots")  # the source of all three waves
     for lo, hi in ((0, 1997), (1998, 1999), (2000, 9999)):
-        _land_snapshots(spark, sf_dir, bronze, lo, hi)
+        _land_snapshots(spark, sf_dir, bronze, lo, hi, snaps)
         run_silver_increment(spark, bronze, silver, ckpt)
         s = read_silver(spark, silver)
         delta = s if seen is None else s.where(F.col("run_ts") > F.lit(seen))
         seen = s.select(F.max("run_ts")).first()[0]
         latest, gold = refresh_gold(latest, delta, DRIVER_SCORE)
-        latest = latest.checkpoint(eager=True)  # cut lineage between refreshes (shared checkpoint dir)
+        latest = materialize(latest, "latest")  # cut lineage between refreshes (shared checkpoint dir)
     return gold.select(F.col("appid").cast("long").alias("appid"), "nombre", "precio", "total_resenas",
                        "hidden_gem_score", "tier")
 

@@ -27,6 +27,8 @@ def build_session(master: str | None = None, app: str = "sleeper",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # whole documents go through the one text UDF: keep Arrow batches modest
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

@@ -70,17 +70,16 @@ def write_run_metadata(meta: DataFrame, root: str, run_folder_name: str) -> str:
 def parquet_upsert(updates: DataFrame, path: str, key: str, update_cols: list[str] | None = None) -> None:
     """Keyed upsert into a Parquet table (insert new keys, update ``update_cols``).
 
-    The merged result is checkpointed (shared checkpoint dir) before the table is
-    overwritten, so the write never reads the files it replaces.
+    The merged result is written once under the shared checkpoint dir before the
+    table is overwritten, so the write never reads the files it replaces.
     """
     from sleeper.operators.upsert import upsert
-    from sleeper.session import checkpoint_root
+    from sleeper.session import materialize
 
     spark = updates.sparkSession
     if not path_exists(spark, path):
         write_parquet(updates, path)
         return
     current = spark.read.parquet(path)
-    checkpoint_root(spark)
-    merged = upsert(current, updates.select(*current.columns), key, update_cols).checkpoint(eager=True)
+    merged = materialize(upsert(current, updates.select(*current.columns), key, update_cols), "upsert")
     write_parquet(merged, path)

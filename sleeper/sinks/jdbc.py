@@ -43,8 +43,8 @@ def jdbc_upsert(updates: DataFrame, url: str, table: str, key: str, update_cols:
                 batchsize: int = 10000, num_partitions: int = 8) -> DataFrame:
     """Insert new keys, update ``update_cols`` of existing ones; returns the merged table.
 
-    The merge is a full outer join in Spark. Its result is checkpointed (to the
-    shared checkpoint dir) before the table is truncated and rewritten, so the
+    The merge is a full outer join in Spark. Its result is written once under the
+    shared checkpoint dir before the table is truncated and rewritten, so the
     write never re-reads the table it is replacing.
     """
     props = props or {}
@@ -52,10 +52,9 @@ def jdbc_upsert(updates: DataFrame, url: str, table: str, key: str, update_cols:
     create_if_absent(updates, url, table, column_types, props)
     current = _reader(spark, url, props).option("dbtable", table).load()
     merged = upsert(current, updates.select(*current.columns), key, update_cols)
-    from sleeper.session import checkpoint_root
+    from sleeper.session import materialize
 
-    checkpoint_root(spark)
-    merged = merged.checkpoint(eager=True)
+    merged = materialize(merged, "jdbc_upsert")
     w = (merged.repartition(num_partitions).write.format("jdbc").option("url", url).option("dbtable", table)
          .option("truncate", "true").option("batchsize", str(batchsize)))
     for k, v in props.items():
