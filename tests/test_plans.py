@@ -58,3 +58,19 @@ def test_funnel_stop_is_bounded(spark):
     p = plan(Q.q_funnel_rows(spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p  # candidate cap and the target-th acceptance
     assert "RunningWindowFunction" not in p
+
+
+def test_silver_checks_and_write_are_one_scan(spark, tmp_path):
+    from sleeper.operators import quality as DQ
+    from sleeper.plans.silver import check_rows, to_silver_rows
+    from sleeper.sinks.files import write_bronze
+    from sleeper.sources.files import read_bronze
+
+    root = str(tmp_path / "bronze")
+    write_bronze(spark.createDataFrame([(1, "A")], "appid int, nombre string"), root, run_ts="2026-01-01 00:00:00")
+    rows = to_silver_rows(read_bronze(spark, root))
+    observed, _obs = DQ.observe(rows, DQ.RULES_SILVER)
+    p = plan(check_rows(observed))
+    scans = [ln for ln in p.splitlines() if ln.startswith("(") and "Scan json" in ln]
+    assert len(scans) == 1
+    assert "CollectMetrics" in p  # the rule counters are collected by the same plan
