@@ -17,9 +17,10 @@ from sleeper.operators.parallel import spread
 def parse_details(df: DataFrame, key: str = "appid") -> DataFrame:
     """(key, details_ok, details): the item's ``data`` only when ``success`` is true.
 
-    The payload is a map keyed by the id as a string. ``details_ok`` is false when
-    the payload did not parse (a failed fetch); ``details`` is NULL when the
-    lookup failed or ``success`` is false (an absent item).
+    The payload is a map keyed by the id as a string (malformed text parses to
+    NULL for a map). ``details_ok`` is false when the payload did not parse (a
+    failed fetch); ``details`` is NULL when the lookup failed or ``success`` is
+    false (an absent item).
     """
     m = F.from_json(F.col("payload"), T.DETAILS_PAYLOAD)
     e = F.try_element_at(m, F.col(key).cast("string"))
@@ -28,10 +29,17 @@ def parse_details(df: DataFrame, key: str = "appid") -> DataFrame:
 
 
 def parse_reviews(df: DataFrame, key: str = "appid") -> DataFrame:
-    """(key, reviews_ok, summary). Sample reviews in the payload are not read."""
-    p = F.from_json(F.col("payload"), T.REVIEWS_PAYLOAD)
-    return spread(df).select(F.col(key), p.isNotNull().alias("reviews_ok"),
-                     p.getField("query_summary").alias("summary"))
+    """(key, reviews_ok, summary). Sample reviews in the payload are not read.
+
+    A struct schema parses malformed text into a struct of NULLs, so the schema
+    carries a corrupt-record field: ``reviews_ok`` is false when the payload is
+    missing or did not parse (a failed fetch), from the same single parse.
+    """
+    schema = T.REVIEWS_PAYLOAD[:-1] + ",_corrupt_record:string>"
+    p = F.from_json(F.col("payload"), schema, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    ok = F.col("payload").isNotNull() & p.getField("_corrupt_record").isNull()
+    return spread(df).select(F.col(key), ok.alias("reviews_ok"),
+                             F.when(ok, p.getField("query_summary")).alias("summary"))
 
 
 def parse_players(df: DataFrame, key: str = "appid") -> DataFrame:

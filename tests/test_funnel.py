@@ -109,3 +109,18 @@ def test_funnel_properties_on_driver_data(spark):
     assert stats.get("accepted", 0) <= DRIVER_PROFILE.target
     assert evaluated <= DRIVER_PROFILE.max_evaluations
     assert res.entries.count() == stats.get("accepted", 0)
+
+
+def test_unparseable_payloads_are_failed_fetches(spark):
+    from sleeper.sources import payloads as P
+
+    df = spark.createDataFrame([(1, '{"query_summary": {"total_reviews": 3}}'), (2, '{"query_summ'), (3, None)],
+                               "appid long, payload string")
+    got = {r["appid"]: (r["reviews_ok"], r["summary"]) for r in P.parse_reviews(df).collect()}
+    assert got[1][0] and got[1][1]["total_reviews"] == 3
+    assert got[2] == (False, None) and got[3] == (False, None)
+    det = spark.createDataFrame([(1, '{"1": {"success": true, "data": {"type": "game"}}}'), (2, '{"2": {"succ')],
+                                "appid long, payload string")
+    got = {r["appid"]: (r["details_ok"], r["details"]) for r in P.parse_details(det).collect()}
+    assert got[1][0] and got[1][1]["type"] == "game"
+    assert got[2] == (False, None)
