@@ -352,28 +352,16 @@ def q_gold_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The extract run's metadata document: parameters, source counts, funnel counters."""
-    from sleeper.functions.runs import iso_seconds
-    from sleeper.operators.funnel import OUTCOMES
+    from sleeper.plans.runs import run_metadata
     from sleeper.sinks.files import write_run_metadata
     from sleeper.session import scratch_path
 
-    sources = candidate_sources(spark, sf_dir)
-    res = driver_extract(spark, sf_dir)
-    ev = res.funnel.where("evaluated")
-    counts = {name: sources.where(F.col("source") == name).select(F.count_distinct("appid")).scalar()
-              for name in ("top_lines", "top_quantity", "top_returns")}
-    fuentes = F.struct(*[c.alias(f"{n}_ids_unicos") for n, c in counts.items()],
-                       res.candidates.select(F.count(F.lit(1))).scalar().alias("candidatos_unicos_combinados"))
-    stats = F.struct(ev.select(F.count(F.lit(1))).scalar().alias("evaluados"),
-                     *[ev.select(F.count_if(F.col("outcome") == o)).scalar().alias(o) for o in OUTCOMES
-                       if o != "accepted"])
-    params = F.struct(*[F.lit(v).alias(k) for k, v in DRIVER_PROFILE.as_dict().items()])
-    meta = spark.range(1).select(
-        iso_seconds(F.current_timestamp()).alias("fecha_ejecucion"), params.alias("parametros"),
-        fuentes.alias("fuentes"), stats.alias("estadisticas_evaluacion"),
-        res.entries.select(F.count(F.lit(1))).scalar().alias("total_resultados"))
-    root = scratch_path(spark, "bronze_meta")
-    path = write_run_metadata(meta, root, "run")
+    sources = materialize(candidate_sources(spark, sf_dir), "sources")
+    res = X.evaluate_candidates(X.select_candidates(sources, DRIVER_PROFILE), L.details_payloads(spark, sf_dir),
+                                L.reviews_payloads(spark, sf_dir), L.players_payloads(spark, sf_dir),
+                                DRIVER_PROFILE)
+    meta = run_metadata(spark, res, sources, DRIVER_PROFILE)
+    path = write_run_metadata(meta, scratch_path(spark, "bronze_meta"), "run")
     back = spark.read.schema(meta.schema).json(path)
     return back.select("fuentes.*", "estadisticas_evaluacion.*", "total_resultados")
 
