@@ -16,7 +16,8 @@ from sleeper.operators.parallel import spread
 from sleeper.plans import workload as W
 
 
-def _item_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+def item_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part ⟕ per-part lineitem aggregate (shared by the review and player payloads)."""
     part = W.table(spark, sf_dir, "part")
     stats = W.line_stats(W.table(spark, sf_dir, "lineitem"))
     return part.join(stats, part.p_partkey == stats.l_partkey, "left")
@@ -52,9 +53,9 @@ def details_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(key.alias("appid"), payload.alias("payload"))
 
 
-def reviews_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reviews_payloads(spark: SparkSession, sf_dir: str, stats: DataFrame | None = None) -> DataFrame:
     """(appid, payload) review summaries; truncated for p_partkey % 103 = 9."""
-    s = _item_stats(spark, sf_dir)
+    s = stats if stats is not None else item_stats(spark, sf_dir)
     tot = F.coalesce(F.col("total_resenas"), F.lit(0))
     pos = F.coalesce(F.col("resenas_positivas"), F.lit(0))
     neg = F.coalesce(F.col("resenas_negativas"), F.lit(0))
@@ -71,9 +72,9 @@ def reviews_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select(F.col("p_partkey").alias("appid"), payload.alias("payload"))
 
 
-def players_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def players_payloads(spark: SparkSession, sf_dir: str, stats: DataFrame | None = None) -> DataFrame:
     """(appid, payload) player counts = open lines; result 42 (no data) when none."""
-    s = _item_stats(spark, sf_dir)
+    s = stats if stats is not None else item_stats(spark, sf_dir)
     n = F.coalesce(F.col("open_lines"), F.lit(0))
     resp = F.struct(F.when(n > 0, F.lit(1)).otherwise(F.lit(42)).alias("result"),
                     n.alias("player_count"))

@@ -115,9 +115,16 @@ def driver_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.select_candidates(candidate_sources(spark, sf_dir), DRIVER_PROFILE)
 
 
+def landed_payloads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(details, reviews, players) payload tables; the two that need lineitem
+    statistics share one aggregate."""
+    stats = materialize(L.item_stats(spark, sf_dir), "item_stats")
+    return (L.details_payloads(spark, sf_dir), L.reviews_payloads(spark, sf_dir, stats),
+            L.players_payloads(spark, sf_dir, stats))
+
+
 def driver_extract(spark: SparkSession, sf_dir: str) -> X.ExtractResult:
-    return X.evaluate_candidates(driver_candidates(spark, sf_dir), L.details_payloads(spark, sf_dir),
-                                 L.reviews_payloads(spark, sf_dir), L.players_payloads(spark, sf_dir),
+    return X.evaluate_candidates(driver_candidates(spark, sf_dir), *landed_payloads(spark, sf_dir),
                                  DRIVER_PROFILE)
 
 
@@ -144,9 +151,8 @@ def q_flatten_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every part's landed payloads parsed back and flattened to a Bronze record."""
     items = W.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("appid"))
     from sleeper.operators.funnel import build_entry, enrich
-    e = enrich(items, P.parse_details(L.details_payloads(spark, sf_dir)),
-               P.parse_reviews(L.reviews_payloads(spark, sf_dir)),
-               P.parse_players(L.players_payloads(spark, sf_dir)))
+    details, reviews, players = landed_payloads(spark, sf_dir)
+    e = enrich(items, P.parse_details(details), P.parse_reviews(reviews), P.parse_players(players))
     return build_entry(e)
 
 
@@ -357,8 +363,7 @@ def q_run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sleeper.session import scratch_path
 
     sources = materialize(candidate_sources(spark, sf_dir), "sources")
-    res = X.evaluate_candidates(X.select_candidates(sources, DRIVER_PROFILE), L.details_payloads(spark, sf_dir),
-                                L.reviews_payloads(spark, sf_dir), L.players_payloads(spark, sf_dir),
+    res = X.evaluate_candidates(X.select_candidates(sources, DRIVER_PROFILE), *landed_payloads(spark, sf_dir),
                                 DRIVER_PROFILE)
     meta = run_metadata(spark, res, sources, DRIVER_PROFILE)
     path = write_run_metadata(meta, scratch_path(spark, "bronze_meta"), "run")

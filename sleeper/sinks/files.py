@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from sleeper.functions.runs import run_folder
 
@@ -31,7 +32,8 @@ def write_bronze(df: DataFrame, root: str, run_ts=None, run_ts_col: str | None =
         w = out.write.partitionBy(RUN_DIR_COL)
         path = root
     else:
-        folder = df.sparkSession.range(1).select(run_folder(F.lit(run_ts).cast("timestamp"))).first()[0]
+        ts = run_ts if isinstance(run_ts, dt.datetime) else dt.datetime.fromisoformat(str(run_ts))
+        folder = ts.strftime("%Y-%m-%d_%H-%M-%S")
         w = df.write
         path = f"{root}/{folder}"
     w.mode(mode).option("ignoreNullFields", "false").option("compression", "none").json(path)
