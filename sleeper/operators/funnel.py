@@ -46,26 +46,17 @@ def classify(profile: Profile) -> Column:
              .otherwise(F.lit(ACCEPTED)))
 
 
-BROADCAST_KEYS_LIMIT = 1_000_000
-
-
-def enrich(candidates: DataFrame, details: DataFrame, reviews: DataFrame, players: DataFrame,
-           key: str = "appid", max_keys: int | None = None) -> DataFrame:
-    """Candidates left-joined with parsed details, reviews and players on ``key``.
-
-    Payload tables may hold many items; they are semi-joined to the candidate
-    keys first, so only candidates' payloads reach the outer joins. When the
-    candidate count has a proven bound (``max_keys``, the candidate cap) the
-    keys are broadcast and the payload tables are filtered without a shuffle;
-    otherwise the planner (and AQE at runtime) picks the join.
-    """
-    keys = candidates.select(key)
-    if max_keys is not None and 0 < max_keys <= BROADCAST_KEYS_LIMIT:
-        keys = F.broadcast(keys)
-    out = candidates
-    for side in (details, reviews, players):
-        out = out.join(side.join(keys, key, "left_semi"), key, "left")
-    return out
+def enrich(candidates: DataFrame, payloads: DataFrame, key: str = "appid") -> DataFrame:
+    """Candidates left-joined with their latest details / reviews / players payloads
+    (one row per key, see ``sources.payloads.latest_payloads``) and parsed into
+    details_ok, details, reviews_ok, summary and players."""
+    from sleeper.sources.payloads import details_columns, players_column, reviews_columns
+
+    j = candidates.join(payloads, key, "left")
+    return j.select(*[F.col(c) for c in candidates.columns],
+                    *details_columns(F.col("details"), F.col(key)),
+                    *reviews_columns(F.col("reviews")),
+                    players_column(F.col("players")))
 
 
 def stop_rank(classified: DataFrame, profile: Profile, rank: str = "candidate_rank") -> Column:

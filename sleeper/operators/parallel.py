@@ -12,9 +12,13 @@ def spread(df: DataFrame, factor: int = 1) -> DataFrame:
     every per-row stage before the first shuffle (JSON parsing, regex extraction,
     text normalisation) would then run in one task. Large inputs already split
     into many partitions and pass through unchanged, so no shuffle is added at
-    scale. Only planning happens here, no job.
+    scale. Only planning happens here, no job: a plan that already shuffles is
+    left alone (its partitions come from the shuffle, and asking an adaptive plan
+    for its partition count would run its stages early).
     """
     try:
+        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            return df
         target = df.sparkSession.sparkContext.defaultParallelism * factor
         current = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave the plan as is

@@ -36,10 +36,11 @@ def select_candidates(sources: list[tuple[str, DataFrame]] | DataFrame, profile:
 
 def evaluate_candidates(cands: DataFrame, details: DataFrame, reviews: DataFrame,
                         players: DataFrame, profile: Profile) -> ExtractResult:
-    """JOB-2 over landed payload tables (appid, payload)."""
+    """JOB-2 over landed payload tables (appid, payload[, fetched_at])."""
     bound = profile.max_candidates if profile.max_candidates > 0 else None
-    enriched = FN.enrich(cands, P.parse_details(details), P.parse_reviews(reviews),
-                         P.parse_players(players), max_keys=bound)
+    raws = {"details": details, "reviews": reviews, "players": players}
+    latest = P.latest_payloads(cands, raws, max_keys=bound, order_by=["fetched_at"])
+    enriched = FN.enrich(cands, latest)
     # read by the stop-rank subquery and by every output: parse and join once
     enriched = materialize(enriched, "enriched")
     funnel = FN.run_funnel(enriched, profile)

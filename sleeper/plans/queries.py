@@ -152,7 +152,8 @@ def q_flatten_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = W.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("appid"))
     from sleeper.operators.funnel import build_entry, enrich
     details, reviews, players = landed_payloads(spark, sf_dir)
-    e = enrich(items, P.parse_details(details), P.parse_reviews(reviews), P.parse_players(players))
+    latest = P.latest_payloads(items, {"details": details, "reviews": reviews, "players": players})
+    e = enrich(items, latest)
     return build_entry(e)
 
 

@@ -6,7 +6,7 @@ a missing or unparseable payload is the data form of a failed fetch.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sleeper import schemas as T
@@ -14,39 +14,79 @@ from sleeper.functions.ids import ids_from_attribute_html, links, safe_int
 from sleeper.operators.parallel import spread
 
 
-def parse_details(df: DataFrame, key: str = "appid") -> DataFrame:
-    """(key, details_ok, details): the item's ``data`` only when ``success`` is true.
+def details_columns(payload: Column, key: Column) -> list[Column]:
+    """[details_ok, details] from a details payload (a map keyed by the id string).
 
-    The payload is a map keyed by the id as a string (malformed text parses to
-    NULL for a map). ``details_ok`` is false when the payload did not parse (a
-    failed fetch); ``details`` is NULL when the lookup failed or ``success`` is
-    false (an absent item).
+    Malformed text parses to NULL for a map, so ``details_ok`` is false for a
+    missing or unparseable payload (a failed fetch); ``details`` is NULL when the
+    lookup failed or ``success`` is false (an absent item).
     """
-    m = F.from_json(F.col("payload"), T.DETAILS_PAYLOAD)
-    e = F.try_element_at(m, F.col(key).cast("string"))
-    return spread(df).select(F.col(key), m.isNotNull().alias("details_ok"),
-                     F.when(e.getField("success"), e.getField("data")).alias("details"))
-
+    m = F.from_json(payload, T.DETAILS_PAYLOAD)
+    e = F.try_element_at(m, key.cast("string"))
+    return [m.isNotNull().alias("details_ok"), F.when(e.getField("success"), e.getField("data")).alias("details")]
 
-def parse_reviews(df: DataFrame, key: str = "appid") -> DataFrame:
-    """(key, reviews_ok, summary). Sample reviews in the payload are not read.
 
-    A struct schema parses malformed text into a struct of NULLs, so the schema
-    carries a corrupt-record field: ``reviews_ok`` is false when the payload is
-    missing or did not parse (a failed fetch), from the same single parse.
-    """
+def reviews_columns(payload: Column) -> list[Column]:
+    """[reviews_ok, summary]. A struct schema parses malformed text into a struct
+    of NULLs, so the schema carries a corrupt-record field and ``reviews_ok`` is
+    false when the payload is missing or did not parse, from the same parse.
+    Sample reviews in the payload are not read."""
     schema = T.REVIEWS_PAYLOAD[:-1] + ",_corrupt_record:string>"
-    p = F.from_json(F.col("payload"), schema, {"columnNameOfCorruptRecord": "_corrupt_record"})
-    ok = F.col("payload").isNotNull() & p.getField("_corrupt_record").isNull()
-    return spread(df).select(F.col(key), ok.alias("reviews_ok"),
-                             F.when(ok, p.getField("query_summary")).alias("summary"))
+    p = F.from_json(payload, schema, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    ok = payload.isNotNull() & p.getField("_corrupt_record").isNull()
+    return [ok.alias("reviews_ok"), F.when(ok, p.getField("query_summary")).alias("summary")]
 
 
-def parse_players(df: DataFrame, key: str = "appid") -> DataFrame:
-    """(key, players): the count only when ``result == 1``, else NULL."""
-    r = F.from_json(F.col("payload"), T.PLAYERS_PAYLOAD).getField("response")
+def players_column(payload: Column) -> Column:
+    """The player count only when ``result == 1``, else NULL."""
+    r = F.from_json(payload, T.PLAYERS_PAYLOAD).getField("response")
     ok = F.coalesce(safe_int(r.getField("result")), F.lit(0)) == 1
-    return spread(df).select(F.col(key), F.when(ok, safe_int(r.getField("player_count")).cast("int")).alias("players"))
+    return F.when(ok, safe_int(r.getField("player_count")).cast("int")).alias("players")
+
+
+def parse_details(df: DataFrame, key: str = "appid") -> DataFrame:
+    """(key, details_ok, details) from landed (key, payload) rows."""
+    return spread(df).select(F.col(key), *details_columns(F.col("payload"), F.col(key)))
+
+
+def parse_reviews(df: DataFrame, key: str = "appid") -> DataFrame:
+    """(key, reviews_ok, summary) from landed (key, payload) rows."""
+    return spread(df).select(F.col(key), *reviews_columns(F.col("payload")))
+
+
+def parse_players(df: DataFrame, key: str = "appid") -> DataFrame:
+    """(key, players) from landed (key, payload) rows."""
+    return spread(df).select(F.col(key), players_column(F.col("payload")))
+
+
+def latest_payloads(keys: DataFrame, raws: dict[str, DataFrame], key: str = "appid",
+                    max_keys: int | None = None, order_by: list[str] | None = None,
+                    broadcast_limit: int = 1_000_000) -> DataFrame:
+    """(key, <kind>...): the latest landed payload text of each kind for ``keys``.
+
+    ``raws`` maps a kind (e.g. "details") to a landed (key, payload[, order cols])
+    table. The tables are tagged and unioned, semi-joined to the wanted keys
+    (broadcast when ``max_keys`` proves a bound, so the payload tables are
+    filtered without a shuffle), and reduced by ONE aggregate: per key, each
+    kind's latest payload (by ``order_by`` columns when present, then a content
+    hash, so a re-fetched item never duplicates a row). One shuffle for all
+    kinds, on narrow (key, text) rows; parsing happens afterwards, only for the
+    selected payloads.
+    """
+    k = keys.select(key)
+    if max_keys is not None and 0 < max_keys <= broadcast_limit:
+        k = F.broadcast(k)
+    tagged = None
+    for kind, raw in raws.items():
+        order = [F.col(c) for c in (order_by or []) if c in raw.columns]
+        t = raw.select(F.col(key), F.lit(kind).alias("_kind"), F.col("payload"),
+                       F.struct(*order, F.xxhash64("payload").alias("_h")).alias("_order"))
+        tagged = t if tagged is None else tagged.unionByName(t, allowMissingColumns=True)
+    mine = tagged.join(k, key, "left_semi")
+    return mine.groupBy(key).agg(*[
+        # max_by skips NULL orderings, so each column only sees rows of its kind
+        F.max_by("payload", F.when(F.col("_kind") == kind, F.col("_order"))).alias(kind)
+        for kind in raws])
 
 
 def parse_ranks(df: DataFrame, limit: int = 0, list_cols: list[str] | None = None) -> DataFrame:

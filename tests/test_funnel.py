@@ -124,3 +124,21 @@ def test_unparseable_payloads_are_failed_fetches(spark):
     got = {r["appid"]: (r["details_ok"], r["details"]) for r in P.parse_details(det).collect()}
     assert got[1][0] and got[1][1]["type"] == "game"
     assert got[2] == (False, None)
+
+
+def test_refetched_payloads_do_not_duplicate_candidates(spark):
+    from sleeper.sources import payloads as P
+
+    cands = spark.createDataFrame([(1, 10), (2, 20)], "candidate_rank long, appid long")
+    det = spark.createDataFrame([(10, '{"10": {"success": true, "data": {"type": "game"}}}', 1),
+                                 (10, '{"10": {"success": true, "data": {"type": "dlc"}}}', 2),
+                                 (99, '{"99": {"success": true, "data": {"type": "game"}}}', 1)],
+                                "appid long, payload string, fetched_at int")
+    rev = spark.createDataFrame([(20, '{"query_summary": {"total_reviews": 5}}')], "appid long, payload string")
+    latest = P.latest_payloads(cands, {"details": det, "reviews": rev, "players": rev.limit(0)},
+                               max_keys=2, order_by=["fetched_at"])
+    out = FN.enrich(cands, latest)
+    got = {r["appid"]: r for r in out.collect()}
+    assert sorted(got) == [10, 20]
+    assert got[10]["details"]["type"] == "dlc" and got[10]["reviews_ok"] is False
+    assert got[20]["details_ok"] is False and got[20]["summary"]["total_reviews"] == 5
