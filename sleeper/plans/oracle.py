@@ -344,9 +344,10 @@ SELECT f.session_id, f.appid, CAST(f.k // 10 AS INTEGER) AS first_page, CAST(f.k
        t.reported_total
 FROM firsts f LEFT JOIN totals t USING (session_id)"""
     q["q_html_ids"] = """
-WITH l AS (SELECT page_id, regexp_extract_all(html, 'href="/([^"]+)"', 1) AS links FROM pages),
-s AS (SELECT min(CASE WHEN len(links) = 0 THEN page_id END) AS stop FROM l),
-k AS (SELECT l.* FROM l, s WHERE s.stop IS NULL OR l.page_id <= s.stop),
+WITH l AS (SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host,
+                  regexp_extract_all(html, 'href="/([^"]+)"', 1) AS links FROM pages),
+s AS (SELECT host, min(CASE WHEN len(links) = 0 THEN page_id END) AS stop FROM l GROUP BY host),
+k AS (SELECT l.* FROM l JOIN s USING (host) WHERE s.stop IS NULL OR l.page_id <= s.stop),
 x AS (SELECT page_id, unnest(links) AS link, unnest(range(len(links))) AS pos FROM k)
 SELECT page_id, CAST(pos AS INTEGER) AS pos, link FROM x"""
     return q

@@ -175,8 +175,11 @@ def q_search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_html_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # one crawl session per site: pages of a host in page order, each site stopping
+    # at its first page without links
+    host = F.regexp_extract(F.col("url"), r"^[a-z]+://([^/?#]+)", 1)
     pages = W.table(spark, sf_dir, "pages").select(
-        F.lit(0).cast("long").alias("session_id"), F.col("page_id").alias("page_idx"), "html")
+        host.alias("session_id"), F.col("page_id").alias("page_idx"), "html")
     out = P.chart_page_links(pages, r'href="/([^"]+)"', as_ids=False)
     return out.select(F.col("page_idx").alias("page_id"), "pos", F.col("value").alias("link"))
 
