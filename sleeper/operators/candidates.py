@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from sleeper.operators.ordering import with_position
 
-WINDOW_LIMIT = 1_000_000  # above this many capped rows, positions use the range-partitioned path
+# Up to this cap, TakeOrderedAndProject + a window over the capped rows (its final merge sees
+# at most cap rows per map task); above it, positions come from the range-partitioned path.
+WINDOW_LIMIT = 10_000
 
 
 def top_ranked(df: DataFrame, k: int, order: list[Column], key: str = "appid",

@@ -34,7 +34,7 @@ def with_position(df: DataFrame, order: list[Column | str], name: str = "positio
     return out.withColumn(name, F.col("_off") + local + 1).drop("_pid", "_local", "_off")
 
 
-def kth_smallest(df: DataFrame, order: str, k: int, limit_threshold: int = 100_000) -> Column:
+def kth_smallest(df: DataFrame, order: str, k: int, limit_threshold: int = 10_000) -> Column:
     """Scalar subquery: the ``k``-th smallest value of ``order`` (NULL if fewer rows).
 
     Small ``k`` is a top-k (every task keeps ``k`` rows); a large ``k`` uses

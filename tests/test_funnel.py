@@ -142,3 +142,15 @@ def test_refetched_payloads_do_not_duplicate_candidates(spark):
     assert sorted(got) == [10, 20]
     assert got[10]["details"]["type"] == "dlc" and got[10]["reviews_ok"] is False
     assert got[20]["details_ok"] is False and got[20]["summary"]["total_reviews"] == 5
+
+
+def test_large_cap_uses_distributed_positions(spark):
+    from sleeper.operators.candidates import WINDOW_LIMIT
+
+    n = WINDOW_LIMIT + 500
+    ids_df = spark.range(n).select((F.col("id") * 7919 % n).alias("appid"), F.col("id").alias("pos"))  # 7919 is coprime with n
+    got = C.merge_sources([("s", ids_df)], max_candidates=WINDOW_LIMIT + 100)
+    assert got.count() == WINDOW_LIMIT + 100
+    assert got.agg(F.min("candidate_rank"), F.max("candidate_rank")).first() == (1, WINDOW_LIMIT + 100)
+    first = got.where("candidate_rank = 1").first()
+    assert (first["appid"], first["first_pos"]) == (0, 0)
