@@ -495,6 +495,9 @@ BRONZE_COLS = ("appid, nombre, jugadores_actuales_api, desarrolladores, editores
 
 def job_oracles() -> dict[str, str]:
     q: dict[str, str] = {}
+    q["q_parquet_roundtrip"] = with_(CATALOG) + """
+SELECT appid, nombre, generos, precio, total_resenas, resenas_positivas, resenas_negativas, puntuacion
+FROM catalog"""
     q["q_bronze_roundtrip"] = with_(SNAPSHOTS) + f"""
 SELECT {BRONZE_COLS}, CAST(run AS VARCHAR) || '-01-01_00-00-00' AS run_folder FROM snapshots"""
     q["q_bronze_to_silver"] = with_(SNAPSHOTS, _passed()) + """

@@ -301,6 +301,19 @@ def q_bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.select(*BRONZE_COLUMNS, run_folder("run_ts").alias("run_folder"))
 
 
+def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue written as Snappy Parquet in several files (``maxRecordsPerFile``)
+    and read back by the recursive multi-file scan: every row comes back."""
+    from sleeper.sinks.files import write_parquet
+    from sleeper.session import scratch_path
+    from sleeper.sources.files import read_parquet_tree
+
+    path = scratch_path(spark, "catalog_parquet")
+    cat = W.catalog(spark, sf_dir)
+    write_parquet(cat, path, max_records_per_file=500)
+    return read_parquet_tree(spark, path, cat.schema)
+
+
 def _silver(spark: SparkSession, sf_dir: str):
     from sleeper.plans.silver import bronze_to_silver
     from sleeper.session import scratch_path
