@@ -34,8 +34,9 @@ def ids_from_attribute_html(html: Column | str, pattern: str = SEARCH_ID_ATTRIBU
         return F.when(bracketed, F.split(inner, ",")).otherwise(F.array(t))
 
     flat = F.flatten(F.transform(raw, tokens))
-    digits = F.filter(F.transform(flat, lambda t: F.trim(t)), lambda t: t.rlike("^[0-9]+$"))
-    return F.filter(F.transform(digits, lambda t: t.try_cast("bigint")), lambda v: v.isNotNull())
+    # one pass: all-digit tokens become bigint, anything else (or an overflow) NULL; then drop NULLs
+    as_ids = F.transform(flat, lambda t: F.when(F.trim(t).rlike("^[0-9]+$"), F.trim(t).try_cast("bigint")))
+    return F.filter(as_ids, lambda v: v.isNotNull())
 
 
 def ids_from_links(html: Column | str, pattern: str = CHART_LINK_PATTERN) -> Column:

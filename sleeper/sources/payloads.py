@@ -113,7 +113,7 @@ def _stop_at_first_empty(pages: DataFrame, session: str, page: str, n_ids: str)
 
 
 def search_page_ids(df: DataFrame, max_pages: int | None = None, session: str = "session_id",
-                    page: str = "page_idx") -> tuple[DataFrame, DataFrame]:
+                    page: str = "page_idx", materialized: bool = True) -> tuple[DataFrame, DataFrame]:
     """Search-result pages -> ((session, page, pos, appid), (session, reported_total)).
 
     Ids come from ``data-ds-appid`` attributes of ``results_html`` (missing HTML
@@ -123,7 +123,9 @@ def search_page_ids(df: DataFrame, max_pages: int | None = None, session: str =
 
     One per-session aggregate yields both the stop page and the first non-zero
     total: that total belongs to a kept page exactly when its page is not after
-    the stop, so the pages are parsed for two consumers, not four.
+    the stop. The parsed pages (session, page, ids, total) feed both the summary
+    and the join, so with ``materialized`` they are parsed once and written as
+    compact Parquet under the checkpoint folder instead of parsed per reader.
     """
     p = F.from_json(F.col("payload"), T.SEARCH_PAYLOAD)
     pages = spread(df).select(
@@ -133,6 +135,10 @@ def search_page_ids(df: DataFrame, max_pages: int | None = None, session: str =
         F.coalesce(safe_int(p.getField("total_count")), F.lit(0)).alias("total"))
     if max_pages is not None:
         pages = pages.where(F.col(page) < max_pages)
+    if materialized:
+        from sleeper.session import materialize
+
+        pages = materialize(pages, "parsed_pages")
     summary = pages.groupBy(session).agg(
         F.min(F.when(F.size("ids") == 0, F.col(page))).alias("_stop"),
         # min_by skips rows whose ordering is NULL: zero totals do not compete.
