@@ -9,12 +9,32 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def scale_conf(input_bytes: int, shuffle_bytes_per_partition: int = 256 << 20,
+               split_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict[str, str]:
+    """Shuffle and scan sizing from the input size.
+
+    AQE coalesces small shuffle partitions but never splits large ones (except
+    skewed join partitions), so the initial count must come from the data: about
+    ``input_bytes / shuffle_bytes_per_partition`` (100 TB -> ~400k, capped), with
+    AQE merging towards its advisory size where the shuffled data is smaller than
+    the input. Scan splits of ``split_bytes`` keep per-task input bounded.
+    """
+    n = max(1, min(max_partitions, -(-input_bytes // shuffle_bytes_per_partition)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+    }
+
+
 def build_session(master: str | None = None, app: str = "sleeper",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None, input_bytes: int | None = None) -> SparkSession:
     """Session with AQE on, UI off, UTC clock and Arrow transfer enabled.
 
     ``master`` is only set for local runs; on a cluster the launcher decides.
+    ``input_bytes`` sizes shuffles and scan splits for the data (see :func:`scale_conf`).
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -30,6 +50,8 @@ def build_session(master: str | None = None, app: str = "sleeper",
         # whole documents go through the one text UDF: keep Arrow batches modest
         "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     }
+    if input_bytes:
+        conf.update(scale_conf(input_bytes))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

@@ -74,3 +74,13 @@ def test_silver_checks_and_write_are_one_scan(spark, tmp_path):
     scans = [ln for ln in p.splitlines() if ln.startswith("(") and "Scan json" in ln]
     assert len(scans) == 1
     assert "CollectMetrics" in p  # the rule counters are collected by the same plan
+
+
+def test_scale_conf_sizes_shuffles_from_the_data():
+    from sleeper.session import scale_conf
+
+    big = scale_conf(100 << 40)  # 100 TB
+    assert int(big["spark.sql.shuffle.partitions"]) == 200_000  # capped; AQE merges small ones
+    mid = scale_conf(1 << 40)    # 1 TB
+    assert int(mid["spark.sql.shuffle.partitions"]) == 4096
+    assert scale_conf(10)["spark.sql.shuffle.partitions"] == "1"
