@@ -10,7 +10,9 @@ ST-2: Gold cannot be a pure delta because obscurity divides by the global
 maximum of review counts. The latest-row-per-item table is maintained
 incrementally (new Silver rows merged into the previous latest table), then
 every item is rescored against the new maximum: one narrow pass plus one
-aggregate.
+aggregate. Rescoring only the changed items when the maximum did not move
+would need an anti-join (a shuffle) against the previous Gold to keep the
+others, which costs more than the narrow rescoring pass it would save.
 """
 
 from __future__ import annotations
