@@ -32,7 +32,12 @@ def score_items(df: DataFrame, params: ScoreParams = ScoreParams(), by: list[str
     """
     if by:
         mx = df.groupBy(*by).agg(F.greatest(F.max(total), F.lit(1)).alias("_max_total"))
-        out = df.join(mx, on=by, how="inner")
+        mx = mx.select(*[F.col(c).alias(f"_by_{c}") for c in by], "_max_total")
+        cond = None
+        for c in by:  # null-safe: rows of a NULL run are scored against that group's max
+            eq = df[c].eqNullSafe(mx[f"_by_{c}"])
+            cond = eq if cond is None else cond & eq
+        out = df.join(mx, cond, "inner").drop(*[f"_by_{c}" for c in by])
     else:
         out = df.withColumn("_max_total", max_total(df, total))
     out = out.withColumns({

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    BooleanType,
     DecimalType,
     IntegerType,
     LongType,
@@ -106,5 +105,3 @@ KEYED_PAYLOADS = StructType([
 ])
 
 RUN_FOLDER_FORMAT = "yyyy-MM-dd_HH-mm-ss"
-
-BOOLEAN = BooleanType()

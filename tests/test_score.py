@@ -56,3 +56,10 @@ def test_score_in_unit_interval(spark, items):
     for r in score_items(df).collect():
         assert 0.0 <= r["hidden_gem_score"] <= 1.0
         assert r["tier"] in ("S", "A", "B")
+
+
+def test_score_by_run_keeps_rows_without_a_run(spark):
+    df = spark.createDataFrame([(1, None, 10, 10, 0.0), (2, None, 5, 5, 0.0), (3, 7, 4, 4, 0.0)],
+                               "appid long, run int, resenas_positivas int, total_resenas int, precio double")
+    got = {r["appid"]: r["obscurity_score"] for r in score_items(df, by=["run"]).collect()}
+    assert got == {1: 0.0, 2: 0.5, 3: 0.0}
