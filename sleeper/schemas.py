@@ -14,6 +14,7 @@ from pyspark.sql.types import (
 )
 
 # Bronze: one flat snapshot row per item and run, as landed (16 columns).
+# The landed record's field names, which Silver and Gold read.
 BRONZE = StructType([
     StructField("appid", IntegerType()),
     StructField("nombre", StringType()),
@@ -52,6 +53,7 @@ SILVER = StructType(
 )
 
 # Gold: the published table (the 10-column DDL is canonical).
+# The column names and types of the published table, as consumers query it.
 GOLD = StructType([
     StructField("appid", LongType(), nullable=False),
     StructField("nombre", StringType()),
