@@ -90,7 +90,7 @@ def funnel_stats(funnel: DataFrame) -> DataFrame:
 
 
 def build_entry(df: DataFrame, key: str = "appid") -> DataFrame:
-    """Flatten an enriched row into the 16-column Bronze record."""
+    """Flatten an enriched row into the Bronze record (16 fields + the free flag)."""
     d = F.col("details")
     s = F.col("summary")
     meta = d.getField("metacritic")
@@ -111,4 +111,5 @@ def build_entry(df: DataFrame, key: str = "appid") -> DataFrame:
         s.getField("total_negative").alias("resenas_negativas"),
         s.getField("review_score").alias("puntuacion"),
         s.getField("review_score_desc").alias("descripcion_puntuacion"),
+        d.getField("is_free").alias("es_gratis"),
     )

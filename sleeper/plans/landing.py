@@ -27,7 +27,8 @@ def details_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(appid, payload): a map keyed by the id string -> {success, data{...}}.
 
     Truncated (unparseable) payload for p_partkey % 101 = 5 (failed fetch);
-    success=false for p_partkey % 13 = 0; no ``name`` key for p_partkey % 17 = 0.
+    success=false for p_partkey % 13 = 0; no ``name`` key for p_partkey % 17 = 0;
+    free (is_free, no price_overview) for p_partkey % 97 = 3.
     """
     p = spread(W.table(spark, sf_dir, "part"))
     key = F.col("p_partkey")
@@ -41,7 +42,9 @@ def details_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.struct(F.split_part("p_name", F.lit(" "), F.lit(1)).alias("description"))).alias("genres"),
         F.struct(F.concat(F.lit("1 Jan, "), (F.lit(1990) + F.col("p_size") % 10).cast("string"))
                  .alias("date")).alias("release_date"),
-        F.struct(W.price_text(F.col("p_retailprice"), key % 6).alias("final_formatted")).alias("price_overview"),
+        (key % 97 == 3).alias("is_free"),
+        F.when(key % 97 == 3, F.lit(None)).otherwise(
+            F.struct(W.price_text(F.col("p_retailprice"), key % 6).alias("final_formatted"))).alias("price_overview"),
         F.when(no_meta, F.lit(None)).otherwise(F.struct(
             (F.col("p_size") * 3 - 20).cast("int").alias("score"),
             F.concat(F.lit("https://example.org/item/"), key.cast("string")).alias("url"))).alias("metacritic"),

@@ -95,7 +95,7 @@ snapshots AS (
          p.p_brand AS desarrolladores, p.p_brand AS editores,
          concat_ws(' | ', p.p_type, split_part(p.p_name, ' ', 1)) AS generos,
          strftime(c.first_ship, '%Y-%m-%d') AS fecha_lanzamiento,
-         CASE WHEN p.p_partkey % 97 = 3 THEN NULL
+         CASE WHEN p.p_partkey % 97 = 3 THEN CASE WHEN p.p_size % 2 = 0 THEN CAST(0 AS DECIMAL(10,2)) END
               WHEN p.p_partkey % 6 IN (0, 1, 5) THEN CAST(p.p_retailprice AS DECIMAL(10,2))
               WHEN p.p_partkey % 6 IN (2, 3) THEN CAST(p.p_retailprice * 10 AS DECIMAL(10,2))
               ELSE CAST(round(p.p_retailprice * 10) AS DECIMAL(10,2)) END AS precio,
@@ -116,6 +116,7 @@ snapshots AS (
               WHEN c.resenas_positivas / nullif(c.total_resenas, 0) >= 0.7
                 THEN CASE WHEN p.p_size % 2 = 0 THEN 'Muy positivas' ELSE 'Very Positive' END
               ELSE 'Mixed' END AS descripcion_puntuacion,
+         p.p_partkey % 97 = 3 AND p.p_size % 2 = 0 AS es_gratis,
          c.run AS run
   FROM cum c JOIN part p ON c.l_partkey = p.p_partkey
 )"""
@@ -246,7 +247,8 @@ flat AS (
          CASE WHEN has_data THEN p_brand ELSE '' END AS editores,
          CASE WHEN has_data THEN p_type || ' | ' || split_part(p_name, ' ', 1) ELSE '' END AS generos,
          CASE WHEN has_data THEN '1 Jan, ' || CAST(1990 + p_size % 10 AS VARCHAR) END AS fecha_lanzamiento,
-         CASE WHEN NOT has_data THEN NULL ELSE """ + price_text("p_retailprice", "p_partkey") + """ END AS precio,
+         CASE WHEN NOT has_data OR p_partkey % 97 = 3 THEN NULL
+              ELSE """ + price_text("p_retailprice", "p_partkey") + """ END AS precio,
          CASE WHEN has_data AND p_size % 10 <> 0 THEN CAST(p_size * 3 - 20 AS INTEGER) END AS metacritic_score,
          CASE WHEN has_data AND p_size % 10 <> 0
               THEN 'https://example.org/item/' || CAST(p_partkey AS VARCHAR) END AS metacritic_url,
@@ -262,6 +264,7 @@ flat AS (
               WHEN pos / nullif(tot, 0) >= 0.7
                 THEN CASE WHEN p_size % 2 = 0 THEN 'Muy positivas' ELSE 'Very Positive' END
               ELSE 'Mixed' END AS descripcion_puntuacion,
+         CASE WHEN has_data THEN p_partkey % 97 = 3 END AS es_gratis,
          p_partkey % 101 <> 5 AS details_ok, has_data AND p_type <> 'PROMO' AS is_game, rev_ok,
          open_lines
   FROM (SELECT *, p_partkey % 101 <> 5 AND p_partkey % 13 <> 0 AS has_data,
@@ -291,7 +294,7 @@ evaluated AS (
 
 FLAT_COLS = ("appid, nombre, jugadores_actuales_api, desarrolladores, editores, generos, "
              "fecha_lanzamiento, precio, metacritic_score, metacritic_url, descripcion_corta, "
-             "total_resenas, resenas_positivas, resenas_negativas, puntuacion, descripcion_puntuacion")
+             "total_resenas, resenas_positivas, resenas_negativas, puntuacion, descripcion_puntuacion, es_gratis")
 
 SEARCH = """
 pages AS (
@@ -490,7 +493,7 @@ latest AS (
 BRONZE_COLS = ("appid, nombre, jugadores_actuales_api, desarrolladores, editores, generos, "
                "fecha_lanzamiento, precio_text AS precio, metacritic_score, metacritic_url, "
                "descripcion_corta, total_resenas, resenas_positivas, resenas_negativas, puntuacion, "
-               "descripcion_puntuacion")
+               "descripcion_puntuacion, es_gratis")
 
 
 def job_oracles() -> dict[str, str]:

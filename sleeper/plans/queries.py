@@ -46,7 +46,7 @@ def gold_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots with the price text parsed (the Silver price column)."""
     snaps = W.snapshots(spark, sf_dir)
-    return snaps.withColumns({"precio_raw": F.col("precio"), "precio": parse_price("precio")})
+    return snaps.withColumns({"precio_raw": F.col("precio"), "precio": parse_price("precio", "es_gratis")})
 
 
 def score_history(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ class SilverResult:
 def to_silver_rows(bronze: DataFrame) -> DataFrame:
     """Mapped Silver columns with the parsed price, raw price text and lineage."""
     out = apply_mapping(bronze, T.SILVER_MAPPING, keep=["run_ts", "source_file", CORRUPT])
-    return out.withColumns({"precio_raw": F.col("precio"), "precio": parse_price("precio")})
+    return out.withColumns({"precio_raw": F.col("precio"), "precio": parse_price("precio", "es_gratis")})
 
 
 def check_rows(df: DataFrame, rules=DQ.RULES_SILVER) -> DataFrame:

@@ -134,5 +134,6 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("resenas_negativas").cast("int").alias("resenas_negativas"),
         review_score().alias("puntuacion"),
         review_label(spanish=(F.col("p_size") % 2 == 0)).alias("descripcion_puntuacion"),
+        ((key % 97 == 3) & (F.col("p_size") % 2 == 0)).alias("es_gratis"),
         F.col("run").cast("int").alias("run"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BooleanType,
     DecimalType,
     IntegerType,
     LongType,
@@ -13,7 +14,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-# Bronze: one flat snapshot row per item and run, as landed (16 columns).
+# Bronze: one flat snapshot row per item and run, as landed (16 fields + free flag).
 # The landed record's field names, which Silver and Gold read.
 BRONZE = StructType([
     StructField("appid", IntegerType()),
@@ -32,6 +33,8 @@ BRONZE = StructType([
     StructField("resenas_negativas", IntegerType()),
     StructField("puntuacion", IntegerType()),
     StructField("descripcion_puntuacion", StringType()),
+    # added field: the payload's free-to-play flag, so Silver can price a free item at 0.00
+    StructField("es_gratis", BooleanType()),
 ])
 
 BRONZE_COLUMNS = [f.name for f in BRONZE.fields]
