@@ -108,7 +108,9 @@ def _stop_at_first_empty(pages: DataFrame, session: str, page: str, n_ids: str)
     session key, so a session with most of the pages is not sent to one task.
     """
     stop = pages.groupBy(session).agg(F.min(F.when(F.col(n_ids) == 0, F.col(page))).alias("_stop"))
-    kept = pages.join(stop, session)
+    stop = stop.withColumnRenamed(session, "_session")
+    # null-safe: pages of a NULL session form their own session instead of vanishing
+    kept = pages.join(stop, pages[session].eqNullSafe(stop["_session"])).drop("_session")
     return kept.where(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))).drop("_stop")
 
 
@@ -145,7 +147,8 @@ def search_page_ids(df: DataFrame, max_pages: int | None = None, session: str =
         F.min_by(F.struct(F.col(page).alias("p"), F.col("total").alias("t")),
                  F.when(F.col("total") != 0, F.struct(page, "total"))).alias("_first"))
     keep = F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))
-    kept = pages.join(summary.select(session, "_stop"), session).where(keep)
+    stops = summary.select(F.col(session).alias("_session"), "_stop")
+    kept = pages.join(stops, pages[session].eqNullSafe(stops["_session"])).drop("_session").where(keep)
     first_ok = F.col("_stop").isNull() | (F.col("_first.p") <= F.col("_stop"))
     totals = summary.where(F.col("_first").isNotNull() & first_ok).select(
         session, F.col("_first.t").alias("reported_total"))

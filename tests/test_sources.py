@@ -54,3 +54,13 @@ def test_ranked_list_head_and_non_integer_ids(spark):
     df = spark.createDataFrame([(1, payload)], "list_id long, payload string")
     assert rows(P.parse_ranks(df, list_cols=["list_id"]), "pos", "appid") == [(0, 5), (2, 9)]
     assert rows(P.parse_ranks(df, limit=2, list_cols=["list_id"]), "pos", "appid") == [(0, 5)]
+
+
+def test_pages_without_a_session_are_kept(spark):
+    pages = spark.createDataFrame([(None, 1, '<a href="/app/3">x</a>'), (None, 2, '<a href="/app/4">y</a>')],
+                                  "session_id long, page_idx int, html string")
+    assert rows(P.chart_page_links(pages, r"/app/(\d+)"), "value") == [(3,), (4,)]
+    sp = spark.createDataFrame([(None, 0, page("9", ["6"]))], "session_id long, page_idx int, payload string")
+    ids, totals = P.search_page_ids(sp)
+    assert rows(ids, "appid") == [(6,)]
+    assert rows(totals, "reported_total") == [(9,)]
