@@ -28,17 +28,20 @@ def ascii_lower(c: F.Column) -> F.Column:
     return F.translate(F.coalesce(c, F.lit("")), UPPER, LOWER)
 
 
-def keep(df: DataFrame, name: str, **options) -> DataFrame:
+def keep(df: DataFrame, name: str, batch: int | None = None, **options) -> DataFrame:
     """``df`` written once under the shared checkpoint folder and read back.
 
     Cuts the lineage: a lost executor costs a reread, not the work before it.
+    ``batch`` is the number of rows that go to Python at once, for large rows.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    writer = df.write.option("compression", "zstd")
-    for k, v in options.items():
-        writer = writer.option(k, v)
-    writer.parquet(path)
+    # the shuffle files of this write are of no use after it
+    conf = {"spark__sql__classic__shuffleDependency__fileCleanup__enabled": "true"}
+    if batch:
+        conf["spark__sql__execution__arrow__maxRecordsPerBatch"] = str(batch)
+    with setting(spark, **conf):
+        df.write.options(**({"compression": "zstd"} | options)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
