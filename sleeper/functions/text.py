@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from functools import cache
+from itertools import pairwise
 
 import pandas as pd
 from pyspark.sql import Column
@@ -19,6 +22,7 @@ LIST_SEPARATOR = " | "
 EMPTY_SLUG = "sin_nombre"
 
 # Leading/trailing Unicode whitespace (Python's str.strip() set).
+_ASCII_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
 _EDGE_SPACE = r"(?U)^[\s\p{Z}]+|[\s\p{Z}]+$"
 
 
@@ -26,25 +30,31 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _nfkd_fold(s: str | None) -> str:
-    if not s:
-        return ""
-    s = unicodedata.normalize("NFKD", s)
-    return "".join(ch for ch in s if not unicodedata.combining(ch)).lower().strip()
+@cache
+def _marks() -> re.Pattern:
+    """Every sign that combines with the one before it, as one character class of ranges."""
+    points = [c for c in range(0x110000) if unicodedata.combining(chr(c))]
+    runs = [points[i:j] for i, j in pairwise([i for i, c in enumerate(points) if not i or points[i - 1] != c - 1]
+                                             + [len(points)])]
+    return re.compile("[" + "".join(f"\\U{r[0]:08x}-\\U{r[-1]:08x}" for r in runs) + "]+")
 
 
 @pandas_udf(StringType())
-def _normalize_udf(s: pd.Series) -> pd.Series:
-    return s.map(_nfkd_fold)
+def _fold_batch(texts: pd.Series) -> pd.Series:
+    return texts.str.normalize("NFKD").str.replace(_marks(), "", regex=True).str.lower().str.strip()
 
 
 def normalize_text(text: Column | str) -> Column:
     """NFKD, combining marks dropped, lower-cased, stripped; NULL/empty -> ''.
 
-    Spark has no NFKD expression, so this is an Arrow-batched pandas UDF. Use
+    ASCII text is folded in the JVM. Spark has no NFKD expression, so only the other
+    texts go through an Arrow-batched UDF, by whole columns. Use
     :func:`equals_folded` for comparisons, which stays inside the JVM.
     """
-    return _normalize_udf(_c(text))
+    t = F.coalesce(_c(text), F.lit(""))
+    plain = F.octet_length(t) == F.length(t)
+    folded = F.btrim(F.lower(t), F.lit(_ASCII_SPACE))
+    return F.when(plain, folded).otherwise(_fold_batch(F.when(~plain, t)))
 
 
 def strip_edges(text: Column | str) -> Column:
@@ -77,8 +87,6 @@ def join_list(values: Column | str, sep: str = LIST_SEPARATOR) -> Column:
 
 def split_list(text: Column | str, sep: str = LIST_SEPARATOR) -> Column:
     """Inverse of :func:`join_list`; empty pieces are dropped."""
-    import re
-
     parts = F.split(_c(text), re.escape(sep))
     return F.filter(parts, lambda v: v.isNotNull() & (v != ""))
 
