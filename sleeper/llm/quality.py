@@ -21,18 +21,31 @@ from sleeper.llm.common import join_sites, keep, map_batches, texts_of, with_row
 
 #: Labelled documents that the regression is fitted on at most (the first by a hash of the id).
 FITTED = 20_000
-#: Words kept for each class: those that mark it best, from Z standard deviations on.
+#: Words and beginnings of words kept for each class: those that mark it best, from a signed root of
+#: the G statistic of Z on.
 MARKERS, Z = 2_000, 4.0
+#: Beginnings of words of these lengths are marks like whole words.
+STEMS = (4, 5, 6, 7, 8)
 #: A site's prior may move a document's log odds by so much at most.
 SWAY = 2.0
 THRESHOLD = 0.5
 HEADS = ("low", "toxic")
-FORMS = 13
+FORMS, MEASURES = 13, 4
 _STRIP = ".,;:!?()[]\"'*#%&$|"
 
 
-def _words(text: str) -> list[str]:
-    return text.lower().split()
+def marks_of(word: str) -> list[str]:
+    """A word, and with ``^`` before them its beginnings."""
+    return [word, *("^" + word[:n] for n in STEMS if len(word) > n)]
+
+
+def words_of(text: str) -> set[str]:
+    """A text's words in lower case, without punctuation."""
+    return {w.strip(_STRIP) for w in text.lower().split()} - {""}
+
+
+def marks(text: str) -> set[str]:
+    return {m for w in words_of(text) for m in marks_of(w)}
 
 
 def form(text: str) -> list[float]:
@@ -54,18 +67,20 @@ def form(text: str) -> list[float]:
 # ---------------------------------------------------------------- document classifier
 
 def markers(labelled: DataFrame) -> dict[str, dict[str, float]]:
-    """For each head, words (punctuation stripped) and their log odds in favour of the bad class.
+    """For each head, marks and their log odds in favour of the bad class.
 
-    Counts documents over all labelled rows (text, low, toxic); only the MARKERS best
-    significant words of each head reach the driver.
+    Counts documents over all labelled texts (text, low, toxic), equal texts once;
+    only the MARKERS best significant marks of each head reach the driver.
     """
+    labelled = keep(labelled.groupBy(F.xxhash64("text").alias("_same")).agg(
+        F.min("text").alias("text"), *(F.max(h).alias(h) for h in HEADS)).drop("_same"), "distinct_labelled")
 
     def run(batches):
         for b in batches:
             low, toxic = (np.array(b[h].to_pylist(), float) for h in HEADS)
             words, at = [], []
             for i, t in enumerate(texts_of(b["text"])):
-                own = {w.strip(_STRIP) for w in _words(t)}
+                own = marks(t)
                 words += own
                 at += [i] * len(own)
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(low[at]), pa.array(toxic[at])],
@@ -76,13 +91,19 @@ def markers(labelled: DataFrame) -> dict[str, dict[str, float]]:
         .groupBy("word").agg(F.count("*").alias("n"), *(F.sum(h).alias(h) for h in HEADS))
     counts = keep(counts.where("n > 1"), "label_words")
     out = {}
+    def part(x: F.Column, expected: F.Column) -> F.Column:
+        return F.when(x > 0, x * F.log(x / expected)).otherwise(F.lit(0.0))
+
     for h in HEADS:
-        bad, good = float(totals[h]), float(totals["n"] - totals[h])
-        with_, without = F.col(h) + 0.5, F.col("n") - F.col(h) + 0.5
-        odds = F.log(with_ / (bad + 1)) - F.log(without / (good + 1))
-        z = odds / F.sqrt(1 / with_ + 1 / without)
-        top = counts.select("word", odds.alias("odds"), z.alias("z")).where(F.abs("z") >= Z) \
-            .orderBy(F.desc(F.abs("z")), "word").limit(MARKERS)
+        n, bad = float(totals["n"] or 1), float(totals[h] or 0)
+        with_bad, with_ = F.col(h), F.col("n")
+        share = with_ / n
+        odds = F.log((with_bad + 0.5) / (bad + 1)) - F.log((with_ - with_bad + 0.5) / (n - bad + 1))
+        g = 2 * (part(with_bad, share * bad) + part(with_ - with_bad, share * (n - bad))
+                 + part(bad - with_bad, (1 - share) * bad) + part(n - bad - with_ + with_bad, (1 - share) * (n - bad)))
+        root = F.sqrt(F.greatest(g, F.lit(0.0)))
+        top = counts.select("word", odds.alias("odds"), root.alias("root")).where(F.col("root") >= Z) \
+            .orderBy(F.desc("root"), "word").limit(MARKERS)
         out[h] = {r["word"]: float(r["odds"]) for r in top.collect()}
     return out
 
@@ -94,15 +115,17 @@ class Classifier:
         self.marks, self.weights, self.mean, self.scale = marks, {}, None, None
 
     def features(self, text: str) -> list[float]:
-        own = {w.strip(_STRIP) for w in _words(text)}
-        out = form(text)
+        own, out = words_of(text), form(text)
         for h in HEADS:
-            hits = [o for w in own if (o := self.marks[h].get(w)) is not None]
-            out += [max([0.0, *hits]) / 5, sum(x for x in hits if x > 0) / 10]
+            found = self.marks[h]
+            best = sorted((max(hits) for w in own if (hits := [found[m] for m in marks_of(w) if m in found])), reverse=True)
+            strong = [x for x in best if x > 2]
+            out += [max([0.0, *best[:1]]) / 5, max([0.0, *best[1:2]]) / 5, np.log1p(len(strong)),
+                    np.log1p(len(strong)) - np.log1p(len(own)) / 2]
         return out
 
     def fit(self, x: np.ndarray, labels: dict[str, np.ndarray]) -> None:
-        width = FORMS + 2 * len(HEADS)
+        width = FORMS + MEASURES * len(HEADS)
         x = x.reshape(-1, width)
         self.mean = x.mean(axis=0) if len(x) else np.zeros(width)
         self.scale = x.std(axis=0) + 1e-3 if len(x) else np.ones(width)
