@@ -130,6 +130,17 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- counts
 
+def _small(counts: np.ndarray) -> bytes:
+    """Counts as single bytes, those from 255 on as 8 bytes at the end."""
+    return np.minimum(counts, 255).astype(np.uint8).tobytes() + counts[counts >= 255].astype("<i8").tobytes()
+
+
+def _counts(raw: bytes, n: int) -> np.ndarray:
+    out = np.frombuffer(raw, np.uint8, n).astype(np.int64)
+    out[out == 255] = np.frombuffer(raw, "<i8", offset=n)
+    return out
+
+
 ASKED = "block long, shard int, words long, keys binary, train binary, dev binary"
 ANSWER = "block long, shard int, train binary, dev binary, n_train long, n_dev long, v_train long, v_dev long"
 
@@ -148,8 +159,8 @@ def count(blocks: DataFrame, shards: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([row["block"]] * len(got), pa.int64()), pa.array([s for s, _ in got], pa.int32()),
                      pa.array([int((at < block.n_words).sum()) for _, at in got], pa.int64()),
-                     *(pa.array([x[at].astype(k).tobytes() for _, at in got], pa.binary())
-                       for x, k in ((block.keys, "<u8"), (train, "<i4"), (dev, "<i4")))],
+                     pa.array([block.keys[at].astype("<u8").tobytes() for _, at in got], pa.binary()),
+                     *(pa.array([_small(x[at]) for _, at in got], pa.binary()) for x in (train, dev))],
                     ["block", "shard", "words", "keys", "train", "dev"])
 
     def answer(table: pa.Table) -> pa.Table:
@@ -162,20 +173,20 @@ def count(blocks: DataFrame, shards: int) -> DataFrame:
         word[at[is_word]] = True
         total = []
         for name in ("train", "dev"):
-            own = np.concatenate([np.frombuffer(r[name], "<i4") for r in rows])
+            own = np.concatenate([_counts(r[name], len(k)) for r, k in zip(rows, keys)])
             total.append(np.bincount(at, own, len(distinct)).astype(np.int64))
         left = total[0] - total[1]
         sums = [int(total[0][word].sum()), int(total[1][word].sum()), int((total[0][word] > 0).sum()),
                 int((left[word] > 0).sum())]
-        out = [[r["block"], r["shard"], total[0][at[a:b]].astype("<i8").tobytes(),
-                total[1][at[a:b]].astype("<i8").tobytes(), 0, 0, 0, 0] for r, a, b in zip(rows, sizes, sizes[1:])]
+        out = [[r["block"], r["shard"], *(_small(x[at[a:b]]) for x in total), 0, 0, 0, 0]
+               for r, a, b in zip(rows, sizes, sizes[1:])]
         out.append([-1, rows[0]["shard"], b"", b"", *sums])
         names = [x.split()[0] for x in ANSWER.split(", ")]
         kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), *[pa.int64()] * 4]
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
     asked = map_batches(blocks, ask, ASKED, rows=1)
-    return keep(asked.groupBy("shard").applyInArrow(answer, ANSWER), "lm_answers", batch=64)
+    return keep(asked.groupBy("shard").applyInArrow(answer, ANSWER), "lm_answers", batch=4)
 
 
 class Counted:
@@ -187,8 +198,8 @@ class Counted:
         self.dev = np.zeros(len(self.block.keys), np.int64)
         answers = {a["shard"]: a for a in row["answers"]}
         for s, at in self.block.dealt(shards):
-            self.train[at] = np.frombuffer(answers[s]["train"], "<i8")
-            self.dev[at] = np.frombuffer(answers[s]["dev"], "<i8")
+            self.train[at] = _counts(answers[s]["train"], len(at))
+            self.dev[at] = _counts(answers[s]["dev"], len(at))
 
     def estimates(self, counts: np.ndarray, n: int, docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each distinct pair: its bucket, its own estimate, and its second word's."""
@@ -285,7 +296,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held:
                     ["bucket", "n", "pair", "word"])
 
     estimates = keep(map_batches(whole, deleted, "bucket binary, n binary, pair binary, word binary", rows=1),
-                     "lm_deleted", batch=4)
+                     "lm_deleted", batch=2)
     weights = learn(estimates, 1 / (t["v_dev"] + 1))
     drop_kept(estimates)
 
@@ -307,7 +318,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held:
                      pa.array(np.add.reduceat(mixed, k.starts))],
                     [x.split()[0] for x in SCORES.split(", ")])
 
-    return keep(map_batches(whole, scores, SCORES, rows=1), "lm_scores", batch=4)
+    return keep(map_batches(whole, scores, SCORES, rows=1), "lm_scores", batch=2)
 
 
 SCORES = ("_file long, _row long, doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
