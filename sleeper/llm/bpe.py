@@ -32,6 +32,8 @@ from sleeper.session import scratch_path
 LEXICON_WORDS = 1 << 16
 #: Distinct pieces a counting task holds before it passes them on.
 COUNTED = 200_000
+_NONE = 1 << 30
+_STOPS = frozenset(".,;:!?")
 # White space as the Unicode property has it, without the separators \x1c-\x1f.
 _S = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORDS = rf"'(?:s|t|re|ve|m|ll|d)| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
@@ -61,6 +63,12 @@ class Bpe:
             self.bytes_of[i] = bytes(signs[c] for c in text)
             if len(text) == 1:
                 self.single[signs[text]] = i
+        pairs_of = np.array(list(self.merges), np.int64).reshape(-1, 2)
+        order = np.argsort(pairs_of[:, 0] << 32 | pairs_of[:, 1], kind="stable")
+        self._keys = (pairs_of[:, 0] << 32 | pairs_of[:, 1])[order]
+        self._ranks = np.append(order, _NONE).astype(np.int32)  # ranks are the places in the file
+        self._made = np.array([new for _, new in self.merges.values()], np.int32)
+        self._first = np.array(self.single, np.int32)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         for text, i in self.special.items():
             self.bytes_of[i] = text.encode()
@@ -71,6 +79,11 @@ class Bpe:
 
     def parts(self, piece: str) -> list[bytes | int]:
         """The words of a piece, and the ids of special tokens between them."""
+        word = piece[1:] if piece[:1] == " " else piece
+        if word.isalpha():
+            return [piece.encode()]
+        if word[-1:] in _STOPS and word[:-1].isalpha():
+            return [piece[:-1].encode(), word[-1:].encode()]
         if not self._split or not any(s in piece for s in self.special):
             return [w.encode() for w in self.words(piece)]
         out: list[bytes | int] = []
@@ -95,6 +108,58 @@ class Bpe:
             ids[at:at + 2] = [best[1]]
         return ids
 
+    def _rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of each pair, _NONE if it doesn't merge (or one of it is no id)."""
+        key = a.astype(np.int64) << 32 | b
+        at = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+        return np.where((self._keys[at] == key) & (b >= 0), self._ranks[at], _NONE)
+
+    def merge_many(self, words: list[bytes]) -> list[bytes]:
+        """:meth:`merge` of many words at once, as little-endian unsigned 32-bit ids.
+
+        Words of about the same length lie in the rows of a table. In each step every
+        row merges its best pair and gets one column shorter; rows without a pair are
+        done.
+        """
+        out: list[bytes] = [b""] * len(words)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        for low, high in ((0, 4), (4, 8), (8, 12), (12, 16), (16, 24), (24, 48)):
+            rows = np.flatnonzero((lengths > low) & (lengths <= high))
+            if len(rows):
+                self._merge_table([words[i] for i in rows.tolist()], rows, high, out)
+        for i in np.flatnonzero(lengths > 48).tolist():
+            out[i] = np.array(self.merge(words[i]), "<u4").tobytes()
+        return out
+
+    def _merge_table(self, words: list[bytes], rows: np.ndarray, width: int, out: list[bytes]) -> None:
+        n = np.fromiter(map(len, words), np.int64, len(words))
+        table = np.full((len(words), width), -1, np.int32)
+        table[np.arange(width) < n[:, None]] = self._first[np.frombuffer(b"".join(words), np.uint8)]
+        rank = self._rank(table[:, :-1], table[:, 1:])
+        while len(rows):
+            at = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(rows), np.int64)
+            best = rank[np.arange(len(rows)), at] if rank.shape[1] else np.full(len(rows), _NONE)
+            done = best == _NONE
+            if done.any():
+                ended = table[done]
+                sizes = (ended >= 0).sum(axis=1)
+                raw, ends = ended[ended >= 0].astype("<u4").tobytes(), (np.cumsum(sizes) * 4).tolist()
+                for i, a, b in zip(rows[done].tolist(), [0, *ends], ends):
+                    out[i] = raw[a:b]
+                go = ~done
+                rows, table, rank, at, best = rows[go], table[go], rank[go], at[go], best[go]
+            if not len(rows):
+                return
+            line, columns = np.arange(len(rows)), np.arange(table.shape[1] - 1)
+            table[line, at] = self._made[best]
+            table = np.take_along_axis(table, columns + (columns > at[:, None]), axis=1)
+            columns = columns[:-1]
+            rank = np.take_along_axis(rank, columns + (columns >= at[:, None]), axis=1)
+            for first in (at - 1, at):  # the pairs that the new id is in
+                ok = (first >= 0) & (first < rank.shape[1])
+                r, c = line[ok], first[ok]
+                rank[r, c] = self._rank(table[r, c], table[r, c + 1])
+
     def _merge_long(self, ids: list[int]) -> list[int]:
         """As :meth:`merge`, by a heap of pairs over a linked list."""
         n, merges = len(ids), self.merges
@@ -134,8 +199,12 @@ class Encoder:
         words = list({w for ws in parts for w in ws})
         ids: dict[bytes | int, bytes] = {w: np.array([w], "<u4").tobytes() for w in words if isinstance(w, int)}
         words = [w for w in words if not isinstance(w, int)]
-        for w, number in zip(words, self.lexicon.find(words).tolist()):
-            ids[w] = self.lexicon.ids_of(number) if number >= 0 else np.array(self.bpe.merge(w), "<u4").tobytes()
+        numbers = self.lexicon.find(words)
+        for w, number in zip(words, numbers.tolist()):
+            if number >= 0:
+                ids[w] = self.lexicon.ids_of(number)
+        unseen = [words[i] for i in np.flatnonzero(numbers < 0).tolist()]
+        ids.update(zip(unseen, self.bpe.merge_many(unseen)))
         return [b"".join([ids[w] for w in ws]) for ws in parts]
 
 
@@ -190,7 +259,9 @@ def train_lexicon(spark: SparkSession, texts: DataFrame, vocab: str, words: int
     all executors, present and future; returns its name there."""
     bpe = _bpe(vocab)
     top = word_counts(texts, vocab).orderBy(F.desc("n"), "word").limit(words).select("word").toArrow()
-    data = Lexicon.compile({w: bpe.merge(w) for w in top["word"].to_pylist()}).to_bytes()
+    names = top["word"].to_pylist()
+    merged = (np.frombuffer(x, "<u4").tolist() for x in bpe.merge_many(names))
+    data = Lexicon.compile(dict(zip(names, merged))).to_bytes()
     name = f"lexicon-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_path(spark, 'lexicon')}/{name}")
     out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)

@@ -115,3 +115,10 @@ def test_odd_rows(spark, make, library):
     back = B.decode(B.encode(rows, VOCAB, name), VOCAB)
     assert {(r["doc_id"], r["text"]) for r in back.collect()} == got
     assert B.round_trip(make([], "doc_id long, text string"), VOCAB).collect() == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abcdehilnorstz éß漢.,'"), max_size=30).map(str.encode), max_size=20))
+def test_many_words_merge_like_one(words):
+    bpe = B._bpe(VOCAB)
+    assert [np.frombuffer(x, "<u4").tolist() for x in bpe.merge_many(words)] == [bpe.merge(w) for w in words]
