@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from sleeper.llm.common import map_batches, texts_of, with_row_id
 from sleeper.llm.lexicon import Lexicon
-from sleeper.llm.pieces import Pieces, cut
+from sleeper.llm.pieces import STOPS, Pieces, cut
 from sleeper.session import scratch_path
 
 #: Words compiled into the lexicon at most; what it costs the driver is bounded by this.
@@ -33,13 +33,12 @@ LEXICON_WORDS = 1 << 16
 #: Distinct pieces a counting task holds before it passes them on.
 COUNTED = 200_000
 _NONE = 1 << 30
-_STOPS = frozenset(".,;:!?")
 # White space as the Unicode property has it, without the separators \x1c-\x1f.
 _S = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _WORDS = rf"'(?:s|t|re|ve|m|ll|d)| ?\p{{L}}+| ?\p{{N}}+| ?[^{_S}\p{{L}}\p{{N}}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
 
 
-def _byte_signs() -> dict[str, int]:
+def byte_signs() -> dict[str, int]:
     """The sign that stands for each byte in the vocabulary's strings."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in set(plain)]
@@ -52,7 +51,7 @@ class Bpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        signs = _byte_signs()
+        signs = byte_signs()
         vocab = spec["model"]["vocab"]
         pairs = (m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"])
         self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
@@ -82,7 +81,7 @@ class Bpe:
         word = piece[1:] if piece[:1] == " " else piece
         if word.isalpha():
             return [piece.encode()]
-        if word[-1:] in _STOPS and word[:-1].isalpha():
+        if word[-1:] in STOPS and word[:-1].isalpha():
             return [piece[:-1].encode(), word[-1:].encode()]
         if not self._split or not any(s in piece for s in self.special):
             return [w.encode() for w in self.words(piece)]

@@ -12,15 +12,18 @@ import re
 from collections.abc import Callable
 from itertools import islice
 
-#: Before these (white space to either library) a space doesn't end a piece.
+# A space ends a piece unless white space (to either library) or nothing follows.
 _CUT = re.compile(r" (?=[^\s\x1c-\x1f\x85])")
+_UNSAFE = re.compile(r" (?:[\s\x1c-\x1f\x85]|\Z)")
+#: Signs that are a word of their own behind letters.
+STOPS = frozenset(".,;:!?")
 #: Distinct pieces a worker keeps.
-KEPT = 500_000
+KEPT = 1_000_000
 
 
 def cut(text: str) -> list[str]:
     """The pieces of a text; all but the first have lost the space they begin with."""
-    return _CUT.split(text)
+    return _CUT.split(text) if _UNSAFE.search(text) else text.split(" ")
 
 
 class Pieces:
@@ -30,18 +33,36 @@ class Pieces:
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], kept: int = KEPT):
-        self.encode, self.kept, self.ids = encode, kept, {}
+        self.encode, self.kept, self.ids, self.stops = encode, kept, {}, {}
 
     def texts(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
         cuts = [cut(t) for t in texts]
-        known = self.ids
         for c in cuts:  # a first piece has no space before it: it is its own kind
             c[0] = "\n" + c[0]
-        new = list({p for c in cuts for p in c if p not in known})
-        if len(new) + len(known) > self.kept:
-            self.ids = known = dict(islice(known.items(), self.kept // 2))
-            new = list({p for c in cuts for p in c if p not in known})
-        known.update(zip(new, self.encode([p[1:] if p[:1] == "\n" else " " + p for p in new])))
-        get = known.__getitem__
-        return [b"".join(map(get, c)) for c in cuts]
+        found, new = self._look_up(cuts)
+        if len(new) + len(self.ids) > self.kept:
+            self.ids = dict(islice(self.ids.items(), self.kept // 2))
+            found, new = self._look_up(cuts)
+        self.learn(new)
+        known = self.ids
+        return [b"".join([known[p] if x is None else x for p, x in zip(c, f)]) for c, f in zip(cuts, found)]
+
+    def _look_up(self, cuts: list[list[str]]) -> tuple[list[list[bytes | None]], set[str]]:
+        """What is known of each piece, and the pieces that aren't."""
+        get, new = self.ids.get, set()
+        found = [list(map(get, c)) for c in cuts]
+        for c, f in zip(cuts, found):
+            if None in f:
+                new.update([p for p, x in zip(c, f) if x is None])
+        return found, new
+
+    def learn(self, new: set[str]) -> None:
+        """Encode pieces that aren't known; letters with a sign behind them as two words."""
+        known, two = self.ids, {p for p in new if p[-1:] in STOPS and p[:-1].isalpha()}
+        one = list((new - two) | {p[:-1] for p in two if p[:-1] not in known})
+        known.update(zip(one, self.encode([p[1:] if p[:1] == "\n" else " " + p for p in one])))
+        if two and not self.stops:
+            self.stops = dict(zip(STOPS, self.encode(list(STOPS))))
+        for p in two:
+            known[p] = known[p[:-1]] + self.stops[p[-1]]

@@ -12,6 +12,9 @@ data), in ascending order of doc_id over shards and inside them, and ``ranks/``
 
 from __future__ import annotations
 
+import os
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sleeper.llm.common import drop_kept, keep, map_batches, setting, texts_of
+from sleeper.llm.bpe import byte_signs
 from sleeper.llm.pieces import Pieces
 from sleeper.session import scratch_path
 
@@ -50,22 +54,30 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return values
 
 
-_LIBRARY: dict[str, Pieces] = {}
+_LIBRARY: dict[tuple[str, str], Pieces] = {}
 
 
-def _library(vocab: str) -> Pieces:
-    """The tokenizers library behind a memory of pieces; it stays for the worker's next tasks."""
-    if vocab not in _LIBRARY:
+def _library(vocab: str, code: str) -> Pieces:
+    """The tokenizers library behind a memory of pieces, giving ids as arrays of type ``code``; it stays
+    for the worker's next tasks."""
+    if (vocab, code) not in _LIBRARY:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task is one thread
         t = Tokenizer.from_file(vocab)
         t.no_truncation()
         t.no_padding()
 
+        signs = {byte: sign for sign, byte in byte_signs().items()}
+        model = t.model
+
         def encode(pieces: list[str]) -> list[bytes]:
-            return [np.array(e.ids, "<u4").tobytes()
-                    for e in t.encode_batch_fast(pieces, add_special_tokens=False)]
+            # a space and letters are one word: it goes to the library's model, in its alphabet for bytes
+            words = [p[:1] == " " and p[1:].isalpha() for p in pieces]
+            rest = iter(t.encode_batch_fast([p for p, w in zip(pieces, words) if not w], add_special_tokens=False))
+            return [array(code, [x.id for x in model.tokenize(p.encode().decode("latin-1").translate(signs))]
+                          if w else next(rest).ids).tobytes() for p, w in zip(pieces, words)]
 
-        _LIBRARY[vocab] = Pieces(encode)
-    return _LIBRARY[vocab]
+        _LIBRARY[vocab, code] = Pieces(encode)
+    return _LIBRARY[vocab, code]
 
 
 def _ids(docs: DataFrame, vocab: str, end: int) -> DataFrame:
@@ -75,11 +87,10 @@ def _ids(docs: DataFrame, vocab: str, end: int) -> DataFrame:
     ordered = docs.repartitionByRange(F.col("doc_id"), F.col("tie")).sortWithinPartitions("doc_id", "tie")
 
     def run(batches):
-        library, shard, local = _library(vocab), TaskContext.get().partitionId(), 0
+        library, shard, local = _library(vocab, "H" if width == "<u2" else "I"), TaskContext.get().partitionId(), 0
         last = np.array([end], width).tobytes()
         for b in batches:
-            ids = [np.frombuffer(x, "<u4").astype(width).tobytes() + last
-                   for x in library.texts(texts_of(b["text"]))]
+            ids = [x + last for x in library.texts(texts_of(b["text"]))]
             n = np.fromiter(map(len, ids), np.int64, len(ids)) // np.dtype(width).itemsize
             before = local + np.cumsum(n) - n
             local += int(n.sum())

@@ -23,6 +23,14 @@ def test_pack_and_unpack(values):
     assert T.unpack(control, data, len(values)).tolist() == values
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.text(st.sampled_from("abstdz 1\n\t.,'<|>é漢ßªʰ\u01c5\u0661\u2167 \x1c\x85\U0001f600"), max_size=50))
+def test_library_by_pieces(text):
+    library = T._library(VOCAB, "I")
+    assert np.frombuffer(library.texts([text])[0], "<u4").tolist() == \
+        Tokenizer.from_file(VOCAB).encode(text, add_special_tokens=False).ids
+
+
 def test_query_matches_library(spark):
     library = Tokenizer.from_file(VOCAB)
     docs = sorted((r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect())
