@@ -20,9 +20,9 @@ class Profile:
     store_pages: int = 30
     store_page_size: int = 50
     store_language: str = "english"
-    steamcharts_pages: int = 25
+    chart_pages: int = 25
     max_candidates: int = 4000
-    max_evaluations: int = 200
+    max_evaluations: int | None = 200  # None: no limit; 0 evaluates nothing
     min_review_score: int = 9
     min_total_reviews: int = 80
     max_total_reviews: int = 25000

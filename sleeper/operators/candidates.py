@@ -7,16 +7,8 @@ from pyspark.sql import functions as F
 
 from sleeper.operators.ordering import with_position
 
-# Up to this cap, TakeOrderedAndProject + a window over the capped rows (its final merge sees
-# at most cap rows per map task); above it, positions come from the range-partitioned path.
-WINDOW_LIMIT = 10_000
-
-
-def top_ranked(df: DataFrame, k: int, order: list[Column], key: str = "appid",
-               pos: str = "pos") -> DataFrame:
-    """Top ``k`` rows of ``order`` (which ends in ``key``) as (key, pos 1..k)."""
-    top = df.orderBy(*order).limit(k)
-    return top.select(F.col(key), F.row_number().over(Window.orderBy(*order)).cast("long").alias(pos))
+# Rows of one list that the last ranking step gets: groups of them are cut to the limit first.
+GROUPS = 64
 
 
 def top_ranked_many(df: DataFrame, lists: list[tuple[str, int, list[Column]]], key: str = "appid",
@@ -26,9 +18,10 @@ def top_ranked_many(df: DataFrame, lists: list[tuple[str, int, list[Column]]], k
     ``lists`` is ``[(name, k, values), ...]`` in priority order, where ``values``
     are ascending sort values ending in ``key`` (negate a metric for "largest
     first"). The input is exploded to one row per (list, key) carrying that
-    list's sort key, then ranked per list; the rank filter lets Spark apply a
-    partial WindowGroupLimit before the shuffle, so each map task sends at most
-    ``max(k)`` rows per list.
+    list's sort key, then ranked per list in two steps: inside GROUPS groups of each
+    list (by the key's hash), then among the first ``max(k)`` of every group. So the
+    last step gets GROUPS * ``max(k)`` rows of a list, however many tasks there are.
+    Both steps trim before their shuffle (WindowGroupLimit).
     """
     kmax = max(k for _, k, _ in lists)
     entries = []
@@ -36,6 +29,9 @@ def top_ranked_many(df: DataFrame, lists: list[tuple[str, int, list[Column]]], k
         sort = F.struct(*[o.alias(f"_s{i}") for i, o in enumerate(order)])
         entries.append(F.struct(F.lit(name).alias("source"), F.lit(prio).alias("prio"), sort.alias("sort")))
     ex = df.select(F.col(key), F.explode(F.array(*entries)).alias("e")).select(key, "e.*")
+    ex = ex.withColumn("_group", F.pmod(F.xxhash64(key), F.lit(GROUPS)))
+    inside = Window.partitionBy("source", "_group").orderBy("sort")
+    ex = ex.withColumn("_r", F.row_number().over(inside)).where(F.col("_r") <= kmax).drop("_r", "_group")
     ranked = ex.withColumn(pos, F.row_number().over(Window.partitionBy("source").orderBy("sort")))
     limits = F.create_map(*[x for name, k, _ in lists for x in (F.lit(name), F.lit(k))])
     return (ranked.where(F.col(pos) <= kmax).where(F.col(pos) <= F.element_at(limits, F.col("source")))
@@ -75,17 +71,7 @@ def merge_sources(sources: list[tuple[str, DataFrame]] | DataFrame, max_candidat
         F.array_sort(F.collect_set("source")).alias("sources"),
     ).select(key, F.col("first.prio").alias("prio"), F.col(f"first.{pos}").alias("first_pos"),
              F.col("first.source").alias("first_source"), "sources")
-    order = [F.col("prio"), F.col("first_pos"), F.col(key)]
-    if 0 < max_candidates <= WINDOW_LIMIT:
-        capped = merged.orderBy(*order).limit(max_candidates)
-        ranked = capped.withColumn("candidate_rank", F.row_number().over(Window.orderBy(*order)).cast("long"))
-    else:
-        ranked = with_position(merged, order, "candidate_rank")
-        if max_candidates > 0:
-            ranked = ranked.where(F.col("candidate_rank") <= max_candidates)
+    ranked = with_position(merged, [F.col("prio"), F.col("first_pos"), F.col(key)], "candidate_rank")
+    if max_candidates > 0:
+        ranked = ranked.where(F.col("candidate_rank") <= max_candidates)
     return ranked.select("candidate_rank", key, "first_source", "first_pos", "sources")
-
-
-def source_counts(tagged: DataFrame, key: str = "appid") -> DataFrame:
-    """Unique ids per source (long form: source, unique_ids) from a tagged frame."""
-    return tagged.groupBy("source").agg(F.count_distinct(key).alias("unique_ids"))

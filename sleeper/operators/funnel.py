@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sleeper.config import Profile
+from sleeper.functions.ids import safe_int
 from sleeper.functions.text import is_target_label, join_list, pluck
 from sleeper.operators.ordering import kth_smallest
 
@@ -66,12 +67,13 @@ def stop_rank(classified: DataFrame, profile: Profile, rank: str = "candidate_ra
     and fewer than ``target`` rows before it were accepted. Because acceptance is
     decided per row, that is ``i <= min(max_evaluations, r_T)`` where ``r_T`` is
     the rank of the ``target``-th accepted row: a bounded top-k, not a running
-    window over the whole list.
+    window over the whole list. A target or a budget of 0 evaluates nothing; a
+    budget of None has no limit.
     """
+    if profile.target <= 0:
+        return F.lit(0)
     accepted = classified.where(F.col("outcome") == ACCEPTED)
-    r_t = kth_smallest(accepted, rank, profile.target)
-    budget = F.lit(profile.max_evaluations) if profile.max_evaluations > 0 else F.lit(None)
-    return F.least(budget, r_t)
+    return F.least(F.lit(profile.max_evaluations).cast("long"), kth_smallest(accepted, rank, profile.target))
 
 
 def run_funnel(enriched: DataFrame, profile: Profile, rank: str = "candidate_rank") -> DataFrame:
@@ -89,21 +91,24 @@ def funnel_stats(funnel: DataFrame) -> DataFrame:
     return by_outcome.unionByName(total)
 
 
-def build_entry(df: DataFrame, key: str = "appid") -> DataFrame:
-    """Flatten an enriched row into the Bronze record (16 fields + the free flag)."""
+def build_entry(df: DataFrame, key: str = "appid", more: list[Column] | None = None) -> DataFrame:
+    """Flatten an enriched row into the Bronze record (16 fields + the free flag).
+
+    An id that the record's type can't hold is NULL and fails the completeness rule
+    of the id, instead of ending the job."""
     d = F.col("details")
     s = F.col("summary")
     meta = d.getField("metacritic")
     return df.select(
-        F.col(key).cast("int").alias("appid"),
+        F.col(key).try_cast("int").alias("appid"),
         F.coalesce(d.getField("name"), F.concat(F.lit("App "), F.col(key).cast("string"))).alias("nombre"),
-        F.col("players").cast("int").alias("jugadores_actuales_api"),
+        F.col("players").try_cast("int").alias("jugadores_actuales_api"),
         join_list(d.getField("developers")).alias("desarrolladores"),
         join_list(d.getField("publishers")).alias("editores"),
         join_list(pluck(d.getField("genres"), "description")).alias("generos"),
         d.getField("release_date").getField("date").alias("fecha_lanzamiento"),
         d.getField("price_overview").getField("final_formatted").alias("precio"),
-        meta.getField("score").cast("int").alias("metacritic_score"),
+        safe_int(meta.getField("score")).try_cast("int").alias("metacritic_score"),
         meta.getField("url").alias("metacritic_url"),
         F.coalesce(d.getField("short_description"), F.lit("")).alias("descripcion_corta"),
         s.getField("total_reviews").alias("total_resenas"),
@@ -112,4 +117,5 @@ def build_entry(df: DataFrame, key: str = "appid") -> DataFrame:
         s.getField("review_score").alias("puntuacion"),
         s.getField("review_score_desc").alias("descripcion_puntuacion"),
         d.getField("is_free").alias("es_gratis"),
+        *(more or []),
     )

@@ -34,16 +34,7 @@ def with_position(df: DataFrame, order: list[Column | str], name: str = "positio
     return out.withColumn(name, F.col("_off") + local + 1).drop("_pid", "_local", "_off")
 
 
-def kth_smallest(df: DataFrame, order: str, k: int, limit_threshold: int = 10_000) -> Column:
-    """Scalar subquery: the ``k``-th smallest value of ``order`` (NULL if fewer rows).
-
-    Small ``k`` is a top-k (every task keeps ``k`` rows); a large ``k`` uses
-    :func:`with_position` so no single task sorts the whole input.
-    """
-    if k <= limit_threshold:
-        top = df.select(order).orderBy(order).limit(k)
-        agg = top.select(F.when(F.count(F.lit(1)) == k, F.max(order)))
-    else:
-        pos = with_position(df.select(order), [order], "_k")
-        agg = pos.where(F.col("_k") == k).select(F.max(order))
-    return agg.scalar()
+def kth_smallest(df: DataFrame, order: str, k: int) -> Column:
+    """Scalar subquery: the ``k``-th smallest value of ``order`` (NULL if fewer rows): a top-k
+    of one narrow column, of which every task keeps ``k`` rows."""
+    return df.select(order).orderBy(order).offset(k - 1).limit(1).scalar()

@@ -138,10 +138,25 @@ def outcomes(df: DataFrame, rules, digits: int = 4) -> DataFrame:
     )
 
 
-def observe(df: DataFrame, rules, name: str = "dq") -> tuple[DataFrame, Observation]:
-    """Attach rule counters to ``df``; they fill in when the next action runs."""
+def observe(df: DataFrame, rules, name: str = "dq", col: str = "failed_rules") -> tuple[DataFrame, Observation]:
+    """Attach rule counters to ``df``; they fill in when the next action runs. If the rows carry their
+    failed rules in ``col``, the counters are taken from these, else from the rules."""
     obs = Observation(name)
-    return df.observe(obs, *_count_columns(rules)), obs
+    counts = routed_counts(rules, col) if col in df.columns else _count_columns(rules)
+    return df.observe(obs, *counts), obs
+
+
+def routed_counts(rules, col: str = "failed_rules", malformed: str = "Malformed record") -> list[Column]:
+    """Counters taken from the column that routes the rows, so that counts and routing agree."""
+    return [F.count(F.lit(1)).alias("evaluated"),
+            F.count_if(F.array_contains(col, malformed)).alias("malformed")] + [
+        F.count_if(F.array_contains(col, r.name)).alias(f"f{i}") for i, r in enumerate(rules)]
+
+
+def routed_outcomes(seen: list[dict], rules) -> dict[str, int]:
+    """The sums of several :func:`routed_counts`, by name."""
+    names = {"evaluated": "evaluated", "malformed": "malformed"} | {f"f{i}": r.name for i, r in enumerate(rules)}
+    return {name: sum(int(m[k]) for m in seen) for k, name in names.items()}
 
 
 def observed_outcomes(obs: Observation, rules) -> list[dict]:

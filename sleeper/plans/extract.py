@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sleeper.config import Profile
+from sleeper.functions.ids import CHART_LINK_PATTERN
 from sleeper.operators import candidates as C
 from sleeper.operators import funnel as FN
+from sleeper.operators.dedup import latest_per_key
 from sleeper.session import materialize
 from sleeper.sources import payloads as P
 
@@ -22,6 +24,40 @@ class ExtractResult:
     stats: DataFrame        # (outcome, n) over evaluated rows
 
 
+#: The landed lists in the order in which they are merged, and the head of the ranked list.
+STORE, CHARTS, TOP_LIST = "store", "charts", "top_list"
+TOP_LIST_HEAD = 100
+
+
+@dataclass
+class PageSources:
+    tagged: DataFrame       # (source, prio, appid, pos), each id at its first place in each list
+    chart_ranks: DataFrame  # (appid, chart_rank): rank in the ranked list, the last entry of an id wins
+    reported_total: DataFrame  # one row: what the store says it holds
+
+
+def sources_from_pages(search: DataFrame, charts: DataFrame, ranks: DataFrame, profile: Profile,
+                       head: int = TOP_LIST_HEAD) -> PageSources:
+    """The three id lists of a run from its landed pages.
+
+    ``search`` (session_id, page_idx, payload): store result pages, of which the
+    profile reads ``store_pages`` up to the first without ids. ``charts``
+    (session_id, page_idx from 1 on, html): ``chart_pages`` pages of links, likewise.
+    ``ranks`` (payload): the ranked list, of which the first ``head`` entries count.
+    A place in a list is page and place on it in one number.
+    """
+    store = materialize(P.session_first_ids(search, max_pages=profile.store_pages), "store_ids")
+    links = P.chart_page_links(charts, CHART_LINK_PATTERN, max_pages=profile.chart_pages)
+    top = materialize(P.parse_ranks(ranks, limit=head), "top_list")
+    lists = [(STORE, store.select("appid", P.place("first_page", "first_pos").alias("pos"))),
+             (CHARTS, links.select(F.col("value").alias("appid"), P.place("page_idx", "pos").alias("pos"))),
+             (TOP_LIST, top.select("appid", "pos"))]
+    tagged = C.first_occurrence(C.tag_sources(lists).where(F.col("appid").isNotNull()), by=["source", "prio"])
+    last = latest_per_key(top, ["appid"], ["pos"], tiebreak=False)
+    return PageSources(materialize(tagged, "sources"), last.select("appid", F.col("rank").alias("chart_rank")),
+                       store.agg(F.max("reported_total").alias("reported_total")))
+
+
 def select_candidates(sources: list[tuple[str, DataFrame]] | DataFrame, profile: Profile,
                       materialized: bool = True) -> DataFrame:
     """JOB-1. ``sources``: [(name, DataFrame(appid, pos)), ...] in priority order, or
@@ -35,14 +71,18 @@ def select_candidates(sources: list[tuple[str, DataFrame]] | DataFrame, profile:
 
 
 def evaluate_candidates(cands: DataFrame, details: DataFrame, reviews: DataFrame,
-                        players: DataFrame, profile: Profile) -> ExtractResult:
-    """JOB-2 over landed payload tables (appid, payload[, fetched_at])."""
-    bound = profile.max_candidates if profile.max_candidates > 0 else None
+                        players: DataFrame, profile: Profile, chart_ranks: DataFrame | None = None) -> ExtractResult:
+    """JOB-2 over landed payload tables (appid, payload[, fetched_at]). With ``chart_ranks`` the
+    entries also carry ``fuentes`` (the lists an item came from) and ``chart_rank``."""
     raws = {"details": details, "reviews": reviews, "players": players}
-    latest = P.latest_payloads(cands, raws, max_keys=bound, order_by=["fetched_at"])
+    latest = P.latest_payloads(cands, raws, order_by=["fetched_at"])
     enriched = FN.enrich(cands, latest)
     # read by the stop-rank subquery and by every output: parse and join once
     enriched = materialize(enriched, "enriched")
     funnel = FN.run_funnel(enriched, profile)
     accepted = funnel.where(F.col("evaluated") & (F.col("outcome") == FN.ACCEPTED))
-    return ExtractResult(cands, funnel, FN.build_entry(accepted), FN.funnel_stats(funnel))
+    more = []
+    if chart_ranks is not None:
+        accepted = accepted.join(chart_ranks, "appid", "left")
+        more = [F.array_join("sources", ",").alias("fuentes"), F.col("chart_rank")]
+    return ExtractResult(cands, funnel, FN.build_entry(accepted, more=more), FN.funnel_stats(funnel))

@@ -14,6 +14,9 @@ from sleeper.session import materialize
 from sleeper.sinks.files import append_history, write_parquet
 
 GOLD_COLUMNS = [f.name for f in T.GOLD.fields]
+# What Gold reads of Silver: the dedup carries no other column.
+GOLD_INPUT = ["appid", "nombre", "generos", "precio", "puntuacion", "total_resenas", "resenas_positivas", "run_ts",
+              "source_file"]
 GOLD_SHORT = ["appid", "nombre", "precio", "hidden_gem_score", "tier"]  # the 5-column projection
 
 
@@ -28,7 +31,7 @@ def score_gems(silver: DataFrame, params: ScoreParams = ScoreParams(), materiali
 
     The deduplicated snapshot feeds both the max and the scoring pass, so it is
     written once (one row per item) instead of deduplicating Silver twice."""
-    latest = latest_snapshot(silver)
+    latest = latest_snapshot(silver.select(*GOLD_INPUT))
     if materialized:
         latest = materialize(latest, "latest")
     return score_items(latest, params)

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sleeper.operators.parallel import spread
 from sleeper.plans import workload as W
 
 
@@ -30,7 +29,7 @@ def details_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     success=false for p_partkey % 13 = 0; no ``name`` key for p_partkey % 17 = 0;
     free (is_free, no price_overview) for p_partkey % 97 = 3.
     """
-    p = spread(W.table(spark, sf_dir, "part"))
+    p = W.table(spark, sf_dir, "part")
     key = F.col("p_partkey")
     no_meta = F.col("p_size") % 10 == 0
     data = F.struct(
@@ -92,7 +91,7 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flag 'N' and status 'O' render a page without ids (end of results).
     total_count is the line quantity ('0' on line 1).
     """
-    li = spread(W.table(spark, sf_dir, "lineitem"))
+    li = W.table(spark, sf_dir, "lineitem")
     empty = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O")
     full = F.concat(
         F.lit('<div class="row" data-ds-appid="'), F.col("l_partkey").cast("string"), F.lit('"></div>'),
@@ -110,7 +109,7 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ranks_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(list_id, list_page, payload): a ranked list per lineitem row:
     [part (rank 1), supplier (rank 2), a non-integer id (rank 3)]."""
-    li = spread(W.table(spark, sf_dir, "lineitem"))
+    li = W.table(spark, sf_dir, "lineitem")
     ranks = F.array(
         F.struct(F.col("l_partkey").cast("string").alias("appid"), F.lit(1).alias("rank")),
         F.struct(F.col("l_suppkey").cast("string").alias("appid"), F.lit(2).alias("rank")),
@@ -119,3 +118,52 @@ def ranks_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.to_json(F.struct(F.struct(ranks.alias("ranks")).alias("response")))
     return li.select(F.col("l_orderkey").alias("list_id"), F.col("l_linenumber").alias("list_page"),
                      payload.alias("payload"))
+
+
+# ---------------------------------------------------------------------------
+# one run's landed pages
+# ---------------------------------------------------------------------------
+
+STORE_PAGE_SIZE, STORE_STOP, STORE_CORRUPT = 50, 20, 23
+
+
+def store_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(session_id, page_idx, payload): the parts as one session of store pages.
+
+    Each page lists STORE_PAGE_SIZE parts (a bounded group) in descending order of
+    their key. Page STORE_STOP has no ids, so what lies behind it is never read;
+    page STORE_CORRUPT, behind it, does not parse. The reported total is the number
+    of parts, '0' on the first page.
+    """
+    part = W.table(spark, sf_dir, "part").select("p_partkey")
+    page = F.floor(F.col("p_partkey") / STORE_PAGE_SIZE).cast("int").alias("page_idx")
+    pages = part.groupBy(page).agg(F.sort_array(F.collect_list("p_partkey"), asc=False).alias("keys"))
+    rows = F.transform("keys", lambda k: F.concat(F.lit('<a data-ds-appid="'), k.cast("string"), F.lit('"></a>')))
+    html = F.when(F.col("page_idx") == STORE_STOP, F.lit("<p>no results</p>")).otherwise(F.array_join(rows, ""))
+    total = F.when(F.col("page_idx") == 0, F.lit("0")).otherwise(part.select(F.count(F.lit(1))).scalar().cast("string"))
+    payload = F.to_json(F.struct(total.alias("total_count"), html.alias("results_html")))
+    payload = F.when(F.col("page_idx") == STORE_CORRUPT, F.substring(payload, 1, 20)).otherwise(payload)
+    return pages.select(F.lit(0).cast("long").alias("session_id"), "page_idx", payload.alias("payload"))
+
+
+def chart_pages(spark: SparkSession, sf_dir: str, sessions: int = 1) -> DataFrame:
+    """(session_id, page_idx from 1 on, html): a page per supplier that links to the supplier's key and the
+    next; keys that leave 36 over 37 have a page without links. Suppliers are dealt to ``sessions`` in turn."""
+    s = W.table(spark, sf_dir, "supplier")
+    key = F.col("s_suppkey")
+    link = lambda k: F.concat(F.lit('<td><a href="/app/'), k.cast("string"), F.lit('">x</a></td>'))
+    html = F.when(key % 37 == 36, F.lit("<p>nothing</p>")).otherwise(F.concat(link(key), link(key + 1)))
+    return s.select((key % sessions).cast("long").alias("session_id"),
+                    (F.floor(key / sessions) + 1).cast("int").alias("page_idx"), html.alias("html"))
+
+
+def top_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(payload): one ranked list of the first 150 customers (a bounded group); entry n names the part of
+    three times its customer's key, every tenth entry repeats part 3, entries that leave 7 over 20 name none."""
+    c = W.table(spark, sf_dir, "customer").where(F.col("c_custkey") < 150).select("c_custkey")
+    k = F.col("c_custkey")
+    appid = F.when(k % 20 == 7, F.lit("none")).when(k % 10 == 0, F.lit("3")).otherwise((k * 3).cast("string"))
+    entry = F.struct(k.alias("k"), appid.alias("appid"), k.cast("int").alias("rank"))
+    entries = c.agg(F.sort_array(F.collect_list(entry)).alias("e"))
+    ranks = F.transform("e", lambda e: F.struct(e["appid"].alias("appid"), e["rank"].alias("rank")))
+    return entries.select(F.to_json(F.struct(F.struct(ranks.alias("ranks")).alias("response"))).alias("payload"))

@@ -144,6 +144,104 @@ SCORE_COLS = ("appid, nombre, generos, precio, total_resenas, resenas_positivas,
               "hidden_gem_score, tier")
 
 
+# ---------------------------------------------------------------------------
+# landed pages, uncapped funnel, planted faults
+# ---------------------------------------------------------------------------
+
+PAGES = """
+store AS (
+  SELECT p_partkey AS appid, p_partkey // 50 AS page,
+         row_number() OVER (PARTITION BY p_partkey // 50 ORDER BY p_partkey DESC) AS pos
+  FROM part WHERE p_partkey // 50 < 20
+),
+chart AS (
+  SELECT s_suppkey AS appid, s_suppkey AS page, 0 AS pos FROM supplier WHERE s_suppkey < 25
+  UNION ALL SELECT s_suppkey + 1, s_suppkey, 1 FROM supplier WHERE s_suppkey < 25
+),
+top_list AS (
+  SELECT CASE WHEN c_custkey % 10 = 0 THEN 3 ELSE c_custkey * 3 END AS appid, c_custkey AS rank
+  FROM customer WHERE c_custkey < 100 AND c_custkey % 20 <> 7
+),
+page_tagged AS (
+  SELECT appid, 0 AS prio, min(page * 1000 + pos) AS place, 'store' AS source FROM store GROUP BY appid
+  UNION ALL SELECT appid, 1, min(page * 1000 + pos), 'charts' FROM chart GROUP BY appid
+  UNION ALL SELECT appid, 2, min(rank), 'top_list' FROM top_list GROUP BY appid
+),
+page_merged AS (
+  SELECT appid, min(prio * 100000000 + place) AS k,
+         array_to_string(list_sort(list(source)), ',') AS sources FROM page_tagged GROUP BY appid
+),
+cands AS (
+  SELECT row_number() OVER (ORDER BY k, appid) AS candidate_rank, appid,
+         ['store', 'charts', 'top_list'][1 + CAST(k // 100000000 AS INTEGER)] AS first_source, sources
+  FROM page_merged
+)"""
+
+
+def _open_item() -> str:
+    """The ITEM fragments up to ``classified``, with the open profile's thresholds."""
+    body = ITEM.split("walked AS")[0].rstrip().rstrip(",")
+    return body.replace("BETWEEN 20 AND 45", "BETWEEN 26 AND 32").replace("open_lines > 18", "open_lines > 14")
+
+
+def _faulty() -> str:
+    """CTE that plants the workload's faults into ``snapshots`` (as parsed values)."""
+    k = "CAST(appid AS BIGINT) % 41"
+    plant = {"appid": {1: "NULL"}, "nombre": {2: "NULL"}, "precio": {3: None, 14: "-5.00", 15: "35", 16: "99", 17: "4.99"},
+             "total_resenas": {4: "NULL", 13: "9", 18: "0"}, "resenas_positivas": {5: "NULL", 11: "-1", 19: "100000"},
+             "resenas_negativas": {6: "NULL", 12: "-1"}, "puntuacion": {7: "NULL", 9: "101"},
+             "metacritic_score": {8: "101"}, "jugadores_actuales_api": {10: "-1"}}
+    cols = []
+    for c, faults in plant.items():
+        whens = " ".join(f"WHEN {k} = {r} THEN " + ("CASE WHEN es_gratis THEN 0 END" if v is None else v)
+                         for r, v in faults.items())
+        cols.append(f"CASE {whens} ELSE {c} END AS {c}")
+    return f"""
+clean AS (SELECT * FROM snapshots),
+planted AS (SELECT {', '.join(cols)} FROM clean)"""
+
+
+def page_oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["q_chart_ids"] = """
+WITH p AS (SELECT s_suppkey AS k, s_suppkey % 5 AS session_id, s_suppkey // 5 + 1 AS page FROM supplier),
+stop AS (SELECT session_id, min(page) FILTER (WHERE k % 37 = 36) AS stop FROM p GROUP BY session_id),
+r AS (SELECT p.* FROM p JOIN stop USING (session_id) WHERE k % 37 <> 36 AND (stop IS NULL OR page <= stop))
+SELECT CAST(session_id AS BIGINT) AS session_id, CAST(page AS INTEGER) AS page_idx, 0 AS pos, CAST(k AS BIGINT) AS appid FROM r
+UNION ALL SELECT CAST(session_id AS BIGINT), CAST(page AS INTEGER), 1, CAST(k + 1 AS BIGINT) FROM r"""
+    q["q_candidates_from_pages"] = with_(PAGES) + """
+SELECT candidate_rank, CAST(appid AS BIGINT) AS appid, first_source, sources FROM cands"""
+    item = _open_item()
+    q["q_entries_from_pages"] = with_(PAGES, item) + """
+SELECT f.appid, f.nombre, f.total_resenas, k.sources AS fuentes, CAST(t.rank AS INTEGER) AS chart_rank
+FROM classified c JOIN flat f ON c.appid = f.key JOIN cands k ON k.appid = c.appid
+LEFT JOIN (SELECT appid, max(rank) AS rank FROM top_list GROUP BY appid) t ON t.appid = c.appid
+WHERE c.outcome = 'accepted'"""
+    q["q_metadata_from_pages"] = with_(PAGES, item) + """
+SELECT 'pages' AS perfil_activo, 30 AS store_pages,
+       CASE WHEN (SELECT count(*) FROM part) > 50 THEN (SELECT count(*) FROM part) END AS total_reportado,
+       (SELECT count(*) FROM page_tagged WHERE prio = 0) AS store_ids_unicos,
+       (SELECT count(*) FROM page_tagged WHERE prio = 1) AS charts_ids_unicos,
+       (SELECT count(*) FROM page_tagged WHERE prio = 2) AS top_list_ids_unicos,
+       (SELECT count(*) FROM cands) AS candidatos_unicos_combinados, count(*) AS evaluados,
+       count(*) FILTER (WHERE outcome = 'accepted') AS total_resultados FROM classified"""
+    parts = """
+cands AS (SELECT p_partkey AS candidate_rank, p_partkey AS appid FROM part)"""
+    q["q_funnel_all"] = with_(parts, item) + """
+SELECT outcome, count(*) AS n FROM classified GROUP BY outcome
+UNION ALL SELECT 'evaluados', count(*) FROM classified"""
+    q["q_ranked_list_whole"] = """
+SELECT l_orderkey AS list_id, 2 * count(*) AS ids, 2 AS last_rank FROM lineitem GROUP BY l_orderkey"""
+    for name, rules in (("q_dq_outcomes_all", SILVER_RULES), ("q_readme_rules_all", README_RULES)):
+        q[name] = with_(SNAPSHOTS, _faulty()) + _outcomes(rules).replace("FROM snapshots)", "FROM planted)")
+    q["q_price_forms"] = """
+SELECT p_partkey AS appid, CAST(CASE p_partkey % 8
+         WHEN 0 THEN floor(p_retailprice) WHEN 1 THEN floor(p_retailprice) WHEN 3 THEN -p_retailprice
+         WHEN 4 THEN -p_retailprice WHEN 6 THEN CAST('1' || substr(printf('%.2f', p_retailprice), 1, 6) AS DOUBLE)
+         ELSE p_retailprice END AS DECIMAL(10,2)) AS precio FROM part"""
+    return q
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["q_hgs_score"] = with_(CATALOG, scored("catalog", "g")) + f"\nSELECT {SCORE_COLS} FROM g"
@@ -190,6 +288,7 @@ SELECT appid, run, nombre, total_resenas, resenas_positivas, puntuacion FROM r W
     q.update(scalar_oracles())
     q.update(quality_oracles())
     q.update(job_oracles())
+    q.update(page_oracles())
     return q
 
 

@@ -37,10 +37,13 @@ SCORE_COLS = ["appid", "nombre", "generos", "precio", "total_resenas", "resenas_
               "hidden_gem_score", "tier"]
 
 
-def gold_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The catalogue is read twice (the max subquery and the scoring pass), so it is
-    written once rather than re-aggregating lineitem per reader."""
-    return score_items(materialize(W.catalog(spark, sf_dir), "catalog"), DRIVER_SCORE)
+SCORE_INPUT = ["precio", "total_resenas", "resenas_positivas"]
+
+
+def gold_catalog(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
+    """The catalogue is read twice (the max subquery and the scoring pass), so what the
+    score needs and ``cols`` are written once rather than re-aggregating lineitem per reader."""
+    return score_items(materialize(W.catalog(spark, sf_dir).select(*cols, *SCORE_INPUT), "catalog"), DRIVER_SCORE)
 
 
 def silver_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,15 +54,16 @@ def silver_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def score_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every run scored against that run's own maximum."""
-    return score_items(materialize(silver_snapshots(spark, sf_dir), "snapshots"), DRIVER_SCORE, by=["run"])
+    snaps = silver_snapshots(spark, sf_dir).select("appid", "run", *SCORE_INPUT)
+    return score_items(materialize(snaps, "snapshots"), DRIVER_SCORE, by=["run"])
 
 
 def q_hgs_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold_catalog(spark, sf_dir).select(*SCORE_COLS)
+    return gold_catalog(spark, sf_dir, "appid", "nombre", "generos", "resenas_negativas", "puntuacion").select(*SCORE_COLS)
 
 
 def q_hgs_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = gold_catalog(spark, sf_dir).select("appid", "nombre", "generos", "hidden_gem_score", "tier")
+    g = gold_catalog(spark, sf_dir, "appid", "nombre", "generos").select("appid", "nombre", "generos", "hidden_gem_score", "tier")
     return insights.top_gems(g, 20)
 
 
@@ -68,11 +72,11 @@ def q_tier_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_genre_concentration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return insights.genre_concentration(gold_catalog(spark, sf_dir))
+    return insights.genre_concentration(gold_catalog(spark, sf_dir, "generos"))
 
 
 def q_rank_within_genre(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = insights.explode_genres(gold_catalog(spark, sf_dir))
+    g = insights.explode_genres(gold_catalog(spark, sf_dir, "appid", "nombre", "generos"))
     return insights.rank_within(g, "genero", 3).select(
         "genero", "appid", "nombre", "hidden_gem_score", "tier", "group_rank")
 
@@ -84,9 +88,9 @@ def q_rising(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    snaps = W.snapshots(spark, sf_dir)
-    latest = latest_per_key(snaps, ["appid"], ["run"])
-    return latest.select("appid", "run", "nombre", "total_resenas", "resenas_positivas", "puntuacion")
+    snaps = W.snapshots(spark, sf_dir).select("appid", "run", "nombre", "total_resenas", "resenas_positivas",
+                                              "puntuacion")
+    return latest_per_key(snaps, ["appid"], ["run"])
 
 
 # Candidate sources over the whole lineitem table: the most-sold parts, the parts
@@ -165,13 +169,7 @@ def q_ranked_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # land the rendered pages once, as the extract stage lands fetched pages
-    ids, totals = P.search_page_ids(materialize(L.search_pages(spark, sf_dir), "search_pages"))
-    first = ids.groupBy("session_id", "appid").agg(
-        F.min(F.struct("page_idx", "pos")).alias("f"))
-    out = first.join(totals, "session_id", "left")
-    return out.select("session_id", "appid", F.col("f.page_idx").alias("first_page"),
-                      F.col("f.pos").alias("first_pos"), "reported_total")
+    return P.session_first_ids(L.search_pages(spark, sf_dir))
 
 
 def q_html_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,9 +191,7 @@ def q_parse_price(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from sleeper.operators.parallel import spread
-
-    d = spread(W.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    d = W.table(spark, sf_dir, "documents").select("doc_id", "text")
     n = d.withColumn("norm", normalize_text("text"))
     return n.select("doc_id", F.md5("norm").alias("norm_md5"), F.octet_length("norm").alias("norm_bytes"),
                     is_target_label("text", allow_very_positive=True).alias("is_label"))
@@ -261,7 +257,7 @@ def _gold_between(snaps: DataFrame, lo: int, hi: int) -> DataFrame:
 def _gold_target_and_updates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Gold as of runs up to 1999 (the table) and as of runs 2000+ (the updates),
     both from one materialized snapshot table."""
-    snaps = materialize(silver_snapshots(spark, sf_dir), "snapshots")
+    snaps = materialize(silver_snapshots(spark, sf_dir).select("appid", "run", "nombre", *SCORE_INPUT), "snapshots")
     return _gold_between(snaps, 0, 1999), _gold_between(snaps, 2000, 9999)
 
 
@@ -363,14 +359,14 @@ def q_score_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_gold_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish runs up to 1999, then upsert 2000+ with the name-only policy."""
-    from sleeper.sinks.files import parquet_upsert
+    from sleeper.sinks.files import BUCKET, parquet_upsert
     from sleeper.session import scratch_path
 
     path = scratch_path(spark, "gold_table")
     target, updates = _gold_target_and_updates(spark, sf_dir)
     parquet_upsert(target, path, "appid")
     parquet_upsert(updates, path, "appid", update_cols=["nombre"])
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop(BUCKET)
 
 
 def q_run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -389,27 +385,112 @@ def q_run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three landing waves, each followed by an availableNow Silver increment and
-    an incremental Gold refresh; the result equals the batch Gold."""
+    """Three landing waves out of order, the oldest run in a folder without a run's name, each
+    followed by an availableNow Silver increment and a Gold increment; the result equals the
+    batch Gold."""
     from sleeper.session import scratch_path
-    from sleeper.sources.files import read_silver
-    from sleeper.streaming.incremental import refresh_gold, run_silver_increment
+    from sleeper.streaming.incremental import run_gold_increment, run_silver_increment
 
-    bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
-    ckpt = scratch_path(spark, "stream_ckpt")
-    latest, gold, seen = None, None, None
+    bronze, silver, state = (scratch_path(spark, n) for n in ("bronze", "silver", "latest"))
+    silver_ckpt, gold_ckpt = scratch_path(spark, "silver_ckpt"), scratch_path(spark, "gold_ckpt")
     snaps = materialize(W.snapshots(spark, sf_dir), "snapshots")  # the source of all three waves
-    for lo, hi in ((0, 1997), (1998, 1999), (2000, 9999)):
-        _land_snapshots(spark, sf_dir, bronze, lo, hi, snaps)
-        run_silver_increment(spark, bronze, silver, ckpt)
-        s = read_silver(spark, silver)
-        delta = s if seen is None else s.where(F.col("run_ts") > F.lit(seen))
-        seen = s.select(F.max("run_ts")).first()[0]
-        latest, gold = refresh_gold(latest, delta, DRIVER_SCORE)
-        latest = materialize(latest, "latest")  # cut lineage between refreshes (shared checkpoint dir)
+    oldest = snaps.agg(F.min("run")).first()[0] or 0
+    gold = None
+    for lo, hi in ((2000, 9999), (oldest, 1997), (1998, 1999)):
+        if lo == oldest:
+            snaps.where(F.col("run") == oldest).drop("run").write.option("ignoreNullFields", "false") \
+                .json(f"{bronze}/unnamed")
+        _land_snapshots(spark, sf_dir, bronze, lo + (lo == oldest), hi, snaps)
+        run_silver_increment(spark, bronze, silver, silver_ckpt)
+        gold = run_gold_increment(spark, silver, state, gold_ckpt, DRIVER_SCORE)
     return gold.select(F.col("appid").cast("long").alias("appid"), "nombre", "precio", "total_resenas",
                        "hidden_gem_score", "tier")
 
 
+# Thresholds under which every outcome of the funnel occurs; nothing is capped.
+OPEN_PROFILE = Profile(target=2 ** 31 - 1, max_candidates=0, max_evaluations=None, min_review_score=8,
+                       min_total_reviews=26, max_total_reviews=32, allow_very_positive=True, max_current_players=14)
+PAGE_PROFILE = OPEN_PROFILE.with_overrides(store_pages=30, chart_pages=25)
+
+
+def q_chart_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numeric chart ids in five sessions, each stopping at its first page without links."""
+    from sleeper.functions.ids import CHART_LINK_PATTERN
+
+    out = P.chart_page_links(L.chart_pages(spark, sf_dir, sessions=5), CHART_LINK_PATTERN)
+    return out.select("session_id", "page_idx", "pos", F.col("value").alias("appid"))
+
+
+def page_sources(spark: SparkSession, sf_dir: str) -> X.PageSources:
+    return X.sources_from_pages(L.store_pages(spark, sf_dir), L.chart_pages(spark, sf_dir), L.top_list(spark, sf_dir),
+                                PAGE_PROFILE)
+
+
+def q_candidates_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = X.select_candidates(page_sources(spark, sf_dir).tagged, PAGE_PROFILE)
+    return c.select("candidate_rank", "appid", "first_source", F.array_join("sources", ",").alias("sources"))
+
+
+def _extract_from_pages(spark: SparkSession, sf_dir: str) -> tuple[X.PageSources, X.ExtractResult]:
+    src = page_sources(spark, sf_dir)
+    cands = X.select_candidates(src.tagged, PAGE_PROFILE)
+    return src, X.evaluate_candidates(cands, *landed_payloads(spark, sf_dir), PAGE_PROFILE, src.chart_ranks)
+
+
+def q_entries_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted items with the lists they came from and their rank in the ranked list."""
+    return _extract_from_pages(spark, sf_dir)[1].entries.select("appid", "nombre", "total_resenas", "fuentes",
+                                                               "chart_rank")
+
+
+def q_metadata_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run document of :func:`q_entries_from_pages`: profile, a parameter, reported total, counts."""
+    from sleeper.plans.runs import run_metadata
+
+    src, res = _extract_from_pages(spark, sf_dir)
+    meta = run_metadata(spark, res, src.tagged, PAGE_PROFILE, reported_total=src.reported_total, profile_name="pages")
+    return meta.select("perfil_activo", F.col("parametros.store_pages").alias("store_pages"), "fuentes.*",
+                       F.col("estadisticas_evaluacion.evaluados").alias("evaluados"), "total_resultados")
+
+
+def q_funnel_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part through the funnel, without a cap, a budget or a target; all outcomes occur."""
+    parts = W.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("appid"), F.col("p_partkey").alias("pos"))
+    cands = X.select_candidates([("parts", parts)], OPEN_PROFILE)
+    return funnel_stats(X.evaluate_candidates(cands, *landed_payloads(spark, sf_dir), OPEN_PROFILE).funnel)
+
+
+def q_ranked_list_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All entries of every ranked list; the third of each is no integer and goes."""
+    r = P.parse_ranks(L.ranks_payloads(spark, sf_dir), list_cols=["list_id", "list_page"])
+    return r.groupBy("list_id").agg(F.count(F.lit(1)).alias("ids"), F.max("rank").alias("last_rank"))
+
+
+def faulty_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return W.faulty_snapshots(spark, sf_dir).withColumn("precio", parse_price("precio", "es_gratis"))
+
+
+def q_dq_outcomes_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows in which every one of the rules fails somewhere."""
+    return DQ.outcomes(faulty_silver(spark, sf_dir), DQ.RULES_SILVER)
+
+
+def q_readme_rules_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DQ.outcomes(faulty_silver(spark, sf_dir), DQ.RULES_README)
+
+
+def q_price_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Currency names with points before and after the number, signs on either side, spaces in it."""
+    p = W.table(spark, sf_dir, "part")
+    fixed = F.format_string("%.2f", F.col("p_retailprice"))
+    comma, whole = F.replace(fixed, F.lit("."), F.lit(",")), F.format_string("%.0f", F.floor("p_retailprice").cast("double"))
+    style = F.col("p_partkey") % 8
+    text = (F.when(style == 0, F.concat(F.lit("S/."), whole)).when(style == 1, F.concat(F.lit("Rs. "), whole))
+            .when(style == 2, F.concat(comma, F.lit(" pуб."))).when(style == 3, F.concat(F.lit("-"), fixed))
+            .when(style == 4, F.concat(F.lit("- $ "), fixed)).when(style == 5, F.concat(fixed, F.lit(".")))
+            .when(style == 6, F.concat(F.lit("CHF 1'"), F.substring(fixed, 1, 6))).otherwise(F.concat(F.lit("€"), comma)))
+    return p.select(F.col("p_partkey").alias("appid"), parse_price(text).alias("precio"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("q_") and callable(fn)}

@@ -27,6 +27,7 @@ class SilverResult:
     path: str                 # the Silver table (passed rows)
     quarantine: str | None    # rejected rows, with failed_rules
     outcomes: list[dict]      # per-rule counters, collected during the write
+    malformed: int = 0        # lines that are no JSON: rejected, and counted under no rule
 
 
 def to_silver_rows(bronze: DataFrame) -> DataFrame:
@@ -55,8 +56,7 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, ru
     rows = to_silver_rows(read_bronze(spark, bronze_root))
     if not DQ.column_count_gt(rows, 0):  # table rule: schema only, no job
         raise ValueError("Silver rows have no columns")
-    observed, obs = DQ.observe(rows, rules, name="silver_dq")
-    checked = check_rows(observed, rules)
+    checked, obs = DQ.observe(check_rows(rows, rules), rules, name="silver_dq")
     status = F.when(F.size("failed_rules") == 0, F.lit("passed")).otherwise(F.lit("rejected"))
     cols = [f.name for f in T.SILVER.fields]
     if quarantine:
@@ -67,4 +67,4 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, ru
         out = checked.where(F.size("failed_rules") == 0).select(*cols)
         write_parquet(out, silver_root, max_records_per_file=max_records_per_file)
         path, qpath = silver_root, None
-    return SilverResult(path, qpath, DQ.observed_outcomes(obs, rules))
+    return SilverResult(path, qpath, DQ.observed_outcomes(obs, rules), int(obs.get["malformed"]))

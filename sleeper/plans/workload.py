@@ -137,3 +137,25 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((key % 97 == 3) & (F.col("p_size") % 2 == 0)).alias("es_gratis"),
         F.col("run").cast("int").alias("run"),
     )
+
+
+def faulty_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshots with a fault planted for every rule: by the part key's remainder over 41, one
+    column is withheld or set out of its range (prices as text, as they are landed)."""
+    key = F.col("appid") % 41
+    none = F.lit(None)
+    faults = {"appid": {1: none}, "nombre": {2: none}, "precio": {3: none, 14: F.lit("-5.00"), 15: F.lit("S/.35"),
+                                                                  16: F.lit("Rs. 99"), 17: F.lit("4,99 pуб.")},
+              "total_resenas": {4: none, 13: F.lit(9), 18: F.lit(0)}, "resenas_positivas": {5: none, 11: F.lit(-1),
+                                                                                         19: F.lit(100_000)},
+              "resenas_negativas": {6: none, 12: F.lit(-1)}, "puntuacion": {7: none, 9: F.lit(101)},
+              "metacritic_score": {8: F.lit(101)}, "jugadores_actuales_api": {10: F.lit(-1)}}
+    s = snapshots(spark, sf_dir)
+    types = dict(s.dtypes)
+    out = {}
+    for c, planted in faults.items():
+        value = F.col(c)
+        for k, v in planted.items():
+            value = F.when(key == k, v.cast(types[c])).otherwise(value)
+        out[c] = value
+    return s.withColumns(out)

@@ -70,43 +70,23 @@ GOLD = StructType([
     StructField("updated_at", TimestampNTZType()),
 ])
 
-# JDBC column types for create-if-absent (schema DDL of the published table).
-GOLD_DDL_TYPES = ("appid BIGINT NOT NULL, nombre VARCHAR(1024), generos VARCHAR(1024), "
-                  "precio NUMERIC(8,2), puntuacion INTEGER, total_resenas INTEGER, "
-                  "resenas_positivas INTEGER, hidden_gem_score NUMERIC(5,4), tier CHAR(1), "
-                  "updated_at TIMESTAMP")
-
 # Raw payload shapes (DDL strings for from_json). Only fields that are read are declared,
 # so the JSON parser prunes everything else.
 DETAILS_DATA = (
     "struct<type:string,name:string,is_free:boolean,developers:array<string>,"
     "publishers:array<string>,genres:array<struct<description:string>>,"
     "release_date:struct<date:string>,price_overview:struct<final_formatted:string>,"
-    "metacritic:struct<score:int,url:string>,short_description:string>"
+    "metacritic:struct<score:string,url:string>,short_description:string>"
 )
 DETAILS_PAYLOAD = f"map<string,struct<success:boolean,data:{DETAILS_DATA}>>"
 REVIEWS_PAYLOAD = (
-    "struct<query_summary:struct<total_reviews:int,total_positive:int,total_negative:int,"
-    "review_score:int,review_score_desc:string>>"
+    "struct<query_summary:struct<total_reviews:string,total_positive:string,total_negative:string,"
+    "review_score:string,review_score_desc:string>>"
 )
+# Numbers of the summary; they are sent as numbers or as texts.
+REVIEWS_NUMBERS = ("total_reviews", "total_positive", "total_negative", "review_score")
 PLAYERS_PAYLOAD = "struct<response:struct<result:int,player_count:string>>"
 RANKS_PAYLOAD = "struct<response:struct<ranks:array<struct<appid:string,rank:int>>>>"
 SEARCH_PAYLOAD = "struct<total_count:string,results_html:string>"
 
-# Landed payload tables.
-SEARCH_PAGES = StructType([
-    StructField("session_id", LongType()),
-    StructField("page_idx", IntegerType()),
-    StructField("payload", StringType()),
-])
-CHART_PAGES = StructType([
-    StructField("session_id", LongType()),
-    StructField("page_idx", IntegerType()),
-    StructField("html", StringType()),
-])
-KEYED_PAYLOADS = StructType([
-    StructField("appid", LongType()),
-    StructField("payload", StringType()),
-])
-
 RUN_FOLDER_FORMAT = "yyyy-MM-dd_HH-mm-ss"

@@ -9,8 +9,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+#: Scratch paths handed out and not deleted yet.
+_SCRATCH: list[str] = []
+
+
 def scale_conf(input_bytes: int, shuffle_bytes_per_partition: int = 256 << 20,
-               split_bytes: int = 256 << 20, max_partitions: int = 200_000) -> dict[str, str]:
+               split_bytes: int = 256 << 20, max_partitions: int = 500_000) -> dict[str, str]:
     """Shuffle and scan sizing from the input size.
 
     AQE coalesces small shuffle partitions but never splits large ones (except
@@ -81,7 +85,20 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path under the checkpoint root."""
-    return os.path.join(checkpoint_root(spark), "sleeper", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(checkpoint_root(spark), "sleeper", f"{name}-{uuid.uuid4().hex}")
+    _SCRATCH.append(path)
+    return path
+
+
+def purge_scratch(spark: SparkSession) -> int:
+    """Delete every scratch path this process has handed out, when no frame over them is
+    needed any more; returns how many there were."""
+    conf, jvm = spark._jsc.hadoopConfiguration(), spark._jvm
+    done = len(_SCRATCH)
+    while _SCRATCH:
+        p = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        p.getFileSystem(conf).delete(p, True)
+    return done
 
 
 def materialize(df, name: str = "stage"):

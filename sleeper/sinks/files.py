@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sleeper.functions.runs import run_folder
 
@@ -17,26 +18,42 @@ def path_exists(spark, path: str) -> bool:
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath)
 
 
+def list_folders(spark, path: str) -> list[str]:
+    """Names of the folders in ``path`` (none if it does not exist)."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(jpath) if s.isDirectory()] if fs.exists(jpath) else []
+
+
+def delete_path(spark, path: str) -> None:
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
 def write_bronze(df: DataFrame, root: str, run_ts=None, run_ts_col: str | None = None,
-                 mode: str = "append") -> None:
+                 files_per_run: int = 8) -> None:
     """JSON Lines (UTF-8, compact) with NULL fields kept as keys.
 
     One run: ``run_ts`` (a Python datetime/str) names the folder
     ``<root>/<yyyy-MM-dd_HH-mm-ss>/``. Many runs at once: ``run_ts_col`` names a
-    timestamp column and each run lands under ``<root>/run=<folder>/`` in one job.
+    timestamp column and each run lands under ``<root>/run=<folder>/`` in one job, in at
+    most ``files_per_run`` files. A run that is landed again replaces its own folder
+    and no other.
     """
     root = root.rstrip("/")
     w = None
     if run_ts_col is not None:
         out = df.withColumn(RUN_DIR_COL, run_folder(run_ts_col)).drop(run_ts_col)
-        w = out.write.partitionBy(RUN_DIR_COL)
+        salt = F.pmod(F.xxhash64(*[c for c in out.columns if c != RUN_DIR_COL]), F.lit(files_per_run))
+        out = out.repartition(F.col(RUN_DIR_COL), salt)
+        w = out.write.partitionBy(RUN_DIR_COL).option("partitionOverwriteMode", "dynamic")
         path = root
     else:
         ts = run_ts if isinstance(run_ts, dt.datetime) else dt.datetime.fromisoformat(str(run_ts))
         folder = ts.strftime("%Y-%m-%d_%H-%M-%S")
         w = df.write
         path = f"{root}/{folder}"
-    w.mode(mode).option("ignoreNullFields", "false").option("compression", "none").json(path)
+    w.mode("overwrite").option("ignoreNullFields", "false").option("compression", "none").json(path)
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
@@ -69,19 +86,28 @@ def write_run_metadata(meta: DataFrame, root: str, run_folder_name: str) -> str:
     return path
 
 
-def parquet_upsert(updates: DataFrame, path: str, key: str, update_cols: list[str] | None = None) -> None:
+#: Folder column of an upsert table: rows lie in the bucket of their key's hash.
+BUCKET = "bucket"
+
+
+def parquet_upsert(updates: DataFrame, path: str, key: str, update_cols: list[str] | None = None,
+                   buckets: int = 32) -> None:
     """Keyed upsert into a Parquet table (insert new keys, update ``update_cols``).
 
-    The merged result is written once under the shared checkpoint dir before the
-    table is overwritten, so the write never reads the files it replaces.
+    The table lies in ``buckets`` folders by the key's hash; only the folders that
+    ``updates`` reaches are read and written. Their new contents replace the old ones
+    when the write commits (dynamic partition overwrite), so a write that fails
+    leaves the table as it was. ``buckets`` must stay the same for a table.
     """
     from sleeper.operators.upsert import upsert
     from sleeper.session import materialize
 
     spark = updates.sparkSession
-    if not path_exists(spark, path):
-        write_parquet(updates, path)
-        return
-    current = spark.read.parquet(path)
-    merged = materialize(upsert(current, updates.select(*current.columns), key, update_cols), "upsert")
-    write_parquet(merged, path)
+    bucketed = updates.withColumn(BUCKET, F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int"))
+    if path_exists(spark, path):
+        bucketed = materialize(bucketed, "updates")
+        touched = [r[BUCKET] for r in bucketed.select(BUCKET).distinct().collect()]  # ``buckets`` at most
+        current = spark.read.schema(bucketed.schema).parquet(path).where(F.col(BUCKET).isin(touched))
+        bucketed = materialize(upsert(current, bucketed, [BUCKET, key], update_cols), "upsert")
+    bucketed.repartition(BUCKET).write.mode("overwrite").option("compression", "snappy") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)

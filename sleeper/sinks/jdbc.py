@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from sleeper.operators.upsert import upsert
@@ -18,8 +21,12 @@ def table_exists(spark: SparkSession, url: str, table: str, props: dict[str, str
     try:
         _reader(spark, url, props).option("query", f"SELECT * FROM {table} WHERE 1 = 0").load().schema
         return True
-    except Exception:  # noqa: BLE001
-        return False
+    except PySparkException as e:
+        # what drivers say of a missing table, by SQLSTATE class 42 or in words; anything else is no answer
+        if re.search(r"(?i)does not exist|doesn't exist|not found|no such table|unknown table|invalid object|\b42[PS]0[12]\b",
+                     str(e)):
+            return False
+        raise
 
 
 def create_if_absent(df: DataFrame, url: str, table: str, column_types: str | None = None,

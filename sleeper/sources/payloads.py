@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from sleeper import schemas as T
 from sleeper.functions.ids import ids_from_attribute_html, links, safe_int
-from sleeper.operators.parallel import spread
-
 
 def details_columns(payload: Column, key: Column) -> list[Column]:
     """[details_ok, details] from a details payload (a map keyed by the id string).
@@ -30,11 +28,26 @@ def reviews_columns(payload: Column) -> list[Column]:
     """[reviews_ok, summary]. A struct schema parses malformed text into a struct
     of NULLs, so the schema carries a corrupt-record field and ``reviews_ok`` is
     false when the payload is missing or did not parse, from the same parse.
-    Sample reviews in the payload are not read."""
-    schema = T.REVIEWS_PAYLOAD[:-1] + ",_corrupt_record:string>"
-    p = F.from_json(payload, schema, {"columnNameOfCorruptRecord": "_corrupt_record"})
-    ok = payload.isNotNull() & p.getField("_corrupt_record").isNull()
-    return [ok.alias("reviews_ok"), F.when(ok, p.getField("query_summary")).alias("summary")]
+    Sample reviews in the payload are not read. Counts and score may be sent as
+    numbers or as texts."""
+    p, ok = _parsed(payload, T.REVIEWS_PAYLOAD)
+    s = p.getField("query_summary")
+    summary = F.struct(*[loose_int(s.getField(n)).alias(n) for n in T.REVIEWS_NUMBERS],
+                       s.getField("review_score_desc").alias("review_score_desc"))
+    return [ok.alias("reviews_ok"), F.when(ok & s.isNotNull(), summary).alias("summary")]
+
+
+def _parsed(payload: Column, schema: str) -> tuple[Column, Column]:
+    """(struct, did it parse): a corrupt-record field tells malformed text from missing fields."""
+    p = F.from_json(payload, schema[:-1] + ",_corrupt_record:string>", {"columnNameOfCorruptRecord": "_corrupt_record"})
+    return p, payload.isNotNull() & p.getField("_corrupt_record").isNull()
+
+
+def loose_int(text: Column) -> Column:
+    """A number sent as 120, "120" or 120.0 as an int (a fraction is cut off a number, not off a
+    text); NULL for anything else."""
+    number = F.coalesce(safe_int(text), F.when(text.rlike(r"^-?[0-9]+\.[0-9]+$"), text.try_cast("double").try_cast("bigint")))
+    return number.try_cast("int")
 
 
 def players_column(payload: Column) -> Column:
@@ -46,36 +59,27 @@ def players_column(payload: Column) -> Column:
 
 def parse_details(df: DataFrame, key: str = "appid") -> DataFrame:
     """(key, details_ok, details) from landed (key, payload) rows."""
-    return spread(df).select(F.col(key), *details_columns(F.col("payload"), F.col(key)))
+    return df.select(F.col(key), *details_columns(F.col("payload"), F.col(key)))
 
 
 def parse_reviews(df: DataFrame, key: str = "appid") -> DataFrame:
     """(key, reviews_ok, summary) from landed (key, payload) rows."""
-    return spread(df).select(F.col(key), *reviews_columns(F.col("payload")))
-
-
-def parse_players(df: DataFrame, key: str = "appid") -> DataFrame:
-    """(key, players) from landed (key, payload) rows."""
-    return spread(df).select(F.col(key), players_column(F.col("payload")))
+    return df.select(F.col(key), *reviews_columns(F.col("payload")))
 
 
 def latest_payloads(keys: DataFrame, raws: dict[str, DataFrame], key: str = "appid",
-                    max_keys: int | None = None, order_by: list[str] | None = None,
-                    broadcast_limit: int = 1_000_000) -> DataFrame:
+                    order_by: list[str] | None = None) -> DataFrame:
     """(key, <kind>...): the latest landed payload text of each kind for ``keys``.
 
     ``raws`` maps a kind (e.g. "details") to a landed (key, payload[, order cols])
-    table. The tables are tagged and unioned, semi-joined to the wanted keys
-    (broadcast when ``max_keys`` proves a bound, so the payload tables are
-    filtered without a shuffle), and reduced by ONE aggregate: per key, each
+    table. The tables are tagged and unioned, semi-joined to the wanted keys (Spark
+    broadcasts these if it measures them to be small), and reduced by ONE aggregate: per key, each
     kind's latest payload (by ``order_by`` columns when present, then a content
     hash, so a re-fetched item never duplicates a row). One shuffle for all
     kinds, on narrow (key, text) rows; parsing happens afterwards, only for the
     selected payloads.
     """
     k = keys.select(key)
-    if max_keys is not None and 0 < max_keys <= broadcast_limit:
-        k = F.broadcast(k)
     tagged = None
     for kind, raw in raws.items():
         order = [F.col(c) for c in (order_by or []) if c in raw.columns]
@@ -93,7 +97,7 @@ def parse_ranks(df: DataFrame, limit: int = 0, list_cols: list[str] | None = Non
     """Ranked list payloads -> (list cols..., pos, appid, rank); first ``limit`` entries
     when ``limit > 0``. Entries whose id is not an integer are dropped."""
     ranks = F.from_json(F.col("payload"), T.RANKS_PAYLOAD).getField("response").getField("ranks")
-    ex = spread(df).select(*(list_cols or []), F.posexplode(ranks).alias("pos", "entry"))
+    ex = df.select(*(list_cols or []), F.posexplode(ranks).alias("pos", "entry"))
     if limit > 0:
         ex = ex.where(F.col("pos") < limit)
     out = ex.select(*(list_cols or []), "pos", safe_int(F.col("entry.appid")).alias("appid"),
@@ -101,70 +105,135 @@ def parse_ranks(df: DataFrame, limit: int = 0, list_cols: list[str] | None = Non
     return out.where(F.col("appid").isNotNull())
 
 
-def _stop_at_first_empty(pages: DataFrame, session: str, page: str, n_ids: str) -> DataFrame:
-    """Keep pages up to and including the first page without ids, per session.
+CORRUPT_PAGE = "a results page did not parse"
+
+
+def search_pages(df: DataFrame, max_pages: int | None = None, session: str = "session_id",
+                 page: str = "page_idx") -> DataFrame:
+    """Results pages parsed once: (session, page, ok, ids, total). Ids come from ``data-ds-appid``
+    attributes of ``results_html`` (missing HTML is a page without ids); ``ok`` is false for
+    text that does not parse."""
+    p, ok = _parsed(F.col("payload"), T.SEARCH_PAYLOAD)
+    pages = df if max_pages is None else df.where(F.col(page) < max_pages)
+    return pages.select(
+        session, page, ok.alias("ok"),
+        F.coalesce(ids_from_attribute_html(p.getField("results_html")), F.array().cast("array<bigint>"))
+         .alias("ids"),
+        F.coalesce(safe_int(p.getField("total_count")), F.lit(0)).alias("total"))
+
+
+def place(page: str, pos: str) -> Column:
+    """Page and place on it in one number."""
+    return F.col(page).cast("long") * (1 << 32) + F.col(pos)
+
+
+#: One page in a page-and-total number: more than any total.
+_PAGE_UNIT = "10000000000000000000"
+
+
+def _page_unit() -> Column:
+    return F.lit(_PAGE_UNIT).cast("decimal(20,0)")
 
-    The stop index is a per-session aggregate (partial+final) joined back on the
-    session key, so a session with most of the pages is not sent to one task.
+
+def _total_key(page: str) -> Column:
+    """Page and total in one number, so that the smallest is the first page's: a plain hash aggregate."""
+    key = F.col(page).cast("decimal(18,0)") * _page_unit()
+    return F.when(F.col("total") > 0, (key + F.col("total").cast("decimal(19,0)")).cast("decimal(38,0)"))
+
+
+def _refuse_corrupt(sessions: DataFrame, stop: str, bad: str, on_corrupt: str) -> None:
+    """A corrupt page up to a session's stop is a failed fetch that ends the run; with
+    ``on_corrupt="report"`` it is left out (see :func:`corrupt_pages`). It never is the end of the results."""
+    reached = F.col(bad).isNotNull() & (F.col(stop).isNull() | (F.col(bad) <= F.col(stop)))
+    if on_corrupt != "report" and sessions.where(reached).head(1):
+        raise ValueError(CORRUPT_PAGE)
+
+
+def corrupt_pages(df: DataFrame, session: str = "session_id", page: str = "page_idx") -> DataFrame:
+    """(session, page) of results pages that do not parse, read or not."""
+    return df.where(~_parsed(F.col("payload"), T.SEARCH_PAYLOAD)[1]).select(session, page)
+
+
+def session_first_ids(df: DataFrame, max_pages: int | None = None, session: str = "session_id",
+                      page: str = "page_idx", on_corrupt: str = "fail") -> DataFrame:
+    """Each session's distinct ids at their first place: (session, appid, first_page, first_pos,
+    reported_total).
+
+    The pages are read once and reduced to one row per session and id; what a
+    session's rules need (the first page without ids, the first total, the first
+    corrupt page) rides along in the same aggregate and is taken from its result. As
+    the first place is a minimum, dropping ids after the stop then is the same as
+    before. ``on_corrupt``: see :func:`_refuse_corrupt`.
     """
-    stop = pages.groupBy(session).agg(F.min(F.when(F.col(n_ids) == 0, F.col(page))).alias("_stop"))
-    stop = stop.withColumnRenamed(session, "_session")
-    # null-safe: pages of a NULL session form their own session instead of vanishing
-    kept = pages.join(stop, pages[session].eqNullSafe(stop["_session"])).drop("_session")
-    return kept.where(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))).drop("_stop")
+    from sleeper.operators.skew import join_sites
+    from sleeper.session import materialize
+
+    rows = search_pages(df, max_pages, session, page).select(
+        F.struct(session).alias("_s"), page, "ok", "total", (F.size("ids") == 0).alias("empty"),
+        F.posexplode_outer("ids").alias("pos", "appid"))
+    first = materialize(rows.groupBy("_s", "appid").agg(
+        F.min(place(page, "pos")).alias("place"),
+        F.min(F.when(F.col("ok") & F.col("empty"), F.col(page))).alias("stop"),
+        F.min(F.when(~F.col("ok"), F.col(page))).alias("bad"),
+        F.min(_total_key(page)).alias("total")), "session_ids")
+    sessions = materialize(first.groupBy("_s").agg(
+        F.min("stop").alias("s_stop"), F.min("bad").alias("s_bad"), F.min("total").alias("s_total"),
+        F.count(F.lit(1)).alias("n")), "sessions")
+    _refuse_corrupt(sessions, "s_stop", "s_bad", on_corrupt)
+    first_page = F.shiftright("place", 32)
+    total_page = F.floor(F.col("s_total") / _page_unit())
+    out = join_sites(first.select("_s", "appid", "place"), sessions, ["_s"], "n")
+    read = F.col("s_stop").isNull() | (first_page <= F.col("s_stop"))
+    return out.where(read & F.col("appid").isNotNull()).select(
+        F.col(f"_s.{session}").alias(session), "appid", first_page.cast(df.schema[page].dataType).alias("first_page"),
+        F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("first_pos"),
+        F.when(F.col("s_stop").isNull() | (total_page <= F.col("s_stop")),
+               (F.col("s_total") % _page_unit()).cast("long")).alias("reported_total"))
 
 
 def search_page_ids(df: DataFrame, max_pages: int | None = None, session: str = "session_id",
-                    page: str = "page_idx", materialized: bool = True) -> tuple[DataFrame, DataFrame]:
+                    page: str = "page_idx", on_corrupt: str = "fail") -> tuple[DataFrame, DataFrame]:
     """Search-result pages -> ((session, page, pos, appid), (session, reported_total)).
 
-    Ids come from ``data-ds-appid`` attributes of ``results_html`` (missing HTML
-    counts as a page without ids); paging stops at the first page with no ids;
-    the reported total is the first non-zero ``total_count`` in page order (the
-    smaller one if two pages share an index).
-
-    One per-session aggregate yields both the stop page and the first non-zero
-    total: that total belongs to a kept page exactly when its page is not after
-    the stop. The parsed pages (session, page, ids, total) feed both the summary
-    and the join, so with ``materialized`` they are parsed once and written as
-    compact Parquet under the checkpoint folder instead of parsed per reader.
+    Paging stops at the first page with no ids; the reported total is the first
+    non-zero ``total_count`` in page order (the smaller one if two pages share an
+    index), if its page is read. ``on_corrupt``: see :func:`_refuse_corrupt`. The
+    parsed pages are written once; one aggregate over them yields the rules.
     """
-    p = F.from_json(F.col("payload"), T.SEARCH_PAYLOAD)
-    pages = spread(df).select(
-        session, page,
-        F.coalesce(ids_from_attribute_html(p.getField("results_html")), F.array().cast("array<bigint>"))
-         .alias("ids"),
-        F.coalesce(safe_int(p.getField("total_count")), F.lit(0)).alias("total"))
-    if max_pages is not None:
-        pages = pages.where(F.col(page) < max_pages)
-    if materialized:
-        from sleeper.session import materialize
-
-        pages = materialize(pages, "parsed_pages")
-    summary = pages.groupBy(session).agg(
-        F.min(F.when(F.size("ids") == 0, F.col(page))).alias("_stop"),
-        # min_by skips rows whose ordering is NULL: zero totals do not compete.
-        F.min_by(F.struct(F.col(page).alias("p"), F.col("total").alias("t")),
-                 F.when(F.col("total") != 0, F.struct(page, "total"))).alias("_first"))
-    keep = F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))
-    stops = summary.select(F.col(session).alias("_session"), "_stop")
-    kept = pages.join(stops, pages[session].eqNullSafe(stops["_session"])).drop("_session").where(keep)
-    first_ok = F.col("_stop").isNull() | (F.col("_first.p") <= F.col("_stop"))
-    totals = summary.where(F.col("_first").isNotNull() & first_ok).select(
-        session, F.col("_first.t").alias("reported_total"))
-    ids = kept.select(session, page, F.posexplode("ids").alias("pos", "appid"))
-    return ids, totals
+    from sleeper.session import materialize
+
+    pages = materialize(search_pages(df, max_pages, session, page), "parsed_pages")
+    rules = materialize(pages.groupBy(session).agg(
+        F.min(F.when(F.col("ok") & (F.size("ids") == 0), F.col(page))).alias("_stop"),
+        F.min(F.when(~F.col("ok"), F.col(page))).alias("_bad"), F.min(_total_key(page)).alias("_total")), "page_rules")
+    _refuse_corrupt(rules, "_stop", "_bad", on_corrupt)
+    read = F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))
+    mine = rules.withColumnRenamed(session, "_session")
+    kept = pages.join(mine, pages[session].eqNullSafe(mine["_session"])).where(read)
+    total_page = F.floor(F.col("_total") / _page_unit())
+    totals = rules.where(F.col("_total").isNotNull() & (F.col("_stop").isNull() | (total_page <= F.col("_stop")))).select(
+        session, (F.col("_total") % _page_unit()).cast("long").alias("reported_total"))
+    return kept.select(session, page, F.posexplode("ids").alias("pos", "appid")), totals
 
 
 def chart_page_links(df: DataFrame, pattern: str, max_pages: int | None = None,
                      session: str = "session_id", page: str = "page_idx",
                      html: str = "html", as_ids: bool = True) -> DataFrame:
     """Chart/listing pages -> (session, page, pos, value), stopping at the first page
-    whose HTML has no match of ``pattern``. ``as_ids`` casts captures to bigint."""
-    pages = spread(df).select(session, page, links(F.col(html), pattern).alias("vals"))
-    if max_pages is not None:
-        pages = pages.where(F.col(page) <= max_pages)
-    kept = _stop_at_first_empty(pages.withColumn("_n", F.size("vals")), session, page, "_n")
+    whose HTML has no match of ``pattern``. ``as_ids`` casts captures to bigint.
+
+    The HTML is read once; only the links are written, aggregated and joined. The
+    stop is a per-session aggregate joined back (null-safe: pages of a NULL session
+    form their own session).
+    """
+    from sleeper.session import materialize
+
+    pages = df if max_pages is None else df.where(F.col(page) <= max_pages)
+    pages = materialize(pages.select(session, page, links(F.col(html), pattern).alias("vals")), "page_links")
+    stop = pages.groupBy(session).agg(F.min(F.when(F.size("vals") == 0, F.col(page))).alias("_stop"))
+    stop = stop.withColumnRenamed(session, "_session")
+    kept = pages.join(stop, pages[session].eqNullSafe(stop["_session"])).where(
+        F.col("_stop").isNull() | (F.col(page) <= F.col("_stop")))
     out = kept.select(session, page, F.posexplode("vals").alias("pos", "value"))
     if as_ids:
         out = out.withColumn("value", F.col("value").try_cast("bigint"))

@@ -6,11 +6,16 @@ processes everything landed so far and stops, which suits scheduled runs.
 The Parquet file sink commits through its own metadata log, so a replayed
 micro-batch does not duplicate rows.
 
+Rows go to ``<silver_root>/dq_status=passed`` or ``=rejected`` in the same pass, and
+the rule counters are collected with it (as the batch job does).
+
 ST-2: Gold cannot be a pure delta because obscurity divides by the global
 maximum of review counts. The latest-row-per-item table is maintained
-incrementally (new Silver rows merged into the previous latest table), then
-every item is rescored against the new maximum: one narrow pass plus one
-aggregate. Rescoring only the changed items when the maximum did not move
+incrementally: a second stream takes from Silver exactly the files that are
+committed there and that it has not merged yet, whatever run they belong to, so
+a run that lands late, or in a folder without a run's name, is merged like any
+other. Every item is then rescored against the new maximum: one narrow pass plus
+one aggregate. Rescoring only the changed items when the maximum did not move
 would need an anti-join (a shuffle) against the previous Gold to keep the
 others, which costs more than the narrow rescoring pass it would save.
 """
@@ -20,50 +25,101 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from sleeper import schemas as T
 from sleeper.config import ScoreParams
 from sleeper.operators import quality as DQ
 from sleeper.operators.dedup import latest_per_key
 from sleeper.operators.score import score_items
-from sleeper.plans.silver import check_rows, to_silver_rows
+from sleeper.plans.gold import GOLD_INPUT
+from sleeper.plans.silver import STATUS, check_rows, to_silver_rows
+from sleeper.sinks.files import delete_path, list_folders
 from sleeper.sources.files import bronze_reader, with_lineage
 
+METRICS = "silver_dq"
+_SILVER_COLUMNS = [f.name for f in T.SILVER.fields]
+_ROUTED = StructType([*T.SILVER.fields, StructField("failed_rules", ArrayType(StringType())),
+                      StructField(STATUS, StringType())])
+
 
 def silver_stream(spark: SparkSession, bronze_root: str, silver_root: str, checkpoint: str,
                   rules=DQ.RULES_SILVER, available_now: bool = True,
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the incremental Bronze -> Silver stream (passed rows only)."""
+    """Start the incremental Bronze -> Silver stream: passed and rejected rows, by ``dq_status``."""
     r = bronze_reader(spark, stream=True)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    rows = to_silver_rows(with_lineage(r.json(bronze_root)))
-    passed = check_rows(rows, rules).where(F.size("failed_rules") == 0).select(*[f.name for f in T.SILVER.fields])
-    w = (passed.writeStream.format("parquet").option("path", silver_root)
+    checked = check_rows(to_silver_rows(with_lineage(r.json(bronze_root))), rules)
+    checked = checked.observe(METRICS, *DQ.routed_counts(rules))
+    status = F.when(F.size("failed_rules") == 0, F.lit("passed")).otherwise(F.lit("rejected"))
+    w = (checked.select(*_SILVER_COLUMNS, "failed_rules", status.alias(STATUS))
+         .writeStream.format("parquet").option("path", silver_root).partitionBy(STATUS)
          .option("checkpointLocation", checkpoint).option("compression", "snappy").outputMode("append"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
-def run_silver_increment(spark: SparkSession, bronze_root: str, silver_root: str, checkpoint: str,
-                         rules=DQ.RULES_SILVER) -> None:
-    q = silver_stream(spark, bronze_root, silver_root, checkpoint, rules)
+def _finish(q: StreamingQuery) -> StreamingQuery:
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    return q
+
+
+def run_silver_increment(spark: SparkSession, bronze_root: str, silver_root: str, checkpoint: str,
+                         rules=DQ.RULES_SILVER) -> dict[str, int]:
+    """Process what has landed; returns the counters of its rows (``evaluated``, ``malformed``, and
+    each rule's failures by name)."""
+    q = _finish(silver_stream(spark, bronze_root, silver_root, checkpoint, rules))
+    seen = [p.observedMetrics[METRICS].asDict() for p in q.recentProgress if METRICS in p.observedMetrics]
+    return DQ.routed_outcomes(seen, rules)
+
+
+def read_stream_silver(spark: SparkSession, silver_root: str, status: str = "passed") -> DataFrame:
+    """The rows that the stream has committed (its log decides, not the files that lie there)."""
+    rows = spark.read.schema(_ROUTED).parquet(silver_root).where(F.col(STATUS) == status)
+    return rows.select(*_SILVER_COLUMNS, *(["failed_rules"] if status == "rejected" else []))
 
 
 def merge_latest(previous: DataFrame | None, delta: DataFrame, key: str = "appid") -> DataFrame:
     """Latest row per key over (previous latest table + newly arrived rows).
 
     Only the delta and the previous latest table (one row per item) are read,
-    not the whole Silver history."""
+    not the whole Silver history. A row without a run is older than any other."""
     both = delta if previous is None else previous.unionByName(delta)
     return latest_per_key(both, [key], ["run_ts", "source_file"])
 
 
-def refresh_gold(previous_latest: DataFrame | None, delta: DataFrame,
-                 params: ScoreParams = ScoreParams()) -> tuple[DataFrame, DataFrame]:
-    """(new latest table, rescored Gold rows)."""
-    latest = merge_latest(previous_latest, delta)
-    return latest, score_items(latest, params)
+INCREMENT = "increment"
+
+
+def run_latest_increment(spark: SparkSession, silver_root: str, state_root: str, checkpoint: str) -> DataFrame:
+    """Merge the Silver files committed since the last call into the latest-row table.
+
+    A stream copies what Gold needs of them to ``<state_root>/delta``, marked with the
+    number of the increment; version n of the table (``<state_root>/version=n``) is
+    version n-1 merged with increment n. If a call fails, the next one has the same
+    number: what was copied already is merged with what it copies itself. Versions but
+    the last two are deleted.
+    """
+    have = sorted(int(n.split("=")[1]) for n in list_folders(spark, state_root) if n.startswith("version="))
+    number = have[-1] + 1 if have else 0
+    new = spark.readStream.schema(_ROUTED).parquet(silver_root).where(F.col(STATUS) == "passed")
+    new = new.select(*GOLD_INPUT, F.lit(number).alias(INCREMENT))
+    _finish(new.writeStream.format("parquet").option("path", f"{state_root}/delta").partitionBy(INCREMENT)
+            .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
+    delta = spark.read.schema(new.schema).parquet(f"{state_root}/delta").where(F.col(INCREMENT) == number)
+    delta = delta.drop(INCREMENT)
+    previous = spark.read.schema(delta.schema).parquet(f"{state_root}/version={have[-1]}") if have else None
+    path = f"{state_root}/version={number}"
+    merge_latest(previous, delta).write.mode("overwrite").parquet(path)
+    for v in have[:-1]:
+        delete_path(spark, f"{state_root}/version={v}")
+    return spark.read.schema(delta.schema).parquet(path)
+
+
+def run_gold_increment(spark: SparkSession, silver_root: str, state_root: str, checkpoint: str,
+                       params: ScoreParams = ScoreParams()) -> DataFrame:
+    """Gold rows rescored over the latest-row table after merging what Silver has committed."""
+    return score_items(run_latest_increment(spark, silver_root, state_root, checkpoint), params)

@@ -38,7 +38,6 @@ def test_kth_smallest(spark):
     df = spark.range(1, 101).withColumnRenamed("id", "r")
     assert spark.range(1).select(kth_smallest(df, "r", 7)).first()[0] == 7
     assert spark.range(1).select(kth_smallest(df, "r", 500)).first()[0] is None
-    assert spark.range(1).select(kth_smallest(df, "r", 3, limit_threshold=0)).first()[0] == 3
 
 
 SCHEMA = ("candidate_rank int, appid long, details_ok boolean, type string, reviews_ok boolean, "
@@ -76,7 +75,7 @@ F9 = [
 
 def test_first_fail_outcomes(spark):
     data = [(i + 1, 100 + i, *r[:-1]) for i, r in enumerate(F9)]
-    prof = Profile(max_current_players=50, target=1000, max_evaluations=0)
+    prof = Profile(max_current_players=50, target=1000, max_evaluations=None)
     out = FN.run_funnel(enriched(spark, data), prof)
     got = {r["candidate_rank"]: r["outcome"] for r in out.collect()}
     assert [got[i + 1] for i in range(len(F9))] == [r[-1] for r in F9]
@@ -136,7 +135,7 @@ def test_refetched_payloads_do_not_duplicate_candidates(spark):
                                 "appid long, payload string, fetched_at int")
     rev = spark.createDataFrame([(20, '{"query_summary": {"total_reviews": 5}}')], "appid long, payload string")
     latest = P.latest_payloads(cands, {"details": det, "reviews": rev, "players": rev.limit(0)},
-                               max_keys=2, order_by=["fetched_at"])
+                               order_by=["fetched_at"])
     out = FN.enrich(cands, latest)
     got = {r["appid"]: r for r in out.collect()}
     assert sorted(got) == [10, 20]
@@ -144,13 +143,36 @@ def test_refetched_payloads_do_not_duplicate_candidates(spark):
     assert got[20]["details_ok"] is False and got[20]["summary"]["total_reviews"] == 5
 
 
-def test_large_cap_uses_distributed_positions(spark):
-    from sleeper.operators.candidates import WINDOW_LIMIT
-
-    n = WINDOW_LIMIT + 500
+def test_candidate_cap_over_many_ids(spark):
+    n = 10_500
     ids_df = spark.range(n).select((F.col("id") * 7919 % n).alias("appid"), F.col("id").alias("pos"))  # 7919 is coprime with n
-    got = C.merge_sources([("s", ids_df)], max_candidates=WINDOW_LIMIT + 100)
-    assert got.count() == WINDOW_LIMIT + 100
-    assert got.agg(F.min("candidate_rank"), F.max("candidate_rank")).first() == (1, WINDOW_LIMIT + 100)
-    first = got.where("candidate_rank = 1").first()
-    assert (first["appid"], first["first_pos"]) == (0, 0)
+    for cap in (3, n - 400, n + 1):
+        got = C.merge_sources([("s", ids_df)], max_candidates=cap)
+        assert got.agg(F.count("*"), F.min("candidate_rank"), F.max("candidate_rank")).first() == (min(cap, n), 1, min(cap, n))
+        first = got.where("candidate_rank = 1").first()
+        assert (first["appid"], first["first_pos"]) == (0, 0)
+
+
+def test_zero_target_or_budget_evaluates_nothing(spark):
+    for profile in (Profile(target=0), Profile(max_evaluations=0), Profile(target=0, max_evaluations=None)):
+        assert FN.run_funnel(accepted_rows(spark, 4), profile).where("evaluated").count() == 0
+    assert FN.run_funnel(accepted_rows(spark, 4), Profile(max_evaluations=None)).where("evaluated").count() == 4
+
+
+def test_loose_numbers_and_large_ids(spark):
+    from sleeper.sources import payloads as P
+
+    sent = ['{"query_summary": {"total_reviews": "120", "review_score": 9.0, "total_positive": 5}}',
+            '{"query_summary": {"total_reviews": 120.7, "review_score": "x", "total_positive": " 5 "}}']
+    df = spark.createDataFrame(list(enumerate(sent)), "appid long, payload string")
+    got = {r["appid"]: r["summary"] for r in P.parse_reviews(df).collect()}
+    assert [(got[i]["total_reviews"], got[i]["review_score"], got[i]["total_positive"]) for i in (0, 1)] == \
+        [(120, 9, 5), (120, None, 5)]
+    big = 2 ** 31 + 5
+    det = spark.createDataFrame([(big, f'{{"{big}": {{"success": true, "data": {{"name": "n", '
+                                       '"metacritic": {"score": "88"}}}}')], "appid long, payload string")
+    e = P.parse_details(det).select("*", F.lit(None).cast("struct<total_reviews:int,total_positive:int,"
+                                    "total_negative:int,review_score:int,review_score_desc:string>").alias("summary"),
+                                    F.lit(None).cast("long").alias("players"))
+    r = FN.build_entry(e).first()
+    assert (r["appid"], r["nombre"], r["metacritic_score"]) == (None, "n", 88)

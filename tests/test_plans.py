@@ -31,9 +31,9 @@ def test_top_k_is_take_ordered(spark):
 
     assert "TakeOrderedAndProject" in plan(Q.q_hgs_topk(spark, SF_SMALL))
     cands = X.select_candidates(Q.candidate_sources(spark, SF_SMALL), Q.DRIVER_PROFILE, materialized=False)
-    p = plan(cands)
-    assert "TakeOrderedAndProject" in p  # the candidate cap
-    assert "WindowGroupLimit" in p       # each source list trimmed before its shuffle
+    assert "row_number" not in plan(cands)  # positions come from range partitions, not from one task
+    p = plan(Q.candidate_sources(spark, SF_SMALL))
+    assert p.count("WindowGroupLimit") >= 2  # each list trimmed by group, before either shuffle
     scans = [ln for ln in p.splitlines() if ln.startswith("(") and "Scan parquet" in ln]
     assert len(scans) == 1  # all three lists from one lineitem pass
 
@@ -69,8 +69,8 @@ def test_silver_checks_and_write_are_one_scan(spark, tmp_path):
     root = str(tmp_path / "bronze")
     write_bronze(spark.createDataFrame([(1, "A")], "appid int, nombre string"), root, run_ts="2026-01-01 00:00:00")
     rows = to_silver_rows(read_bronze(spark, root))
-    observed, _obs = DQ.observe(rows, DQ.RULES_SILVER)
-    p = plan(check_rows(observed))
+    observed, _obs = DQ.observe(check_rows(rows), DQ.RULES_SILVER)
+    p = plan(observed)
     scans = [ln for ln in p.splitlines() if ln.startswith("(") and "Scan json" in ln]
     assert len(scans) == 1
     assert "CollectMetrics" in p  # the rule counters are collected by the same plan
@@ -80,7 +80,7 @@ def test_scale_conf_sizes_shuffles_from_the_data():
     from sleeper.session import scale_conf
 
     big = scale_conf(100 << 40)  # 100 TB
-    assert int(big["spark.sql.shuffle.partitions"]) == 200_000  # capped; AQE merges small ones
+    assert int(big["spark.sql.shuffle.partitions"]) == 409_600  # 256 MB each; AQE merges small ones
     mid = scale_conf(1 << 40)    # 1 TB
     assert int(mid["spark.sql.shuffle.partitions"]) == 4096
     assert scale_conf(10)["spark.sql.shuffle.partitions"] == "1"

@@ -17,7 +17,7 @@ from conftest import SF_SMALL
 
 def test_three_stages(spark, tmp_path):
     bronze, silver, gold, hist, table = (str(tmp_path / n) for n in ("bronze", "silver", "gold", "hist", "table"))
-    profile = Q.DRIVER_PROFILE.with_overrides(target=50, max_evaluations=0)
+    profile = Q.DRIVER_PROFILE.with_overrides(target=50, max_evaluations=None)
     res = extract_run(spark, Q.candidate_sources(spark, SF_SMALL), L.details_payloads(spark, SF_SMALL),
                       L.reviews_payloads(spark, SF_SMALL), L.players_payloads(spark, SF_SMALL), bronze,
                       profile, run_ts=dt.datetime(2026, 4, 5, 10, 20, 30))
@@ -41,3 +41,5 @@ def test_three_stages(spark, tmp_path):
     report = insight_report(g, k=5)
     assert report["top"].count() == min(5, passed)
     assert set(report) == {"top", "top_per_genre", "genres", "tiers"}
+    again = insight_report(g, history=spark.read.parquet(hist))
+    assert again["rising"].count() == 0  # one run: nothing has risen yet
