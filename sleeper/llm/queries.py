@@ -61,9 +61,7 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.write_tokens(table(spark, sf_dir, "documents"), vocabulary(), end=2)
-    back = token_files.read_tokens(spark, path)
-    return back.select("doc_id", "start", F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
-                       F.crc32("ids").alias("ids_crc32"))
+    return token_files.read_tokens(spark, path, digest=True)
 
 
 #: The conversation that the contract adds: control strings inside texts.

@@ -13,6 +13,7 @@ data), in ascending order of doc_id over shards and inside them, and ``ranks/``
 from __future__ import annotations
 
 import os
+import zlib
 from array import array
 
 import numpy as np
@@ -31,20 +32,29 @@ from sleeper.session import scratch_path
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
 
-def pack(values: np.ndarray) -> tuple[bytes, bytes]:
-    """(control, data) of unsigned 32-bit values."""
-    v = np.ascontiguousarray(values, "<u4")
-    extra = (v > 0xFF).astype(np.uint8) + (v > 0xFFFF) + (v > 0xFFFFFF)
-    quads = np.concatenate([extra, np.zeros(-len(v) % 4, np.uint8)]).reshape(-1, 4)
-    control = (quads << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    return control.tobytes(), v.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]].tobytes()
-
-
-def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The ``n`` values that :func:`pack` was given."""
-    lengths = LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
+def pack(values: np.ndarray, sizes: np.ndarray) -> list[tuple[bytes, bytes]]:
+    """(control, data) of each text: ``values`` holds the unsigned 32-bit values of all texts, ``sizes``
+    how many each has."""
+    whole = -(-sizes // 4) * 4  # each text begins a control byte of its own
+    first, place = np.cumsum(sizes) - sizes, np.cumsum(whole) - whole
+    at = np.repeat(place - first, sizes) + np.arange(len(values))
+    padded, used = np.zeros(int(whole.sum()), "<u4"), np.zeros(int(whole.sum()), bool)
+    padded[at], used[at] = values, True
+    extra = (padded > 0xFF).astype(np.uint8) + (padded > 0xFFFF) + (padded > 0xFFFFFF)
+    control = (extra.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8).tobytes()
+    data = padded.view(np.uint8).reshape(-1, 4)[(np.arange(4) <= extra[:, None]) & used[:, None]].tobytes()
+    ends = np.concatenate([[0], np.cumsum((extra + 1) * used, dtype=np.int64)])[np.concatenate([place, [len(padded)]])].tolist()
+    parts = [*(place // 4).tolist(), len(control)]
+    return [(control[c:d], data[x:y]) for c, d, x, y in zip(parts, parts[1:], ends, ends[1:])]
+
+
+def unpack(control: list[bytes], data: list[bytes], sizes: np.ndarray) -> np.ndarray:
+    """The values of all texts that :func:`pack` was given, by looking up each control byte's lengths."""
+    raw = np.frombuffer(b"".join(data), np.uint8)
+    lengths = LENGTHS[np.frombuffer(b"".join(control), np.uint8)].ravel()
+    whole = -(-sizes // 4) * 4
+    lengths = lengths[np.arange(len(lengths)) - np.repeat(np.cumsum(whole) - whole, whole) < np.repeat(sizes, whole)]
     at = np.cumsum(lengths) - lengths
-    raw = np.frombuffer(data, np.uint8)
     values = raw[at].astype(np.uint32)
     for k in range(1, 4):
         more = np.flatnonzero(lengths > k)
@@ -140,7 +150,8 @@ def write_tokens(docs: DataFrame, vocab: str, path: str | None = None, end: int
 
     def code(batches):
         for b in batches:
-            packed = [pack(rank_of[np.frombuffer(x, width)]) for x in b["ids"].to_pylist()]
+            values = rank_of[np.frombuffer(b"".join(b["ids"].to_pylist()), width)]
+            packed = pack(values, b["n_tokens"].to_numpy())
             yield pa.RecordBatch.from_arrays(
                 [b["shard"], b["doc_id"], b["start"], b["n_tokens"], pa.array([c for c, _ in packed], pa.binary()),
                  pa.array([d for _, d in packed], pa.binary())],
@@ -153,19 +164,24 @@ def write_tokens(docs: DataFrame, vocab: str, path: str | None = None, end: int
     return path
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of a token folder; ids little-endian unsigned 32-bit."""
+def read_tokens(spark: SparkSession, path: str, digest: bool = False) -> DataFrame:
+    """(doc_id, start, n_tokens, ids) of a token folder; ids little-endian unsigned 32-bit, or with
+    ``digest`` their number and unsigned crc32 instead (n_tokens, ids_crc32)."""
     by_rank = np.array([r["id"] for r in spark.read.schema("rank long, id long").parquet(f"{path}/ranks")
                        .orderBy("rank").collect()], "<u4")  # the vocabulary at most
+    last = "ids_crc32 long" if digest else "ids binary"
 
     def run(batches):
         for b in batches:
-            ids = [by_rank[unpack(c, d, n)].tobytes() for c, d, n in
-                   zip(b["control"].to_pylist(), b["data"].to_pylist(), b["n_tokens"].to_pylist())]
-            yield pa.RecordBatch.from_arrays([b["doc_id"], b["start"], b["n_tokens"], pa.array(ids, pa.binary())],
-                                             ["doc_id", "start", "n_tokens", "ids"])
+            sizes = b["n_tokens"].to_numpy()
+            raw = by_rank[unpack(b["control"].to_pylist(), b["data"].to_pylist(), sizes)].tobytes()
+            ends = (np.cumsum(sizes) * 4).tolist()
+            ids = [raw[x:y] for x, y in zip([0, *ends], ends)]
+            out = pa.array([zlib.crc32(x) for x in ids], pa.int64()) if digest else pa.array(ids, pa.binary())
+            n = pa.array([len(x) // 4 for x in ids], pa.int64())
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["start"], n, out],
+                                             ["doc_id", "start", "n_tokens", last.split()[0]])
 
     files = spark.read.schema("doc_id long, start long, n_tokens long, control binary, data binary, shard int") \
         .parquet(f"{path}/ids")
-    return map_batches(files.drop("shard"), run, "doc_id long, start long, n_tokens long, ids binary", rows=128)
-
+    return map_batches(files.drop("shard"), run, f"doc_id long, start long, n_tokens long, {last}", rows=128)

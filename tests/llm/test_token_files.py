@@ -15,12 +15,14 @@ VOCAB = queries.vocabulary()
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2 ** 32 - 1)), max_size=50))
-def test_pack_and_unpack(values):
-    control, data = T.pack(np.array(values, np.uint32))
-    assert len(control) == -(-len(values) // 4)
-    assert len(data) == sum(max(1, -(-v.bit_length() // 8)) for v in values)
-    assert T.unpack(control, data, len(values)).tolist() == values
+@given(st.lists(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2 ** 32 - 1)), max_size=20), max_size=8))
+def test_pack_and_unpack(texts):
+    flat, sizes = np.array([v for t in texts for v in t], np.uint32), np.array([len(t) for t in texts], np.int64)
+    packed = T.pack(flat, sizes)
+    for (control, data), t in zip(packed, texts, strict=True):
+        assert len(control) == -(-len(t) // 4)
+        assert len(data) == sum(max(1, -(-v.bit_length() // 8)) for v in t)
+    assert T.unpack([c for c, _ in packed], [d for _, d in packed], sizes).tolist() == flat.tolist()
 
 
 @settings(max_examples=60, deadline=None)
