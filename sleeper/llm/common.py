@@ -12,11 +12,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sleeper.operators.skew import join_sites  # noqa: F401  for the operators
 from sleeper.session import scratch_path
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A key is hot from this share of all rows on; by counting, at most 1 / HOT_SHARE keys are.
-HOT_SHARE = 1 / 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,23 +73,6 @@ def with_row_id(df: DataFrame, *cols, file: str = "_file", row: str = "_row") ->
     return keep(df.select(*cols, F.lit(0).cast("long").alias(file), F.monotonically_increasing_id().alias(row)), "rows")
 
 
-def join_sites(left: DataFrame, sites: DataFrame, keys: list[str], count: str, how: str = "inner") -> DataFrame:
-    """``left`` joined with ``sites``, which has one row per key and, in ``count``,
-    how many rows of ``left`` hold the key.
-
-    Keys with HOT_SHARE or more of all rows are at most 1/HOT_SHARE many, so they
-    are broadcast and their rows stay where they are; all other keys are small
-    enough for a shuffle join. Keys must not be null. ``sites`` and ``left``
-    should be written frames: both are read twice.
-    """
-    total = sites.agg(F.coalesce(F.sum(count), F.lit(0)).alias("t")).first()["t"]
-    floor = max(1, int(total * HOT_SHARE))
-    hot = F.broadcast(sites.where(F.col(count) > floor))
-    cold = sites.where(F.col(count) <= floor)
-    spread = left.join(hot.select(*keys), keys, "left_anti").join(cold, keys, how)
-    return left.join(hot, keys, "inner").unionByName(spread)
-
-
 def keep_rows(docs: DataFrame, decide: Callable[[DataFrame], DataFrame], *cols) -> DataFrame:
     """The rows of ``docs`` that ``decide`` does not reject, with their columns as they are.
 

@@ -217,7 +217,7 @@ def templates(rows: DataFrame) -> DataFrame:
 def nest(template: list[dict]) -> dict[str, tuple[int, bool]]:
     """The valid tokens by container: a class whose tokens' containers are not in the
     template themselves has no slot to stand in, and goes."""
-    by_path = {t["token"].partition(">")[0]: t for t in template if not t["token"].startswith("/")}
+    by_path = {t["token"]: t for t in template if re.match(r"/[^/>]+(/[^/>]+)*$", t["token"])}  # not their ends
     kept: dict[str, tuple[int, bool]] = {}
     for path in sorted(by_path, key=lambda p: p.count("/")):
         above = path.rpartition("/")[0]

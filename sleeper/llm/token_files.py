@@ -77,14 +77,17 @@ def _library(vocab: str, code: str) -> Pieces:
         t.no_padding()
 
         signs = {byte: sign for sign, byte in byte_signs().items()}
-        model = t.model
+        model, space = t.model, signs[0x20]
+
+        def ids(word: str) -> list[int]:
+            spelt = space + word[1:] if word.isascii() else word.encode().decode("latin-1").translate(signs)
+            return [x.id for x in model.tokenize(spelt)]
 
         def encode(pieces: list[str]) -> list[bytes]:
             # a space and letters are one word: it goes to the library's model, in its alphabet for bytes
             words = [p[:1] == " " and p[1:].isalpha() for p in pieces]
             rest = iter(t.encode_batch_fast([p for p, w in zip(pieces, words) if not w], add_special_tokens=False))
-            return [array(code, [x.id for x in model.tokenize(p.encode().decode("latin-1").translate(signs))]
-                          if w else next(rest).ids).tobytes() for p, w in zip(pieces, words)]
+            return [array(code, ids(p) if w else next(rest).ids).tobytes() for p, w in zip(pieces, words)]
 
         _LIBRARY[vocab, code] = Pieces(encode)
     return _LIBRARY[vocab, code]
