@@ -29,6 +29,8 @@ STEMS = (4, 5, 6, 7, 8)
 #: A site's prior may move a document's log odds by so much at most.
 SWAY = 2.0
 THRESHOLD = 0.5
+#: Distinct marks a counting task holds before it passes them on.
+HELD = 200_000
 HEADS = ("low", "toxic")
 FORMS, MEASURES = 13, 4
 _STRIP = ".,;:!?()[]\"'*#%&$|"
@@ -76,19 +78,32 @@ def markers(labelled: DataFrame) -> dict[str, dict[str, float]]:
         F.min("text").alias("text"), *(F.max(h).alias(h) for h in HEADS)).drop("_same"), "distinct_labelled")
 
     def run(batches):
+        seen: dict[str, list[int]] = {}
+
+        def flush():
+            counts = np.array(list(seen.values()), np.int64).reshape(-1, 3)
+            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), *(pa.array(counts[:, k]) for k in range(3))],
+                                             ["word", "n", *HEADS])
+            seen.clear()
+            return out
+
         for b in batches:
-            low, toxic = (np.array(b[h].to_pylist(), float) for h in HEADS)
-            words, at = [], []
-            for i, t in enumerate(texts_of(b["text"])):
-                own = marks(t)
-                words += own
-                at += [i] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(low[at]), pa.array(toxic[at])],
-                                             ["word", *HEADS])
+            for t, low, toxic in zip(texts_of(b["text"]), b["low"].to_pylist(), b["toxic"].to_pylist()):
+                for m in marks(t):
+                    c = seen.get(m)
+                    if c is None:
+                        seen[m] = [1, low, toxic]
+                    else:
+                        c[0] += 1
+                        c[1] += low
+                        c[2] += toxic
+                if len(seen) >= HELD:
+                    yield flush()
+        yield flush()
 
     totals = labelled.agg(F.count("*").alias("n"), *(F.coalesce(F.sum(h), F.lit(0)).alias(h) for h in HEADS)).first()
-    counts = map_batches(labelled, run, "word string, low double, toxic double").where("word != ''") \
-        .groupBy("word").agg(F.count("*").alias("n"), *(F.sum(h).alias(h) for h in HEADS))
+    counts = map_batches(labelled, run, "word string, n long, low long, toxic long") \
+        .groupBy("word").agg(*(F.sum(c).alias(c) for c in ("n", *HEADS)))
     counts = keep(counts.where("n > 1"), "label_words")
     out = {}
     def part(x: F.Column, expected: F.Column) -> F.Column:

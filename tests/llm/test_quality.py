@@ -1,13 +1,16 @@
 from __future__ import annotations
 
-import zlib
+import sys
 
 import numpy as np
 from llm_support import CLASH, make  # noqa: F401
+from pyspark import cloudpickle
 
 from sleeper.llm import quality as Q
 from sleeper.llm import queries
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers can't import the tests
+
 DOCS = "doc_id long, text string, source string, lang string"
 SF = "/root/testdata/sf0.1"
 
@@ -18,13 +21,10 @@ def test_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     half = "crc32(cast(cast(doc_id as string) as binary)) % 2 = "
     model = Q.train(docs, labels.where(half + "0"))
-    got = Q.judge(docs, model).join(labels.where(half + "1"), "doc_id").select("low", "toxic", "quality", "kept",
-                                                                              "p_toxic").toArrow().to_pandas()
-    bad = (got["quality"] == 0)
-    assert ((got["low"] > 0.5) == bad).mean() > 0.97
-    truth = spark.read.parquet(f"{SF}/labels.parquet").where(half + "1")
-    toxic = Q.judge(docs, model).join(truth.withColumnRenamed("toxic", "truth"), "doc_id") \
-        .select("toxic", "truth").toArrow().to_pandas()
+    truth = labels.where(half + "1").withColumnRenamed("toxic", "truth")
+    got = Q.judge(docs, model).join(truth, "doc_id").select("low", "toxic", "quality", "truth").toArrow().to_pandas()
+    assert ((got["low"] > 0.5) == (got["quality"] == 0)).mean() > 0.99
+    toxic = got
     hit = toxic["toxic"] > 0.5
     assert (hit & (toxic["truth"] == 1)).sum() / max((toxic["truth"] == 1).sum(), 1) > 0.9
     assert (hit & (toxic["truth"] == 0)).mean() < 0.01
