@@ -119,6 +119,12 @@ def split(df: DataFrame, rules, col: str = "failed_rules") -> tuple[DataFrame, D
     return ev.where(F.size(col) == 0).drop(col), ev.where(F.size(col) > 0)
 
 
+def audit(df: DataFrame, rules, col: str = "failed_rules") -> DataFrame:
+    """All rows with the rules they fail and ``outcome`` (Passed or Failed), none routed away."""
+    return evaluate(df, rules, col).withColumn(
+        "outcome", F.when(F.size(col) == 0, F.lit("Passed")).otherwise(F.lit("Failed")))
+
+
 def _count_columns(rules) -> list[Column]:
     return [F.count(F.lit(1)).alias("evaluated")] + [
         F.count_if(r.failure()).alias(f"f{i}") for i, r in enumerate(rules)]

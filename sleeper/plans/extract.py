@@ -73,7 +73,7 @@ def select_candidates(sources: list[tuple[str, DataFrame]] | DataFrame, profile:
 def evaluate_candidates(cands: DataFrame, details: DataFrame, reviews: DataFrame,
                         players: DataFrame, profile: Profile, chart_ranks: DataFrame | None = None) -> ExtractResult:
     """JOB-2 over landed payload tables (appid, payload[, fetched_at]). With ``chart_ranks`` the
-    entries also carry ``fuentes`` (the lists an item came from) and ``chart_rank``."""
+    entries also carry ``sources`` (array of the lists an item came from) and ``chart_rank``."""
     raws = {"details": details, "reviews": reviews, "players": players}
     latest = P.latest_payloads(cands, raws, order_by=["fetched_at"])
     enriched = FN.enrich(cands, latest)
@@ -84,5 +84,5 @@ def evaluate_candidates(cands: DataFrame, details: DataFrame, reviews: DataFrame
     more = []
     if chart_ranks is not None:
         accepted = accepted.join(chart_ranks, "appid", "left")
-        more = [F.array_join("sources", ",").alias("fuentes"), F.col("chart_rank")]
+        more = [F.col("sources"), F.col("chart_rank")]
     return ExtractResult(cands, funnel, FN.build_entry(accepted, more=more), FN.funnel_stats(funnel))

@@ -198,7 +198,7 @@ def _faulty() -> str:
         cols.append(f"CASE {whens} ELSE {c} END AS {c}")
     return f"""
 clean AS (SELECT * FROM snapshots),
-planted AS (SELECT {', '.join(cols)} FROM clean)"""
+planted AS (SELECT {', '.join(cols)}, run, generos FROM clean)"""
 
 
 def page_oracles() -> dict[str, str]:
@@ -213,7 +213,7 @@ UNION ALL SELECT CAST(session_id AS BIGINT), CAST(page AS INTEGER), 1, CAST(k +
 SELECT candidate_rank, CAST(appid AS BIGINT) AS appid, first_source, sources FROM cands"""
     item = _open_item()
     q["q_entries_from_pages"] = with_(PAGES, item) + """
-SELECT f.appid, f.nombre, f.total_resenas, k.sources AS fuentes, CAST(t.rank AS INTEGER) AS chart_rank
+SELECT f.appid, f.nombre, f.total_resenas, k.sources AS sources, CAST(t.rank AS INTEGER) AS chart_rank
 FROM classified c JOIN flat f ON c.appid = f.key JOIN cands k ON k.appid = c.appid
 LEFT JOIN (SELECT appid, max(rank) AS rank FROM top_list GROUP BY appid) t ON t.appid = c.appid
 WHERE c.outcome = 'accepted'"""
@@ -234,6 +234,12 @@ UNION ALL SELECT 'evaluados', count(*) FROM classified"""
 SELECT l_orderkey AS list_id, 2 * count(*) AS ids, 2 AS last_rank FROM lineitem GROUP BY l_orderkey"""
     for name, rules in (("q_dq_outcomes_all", SILVER_RULES), ("q_readme_rules_all", README_RULES)):
         q[name] = with_(SNAPSHOTS, _faulty()) + _outcomes(rules).replace("FROM snapshots)", "FROM planted)")
+    failed = " + ".join(f"CAST(({f}) AS INTEGER)" for _, f in SILVER_RULES)
+    q["q_dq_audit"] = with_(SNAPSHOTS, _faulty()) + f""",
+f AS (SELECT run, {failed} AS failed, len(string_split(generos, ' | ')) AS genres FROM planted)
+SELECT run, CASE WHEN failed = 0 THEN 'Passed' ELSE 'Failed' END AS outcome, count(*) AS "rows",
+       CAST(sum(failed) AS BIGINT) AS failed, CAST(sum(genres) AS BIGINT) AS genres
+FROM f GROUP BY 1, 2"""
     q["q_price_forms"] = """
 SELECT p_partkey AS appid, CAST(CASE p_partkey % 8
          WHEN 0 THEN floor(p_retailprice) WHEN 1 THEN floor(p_retailprice) WHEN 3 THEN -p_retailprice
@@ -500,7 +506,7 @@ FROM orders"""
 
 
 # ---------------------------------------------------------------------------
-# data quality and upsert
+# data quality and upsert (fixed values: the names of rules, outcomes and columns)
 # ---------------------------------------------------------------------------
 
 SILVER_RULES = [

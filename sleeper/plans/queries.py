@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sleeper.config import Profile, ScoreParams
 from sleeper.functions.ids import safe_int
 from sleeper.functions.price import parse_price
-from sleeper.functions.text import is_target_label, normalize_text, slug
+from sleeper.functions.text import is_target_label, normalize_text, slug, split_list
 from sleeper.operators import candidates as C
 from sleeper.operators import insights
 from sleeper.operators import quality as DQ
@@ -439,8 +439,8 @@ def _extract_from_pages(spark: SparkSession, sf_dir: str) -> tuple[X.PageSources
 
 def q_entries_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accepted items with the lists they came from and their rank in the ranked list."""
-    return _extract_from_pages(spark, sf_dir)[1].entries.select("appid", "nombre", "total_resenas", "fuentes",
-                                                               "chart_rank")
+    return _extract_from_pages(spark, sf_dir)[1].entries.select(
+        "appid", "nombre", "total_resenas", F.array_join("sources", ",").alias("sources"), "chart_rank")
 
 
 def q_metadata_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -475,6 +475,14 @@ def q_dq_outcomes_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DQ.outcomes(faulty_silver(spark, sf_dir), DQ.RULES_SILVER)
 
 
+def q_dq_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row, passed or not, with its outcome and the rules it fails, and its genres as an array."""
+    rows = DQ.audit(faulty_silver(spark, sf_dir), DQ.RULES_SILVER)
+    return rows.select("desarrolladores", "run", "outcome", F.size("failed_rules").alias("failed"),
+                       F.size(split_list("generos")).alias("genres")).groupBy("run", "outcome").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("failed").alias("failed"), F.sum("genres").alias("genres"))
+
+
 def q_readme_rules_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DQ.outcomes(faulty_silver(spark, sf_dir), DQ.RULES_README)
 
