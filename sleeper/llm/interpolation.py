@@ -280,8 +280,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held:
     n, v = t["n_train"], t["v_train"]
     by_block = answers.where("block >= 0").groupBy("block").agg(
         F.collect_list(F.struct("shard", "train", "dev")).alias("answers"))
-    whole = keep(blocks.join(by_block, "block"), "lm_counted")
-    drop_kept(blocks, answers)
+    whole = blocks.join(by_block, "block")  # made for each of the two passes: a written copy would hold the blocks twice
 
     def deleted(batches):
         for b in batches:
@@ -318,7 +317,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held:
                      pa.array(np.add.reduceat(mixed, k.starts))],
                     [x.split()[0] for x in SCORES.split(", ")])
 
-    return keep(map_batches(whole, scores, SCORES, rows=1), "lm_scores", batch=2)
+    out = keep(map_batches(whole, scores, SCORES, rows=1), "lm_scores", batch=2)
+    drop_kept(blocks, answers)
+    return out
 
 
 SCORES = ("_file long, _row long, doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
