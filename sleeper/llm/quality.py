@@ -12,6 +12,8 @@ are the prior that the document's evidence is combined with.
 
 from __future__ import annotations
 
+from operator import eq
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,7 +27,7 @@ FITTED = 20_000
 #: the G statistic of Z on.
 MARKERS, Z = 2_000, 4.0
 #: Beginnings of words of these lengths are marks like whole words.
-STEMS = (4, 5, 6, 7, 8)
+STEMS = (4, 5, 7)
 #: A site's prior may move a document's log odds by so much at most.
 SWAY = 2.0
 THRESHOLD = 0.5
@@ -43,27 +45,32 @@ def marks_of(word: str) -> list[str]:
 
 def words_of(text: str) -> set[str]:
     """A text's words in lower case, without punctuation."""
-    return {w.strip(_STRIP) for w in text.lower().split()} - {""}
+    return {w.strip(_STRIP) for w in set(text.lower().split())} - {""}
 
 
 def marks(text: str) -> set[str]:
     return {m for w in words_of(text) for m in marks_of(w)}
 
 
+_SPACE, _UPPER, _DIGIT = b" \t\n\r\x0b\x0c", bytes(range(65, 91)), b"0123456789"
+_SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+
+
+def _count(raw: bytes, of: bytes) -> int:
+    return len(raw) - len(raw.translate(None, of))
+
+
 def form(text: str) -> list[float]:
-    """Measures of a text's form, each about between 0 and 1."""
-    words = text.split()
-    n, chars = max(len(words), 1), max(len(text), 1)
-    letters = max(sum(map(str.isalpha, text)), 1)
-    lower = [w.lower() for w in words]
-    runs = sum(a == b for a, b in zip(lower, lower[1:]))
+    """Measures of a text's form, each about between 0 and 1. Signs are counted as bytes."""
+    raw, words = text.encode("utf-8", "surrogatepass"), text.lower().split()
+    n, size = max(len(words), 1), max(len(raw), 1)
+    solid = max(size - _count(raw, _SPACE), 1)
+    digits, signs = _count(raw, _DIGIT), _count(raw, _SIGNS)
+    letters = max(solid - digits - signs, 1)
     lines = [x for x in text.split("\n") if x.strip()]
-    solid = sum(not c.isspace() for c in text) or 1
-    return [np.log1p(n) / 10, min(sum(map(len, words)) / n / 10, 3), sum(map(str.isupper, text)) / letters,
-            1 - letters / solid, sum(map(str.isdigit, text)) / chars, text.count("|") / n,
-            sum(w[-1:] in "*#%&$" and len(w) > 1 for w in words) / n, text.count("!!") / n, runs / n,
-            1 - len(set(lower)) / n, 1 - len(set(lines)) / max(len(lines), 1),
-            sum(w[-1:] in ".!?" for w in words) / n, float(not words)]
+    return [np.log1p(n) / 10, min(solid / n / 10, 3), _count(raw, _UPPER) / letters, 1 - letters / solid, digits / size,
+            raw.count(b"|") / n, _count(raw, b"*#%&$") / n, raw.count(b"!!") / n, sum(map(eq, words, words[1:])) / n,
+            1 - len(set(words)) / n, 1 - len(set(lines)) / max(len(lines), 1), _count(raw, b".!?") / n, float(not words)]
 
 
 # ---------------------------------------------------------------- document classifier
@@ -128,12 +135,15 @@ class Classifier:
 
     def __init__(self, marks: dict[str, dict[str, float]]):
         self.marks, self.weights, self.mean, self.scale = marks, {}, None, None
+        # every mark of a word begins as the word does: most words end at this set
+        self.begin = {m.removeprefix("^")[:STEMS[0]] for found in marks.values() for m in found}
 
     def features(self, text: str) -> list[float]:
-        own, out = words_of(text), form(text)
+        own, out, begin, first = words_of(text), form(text), self.begin, STEMS[0]
+        marked = [marks_of(w) for w in own if w[:first] in begin]
         for h in HEADS:
             found = self.marks[h]
-            best = sorted((max(hits) for w in own if (hits := [found[m] for m in marks_of(w) if m in found])), reverse=True)
+            best = sorted((max(hits) for ms in marked if (hits := [found[m] for m in ms if m in found])), reverse=True)
             strong = [x for x in best if x > 2]
             out += [max([0.0, *best[:1]]) / 5, max([0.0, *best[1:2]]) / 5, np.log1p(len(strong)),
                     np.log1p(len(strong)) - np.log1p(len(own)) / 2]
