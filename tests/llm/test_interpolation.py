@@ -31,22 +31,22 @@ def brute(docs, rounds=I.ROUNDS):
                 uni.update(s)
                 pair.update(zip([begin, *s], s))
                 n += 1
+        tokens = sum(uni.values())
         uni[begin] = n
-        return uni, pair
+        return uni, pair, tokens
 
-    def estimates(a, b, uni, pair):
-        n = sum(v for k, v in uni.items() if k != begin)
+    def estimates(a, b, uni, pair, n):
         c = uni[a]
         return min(int(math.log2(c + 1)), I.BUCKETS - 1), pair[a, b] / max(c, 1), uni[b] / max(n, 1)
 
-    uni0, pair0 = counts({0})
+    uni0, pair0, n0 = counts({0})
     dev = counts({1})[1]
     v0 = sum(1 for k, v in uni0.items() if v and k != begin)
     weights = np.full((I.BUCKETS, 3), 1 / 3)
     for _ in range(rounds):
         sums = np.ones((I.BUCKETS, 3))
         for (a, b), m in dev.items():
-            k, p2, p1 = estimates(a, b, uni0, pair0)
+            k, p2, p1 = estimates(a, b, uni0, pair0, n0)
             p = weights[k] * np.array([p2, p1, 1 / (v0 + 1)])
             sums[k] += m * p / p.sum()
         new = sums / sums.sum(axis=1, keepdims=True)
@@ -54,14 +54,13 @@ def brute(docs, rounds=I.ROUNDS):
         weights = new
         if done:
             break
-    uni, pair = counts({0, 1})
-    n = sum(v for k, v in uni.items() if k != begin)
+    uni, pair, n = counts({0, 1})
     v = sum(1 for k, x in uni.items() if x and k != begin)
     out = {}
     for i, s in seqs:
         score = base = 0.0
         for a, b in zip([begin, *s], s):
-            k, p2, p1 = estimates(a, b, uni, pair)
+            k, p2, p1 = estimates(a, b, uni, pair, n)
             score += math.log10(weights[k] @ np.array([p2, p1, 1 / (v + 1)]))
             base += math.log10((uni[b] + 1) / (n + v + 1))
         out[i] = (part[i] == 2, len(s), sum(uni[b] > 0 for b in s), n, base, score)
