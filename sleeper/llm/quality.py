@@ -12,6 +12,7 @@ are the prior that the document's evidence is combined with.
 
 from __future__ import annotations
 
+from collections import Counter
 from operator import eq
 
 import numpy as np
@@ -85,26 +86,24 @@ def markers(labelled: DataFrame) -> dict[str, dict[str, float]]:
         F.min("text").alias("text"), *(F.max(h).alias(h) for h in HEADS)).drop("_same"), "distinct_labelled")
 
     def run(batches):
-        seen: dict[str, list[int]] = {}
+        seen = [Counter() for _ in range(1 + len(HEADS))]  # documents, and the bad ones of each head
 
         def flush():
-            counts = np.array(list(seen.values()), np.int64).reshape(-1, 3)
-            out = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), *(pa.array(counts[:, k]) for k in range(3))],
+            names = list(seen[0])
+            out = pa.RecordBatch.from_arrays([pa.array(names, pa.string()),
+                                              *(pa.array([c[m] for m in names], pa.int64()) for c in seen)],
                                              ["word", "n", *HEADS])
-            seen.clear()
+            for c in seen:
+                c.clear()
             return out
 
         for b in batches:
-            for t, low, toxic in zip(texts_of(b["text"]), b["low"].to_pylist(), b["toxic"].to_pylist()):
-                for m in marks(t):
-                    c = seen.get(m)
-                    if c is None:
-                        seen[m] = [1, low, toxic]
-                    else:
-                        c[0] += 1
-                        c[1] += low
-                        c[2] += toxic
-                if len(seen) >= HELD:
+            for t, *bad in zip(texts_of(b["text"]), *(b[h].to_pylist() for h in HEADS)):
+                own = marks(t)
+                for c, counts in zip(seen, (True, *bad)):
+                    if counts:
+                        c.update(own)
+                if len(seen[0]) >= HELD:
                     yield flush()
         yield flush()
 
@@ -195,10 +194,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     labelled = keep(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
                     .join(by_id, "id").select("id", "text", *HEADS), "labelled")
     model = Classifier(markers(labelled.select("text", *HEADS)))
-    n = labelled.count()
 
-    # the sample's features, not its texts, go to the driver: FITTED short rows at most
-    chosen = labelled.orderBy(F.xxhash64("id"), "id").limit(fitted) if n > fitted else labelled
+    # the sample's features, not its texts, go to the driver: short rows of ``fitted`` documents at most
+    ids = labelled.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(fitted)
+    chosen = labelled.join(F.broadcast(ids), "id", "left_semi")
 
     def run(batches):
         for b in batches:
