@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sleeper.llm.common import join_sites, keep, map_batches, texts_of, with_row_id
 
-#: Labelled documents that the regression is fitted on at most (the first by a hash of the id).
+#: Labelled documents that marks and regression are fitted on at most (the first by a hash of the id).
 FITTED = 20_000
 #: Words and beginnings of words kept for each class: those that mark it best, from a signed root of
 #: the G statistic of Z on.
@@ -79,7 +79,7 @@ def form(text: str) -> list[float]:
 def markers(labelled: DataFrame) -> dict[str, dict[str, float]]:
     """For each head, marks and their log odds in favour of the bad class.
 
-    Counts documents over all labelled texts (text, low, toxic), equal texts once;
+    Counts documents over the labelled texts (text, low, toxic), equal texts once;
     only the MARKERS best significant marks of each head reach the driver.
     """
     labelled = keep(labelled.groupBy(F.xxhash64("text").alias("_same")).agg(
@@ -186,26 +186,25 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.3) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           fitted: int = FITTED) -> Classifier:
-    """From the documents that ``labels`` (doc_id, quality, toxic) covers. Labels with a null id are
-    dropped, null classes count as good, and of several labels of one id the worst counts."""
+    """Fit on the documents that ``labels`` (doc_id, quality, toxic) covers, of at most ``fitted`` ids:
+    the first by their hash. Their rows are few and go to the documents, whose texts stay where they
+    are. Labels with a null id are dropped, null classes count as good, and of several labels of one
+    id the worst counts."""
     by_id = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("id")).agg(
         (1 - F.min(F.coalesce("quality", F.lit(1)))).cast("int").alias("low"),
         F.max(F.coalesce("toxic", F.lit(0))).cast("int").alias("toxic"))
+    chosen = by_id.orderBy(F.xxhash64("id"), "id").limit(fitted)
     labelled = keep(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-                    .join(by_id, "id").select("id", "text", *HEADS), "labelled")
+                    .join(F.broadcast(chosen), "id").select("text", *HEADS), "labelled")
     model = Classifier(markers(labelled.select("text", *HEADS)))
 
-    # the sample's features, not its texts, go to the driver: short rows of ``fitted`` documents at most
-    ids = labelled.select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(fitted)
-    chosen = labelled.join(F.broadcast(ids), "id", "left_semi")
-
     def run(batches):
         for b in batches:
             x = [model.features(t) for t in texts_of(b["text"])]
             yield pa.RecordBatch.from_arrays([b["low"], b["toxic"], pa.array(x, pa.list_(pa.float64()))],
                                              ["low", "toxic", "x"])
 
-    sample = map_batches(chosen, run, "low int, toxic int, x array<double>").toArrow()
+    sample = map_batches(labelled, run, "low int, toxic int, x array<double>").toArrow()
     model.fit(np.array(sample["x"].to_pylist(), float), {h: sample[h].to_numpy() for h in HEADS})
     return model
 
