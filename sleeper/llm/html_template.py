@@ -4,10 +4,11 @@ A page is a row of tokens: tags, told apart by the containers they stand in
 (``article/p`` is not ``nav/p``). Over the pages of a host each token has an
 occurrence vector, its count on every page. Tokens with the same vector form an
 equivalence class; classes that occur on enough pages and have enough tokens are
-the template, nested by the containers of their tokens, and what lies between
-their tokens are the slots. Slots in menus, adverts and the like, and slots outside
-the article that say the same on every page, are dropped; the text of the others is
-the page's.
+the template, nested by the containers of their tokens. Each page is cut at the
+template's block tags, and what lies between two cuts is a slot. A slot that says the
+same on every page is the template's, inside the article too, unless the pages say
+the same as a whole (copies). The text of the slots that vary is the page's, without
+menus, adverts and the like, which elements and whole names tell.
 
 Vectors are never gathered: a token's vector is known by the exclusive or of one
 hash for each page and count, which is summed up before and after the shuffle, so
@@ -19,9 +20,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from itertools import groupby
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -58,90 +57,119 @@ _WORD = re.compile(r"[a-z]+")
 _SIGNS = str.maketrans("/>[]=", "_____")
 
 
-def tokens(page: str):
-    """(path, tag, text) in page order: a tag with the path of the containers around it, or
-    (path, None, text) for the text between. A container's own tag has its path, and ends as ``/path``."""
-    stack: list[tuple[str, str]] = [("", "")]  # path, element
-    at = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > at:
-            yield stack[-1][0], None, page[at:m.start()]
-        at = m.end()
-        name = m[3]
-        if name is None:
-            continue
-        name = name.lower()
-        if m[2]:
-            if name in CONTAINERS:
-                i = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][1] == name), 0)
+def boilerplate(name: str) -> bool:
+    """Does a name say that its container is no text?"""
+    words = set(_WORD.findall(name))
+    return bool(words & BOILERPLATE)
+
+
+def short(path: str) -> str:
+    """A path of bounded length in place of ``path``."""
+    return f"/~{xxhash.xxh3_64_hexdigest(path)}"
+
+
+class Page:
+    """A page's containers (number 0 is the page), in page order, and its tokens.
+
+    ``tokens``: (container, token, element, text) of a tag, or (container, None, None, text) of the
+    text between. A container's own tag has its path as token, and ends as ``/path``; the
+    token of another tag is ``path>tag``.
+    """
+
+    def __init__(self, page: str):
+        self.paths, self.parents, self.elements = [""], [-1], [""]
+        self.named, self.mains = [False], [False]
+        self.tokens: list[tuple] = []
+        stack, add, at = [0], self.tokens.append, 0
+        for m in _TOKEN.finditer(page):
+            if m.start() > at:
+                self._text(stack[-1], page[at:m.start()])
+            at = m.end()
+            name = m[3]
+            if name is None:
+                continue
+            name = name.lower()
+            if m[2]:
+                i = 0
+                if name in CONTAINERS:
+                    i = next((i for i in range(len(stack) - 1, 0, -1) if self.elements[stack[i]] == name), 0)
                 if i:
-                    path = stack[i][0]
+                    path = self.paths[stack[i]]
                     del stack[i:]
-                    yield stack[-1][0], "/" + path, None
-                    continue
-            yield stack[-1][0], "/" + name, None
-        elif name in CONTAINERS:
-            marks = "".join(f"[{k.lower()}={' '.join((a or b or c).lower().translate(_SIGNS).split())}]"
-                            for k, a, b, c in _NAME.findall(m[4])) if "=" in m[4] else ""
-            path = f"{stack[-1][0]}/{name}{marks}" if len(stack) <= DEPTH else stack[-1][0]
-            stack.append((path, name))
-            yield path, path, None
-        else:
-            yield stack[-1][0], name, None
-    if at < len(page):
-        yield stack[-1][0], None, page[at:]
-
-
-def element(tag: str) -> str:
-    """The element a token's tag stands for."""
-    return tag.lstrip("/").rpartition("/")[2].partition("[")[0]
-
-
-_ROLES: dict[str, tuple[bool, bool]] = {}
-
-
-def roles(path: str) -> tuple[bool, bool]:
-    """(in the article, in a part that isn't text) of a container by the elements and names on its path."""
-    if path not in _ROLES:
-        if len(_ROLES) > 100_000:
-            _ROLES.clear()
-        main = drop = False
-        for part in re.findall(r"/([a-z0-9:-]+)((?:\[[^\]]*\])*)", path):
-            names = set(_WORD.findall(" ".join(re.findall(r"=([^\]]*)", part[1]))))
-            drop = drop or part[0] in NO_TEXT or (part[0] == "header" and not main) or bool(names & BOILERPLATE)
-            main = main or part[0] in MAIN or "role=main" in part[1]
-        _ROLES[path] = main, drop
-    return _ROLES[path]
-
-
-def main_text(page: str, template: dict[str, tuple[int, bool]]) -> str:
-    """The text of the page's slots. ``template``: of each token of the template, (class, says the same
-    on every page); a token that isn't in it stands inside a slot."""
-    got = list(tokens(page))
-    article = any(tag is not None and tag == path and roles(path)[0] and not roles(path)[1] for path, tag, _ in got)
-    blocks: list[list[str]] = [[]]
-    for path, tag, text in got:
-        if tag is not None:
-            if element(tag) in BLOCKS and blocks[-1]:
-                blocks.append([])
-            elif element(tag) == "br":
-                blocks[-1].append(" ")
-            continue
-        main, drop = roles(path)
-        if drop or article and not main or not main and _same(path, template):
-            continue
-        blocks[-1].append(text)
-    out = (" ".join(html.unescape("".join(b)).split()) for b in blocks)
-    return "\n".join(x for x in out if x)
-
-
-def _same(path: str, template: dict[str, tuple[int, bool]]) -> bool:
-    """Does the path's slot, or one around it, say the same on every page?"""
-    while path:
-        if template.get(path, (0, False))[1]:
-            return True
-        path = path.rpartition("/")[0]
-    return False
+                    add((stack[-1], "/" + path, name, None))
+                else:
+                    add((stack[-1], f"{self.paths[stack[-1]]}>/{name}", name, None))
+            elif name in CONTAINERS:
+                self._open(stack, name, m[4])
+                add((stack[-1], self.paths[stack[-1]], name, None))
+            else:
+                add((stack[-1], f"{self.paths[stack[-1]]}>{name}", name, None))
+        if at < len(page):
+            self._text(stack[-1], page[at:])
+
+    def _text(self, node: int, text: str) -> None:
+        self.tokens.append((node, None, None, text))
+
+    def _open(self, stack: list[int], name: str, attributes: str) -> None:
+        found = [(k.lower(), (a or b or c).lower().split()) for k, a, b, c in _NAME.findall(attributes)] \
+            if "=" in attributes else []
+        marks = "".join(f"[{k}={' '.join(v).translate(_SIGNS)}]" for k, v in found)
+        above = self.paths[stack[-1]]
+        self.paths.append(f"{above}/{name}{marks}" if len(stack) <= DEPTH else above)
+        self.parents.append(stack[-1])
+        self.elements.append(name)
+        self.named.append(any(boilerplate(x) for _, v in found for x in v))
+        self.mains.append(name in MAIN or any(k == "role" and "main" in v for k, v in found))
+        stack.append(len(self.paths) - 1)
+
+    def roles(self) -> list[bool]:
+        """Of each container: is it a part whose text counts? Where there is an article, only what is in one does."""
+        n = len(self.paths)
+        hard, main = [False] * n, [False] * n
+        for i in range(1, n):
+            p, name = self.parents[i], self.elements[i]
+            hard[i] = hard[p] or name in NO_TEXT or (name == "header" and not main[p])
+            main[i] = main[p] or self.mains[i]
+        drop = [False] * n
+        for i in range(1, n):
+            drop[i] = hard[i] or drop[self.parents[i]] or self.named[i]
+        article = any(self.mains[i] and not drop[i] for i in range(1, n))
+        return [not drop[i] and (main[i] or not article) for i in range(n)]
+
+    def blocks(self, cuts) -> list[tuple[str, str]]:
+        """(slot, text) of each block whose text counts; a slot has the token of the cut before it."""
+        counts = self.roles()
+        out: list[tuple[str, str]] = []
+        block: list[str] = []
+        slot = START
+
+        def flush():
+            text = " ".join(html.unescape("".join(block)).split())
+            if text:
+                out.append((slot, text))
+            block.clear()
+
+        for node, token, name, text in self.tokens:
+            if token is None:
+                if counts[node]:
+                    block.append(text)
+            elif name in BLOCKS:
+                flush()
+                if token in cuts:
+                    slot = token
+            elif name == "br":
+                block.append(" ")
+        flush()
+        return out
+
+
+#: The slot before the first cut, and the page as a whole.
+START, WHOLE = "^", ""
+
+
+def main_text(page: str, cuts, same) -> str:
+    """The text of the page's slots. ``cuts``: the template's tokens; ``same``: the slots that say the same on every page."""
+    return "\n".join(text for slot, text in Page(page).blocks(cuts) if slot not in same)
 
 
 # ---------------------------------------------------------------- templates
@@ -152,78 +180,135 @@ def host(url: F.Column) -> F.Column:
                               F.lit("")))
 
 
-SEEN = "host string, token string, vector long, pages long, place double, low long, high long, chars long"
+SEEN = "host string, token string, vector long, pages long, place double"
 
 
 def token_vectors(rows: DataFrame) -> DataFrame:
     """For each host (and for all pages, host ``*``) and token: the hash of its occurrence vector, the
-    pages it is on, the sum of its places on them, and the least and largest hash of its text."""
+    pages it is on and the sum of its places on them."""
 
     def run(batches):
         for b in batches:
             seen: dict[tuple[str, str], list] = {}
             for f, r, h, page in zip(*(b[n].to_pylist() for n in ("_file", "_row", "host", "html"))):
-                counts, texts, first, said = Counter(), {}, {}, f"{f}:{r}"
-                for path, tag, text in tokens(page or ""):
-                    if tag is None:
-                        if path and not text.isspace():
-                            texts.setdefault(path, []).append(text)
-                    else:
-                        t = tag if tag.startswith("/") else f"{path}>{tag}"
-                        counts[t] += 1
-                        first.setdefault(t, len(first))
-                for t, n in counts.items():
+                counts, said = Counter(t for _, t, _, _ in Page(page or "").tokens if t is not None), f"{f}:{r}"
+                for place, (t, n) in enumerate(counts.items()):
                     vector = xxhash.xxh3_64_intdigest(f"{said}:{n}") - (1 << 63)
-                    text = " ".join("".join(texts.get(t, ())).split())
-                    digest = xxhash.xxh3_64_intdigest(text) - (1 << 63)
                     for key in ((h, t), ("*", t)):
-                        s = seen.setdefault(key, [0, 0, 0.0, digest, digest, 0])
+                        s = seen.setdefault(key, [0, 0, 0.0])
                         s[0] ^= vector
                         s[1] += 1
-                        s[2] += first[t] / len(first)
-                        s[3], s[4] = min(s[3], digest), max(s[4], digest)
-                        s[5] += len(text)
-            keys, sums = list(seen), list(zip(*seen.values())) or [()] * 6
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _ in keys], pa.string()), pa.array([t for _, t in keys], pa.string()),
-                 *(pa.array(x, pa.float64() if i == 2 else pa.int64()) for i, x in enumerate(sums))],
-                [x.split()[0] for x in SEEN.split(", ")])
+                        s[2] += place / len(counts)
+            yield _sums(seen, SEEN)
 
     return map_batches(rows, run, SEEN, rows=2000).groupBy("host", "token").agg(
-        F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"), F.sum("place").alias("place"),
-        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("chars").alias("chars"))
+        F.bit_xor("vector").alias("vector"), F.sum("pages").alias("pages"), F.sum("place").alias("place"))
+
+
+def _sums(seen: dict[tuple[str, str], list], schema: str) -> pa.RecordBatch:
+    names, kinds = zip(*(x.split() for x in schema.split(", ")))
+    sums = list(zip(*seen.values())) or [()] * (len(names) - 2)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([k for k, _ in seen], pa.string()), pa.array([t for _, t in seen], pa.string()),
+         *(pa.array(x, pa.float64() if k == "double" else pa.int64()) for x, k in zip(sums, kinds[2:]))], list(names))
+
+
+def _pages(rows: DataFrame) -> DataFrame:
+    """(host, n): the pages of each host, and of all (host ``*``)."""
+    counts = rows.groupBy("host").agg(F.count("*").alias("n"))
+    return counts.unionByName(rows.agg(F.lit("*").alias("host"), F.count("*").alias("n")))
 
 
 def templates(rows: DataFrame) -> DataFrame:
-    """(host, pages, template): the tokens of all valid classes in page order, each with its class
-    and whether its text is the same on every page.
+    """(host, pages, template): the tokens of all valid classes in page order, each with its class.
 
     A class is valid if it has MIN_TOKENS tokens, is on MIN_PAGES pages and on MIN_SHARE of the
     host's. So a template holds no more tokens than a few pages have.
     """
-    counts = rows.groupBy("host").agg(F.count("*").alias("n"))
-    counts = counts.unionByName(rows.agg(F.lit("*").alias("host"), F.count("*").alias("n")))
-    found = token_vectors(rows).join(counts, "host").where(
+    found = token_vectors(rows).join(_pages(rows), "host").where(
         (F.col("pages") >= MIN_PAGES) & (F.col("pages") >= F.col("n") * MIN_SHARE))
     size = F.count("*").over(Window.partitionBy("host", "vector", "pages"))
     found = found.withColumn("size", size).where(F.col("size") >= MIN_TOKENS)
     return found.groupBy("host").agg(
         F.max("n").alias("pages"),
         F.array_sort(F.collect_list(F.struct(
-            (F.col("place") / F.col("pages")).alias("place"), "token", F.col("vector").alias("class"),
-            ((F.col("low") == F.col("high")) & (F.col("chars") > 0)).alias("same")))).alias("template"))
+            (F.col("place") / F.col("pages")).alias("place"), "token", F.col("vector").alias("class")))).alias("template"))
+
+
+def nest(template: list[dict]) -> frozenset[str]:
+    """The tokens of the classes that nest: a token whose containers are not in the template
+    themselves has no slot to stand in, and a class left with fewer than MIN_TOKENS goes as a whole."""
+    alive = {t["token"]: t["class"] for t in template}
+    paths = {short(t): t for t in alive}
+
+    def home(token: str) -> str:
+        """The path of the container a token stands in or ends."""
+        if ">" in token:
+            return token.partition(">")[0]
+        if token.startswith("//"):
+            return token[1:]
+        above = token.rpartition("/")[0]
+        return paths.get(above, above)
+
+    homes = {t: home(t) for t in alive}
+    while True:
+        stands: dict[str, bool] = {"": True}
+        for t in alive:
+            chain = []
+            while t not in stands and t in alive:
+                chain.append(t)
+                t = homes[t]
+            stands.update(dict.fromkeys(chain, stands.get(t, False)))
+        sizes = Counter(c for t, c in alive.items() if stands[t])
+        left = {t: c for t, c in alive.items() if stands[t] and sizes[c] >= MIN_TOKENS}
+        if len(left) == len(alive):
+            return frozenset(alive)
+        alive = left
+
+
+SLOTS = "host string, token string, low long, high long, pages long"
+
+
+def same_slots(joined: DataFrame, counts: DataFrame, common: frozenset[str]) -> DataFrame:
+    """(host, same): the slots of each host's template (and of that of all pages, host ``*``) that say the
+    same on every page with text in them, which are MIN_PAGES and MIN_SHARE of the host's; none where
+    the pages say the same as a whole. ``joined``: host, html, template; ``counts``: host, n."""
 
-
-def nest(template: list[dict]) -> dict[str, tuple[int, bool]]:
-    """The valid tokens by container: a class whose tokens' containers are not in the
-    template themselves has no slot to stand in, and goes."""
-    by_path = {t["token"]: t for t in template if re.match(r"/[^/>]+(/[^/>]+)*$", t["token"])}  # not their ends
-    kept: dict[str, tuple[int, bool]] = {}
-    for path in sorted(by_path, key=lambda p: p.count("/")):
-        above = path.rpartition("/")[0]
-        if not above or above in kept:
-            kept[path] = by_path[path]["class"], by_path[path]["same"]
-    return kept
+    def run(batches):
+        nested: dict[str, frozenset] = {}
+        for b in batches:
+            seen: dict[tuple[str, str], list] = {}
+            template = b["template"]
+            for i, (h, page) in enumerate(zip(b["host"].to_pylist(), b["html"].to_pylist())):
+                parsed = Page(page or "")
+                for key, cuts in ((h, _nested(nested, h, template[i], None)), ("*", common)):
+                    if cuts is None:
+                        continue
+                    slots: dict[str, list[str]] = {}
+                    for slot, text in parsed.blocks(cuts):
+                        slots.setdefault(slot, []).append(text)
+                        slots.setdefault(WHOLE, []).append(text)
+                    for slot, said in slots.items():
+                        digest = xxhash.xxh3_64_intdigest("\n".join(said)) - (1 << 63)
+                        s = seen.setdefault((key, slot), [digest, digest, 0])
+                        s[0], s[1], s[2] = min(s[0], digest), max(s[1], digest), s[2] + 1
+            yield _sums(seen, SLOTS)
+
+    found = map_batches(joined, run, SLOTS, rows=2000).groupBy("host", "token").agg(
+        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("pages").alias("pages"))
+    found = found.where("low = high").join(counts, "host").where(
+        (F.col("token") == WHOLE) | (F.col("pages") >= MIN_PAGES) & (F.col("pages") >= F.col("n") * MIN_SHARE))
+    return found.groupBy("host").agg(F.collect_list("token").alias("same")).where(~F.array_contains("same", WHOLE))
+
+
+def _nested(known: dict[str, frozenset], host_name: str, template: pa.Scalar, default):
+    """The host's nested template, each worked out once."""
+    if host_name not in known:
+        if len(known) > 10_000:
+            known.clear()
+        own = template.as_py()
+        known[host_name] = nest(own) if own else default
+    return known[host_name]
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -235,27 +320,27 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     read by the template of all pages. Equal rows get equal texts; an empty table
     gives no rows. Other columns are not read.
     """
-    spark = pages.sparkSession
     rows = with_row_id(pages, F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                        F.col(html_col).cast("string").alias("html"), host(F.col(url_col)).alias("host"))
     learned = keep(templates(rows.select("_file", "_row", "host", "html")), "templates")
     common = nest((learned.where("host = '*'").select("template").first() or [[]])[0])  # no more than a few pages' tokens
-    hosts = learned.where("host != '*' and host != ''").select("host", "pages", "template")
-    known = keep(rows.select("host").groupBy("host").agg(F.count("*").alias("n"))
-                 .join(hosts, "host", "left").select("host", "n", "template"), "hosts")
+    hosts = learned.where("host != '*' and host != ''").select("host", "template")
+    counts = _pages(rows)
+    known = keep(counts.where("host != '*'").join(hosts, "host", "left").select("host", "n", "template"), "hosts")
+    same = keep(same_slots(join_sites(rows.select("host", "html"), known, ["host"], "n").select("host", "html", "template"),
+                           counts, common), "slots")
+    common_same = frozenset((same.where("host = '*'").select("same").first() or [[]])[0])
+    known = keep(known.join(same.where("host != '*'"), "host", "left"), "hosts")
 
     def run(batches):
-        nested: dict[str, dict] = {}
+        nested: dict[str, frozenset] = {}
         for b in batches:
-            names, template = b["host"].to_pylist(), b["template"]
+            template, own = b["template"], b["same"]
             text = []
-            for i, (h, page) in enumerate(zip(names, b["html"].to_pylist())):
-                if h not in nested:
-                    if len(nested) > 10_000:
-                        nested.clear()
-                    own = template[i].as_py()
-                    nested[h] = nest(own) if own else common
-                text.append(main_text(page or "", nested[h]))
+            for i, (h, page) in enumerate(zip(b["host"].to_pylist(), b["html"].to_pylist())):
+                cuts = _nested(nested, h, template[i], None)
+                text.append(main_text(page or "", common, common_same) if cuts is None else
+                            main_text(page or "", cuts, frozenset(own[i].as_py() or ())))
             yield pa.RecordBatch.from_arrays([b["_file"], b["_row"], b["page_id"], b["url"], pa.array(text, pa.string())],
                                              ["_file", "_row", "page_id", "url", "text"])
 

@@ -92,3 +92,18 @@ def test_host():
     urls = ["https://A.b:80/c?d", "//x.y/z", "http://u:p@h.i#f", "mailto:a@b", None]
     df = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "i int, u string")
     assert [r["h"] for r in df.select("i", H.host(df.u).alias("h")).orderBy("i").collect()] == ["a.b", "x.y", "h.i", "", ""]
+
+
+def test_slots_inside_the_article_decide_too(spark, make):
+    def page(i):
+        return (f"<html><body><article><h1>Story {i}</h1><div class='x9'>Printed daily</div><p>Body {i * i}.</p>"
+                f"<div class='x9'>All rights reserved</div></article></body></html>")
+    got = texts(make([(i, "http://h.example/", page(i)) for i in range(6)], PAGES))
+    assert got == {i: f"Story {i}\nBody {i * i}." for i in range(6)}
+    same = "<html><body><div><p>Menu</p></div><div><p>Words</p></div></body></html>"  # copies, no article
+    assert set(texts(make([(i, "http://c.example/", same) for i in range(4)], PAGES)).values()) == {"Menu\nWords"}
+
+
+def test_classes_without_containers_are_no_template():
+    tokens = [("/html", 1), ("//html", 1), ("/html/ul/li", 2), ("//html/ul/li", 2), ("/html>p", 3), ("/html/ul>p", 3)]
+    assert H.nest([{"token": t, "class": c} for t, c in tokens]) == {"/html", "//html"}
