@@ -42,12 +42,16 @@ BLOCKS = CONTAINERS | frozenset("""p h1 h2 h3 h4 h5 h6 li dt dd tr td th caption
 NO_TEXT = frozenset("""head title nav footer aside form fieldset dialog menu select button label textarea
     datalist""".split())
 MAIN = frozenset(("article", "main"))
-# Words in a container's class, id or role that say what it is for.
+UNNAMED = MAIN | {"html", "body"}  # whose names say nothing of what they hold
+# A container's class, id or role made of such words only, or of such words and PLACES, says what it is for.
 BOILERPLATE = frozenset("""ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion
     cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription paywall
     nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager toolbar sidebar complementary widget
     footer contentinfo masthead search searchbox share sharing social related recommended teaser
     comment comments commentlist disqus respond replies reply""".split())
+PLACES = frozenset("""slot box bar list item items area block section container wrapper wrap inner outer unit zone panel
+    column col row link links button buttons icon icons top bottom left right primary secondary main site page post posts
+    article articles entry global content header form signup policy message thread""".split())
 
 _TOKEN = re.compile(
     rf"(?is)<!--.*?(?:-->|\Z)|<(?:svg|math)\b(?:[^>/]|/(?!>))*+/>|<({'|'.join(RAW)})\b[^>]*+(?:>.*?(?:</\1\s*+>|\Z)|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -58,9 +62,9 @@ _SIGNS = str.maketrans("/>[]=", "_____")
 
 
 def boilerplate(name: str) -> bool:
-    """Does a name say that its container is no text?"""
+    """Does a whole name say that its container is no text? ``ad-slot`` does, ``with-sidebar`` doesn't."""
     words = set(_WORD.findall(name))
-    return bool(words & BOILERPLATE)
+    return bool(words & BOILERPLATE) and words <= BOILERPLATE | PLACES
 
 
 def short(path: str) -> str:
@@ -78,7 +82,7 @@ class Page:
 
     def __init__(self, page: str):
         self.paths, self.parents, self.elements = [""], [-1], [""]
-        self.named, self.mains = [False], [False]
+        self.named, self.mains, self.chars = [False], [False], [0]
         self.tokens: list[tuple] = []
         stack, add, at = [0], self.tokens.append, 0
         for m in _TOKEN.finditer(page):
@@ -109,6 +113,7 @@ class Page:
 
     def _text(self, node: int, text: str) -> None:
         self.tokens.append((node, None, None, text))
+        self.chars[node] += len(text.strip())
 
     def _open(self, stack: list[int], name: str, attributes: str) -> None:
         found = [(k.lower(), (a or b or c).lower().split()) for k, a, b, c in _NAME.findall(attributes)] \
@@ -118,21 +123,32 @@ class Page:
         self.paths.append(f"{above}/{name}{marks}" if len(stack) <= DEPTH else above)
         self.parents.append(stack[-1])
         self.elements.append(name)
-        self.named.append(any(boilerplate(x) for _, v in found for x in v))
+        self.named.append(name not in UNNAMED and any(boilerplate(x) for _, v in found for x in v))
         self.mains.append(name in MAIN or any(k == "role" and "main" in v for k, v in found))
+        self.chars.append(0)
         stack.append(len(self.paths) - 1)
 
     def roles(self) -> list[bool]:
-        """Of each container: is it a part whose text counts? Where there is an article, only what is in one does."""
+        """Of each container: is it a part whose text counts? Where there is an article, only what is in one does.
+
+        Names don't speak against a container around the article with the most text.
+        """
         n = len(self.paths)
-        hard, main = [False] * n, [False] * n
+        hard, main, top, size = [False] * n, [False] * n, [0] * n, Counter()
         for i in range(1, n):
             p, name = self.parents[i], self.elements[i]
             hard[i] = hard[p] or name in NO_TEXT or (name == "header" and not main[p])
             main[i] = main[p] or self.mains[i]
+            top[i] = top[p] or (i if self.mains[i] else 0)
+            if top[i] and not hard[i]:
+                size[top[i]] += self.chars[i]
+        around, i = set(), max(size, key=lambda k: (size[k], -k)) if size else 0
+        while i:
+            around.add(i)
+            i = self.parents[i]
         drop = [False] * n
         for i in range(1, n):
-            drop[i] = hard[i] or drop[self.parents[i]] or self.named[i]
+            drop[i] = hard[i] or drop[self.parents[i]] or self.named[i] and i not in around
         article = any(self.mains[i] and not drop[i] for i in range(1, n))
         return [not drop[i] and (main[i] or not article) for i in range(n)]
 

@@ -107,3 +107,13 @@ def test_slots_inside_the_article_decide_too(spark, make):
 def test_classes_without_containers_are_no_template():
     tokens = [("/html", 1), ("//html", 1), ("/html/ul/li", 2), ("//html/ul/li", 2), ("/html>p", 3), ("/html/ul>p", 3)]
     assert H.nest([{"token": t, "class": c} for t, c in tokens]) == {"/html", "//html"}
+
+
+def test_names_around_the_article_drop_nothing(spark, make):
+    pages = ["<body class='right-sidebar'><article>A</article></body>", "<body class='no-sidebar ad'><p>A</p></body>",
+             "<html class='cookie'><body><main class='has-sidebar widget'>A</main></body></html>",
+             "<div class='content with-sidebar'><p>A</p></div>", "<article class='post social'>A</article>",
+             "<div class='widget'><article>A</article><div class='post-comments'>no</div></div><div class='ad'>no</div>",
+             "<div id='sidebar'><p>no</p></div><article role='article'>A<div class='ad-slot'>no</div></article>"]
+    rows = [(i, f"http://h{i}.example/", p.replace("A<", f"A {i}<")) for i, p in enumerate(pages)]
+    assert texts(make(rows, PAGES)) == {i: f"A {i}" for i in range(len(rows))}
