@@ -30,7 +30,7 @@ from sleeper.llm.common import join_sites, keep, map_batches, with_row_id
 
 #: A class belongs to the template from so many pages, share of the host's pages, and tokens on.
 MIN_PAGES, MIN_SHARE, MIN_TOKENS = 3, 0.5, 2
-#: Containers are told apart down to this depth; what lies deeper belongs to the one above.
+#: From this depth on a token names the containers around it by a hash.
 DEPTH = 24
 
 # Elements by what HTML makes of them.
@@ -120,7 +120,9 @@ class Page:
             if "=" in attributes else []
         marks = "".join(f"[{k}={' '.join(v).translate(_SIGNS)}]" for k, v in found)
         above = self.paths[stack[-1]]
-        self.paths.append(f"{above}/{name}{marks}" if len(stack) <= DEPTH else above)
+        if len(stack) > DEPTH:
+            above = short(above)
+        self.paths.append(f"{above}/{name}{marks}")
         self.parents.append(stack[-1])
         self.elements.append(name)
         self.named.append(name not in UNNAMED and any(boilerplate(x) for _, v in found for x in v))

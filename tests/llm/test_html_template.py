@@ -117,3 +117,20 @@ def test_names_around_the_article_drop_nothing(spark, make):
              "<div id='sidebar'><p>no</p></div><article role='article'>A<div class='ad-slot'>no</div></article>"]
     rows = [(i, f"http://h{i}.example/", p.replace("A<", f"A {i}<")) for i, p in enumerate(pages)]
     assert texts(make(rows, PAGES)) == {i: f"A {i}" for i in range(len(rows))}
+
+
+def test_names_and_article_far_below(spark, make):
+    def page(i, inner):
+        return "<div>" * 40 + inner.format(i) + "</div>" * 40
+    bare = "<nav>Menu {0}</nav><div class='ad'>Buy {0}</div><p>Text {0}</p><footer>(c) {0}</footer>"
+    whole = "<p>Lead {0}</p><article><p>Text {0}</p></article><p>Tail {0}</p>"
+    rows = [(i, f"http://h{i % 2}.example/", page(i, (bare, whole)[i % 2])) for i in range(12)]
+    assert texts(make(rows, PAGES)) == {i: f"Text {i}" for i in range(12)}
+    names = [t for _, t, _, _ in H.Page(page(0, whole)).tokens if t]
+    assert len({t for t in names if "/p" not in t}) == 84 and max(map(len, names)) < 200
+
+
+def test_slots_far_below(spark, make):
+    rows = [(i, "http://h.example/", "<div>" * 40 + f"<section>Daily</section><ul>Text {i}</ul>" + "</div>" * 40)
+            for i in range(6)]
+    assert texts(make(rows, PAGES)) == {i: f"Text {i}" for i in range(6)}
