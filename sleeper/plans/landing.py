@@ -127,8 +127,9 @@ def ranks_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 STORE_PAGE_SIZE, STORE_STOP, STORE_CORRUPT = 50, 20, 23
 
 
-def store_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(session_id, page_idx, payload): the parts as one session of store pages.
+def store_pages(spark: SparkSession, sf_dir: str, session_pages: int | None = None) -> DataFrame:
+    """(session_id, page_idx, payload): the parts as one session of store pages, or as sessions of
+    ``session_pages`` pages each, of which every third, from the first on, has the stop below.
 
     Each page lists STORE_PAGE_SIZE parts (a bounded group) in descending order of
     their key. Page STORE_STOP has no ids, so what lies behind it is never read;
@@ -138,23 +139,31 @@ def store_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = W.table(spark, sf_dir, "part").select("p_partkey")
     page = F.floor(F.col("p_partkey") / STORE_PAGE_SIZE).cast("int").alias("page_idx")
     pages = part.groupBy(page).agg(F.sort_array(F.collect_list("p_partkey"), asc=False).alias("keys"))
+    pages = pages.withColumn("session_id", F.lit(0).cast("long"))
+    if session_pages:
+        pages = pages.withColumns({"session_id": F.floor(F.col("page_idx") / session_pages),
+                                   "page_idx": F.col("page_idx") % session_pages})
+    stops = F.col("session_id") % 3 == 0
     rows = F.transform("keys", lambda k: F.concat(F.lit('<a data-ds-appid="'), k.cast("string"), F.lit('"></a>')))
-    html = F.when(F.col("page_idx") == STORE_STOP, F.lit("<p>no results</p>")).otherwise(F.array_join(rows, ""))
+    html = F.when(stops & (F.col("page_idx") == STORE_STOP), F.lit("<p>no results</p>")).otherwise(F.array_join(rows, ""))
     total = F.when(F.col("page_idx") == 0, F.lit("0")).otherwise(part.select(F.count(F.lit(1))).scalar().cast("string"))
     payload = F.to_json(F.struct(total.alias("total_count"), html.alias("results_html")))
-    payload = F.when(F.col("page_idx") == STORE_CORRUPT, F.substring(payload, 1, 20)).otherwise(payload)
-    return pages.select(F.lit(0).cast("long").alias("session_id"), "page_idx", payload.alias("payload"))
+    payload = F.when(stops & (F.col("page_idx") == STORE_CORRUPT), F.substring(payload, 1, 20)).otherwise(payload)
+    return pages.select("session_id", "page_idx", payload.alias("payload"))
 
 
-def chart_pages(spark: SparkSession, sf_dir: str, sessions: int = 1) -> DataFrame:
+def chart_pages(spark: SparkSession, sf_dir: str, sessions: int = 1, session_pages: int | None = None) -> DataFrame:
     """(session_id, page_idx from 1 on, html): a page per supplier that links to the supplier's key and the
-    next; keys that leave 36 over 37 have a page without links. Suppliers are dealt to ``sessions`` in turn."""
+    next; keys that leave 36 over 37 have a page without links. Suppliers are dealt to ``sessions`` in turn, or
+    ``session_pages`` make a session, whose number grows with the table."""
     s = W.table(spark, sf_dir, "supplier")
     key = F.col("s_suppkey")
     link = lambda k: F.concat(F.lit('<td><a href="/app/'), k.cast("string"), F.lit('">x</a></td>'))
     html = F.when(key % 37 == 36, F.lit("<p>nothing</p>")).otherwise(F.concat(link(key), link(key + 1)))
-    return s.select((key % sessions).cast("long").alias("session_id"),
-                    (F.floor(key / sessions) + 1).cast("int").alias("page_idx"), html.alias("html"))
+    session, page = key % sessions, F.floor(key / sessions)
+    if session_pages:
+        session, page = F.floor(key / session_pages), key % session_pages
+    return s.select(session.cast("long").alias("session_id"), (page + 1).cast("int").alias("page_idx"), html.alias("html"))
 
 
 def top_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,3 +176,18 @@ def top_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = c.agg(F.sort_array(F.collect_list(entry)).alias("e"))
     ranks = F.transform("e", lambda e: F.struct(e["appid"].alias("appid"), e["rank"].alias("rank")))
     return entries.select(F.to_json(F.struct(F.struct(ranks.alias("ranks")).alias("response"))).alias("payload"))
+
+
+TOP_LIST_ENTRIES = 150
+
+
+def top_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(list_id, payload): the entries of :func:`top_list` for all customers, in a list (a bounded group) for each
+    block of TOP_LIST_ENTRIES; an entry's rank is its customer's place in the block."""
+    k = F.col("c_custkey")
+    appid = F.when(k % 20 == 7, F.lit("none")).when(k % 10 == 0, F.lit("3")).otherwise((k * 3).cast("string"))
+    entry = F.struct(k.alias("k"), appid.alias("appid"), (k % TOP_LIST_ENTRIES).cast("int").alias("rank"))
+    lists = W.table(spark, sf_dir, "customer").groupBy(F.floor(k / TOP_LIST_ENTRIES).alias("list_id")).agg(
+        F.sort_array(F.collect_list(entry)).alias("e"))
+    ranks = F.transform("e", lambda e: F.struct(e["appid"].alias("appid"), e["rank"].alias("rank")))
+    return lists.select("list_id", F.to_json(F.struct(F.struct(ranks.alias("ranks")).alias("response"))).alias("payload"))

@@ -177,6 +177,25 @@ cands AS (
   FROM page_merged
 )"""
 
+#: The same over sessions of 30 store pages (every third stops at page 20) and 25 chart pages, and lists of 150.
+SESSIONS = """
+store AS (
+  SELECT p_partkey AS appid, p_partkey // 50 % 30 AS page,
+         row_number() OVER (PARTITION BY p_partkey // 50 ORDER BY p_partkey DESC) AS pos
+  FROM part WHERE p_partkey // 1500 % 3 <> 0 OR p_partkey // 50 % 30 < 20
+),
+chart_page AS (SELECT s_suppkey AS k, s_suppkey // 25 AS session FROM supplier),
+chart_stop AS (SELECT session, min(k) FILTER (WHERE k % 37 = 36) AS stop FROM chart_page GROUP BY session),
+chart_read AS (SELECT k FROM chart_page JOIN chart_stop USING (session) WHERE stop IS NULL OR k < stop),
+chart AS (
+  SELECT k AS appid, k % 25 AS page, 0 AS pos FROM chart_read
+  UNION ALL SELECT k + 1, k % 25, 1 FROM chart_read
+),
+top_list AS (
+  SELECT CASE WHEN c_custkey % 10 = 0 THEN 3 ELSE c_custkey * 3 END AS appid, c_custkey % 150 AS rank
+  FROM customer WHERE c_custkey % 150 < 100 AND c_custkey % 20 <> 7
+),""" + PAGES[PAGES.index("\npage_tagged AS"):]
+
 
 def _open_item() -> str:
     """The ITEM fragments up to ``classified``, with the open profile's thresholds."""
@@ -225,6 +244,8 @@ SELECT 'pages' AS perfil_activo, 30 AS store_pages,
        (SELECT count(*) FROM page_tagged WHERE prio = 2) AS top_list_ids_unicos,
        (SELECT count(*) FROM cands) AS candidatos_unicos_combinados, count(*) AS evaluados,
        count(*) FILTER (WHERE outcome = 'accepted') AS total_resultados FROM classified"""
+    for name in ("candidates", "entries", "metadata"):
+        q[f"q_{name}_from_sessions"] = q[f"q_{name}_from_pages"].replace(PAGES, SESSIONS)
     parts = """
 cands AS (SELECT p_partkey AS candidate_rank, p_partkey AS appid FROM part)"""
     q["q_funnel_all"] = with_(parts, item) + """

@@ -426,28 +426,53 @@ def page_sources(spark: SparkSession, sf_dir: str) -> X.PageSources:
                                 PAGE_PROFILE)
 
 
+def session_sources(spark: SparkSession, sf_dir: str) -> X.PageSources:
+    """The lists of many sessions and ranked lists, whose number grows with part, supplier and customer."""
+    return X.sources_from_pages(L.store_pages(spark, sf_dir, session_pages=PAGE_PROFILE.store_pages),
+                                L.chart_pages(spark, sf_dir, session_pages=PAGE_PROFILE.chart_pages),
+                                L.top_lists(spark, sf_dir), PAGE_PROFILE)
+
+
+def q_candidates_from_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _page_candidates(session_sources(spark, sf_dir))
+
+
 def q_candidates_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = X.select_candidates(page_sources(spark, sf_dir).tagged, PAGE_PROFILE)
+    return _page_candidates(page_sources(spark, sf_dir))
+
+
+def _page_candidates(src: X.PageSources) -> DataFrame:
+    c = X.select_candidates(src.tagged, PAGE_PROFILE)
     return c.select("candidate_rank", "appid", "first_source", F.array_join("sources", ",").alias("sources"))
 
 
-def _extract_from_pages(spark: SparkSession, sf_dir: str) -> tuple[X.PageSources, X.ExtractResult]:
-    src = page_sources(spark, sf_dir)
+def _extract_from_pages(spark: SparkSession, sf_dir: str, sources=page_sources) -> tuple[X.PageSources, X.ExtractResult]:
+    src = sources(spark, sf_dir)
     cands = X.select_candidates(src.tagged, PAGE_PROFILE)
     return src, X.evaluate_candidates(cands, *landed_payloads(spark, sf_dir), PAGE_PROFILE, src.chart_ranks)
 
 
-def q_entries_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_entries_from_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`q_entries_from_pages` over many sessions and ranked lists."""
+    return q_entries_from_pages(spark, sf_dir, session_sources)
+
+
+def q_entries_from_pages(spark: SparkSession, sf_dir: str, sources=page_sources) -> DataFrame:
     """Accepted items with the lists they came from and their rank in the ranked list."""
-    return _extract_from_pages(spark, sf_dir)[1].entries.select(
+    return _extract_from_pages(spark, sf_dir, sources)[1].entries.select(
         "appid", "nombre", "total_resenas", F.array_join("sources", ",").alias("sources"), "chart_rank")
 
 
-def q_metadata_from_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_metadata_from_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run document of :func:`q_entries_from_sessions`."""
+    return q_metadata_from_pages(spark, sf_dir, session_sources)
+
+
+def q_metadata_from_pages(spark: SparkSession, sf_dir: str, sources=page_sources) -> DataFrame:
     """The run document of :func:`q_entries_from_pages`: profile, a parameter, reported total, counts."""
     from sleeper.plans.runs import run_metadata
 
-    src, res = _extract_from_pages(spark, sf_dir)
+    src, res = _extract_from_pages(spark, sf_dir, sources)
     meta = run_metadata(spark, res, src.tagged, PAGE_PROFILE, reported_total=src.reported_total, profile_name="pages")
     return meta.select("perfil_activo", F.col("parametros.store_pages").alias("store_pages"), "fuentes.*",
                        F.col("estadisticas_evaluacion.evaluados").alias("evaluados"), "total_resultados")

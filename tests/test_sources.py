@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import json
 
+from pyspark.sql import functions as F
+
 from sleeper.sources import payloads as P
 
 from conftest import rows
@@ -64,3 +66,15 @@ def test_pages_without_a_session_are_kept(spark):
     ids, totals = P.search_page_ids(sp)
     assert rows(ids, "appid") == [(6,)]
     assert rows(totals, "reported_total") == [(9,)]
+
+
+def test_page_fed_lists_grow_with_the_tables(spark):
+    from sleeper.plans import queries as Q
+    from sleeper.plans import workload as W
+
+    from conftest import SF_ORACLE
+
+    n = {t: W.table(spark, SF_ORACLE, t).count() for t in ("part", "supplier", "customer")}
+    got = {r["source"]: r["n"] for r in Q.session_sources(spark, SF_ORACLE).tagged.groupBy("source").agg(
+        F.count_distinct("appid").alias("n")).collect()}
+    assert got["store"] >= n["part"] / 2 and got["charts"] >= n["supplier"] / 2 and got["top_list"] >= n["customer"] / 2
