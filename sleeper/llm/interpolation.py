@@ -33,7 +33,7 @@ BLOCK_CHARS, SHARD_TOKENS = 4 << 20, 2 << 20
 DELETED = 8
 #: Powers of two of a context's count that have weights of their own.
 BUCKETS = 48
-ROUNDS, STILL = 15, 1e-3
+ROUNDS, STILL = 200, 1e-4
 TRAIN, DEV, HELD = 0, 1, 2
 _END, _BEGIN = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 

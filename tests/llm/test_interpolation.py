@@ -99,3 +99,15 @@ def test_odd_rows(spark, make):
     alone = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)
     r = I.score(make([(alone, "no one trains")], "doc_id long, text string")).collect()[0]
     assert (r["held_out"], r["n_known"], r["train_tokens"]) == (True, 0, 0) and math.isfinite(r["score"])
+
+
+def test_weights_are_still(spark):
+    """A round more moves no weight by more than 1e-4, where the estimates are close to each other."""
+    pair, word, uniform = np.float32([0.05, 0.001] * 50), np.float32([0.02, 0.03] * 50), 0.01
+    bucket, n = np.full(100, 3, np.uint8), np.float32([70, 30] * 50)
+    got = I.learn(spark.createDataFrame(
+        [tuple(bytearray(x.tobytes()) for x in (bucket, n, pair, word))],
+        "bucket binary, n binary, pair binary, word binary"), uniform)[3]
+    p = np.stack([pair, word, np.full(100, uniform)], axis=1) * got
+    more = (p * (n / p.sum(axis=1))[:, None]).sum(axis=0) + 1
+    assert np.abs(more / more.sum() - got).max() < 1e-4
