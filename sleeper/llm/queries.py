@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sleeper.llm import (bpe, chat, decontaminate, exact_dedup, html_template, interpolation, pii, quality, simhash,
-                         token_files)
+                         token_files, whitening)
 from sleeper.llm.common import table
 
 
@@ -100,11 +100,25 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op11_cholesky_jacobi_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    model = whitening.fit(vectors)
+    error = whitening.identity_error(vectors, model, components=32)
+    got = whitening.whiten(vectors, model, components=32)
+    explained = F.array(*[F.lit(x) for x in (model.explained() if model else [])[:32]]).cast("array<double>")
+    return got.select(
+        "vec_id", F.col("deviation").try_cast("long").alias("deviation"),
+        F.posexplode("whitened").alias("place", "whitened")).select(
+        "vec_id", (F.col("place") + 1).alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"),
+        "deviation", "whitened", F.get(explained, F.col("place")).alias("explained"),
+        F.lit(error).cast("double").alias("identity_error"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_html_template, op2_deleted_interpolation, op3_hierarchical_quality, op4_positional_index,
         op5_weak_supervision, op6_simhash_pigeonring, op7_token_files, op8_chat_events, op9_bpe_lexicon,
-        op10_exact_dedup)}
+        op10_exact_dedup, op11_cholesky_jacobi_whitening)}
 
 
 def oracle_sql() -> dict[str, str]:
