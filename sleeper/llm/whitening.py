@@ -57,16 +57,19 @@ def whole(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Moments:
-    """Count, exact sums, mean and scatter about the mean of the rows it was given."""
+    """Count, exact sums, mean and scatter about the mean of the rows it was given. Whole numbers
+    are taken relative to the first row, so that ``mean`` keeps its fraction."""
 
     def __init__(self, dim: int, exact: bool):
         self.n, self.mean, self.scatter = 0, np.zeros(dim), np.zeros((dim, dim))
-        self.sums = [0] * dim if exact else None
+        self.sums, self.first = ([0] * dim if exact else None), None
 
     def add(self, rows: np.ndarray) -> None:
         m = len(rows)
         if self.sums is not None:
             self.sums = [a + int(b) for a, b in zip(self.sums, _exact_sums(rows))]
+            self.first = rows[0].copy() if self.first is None else self.first
+            rows = rows - self.first
         mean = rows.mean(axis=0)
         z = rows - mean
         apart = mean - self.mean
@@ -102,21 +105,23 @@ def _partials(rows: DataFrame, exact: bool, matrix_of) -> DataFrame:
     return map_batches(rows, run, schema, ROWS)
 
 
-def _covariance(partials: DataFrame, dim: int, n: int, mean: np.ndarray) -> np.ndarray:
-    """The partial scatters, moved to the mean of all rows and summed entry by entry, over ``n``."""
+def _covariance(partials: DataFrame, dim: int, n: int, mean: np.ndarray, sums: list[int] | None = None) -> np.ndarray:
+    """The partial scatters, moved to the mean of all rows and summed entry by entry, over ``n``. With
+    exact ``sums`` of all rows the distances of the means are exact before they are rounded."""
     upper = np.triu_indices(dim)
 
     def moved(batches):
         total = None
         for b in batches:
-            for count, m, s in zip(*(b[c].to_pylist() for c in ("n", "mean", "scatter"))):
-                apart = np.array(m) - mean
+            for count, m, s, own in zip(*(b[c].to_pylist() for c in ("n", "mean", "scatter", "sums"))):
+                apart = np.array(m) - mean if sums is None else np.array(
+                    [float(Fraction(int(x), count) - Fraction(t, n)) for x, t in zip(own, sums)])
                 s = np.array(s) + count * np.outer(apart, apart)[upper]
                 total = s if total is None else total + s
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["entry", "value"])
 
-    entries = map_batches(partials.where(F.col("dim") == dim).select("n", "mean", "scatter"), moved,
+    entries = map_batches(partials.where(F.col("dim") == dim).select("n", "mean", "scatter", "sums"), moved,
                           "entry long, value double", 64)
     got = entries.groupBy("entry").agg(F.sum("value").alias("value")).toPandas()  # one matrix
     v = np.zeros(dim * (dim + 1) // 2)
@@ -212,7 +217,7 @@ def fit(df: DataFrame, vec_col: str = "embedding") -> Whitening | None:
     sums = [0] * dim
     for r in got:  # one row a dimension
         sums[r["i"]] = int(r["s"])
-    cov = _covariance(partials, dim, n, np.array([float(Fraction(s, n)) for s in sums]))
+    cov = _covariance(partials, dim, n, np.zeros(dim), sums)
     values, components = eigen(cov)
     return Whitening(n, tuple(s + n * OFFSET for s in sums), values, components, float(np.trace(cov)))
 
