@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sleeper.llm import (bpe, chat, decontaminate, exact_dedup, html_template, interpolation, pii, quality, simhash,
-                         token_files, whitening)
+from sleeper.llm import (bpe, chat, decontaminate, embedding_dedup, exact_dedup, html_template, interpolation, pii, quality,
+                         simhash, token_files, whitening)
 from sleeper.llm.common import table
 
 
@@ -114,11 +114,15 @@ def op11_cholesky_jacobi_whitening(spark: SparkSession, sf_dir: str) -> DataFram
         F.lit(error).cast("double").alias("identity_error"))
 
 
+def op12_sorted_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_html_template, op2_deleted_interpolation, op3_hierarchical_quality, op4_positional_index,
         op5_weak_supervision, op6_simhash_pigeonring, op7_token_files, op8_chat_events, op9_bpe_lexicon,
-        op10_exact_dedup, op11_cholesky_jacobi_whitening)}
+        op10_exact_dedup, op11_cholesky_jacobi_whitening, op12_sorted_projection_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
