@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sleeper.llm import (bpe, chat, decontaminate, embedding_dedup, exact_dedup, html_template, interpolation, pii, quality,
-                         simhash, token_files, whitening)
+from sleeper.llm import (bpe, chat, conversation_repair, decontaminate, embedding_dedup, exact_dedup, html_template,
+                         interpolation, pii, quality, simhash, token_files, whitening)
 from sleeper.llm.common import table
 
 
@@ -118,11 +118,40 @@ def op12_sorted_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """The contract's damage to conversations, by the CRC of each row's ``conv_id:turn``."""
+    space = F.lit(" ")
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    key = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"),
+                   F.coalesce(F.col("turn").cast("string"), space))
+    rows = rows.select("conv_id", "turn", role.alias("role"), text.alias("text"),
+                       F.pmod(F.crc32(key.cast("binary")), F.lit(20)).alias("damage")).where(F.col("damage") != 0)
+    text = F.when(F.col("damage") == 1, F.lit("")).when(
+        F.col("damage") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    return rows.select("conv_id", "turn", F.when(F.col("damage") == 4, F.lit("user")).otherwise(F.col("role")).alias("role"),
+                       text.alias("text"), F.explode(F.sequence(F.lit(0), (F.col("damage") == 3).cast("int"))).alias("copy"))
+
+
+def op13_checkpointed_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    got = conversation_repair.repair(damaged(rows))
+    shas = conversation_repair.digests(got.rows)
+    every = rows.select("conv_id").distinct()
+    whole = every.join(got.summary, F.col("conv_id").eqNullSafe(F.col("conv")), "left").drop("conv")
+    whole = whole.join(shas, F.col("conv_id").eqNullSafe(F.col("conv")), "left")
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return whole.select(
+        "conv_id", *(F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in numbers),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_html_template, op2_deleted_interpolation, op3_hierarchical_quality, op4_positional_index,
         op5_weak_supervision, op6_simhash_pigeonring, op7_token_files, op8_chat_events, op9_bpe_lexicon,
-        op10_exact_dedup, op11_cholesky_jacobi_whitening, op12_sorted_projection_dedup)}
+        op10_exact_dedup, op11_cholesky_jacobi_whitening, op12_sorted_projection_dedup,
+        op13_checkpointed_repair)}
 
 
 def oracle_sql() -> dict[str, str]:
