@@ -66,8 +66,8 @@ def stop_rank(classified: DataFrame, profile: Profile, rank: str = "candidate_ra
     Walking the list in order, row ``i`` is evaluated iff ``i <= max_evaluations``
     and fewer than ``target`` rows before it were accepted. Because acceptance is
     decided per row, that is ``i <= min(max_evaluations, r_T)`` where ``r_T`` is
-    the rank of the ``target``-th accepted row: a bounded top-k, not a running
-    window over the whole list. A target or a budget of 0 evaluates nothing; a
+    the rank of the ``target``-th accepted row: an order statistic, not a running
+    window over the whole list, and no list of ``target`` rows. A target or a budget of 0 evaluates nothing; a
     budget of None has no limit.
     """
     if profile.target <= 0:

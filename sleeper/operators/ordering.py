@@ -34,7 +34,24 @@ def with_position(df: DataFrame, order: list[Column | str], name: str = "positio
     return out.withColumn(name, F.col("_off") + local + 1).drop("_pid", "_local", "_off")
 
 
-def kth_smallest(df: DataFrame, order: str, k: int) -> Column:
-    """Scalar subquery: the ``k``-th smallest value of ``order`` (NULL if fewer rows): a top-k
-    of one narrow column, of which every task keeps ``k`` rows."""
-    return df.select(order).orderBy(order).offset(k - 1).limit(1).scalar()
+def kth_smallest(df: DataFrame, order: str, k: int, num_partitions: int | None = None) -> Column:
+    """Scalar subquery: the ``k``-th smallest value of ``order`` (NULL if fewer rows are not null).
+
+    The values are dealt by range and sorted in their partitions, the partitions'
+    sizes summed up in order (one row a partition), and only the partition in which the
+    ``k``-th row lies is searched for it. So ``k`` may be any number: no task keeps ``k``
+    rows, and neither does the driver. Equal values are dealt to several partitions.
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    values = df.where(F.col(order).isNotNull()).select(F.col(order).alias("_v"),
+                                                       F.monotonically_increasing_id().alias("_t"))
+    ranged = (values.repartitionByRange(n, "_v", "_t").sortWithinPartitions("_v")
+              .select("_v", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_local")))
+    ranged = materialize(ranged, "order_statistic")
+    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_pid", "_n", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_before"))
+    hit = before.where((F.col("_before") < k) & (F.col("_before") + F.col("_n") >= k))  # one row or none
+    local = F.col("_local") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    inside = ranged.join(F.broadcast(hit), "_pid").where(F.col("_before") + local + 1 == k)
+    return inside.agg(F.max("_v")).scalar()

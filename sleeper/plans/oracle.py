@@ -650,6 +650,7 @@ SELECT CAST(appid AS BIGINT) AS appid, nombre, precio, total_resenas, hidden_gem
     q["q_score_history"] = with_(SNAPSHOTS, scored("snapshots", "h", by="run")) + """
 SELECT CAST(appid AS BIGINT) AS appid, make_date(run, 1, 1) AS run_date, hidden_gem_score, tier FROM h"""
     q["q_gold_upsert_table"] = quality_oracles()["q_upsert_name_only"]
+    q["q_table_reopened"] = quality_oracles()["q_upsert_all"]
     q["q_run_metadata"] = with_(CANDIDATES, ITEM) + """
 SELECT (SELECT count(*) FROM s0) AS top_lines_ids_unicos,
        (SELECT count(*) FROM s1) AS top_quantity_ids_unicos,

@@ -359,14 +359,30 @@ def q_score_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_gold_upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Publish runs up to 1999, then upsert 2000+ with the name-only policy."""
-    from sleeper.sinks.files import BUCKET, parquet_upsert
+    from sleeper.sinks.files import parquet_upsert
     from sleeper.session import scratch_path
 
     path = scratch_path(spark, "gold_table")
     target, updates = _gold_target_and_updates(spark, sf_dir)
     parquet_upsert(target, path, "appid")
-    parquet_upsert(updates, path, "appid", update_cols=["nombre"])
-    return spark.read.parquet(path).drop(BUCKET)
+    return parquet_upsert(updates, path, "appid", update_cols=["nombre"]).read()
+
+
+def q_table_reopened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table made with 5 buckets, opened again with another number and by its path alone, and upserted each time:
+    the recorded contract holds, so no key is there twice. A version that was never made current is not read."""
+    from sleeper.sinks.tables import KeyedTable
+    from sleeper.session import scratch_path
+
+    path = scratch_path(spark, "reopened")
+    target, updates = _gold_target_and_updates(spark, sf_dir)
+    KeyedTable.create_if_absent(spark, path, target.schema, "appid", buckets=5).upsert(target)
+    again = KeyedTable.create_if_absent(spark, path, updates.schema, "appid", buckets=7)
+    again.write(again.bucketed(updates))  # as a writer that ends here leaves it
+    again.upsert(updates, update_cols=["nombre"])
+    table = KeyedTable.open(spark, path)
+    table.upsert(updates)
+    return table.read()
 
 
 def q_run_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:

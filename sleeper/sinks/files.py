@@ -86,28 +86,18 @@ def write_run_metadata(meta: DataFrame, root: str, run_folder_name: str) -> str:
     return path
 
 
-#: Folder column of an upsert table: rows lie in the bucket of their key's hash.
-BUCKET = "bucket"
-
-
-def parquet_upsert(updates: DataFrame, path: str, key: str, update_cols: list[str] | None = None,
-                   buckets: int = 32) -> None:
-    """Keyed upsert into a Parquet table (insert new keys, update ``update_cols``).
-
-    The table lies in ``buckets`` folders by the key's hash; only the folders that
-    ``updates`` reaches are read and written. Their new contents replace the old ones
-    when the write commits (dynamic partition overwrite), so a write that fails
-    leaves the table as it was. ``buckets`` must stay the same for a table.
+def parquet_upsert(updates: DataFrame, path: str, key: str, update_cols: list[str] | None = None, buckets: int = 32):
+    """Keyed upsert into a Parquet table (insert new keys, update ``update_cols``); returns the table.
+
+    A table that is not there yet is made from ``updates``' columns with ``buckets``
+    buckets; one that is there keeps the contract it was made with, whatever
+    ``buckets`` says (see :class:`sleeper.sinks.tables.KeyedTable`). Only the buckets that
+    ``updates`` reaches are read and written; the old contents are deleted once the new ones
+    are current, so a write that fails leaves the table as it was.
     """
-    from sleeper.operators.upsert import upsert
-    from sleeper.session import materialize
-
-    spark = updates.sparkSession
-    bucketed = updates.withColumn(BUCKET, F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).cast("int"))
-    if path_exists(spark, path):
-        bucketed = materialize(bucketed, "updates")
-        touched = [r[BUCKET] for r in bucketed.select(BUCKET).distinct().collect()]  # ``buckets`` at most
-        current = spark.read.schema(bucketed.schema).parquet(path).where(F.col(BUCKET).isin(touched))
-        bucketed = materialize(upsert(current, bucketed, [BUCKET, key], update_cols), "upsert")
-    bucketed.repartition(BUCKET).write.mode("overwrite").option("compression", "snappy") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+    from sleeper.sinks.tables import KeyedTable
+
+    table = KeyedTable.create_if_absent(updates.sparkSession, path, updates.schema, key, buckets)
+    table.upsert(updates, update_cols)
+    table.vacuum(keep=1)
+    return table
