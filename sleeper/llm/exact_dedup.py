@@ -15,19 +15,22 @@ from pyspark.sql import functions as F
 
 from sleeper.llm.common import ascii_lower, join_sites, keep, with_row_id
 from sleeper.session import scratch_path
+from sleeper.sinks.tables import CONTRACT, record_once
 
 
 class DigestIndex:
     """Digests of all texts seen so far, on a path every executor can reach.
 
-    Opening an existing path goes on with what it holds. ``buckets`` must be the
-    number the path was made with.
+    Opening an existing path goes on with what it holds, in the number of buckets it was
+    made with, which is recorded beside the data: ``buckets`` (by default the
+    session's shuffle partitions) counts only where there is no index yet.
     """
 
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
         self.spark = spark
         self.path = path or scratch_path(spark, "digests")
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = record_once(spark, f"{self.path.rstrip('/')}/{CONTRACT}", {"key": ["digest"], "buckets": wanted})["buckets"]
         self.table = f"digests_{uuid.uuid4().hex}"
         spark.sql(f"CREATE TABLE {self.table} (digest BINARY, keep_id BIGINT, batch STRING) USING parquet "
                   f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
@@ -67,8 +70,9 @@ def dedup_rows(docs: DataFrame, index: DigestIndex, batch: str = "0") -> DataFra
     earlier batch already brought the text: then none does, and ``keep_id`` is the
     earlier document. A null id is below every other; of rows with the same text
     and the same id, one stays. Null text equals empty text. An empty batch gives
-    no rows. Other columns of ``docs`` are never read. A batch run again under its
-    name gives the same rows and appends nothing twice.
+    no rows. Very long texts are hashed whole, and only their digest is shuffled. Other
+    columns of ``docs`` are never read. A batch run again under its name gives the same rows
+    and appends nothing twice.
     """
     rows = keep(digests(docs), "digests_batch")
     groups = rows.groupBy("digest").agg(F.max(F.struct("doc_id", "_file", "_row")).alias("top"),

@@ -68,3 +68,19 @@ def test_hot_text(spark, make):
     got = D.dedup(make(rows, "doc_id long, text string"), D.DigestIndex(spark)).collect()
     assert len(got) == 5000 and sum(r["kept"] for r in got) == 2001
     assert {r["group_size"] for r in got} == {1, 3000}
+
+
+def test_an_index_keeps_its_number_of_buckets(spark, make):
+    """Opened under other numbers of shuffle partitions, the index still finds every text."""
+    docs = make([(i, f"text {i}") for i in range(300)], "doc_id long, text string")
+    before, path = spark.conf.get("spark.sql.shuffle.partitions"), None
+    try:
+        for n, fresh in ((4, 300), (16, 0), (3, 0)):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            index = D.DigestIndex(spark, path)
+            path = index.path
+            assert D.dedup(docs, index, batch=str(n)).where("kept").count() == fresh
+            assert (index.buckets, index.read().count()) == (4, 300)
+            index.close()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
