@@ -103,6 +103,73 @@ def column_count_gt(df: DataFrame, n: int = 0) -> bool:
     return len(df.columns) > n
 
 
+class TableRuleFailed(ValueError):
+    """A rule on the table as a whole does not hold."""
+
+
+@dataclass(frozen=True)
+class TableRule:
+    """One rule on a table: ``column_count`` (more than ``bound`` columns), ``row_count`` (``bound`` rows at
+    least that passed) or ``pass_share`` (``bound`` of the rows at least passed; no rows pass).
+
+    The first needs the schema only; the others read counters that the write has collected anyhow.
+    """
+
+    name: str
+    kind: str
+    bound: float
+
+    @property
+    def needs_counts(self) -> bool:
+        return self.kind != "column_count"
+
+    def measure(self, columns: int, evaluated: int | None = None, passed: int | None = None) -> float | None:
+        if self.kind == "column_count":
+            return float(columns)
+        if self.kind == "row_count":
+            return float(passed)
+        if self.kind == "pass_share":
+            return passed / evaluated if evaluated else None
+        raise ValueError(f"unknown table rule kind {self.kind!r}")
+
+    def holds(self, value: float | None) -> bool:
+        return value is None or (value > self.bound if self.kind == "column_count" else value >= self.bound)
+
+
+def column_count_above(n: int) -> TableRule:
+    return TableRule(f"ColumnCount > {n}", "column_count", n)
+
+
+def row_count_at_least(n: int) -> TableRule:
+    return TableRule(f"RowCount >= {n}", "row_count", n)
+
+
+def pass_share_at_least(share: float) -> TableRule:
+    return TableRule(f"PassShare >= {share:g}", "pass_share", share)
+
+
+# Fixed value: the table rule that a run is checked with when none are given.
+RULES_TABLE: tuple[TableRule, ...] = (column_count_above(0),)
+
+
+def table_outcomes(rules, columns: int, evaluated: int | None = None, passed: int | None = None,
+                   best_effort: bool = False) -> list[dict]:
+    """``{rule, value, outcome}`` of each table rule that can be told yet (without counts: the rules on the schema).
+
+    Rules that do not hold end the run (:class:`TableRuleFailed`); with ``best_effort`` they are only reported.
+    """
+    out = []
+    for r in rules:
+        if r.needs_counts and evaluated is None:
+            continue
+        value = r.measure(columns, evaluated, passed)
+        out.append({"rule": r.name, "value": value, "outcome": "Passed" if r.holds(value) else "Failed"})
+    failed = [o["rule"] for o in out if o["outcome"] == "Failed"]
+    if failed and not best_effort:
+        raise TableRuleFailed(", ".join(failed))
+    return out
+
+
 def failed_rules(rules: tuple[Rule, ...] | list[Rule]) -> Column:
     """array<string> of the names of the rules a row fails, in rule order."""
     return F.filter(F.array(*[F.when(r.failure(), F.lit(r.name)) for r in rules]),
@@ -155,7 +222,8 @@ def observe(df: DataFrame, rules, name: str = "dq", col: str = "failed_rules") -
 def routed_counts(rules, col: str = "failed_rules", malformed: str = "Malformed record") -> list[Column]:
     """Counters taken from the column that routes the rows, so that counts and routing agree."""
     return [F.count(F.lit(1)).alias("evaluated"),
-            F.count_if(F.array_contains(col, malformed)).alias("malformed")] + [
+            F.count_if(F.array_contains(col, malformed)).alias("malformed"),
+            F.count_if(F.size(col) == 0).alias("passed")] + [
         F.count_if(F.array_contains(col, r.name)).alias(f"f{i}") for i, r in enumerate(rules)]
 
 

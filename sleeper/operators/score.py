@@ -22,15 +22,18 @@ def max_total(df: DataFrame, total: str = "total_resenas"):
 
 def score_items(df: DataFrame, params: ScoreParams = ScoreParams(), by: list[str] | None = None,
                 total: str = "total_resenas", positive: str = "resenas_positivas",
-                price: str = "precio") -> DataFrame:
+                price: str = "precio", maximum: int | None = None) -> DataFrame:
     """Add the score columns.
 
     ``by=None`` normalises obscurity by the global max (one snapshot). With
     ``by=["run"]`` every run is normalised by its own max: the per-run maxima are
     a partial+final aggregate with one row per run, joined back on the run key
-    (AQE turns that join into a broadcast once it sees how small that side is).
+    (AQE turns that join into a broadcast once it sees how small that side is). A
+    ``maximum`` that is known already is taken as it is, and the rows are read once.
     """
-    if by:
+    if maximum is not None:
+        out = df.withColumn("_max_total", F.lit(max(maximum, 1)))
+    elif by:
         mx = df.groupBy(*by).agg(F.greatest(F.max(total), F.lit(1)).alias("_max_total"))
         mx = mx.select(*[F.col(c).alias(f"_by_{c}") for c in by], "_max_total")
         cond = None

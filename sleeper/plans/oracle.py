@@ -651,6 +651,44 @@ SELECT CAST(appid AS BIGINT) AS appid, nombre, precio, total_resenas, hidden_gem
 SELECT CAST(appid AS BIGINT) AS appid, make_date(run, 1, 1) AS run_date, hidden_gem_score, tier FROM h"""
     q["q_gold_upsert_table"] = quality_oracles()["q_upsert_name_only"]
     q["q_table_reopened"] = quality_oracles()["q_upsert_all"]
+    waves = ("run <= 1995", "run >= 1997", "run = 1996")
+    upto = [" OR ".join(waves[:i + 1]) for i in range(3)]
+    latest = ",".join(f"""
+l{i} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY appid ORDER BY run DESC) AS place
+                        FROM passed WHERE {upto[i]}) WHERE place = 1),
+m{i} AS (SELECT count(*) AS items, greatest(coalesce(max(total_resenas), 1), 1) AS maximum FROM l{i}),
+a{i} AS (SELECT count(DISTINCT appid) AS arrived FROM passed WHERE {waves[i]})""" for i in range(3))
+    q["q_gold_waves"] = with_(SNAPSHOTS, _passed(), latest) + "UNION ALL".join(f"""
+SELECT CAST({i} AS INTEGER) AS wave, arrived, m{i}.items, CAST(m{i}.maximum AS INTEGER) AS maximum,
+       {f'arrived > 0 AND m{i}.maximum <> m{i - 1}.maximum' if i else 'false'} AS rescored
+FROM m{i}, a{i}{f', m{i - 1}' if i else ''}
+""" for i in range(3))
+    anyf = " OR ".join(f"({f})" for _, f in SILVER_RULES)
+    columns = 16 + 5  # mapped columns, free flag, raw price, run and file, and the malformed line
+    share = f"CAST(count(*) FILTER (WHERE NOT ({anyf})) AS DOUBLE) / nullif(count(*), 0)"
+    passed = f"count(*) FILTER (WHERE NOT ({anyf}))"
+
+    def whole(n: str, value: str, holds: str, src: str) -> str:
+        return (f"SELECT '{n}' AS rule, CAST({value} AS DOUBLE) AS value, count(*) AS evaluated, "
+                f"CASE WHEN {holds} THEN 'Passed' ELSE 'Failed' END AS outcome FROM {src}")
+
+    def wholes(src: str) -> str:
+        return "\nUNION ALL ".join((whole("ColumnCount > 0", str(columns), "true", src),
+                                    whole("RowCount >= 1", passed, f"{passed} >= 1", src),
+                                    whole("PassShare >= 0.999", share, f"coalesce({share} >= 0.999, true)", src)))
+
+    q["q_table_rules"] = with_(SNAPSHOTS) + f"""
+SELECT rule, value, outcome FROM ({wholes("snapshots")})"""
+    parts = []
+    for run, cond in (("early", "run <= 1996"), ("late", "run >= 1997"), ("stream", "true")):
+        src = f"(SELECT * FROM snapshots WHERE {cond})"
+        parts += [f"SELECT '{run}' AS run, 'row' AS scope, '{n}' AS rule, count(*) AS evaluated, "
+                  f"count(*) FILTER (WHERE {f}) AS failed, CASE WHEN count(*) FILTER (WHERE {f}) = 0 THEN 'Passed' "
+                  f"ELSE 'Failed' END AS outcome FROM {src}" for n, f in SILVER_RULES]
+        if run != "stream":
+            parts.append(f"SELECT '{run}' AS run, 'table' AS scope, rule, evaluated, CAST(outcome = 'Failed' AS BIGINT) "
+                         f"AS failed, outcome FROM ({wholes(src)})")
+    q["q_dq_history"] = with_(SNAPSHOTS) + "\n" + "\nUNION ALL ".join(parts)
     q["q_run_metadata"] = with_(CANDIDATES, ITEM) + """
 SELECT (SELECT count(*) FROM s0) AS top_lines_ids_unicos,
        (SELECT count(*) FROM s1) AS top_quantity_ids_unicos,

@@ -423,6 +423,63 @@ def q_stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "hidden_gem_score", "tier")
 
 
+def q_gold_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per landing wave, none in the order of its runs: the items that came, the items that Gold holds, and the
+    maximum that its scores are measured by; all scores are made again only in waves that move it."""
+    from sleeper.session import scratch_path
+    from sleeper.streaming.incremental import run_gold_delta, run_silver_increment
+
+    bronze, silver, state = (scratch_path(spark, n) for n in ("bronze", "silver", "gold_state"))
+    silver_ckpt, gold_ckpt = scratch_path(spark, "silver_ckpt"), scratch_path(spark, "gold_ckpt")
+    snaps = materialize(W.snapshots(spark, sf_dir), "snapshots")
+    seen = []
+    for wave, (lo, hi) in enumerate(((0, 1995), (1997, 9999), (1996, 1996))):
+        _land_snapshots(spark, sf_dir, bronze, lo, hi, snaps)
+        run_silver_increment(spark, bronze, silver, silver_ckpt)
+        got = run_gold_delta(spark, silver, state, gold_ckpt, DRIVER_SCORE)
+        seen.append((wave, got.arrived, got.rows.count(), got.maximum, got.rescored_all))
+    return spark.createDataFrame(seen, "wave int, arrived long, items long, maximum int, rescored boolean")
+
+
+def _history_of_runs(spark: SparkSession, sf_dir: str) -> str:
+    """Outcomes of two Silver runs and of a stream's batch; the first run is replayed once."""
+    from sleeper.plans.silver import bronze_to_silver
+    from sleeper.session import scratch_path
+    from sleeper.streaming.incremental import run_silver_increment
+
+    path = scratch_path(spark, "dq_history")
+    snaps = materialize(W.snapshots(spark, sf_dir), "snapshots")
+    for run, lo, hi in (("early", 0, 1996), ("late", 1997, 9999), ("early", 0, 1996)):
+        bronze_to_silver(spark, _land_snapshots(spark, sf_dir, None, lo, hi, snaps), scratch_path(spark, "silver"),
+                         table_rules=TABLE_RULES, best_effort=True, history_path=path, run=run)
+    run_silver_increment(spark, _land_snapshots(spark, sf_dir, None, 0, 9999, snaps), scratch_path(spark, "silver"),
+                         scratch_path(spark, "silver_ckpt"), history_path=path)
+    return path
+
+
+# One rule on the table that holds and one that the withheld names and prices break.
+TABLE_RULES = (DQ.column_count_above(0), DQ.row_count_at_least(1), DQ.pass_share_at_least(0.999))
+
+
+def q_dq_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The committed outcomes of every row and table rule by run."""
+    from sleeper.sinks.outcomes import read_outcomes
+
+    return read_outcomes(spark, _history_of_runs(spark, sf_dir)).select(
+        "run", "scope", "rule", "evaluated", "failed", "outcome")
+
+
+def q_table_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Table rules of one Silver run in best-effort mode: their values from the write's own counters."""
+    from sleeper.plans.silver import bronze_to_silver
+    from sleeper.session import scratch_path
+
+    res = bronze_to_silver(spark, _land_snapshots(spark, sf_dir), scratch_path(spark, "silver"),
+                           table_rules=TABLE_RULES, best_effort=True)
+    return spark.createDataFrame([(o["rule"], o["value"], o["outcome"]) for o in res.table_outcomes],
+                                 "rule string, value double, outcome string")
+
+
 # Thresholds under which every outcome of the funnel occurs; nothing is capped.
 OPEN_PROFILE = Profile(target=2 ** 31 - 1, max_candidates=0, max_evaluations=None, min_review_score=8,
                        min_total_reviews=26, max_total_reviews=32, allow_very_positive=True, max_current_players=14)

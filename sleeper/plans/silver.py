@@ -6,7 +6,7 @@ through ``Observation`` instead of a separate ``count()`` pass.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from sleeper.functions.price import parse_price
 from sleeper.operators import quality as DQ
 from sleeper.operators.mapping import apply_mapping
 from sleeper.sinks.files import write_parquet
+from sleeper.sinks.outcomes import record_outcomes, row_outcomes, whole_outcomes
 from sleeper.sources.files import CORRUPT, read_bronze
 
 STATUS = "dq_status"
@@ -28,6 +29,7 @@ class SilverResult:
     quarantine: str | None    # rejected rows, with failed_rules
     outcomes: list[dict]      # per-rule counters, collected during the write
     malformed: int = 0        # lines that are no JSON: rejected, and counted under no rule
+    table_outcomes: list[dict] = field(default_factory=list)  # of the rules on the table as a whole
 
 
 def to_silver_rows(bronze: DataFrame) -> DataFrame:
@@ -46,16 +48,20 @@ def check_rows(df: DataFrame, rules=DQ.RULES_SILVER) -> DataFrame:
 
 
 def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, rules=DQ.RULES_SILVER,
-                     quarantine: bool = True, max_records_per_file: int | None = 1_000_000) -> SilverResult:
+                     quarantine: bool = True, max_records_per_file: int | None = 1_000_000,
+                     table_rules=DQ.RULES_TABLE, best_effort: bool = False, history_path: str | None = None,
+                     run: str = "batch", batch: int = 0) -> SilverResult:
     """Read every Bronze run, map, check and write.
 
     With ``quarantine`` the passed and rejected rows are written by the same job,
     partitioned by ``dq_status`` (``passed`` / ``rejected``); the Silver table is
-    the ``passed`` partition.
+    the ``passed`` partition. ``table_rules`` on the schema are evaluated before anything is
+    written, those on row counts from the counters of the write itself; one that fails ends the
+    run, unless ``best_effort`` only reports it. With ``history_path`` all outcomes are
+    committed there under ``run`` and ``batch``, also those of a run that a rule ends.
     """
     rows = to_silver_rows(read_bronze(spark, bronze_root))
-    if not DQ.column_count_gt(rows, 0):  # table rule: schema only, no job
-        raise ValueError("Silver rows have no columns")
+    DQ.table_outcomes(table_rules, len(rows.columns), best_effort=best_effort)  # schema only, no job
     checked, obs = DQ.observe(check_rows(rows, rules), rules, name="silver_dq")
     status = F.when(F.size("failed_rules") == 0, F.lit("passed")).otherwise(F.lit("rejected"))
     cols = [f.name for f in T.SILVER.fields]
@@ -67,4 +73,10 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, ru
         out = checked.where(F.size("failed_rules") == 0).select(*cols)
         write_parquet(out, silver_root, max_records_per_file=max_records_per_file)
         path, qpath = silver_root, None
-    return SilverResult(path, qpath, DQ.observed_outcomes(obs, rules), int(obs.get["malformed"]))
+    seen, passed = DQ.routed_outcomes([obs.get], rules), int(obs.get["passed"])
+    whole = DQ.table_outcomes(table_rules, len(rows.columns), seen["evaluated"], passed, best_effort=True)
+    if history_path is not None:
+        record_outcomes(spark, history_path,
+                        [(run, batch, row_outcomes(seen, rules) + whole_outcomes(whole, seen["evaluated"]))])
+    DQ.table_outcomes(table_rules, len(rows.columns), seen["evaluated"], passed, best_effort=best_effort)
+    return SilverResult(path, qpath, DQ.observed_outcomes(obs, rules), seen["malformed"], whole)

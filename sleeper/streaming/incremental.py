@@ -9,19 +9,20 @@ micro-batch does not duplicate rows.
 Rows go to ``<silver_root>/dq_status=passed`` or ``=rejected`` in the same pass, and
 the rule counters are collected with it (as the batch job does).
 
-ST-2: Gold cannot be a pure delta because obscurity divides by the global
-maximum of review counts. The latest-row-per-item table is maintained
-incrementally: a second stream takes from Silver exactly the files that are
+ST-2: Gold is a keyed table of the latest row of each item with its score, in buckets
+by the key's hash. A second stream takes from Silver exactly the files that are
 committed there and that it has not merged yet, whatever run they belong to, so
 a run that lands late, or in a folder without a run's name, is merged like any
-other. Every item is then rescored against the new maximum: one narrow pass plus
-one aggregate. Rescoring only the changed items when the maximum did not move
-would need an anti-join (a shuffle) against the previous Gold to keep the
-others, which costs more than the narrow rescoring pass it would save.
+other. Only the buckets that new rows fall into are merged and written. All scores
+hang together by one number, the largest review count: each bucket's is noted in the
+table's manifest, so the new one is known from the touched buckets alone, and only
+when it has moved are the other buckets rescored.
 """
 
 from __future__ import annotations
 
+from dataclasses import asdict, dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,7 +35,9 @@ from sleeper.operators.dedup import latest_per_key
 from sleeper.operators.score import score_items
 from sleeper.plans.gold import GOLD_INPUT
 from sleeper.plans.silver import STATUS, check_rows, to_silver_rows
-from sleeper.sinks.files import delete_path, list_folders
+from sleeper.session import materialize
+from sleeper.sinks.outcomes import record_outcomes, row_outcomes
+from sleeper.sinks.tables import BUCKET, KeyedTable
 from sleeper.sources.files import bronze_reader, with_lineage
 
 METRICS = "silver_dq"
@@ -68,12 +71,16 @@ def _finish(q: StreamingQuery) -> StreamingQuery:
 
 
 def run_silver_increment(spark: SparkSession, bronze_root: str, silver_root: str, checkpoint: str,
-                         rules=DQ.RULES_SILVER) -> dict[str, int]:
+                         rules=DQ.RULES_SILVER, history_path: str | None = None, run: str = "stream") -> dict[str, int]:
     """Process what has landed; returns the counters of its rows (``evaluated``, ``malformed``, and
-    each rule's failures by name)."""
+    each rule's failures by name). With ``history_path`` the outcomes of every micro-batch are committed
+    there under ``run`` and the batch's number, which a batch keeps when it is run again."""
     q = _finish(silver_stream(spark, bronze_root, silver_root, checkpoint, rules))
-    seen = [p.observedMetrics[METRICS].asDict() for p in q.recentProgress if METRICS in p.observedMetrics]
-    return DQ.routed_outcomes(seen, rules)
+    seen = [(p.batchId, p.observedMetrics[METRICS].asDict()) for p in q.recentProgress if METRICS in p.observedMetrics]
+    if history_path is not None:
+        record_outcomes(spark, history_path, [(run, b, row_outcomes(DQ.routed_outcomes([m], rules), rules))
+                                              for b, m in seen if m["evaluated"]])
+    return DQ.routed_outcomes([m for _, m in seen], rules)
 
 
 def read_stream_silver(spark: SparkSession, silver_root: str, status: str = "passed") -> DataFrame:
@@ -92,34 +99,72 @@ def merge_latest(previous: DataFrame | None, delta: DataFrame, key: str = "appid
 
 
 INCREMENT = "increment"
+#: Folder of the Gold table in the state folder, and the count its scores hang together by.
+GOLD_TABLE, TOTAL = "gold", "total_resenas"
 
 
-def run_latest_increment(spark: SparkSession, silver_root: str, state_root: str, checkpoint: str) -> DataFrame:
-    """Merge the Silver files committed since the last call into the latest-row table.
+@dataclass
+class GoldIncrement:
+    rows: DataFrame        # the whole Gold table after the increment
+    arrived: int           # items that the increment brought rows of
+    rewritten: int         # items whose rows were written
+    maximum: int           # what obscurity is measured by
+    rescored_all: bool     # did it move (or the parameters), so that every bucket was written
 
-    A stream copies what Gold needs of them to ``<state_root>/delta``, marked with the
-    number of the increment; version n of the table (``<state_root>/version=n``) is
-    version n-1 merged with increment n. If a call fails, the next one has the same
-    number: what was copied already is merged with what it copies itself. Versions but
-    the last two are deleted.
-    """
-    have = sorted(int(n.split("=")[1]) for n in list_folders(spark, state_root) if n.startswith("version="))
-    number = have[-1] + 1 if have else 0
+
+def _new_rows(spark: SparkSession, silver_root: str, state_root: str, checkpoint: str, number: int) -> DataFrame:
+    """What Gold needs of the Silver files committed since the last increment. A stream copies it to
+    ``<state_root>/delta``, marked with the increment's number. If an increment fails, the next one has the same
+    number: what was copied already is merged with what it copies itself."""
     new = spark.readStream.schema(_ROUTED).parquet(silver_root).where(F.col(STATUS) == "passed")
     new = new.select(*GOLD_INPUT, F.lit(number).alias(INCREMENT))
     _finish(new.writeStream.format("parquet").option("path", f"{state_root}/delta").partitionBy(INCREMENT)
             .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
-    delta = spark.read.schema(new.schema).parquet(f"{state_root}/delta").where(F.col(INCREMENT) == number)
-    delta = delta.drop(INCREMENT)
-    previous = spark.read.schema(delta.schema).parquet(f"{state_root}/version={have[-1]}") if have else None
-    path = f"{state_root}/version={number}"
-    merge_latest(previous, delta).write.mode("overwrite").parquet(path)
-    for v in have[:-1]:
-        delete_path(spark, f"{state_root}/version={v}")
-    return spark.read.schema(delta.schema).parquet(path)
+    return spark.read.schema(new.schema).parquet(f"{state_root}/delta").where(F.col(INCREMENT) == number).drop(INCREMENT)
+
+
+def run_gold_delta(spark: SparkSession, silver_root: str, state_root: str, checkpoint: str,
+                   params: ScoreParams = ScoreParams(), buckets: int = 32) -> GoldIncrement:
+    """Merge what Silver has committed since the last call into the Gold table and rescore what that changes.
+
+    ``buckets`` counts when the table is made. The version becomes current at once, with its
+    maximum and parameters; a call that fails leaves the table as it was.
+    """
+    inputs = [f for f in T.SILVER.fields if f.name in GOLD_INPUT]
+    empty = spark.createDataFrame([], StructType(inputs)).select(*GOLD_INPUT)
+    table = KeyedTable.create_if_absent(spark, f"{state_root}/{GOLD_TABLE}",
+                                        score_items(empty, params, maximum=1).schema, "appid", buckets)
+    base = table.manifest()
+    delta = _new_rows(spark, silver_root, state_root, checkpoint, base.version + 1)
+
+    def bucketed(rows: DataFrame) -> DataFrame:
+        return rows.select(*GOLD_INPUT, table.bucket().alias(BUCKET))
+
+    new = materialize(bucketed(merge_latest(None, delta)), "gold_delta")
+    arrived = {r[BUCKET]: r["n"] for r in new.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()}
+    before = {b: x["max"] for b, x in base.buckets.items()}
+    same_params = base.notes.get("params") in (None, asdict(params))
+    if not arrived and same_params:
+        maximum = base.notes.get("max", 1)
+        return GoldIncrement(table.read(base), 0, 0, maximum, False)
+
+    current = bucketed(table.read(base, arrived))
+    merged = materialize(merge_latest(current, new), "gold_merged")
+    sizes = {r[BUCKET]: {"max": r["m"] or 0, "rows": r["n"]} for r in merged.groupBy(BUCKET).agg(
+        F.max(TOTAL).alias("m"), F.count(F.lit(1)).alias("n")).collect()}  # a row a bucket
+    maximum = max(1, *(x["max"] for x in sizes.values()), *(m for b, m in before.items() if b not in sizes), 1)
+    rescore = maximum != base.notes.get("max", maximum) or not same_params
+    if rescore:
+        rest = {b: {"max": x["max"], "rows": x["rows"]} for b, x in base.buckets.items() if b not in sizes}
+        merged = merged.unionByName(bucketed(table.read(base, rest)))
+        sizes |= rest
+    folder = table.write(score_items(merged, params, maximum=maximum).select(*table.schema.names, BUCKET))
+    now = table.commit(base, folder, sizes, {"max": maximum, "params": asdict(params)})
+    table.vacuum()
+    return GoldIncrement(table.read(now), sum(arrived.values()), sum(x["rows"] for x in sizes.values()), maximum, rescore)
 
 
 def run_gold_increment(spark: SparkSession, silver_root: str, state_root: str, checkpoint: str,
                        params: ScoreParams = ScoreParams()) -> DataFrame:
-    """Gold rows rescored over the latest-row table after merging what Silver has committed."""
-    return score_items(run_latest_increment(spark, silver_root, state_root, checkpoint), params)
+    """The Gold rows of :func:`run_gold_delta`."""
+    return run_gold_delta(spark, silver_root, state_root, checkpoint, params).rows
