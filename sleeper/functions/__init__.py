@@ -1,4 +1,4 @@
-"""Column -> Column helpers. All but :func:`normalize_text` are JVM-side expressions."""
+"""Column -> Column helpers, all of them JVM-side expressions."""
 
 from sleeper.functions.ids import (  # noqa: F401
     ids_from_attribute_html,

@@ -4,14 +4,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from dataclasses import dataclass
 from functools import cache
-from itertools import pairwise
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
 
 # Review labels that pass the quality gate, and the wider set
 # admitted when "very positive" is allowed (Spanish and English forms).
@@ -21,44 +18,100 @@ WIDER_LABELS = ("muy positivas", "very positive")
 LIST_SEPARATOR = " | "
 EMPTY_SLUG = "sin_nombre"
 
-# Leading/trailing Unicode whitespace (Python's str.strip() set).
-_ASCII_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f "
-_EDGE_SPACE = r"(?U)^[\s\p{Z}]+|[\s\p{Z}]+$"
-
 
 def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-@cache
-def _marks() -> re.Pattern:
-    """Every sign that combines with the one before it, as one character class of ranges."""
-    points = [c for c in range(0x110000) if unicodedata.combining(chr(c))]
-    runs = [points[i:j] for i, j in pairwise([i for i, c in enumerate(points) if not i or points[i - 1] != c - 1]
-                                             + [len(points)])]
-    return re.compile("[" + "".join(f"\\U{r[0]:08x}-\\U{r[-1]:08x}" for r in runs) + "]+")
+def _folded(c: str) -> str:
+    """NFKD of one sign without combining marks. Marks go wherever they stand, so no order of theirs matters
+    and a text folds sign by sign."""
+    return "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+
+
+# Hangul syllables decompose by arithmetic into a leading sign, a vowel and perhaps a trailing one.
+_HANGUL, _HANGUL_END, _VOWELS, _TRAILING = 0xAC00, 0xD7A3, 21, 28
 
 
-@pandas_udf(StringType())
-def _fold_batch(texts: pd.Series) -> pd.Series:
-    return texts.str.normalize("NFKD").str.replace(_marks(), "", regex=True).str.lower().str.strip()
+@dataclass(frozen=True)
+class _Decomposition:
+    """What folding does to signs, derived from the Unicode database: ``one`` turns into ``to``, sign by sign (those
+    beyond its length vanish), ``many`` into the texts of the same place in ``texts``; ``around`` are a
+    few ranges of a character class that have all of ``many`` and the Hangul syllables."""
+
+    one: str
+    to: str
+    many: str
+    texts: tuple[str, ...]
+    around: str
+
+
+@cache
+def _decomposition() -> _Decomposition:
+    one, gone, many = [], [], []
+    for c in range(0x110000):
+        if _HANGUL <= c <= _HANGUL_END or 0xD800 <= c <= 0xDFFF:
+            continue
+        sign = chr(c)
+        text = _folded(sign)
+        if text != sign:
+            (gone if not text else one if len(text) == 1 else many).append((sign, text))
+    points = sorted([ord(a) for a, _ in many] + [_HANGUL, _HANGUL_END])
+    ranges = [[points[0], points[0]]]
+    for c in points:
+        if c == _HANGUL_END or c - ranges[-1][1] <= 128:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    around = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges)
+    return _Decomposition("".join(a for a, _ in one + gone), "".join(b for _, b in one), "".join(a for a, _ in many),
+                          tuple(b for _, b in many), around)
+
+
+def _fold_one(sign: Column) -> Column:
+    """A sign that becomes several, or a text that none of them is part of."""
+    d = _decomposition()
+    at = F.when(F.length(sign) == 1, F.instr(F.lit(d.many), sign)).otherwise(0)
+    n = F.ascii(sign) - _HANGUL
+    lead, vowel, trail = ("".join(map(chr, range(a, a + k))) for a, k in ((0x1100, 19), (0x1161, _VOWELS), (0x11A8, _TRAILING - 1)))
+    jamo = F.concat(
+        F.substring(F.lit(lead), F.floor(n / (_VOWELS * _TRAILING)).cast("int") + 1, 1),
+        F.substring(F.lit(vowel), F.floor(n % (_VOWELS * _TRAILING) / _TRAILING).cast("int") + 1, 1),
+        F.when(n % _TRAILING > 0, F.substring(F.lit(trail), (n % _TRAILING).cast("int"), 1)).otherwise(F.lit("")))
+    return F.when(at > 0, F.get(F.lit(list(d.texts)), at - 1)).when(
+        (F.length(sign) == 1) & n.between(0, _HANGUL_END - _HANGUL), jamo).otherwise(sign)
 
 
 def normalize_text(text: Column | str) -> Column:
     """NFKD, combining marks dropped, lower-cased, stripped; NULL/empty -> ''.
 
-    ASCII text is folded in the JVM. Spark has no NFKD expression, so only the other
-    texts go through an Arrow-batched UDF, by whole columns. Use
-    :func:`equals_folded` for comparisons, which stays inside the JVM.
+    Spark has no NFKD expression. Signs that turn into one or none are translated all at
+    once; texts with signs that turn into several are cut at these, and each is looked up (Hangul
+    syllables are reckoned). All of it stays in the JVM, and ASCII texts take none of
+    these steps. The decompositions are those of Python's Unicode database.
     """
+    d = _decomposition()
     t = F.coalesce(_c(text), F.lit(""))
+
+    def fold(single: Column) -> Column:
+        cut = F.regexp_extract_all(single, F.lit(f"[{d.around}]|[^{d.around}]+"), F.lit(0))
+        return F.when((F.octet_length(single) > F.length(single)) & single.rlike(f"[{d.around}]"),
+                      F.array_join(F.transform(cut, _fold_one), "")).otherwise(single)
+
+    # the array of one holds the translated text, which is read several times
+    folded = F.get(F.transform(F.array(F.translate(t, d.one, d.to)), fold), F.lit(0))
     plain = F.octet_length(t) == F.length(t)
-    folded = F.btrim(F.lower(t), F.lit(_ASCII_SPACE))
-    return F.when(plain, folded).otherwise(_fold_batch(F.when(~plain, t)))
+    return F.btrim(F.lower(F.when(plain, t).otherwise(folded)), F.lit(_space()))
+
+
+@cache
+def _space() -> str:
+    """What Python's str.strip() takes off."""
+    return "".join(c for c in map(chr, range(0x110000)) if c.isspace())
 
 
 def strip_edges(text: Column | str) -> Column:
-    return F.regexp_replace(_c(text), _EDGE_SPACE, "")
+    return F.btrim(_c(text), F.lit(_space()))
 
 
 def equals_folded(text: Column | str, values: tuple[str, ...] | list[str]) -> Column:

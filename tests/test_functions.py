@@ -84,6 +84,20 @@ def test_normalize_text(spark):
     assert got == ["extremadamente positivas", "", "fine"]
 
 
+def test_normalize_text_is_pythons_over_all_signs(spark):
+    """Every assigned sign alone and between others; the words of a sentence; no Python worker in the plan."""
+    import unicodedata
+
+    def python(t):
+        return "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)).lower().strip()
+
+    signs = [c for c in map(chr, range(0x110000)) if unicodedata.category(c) not in ("Cn", "Cs", "Co")]
+    texts = signs + [f"A{c}b{c}{c}Σ" for c in signs[::23]] + ["ΑΣ ΣΑΣ. 한국어 ﬁ½ ǅ\u0301", "x" * 100_000 + "ﷺ각é", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "v string").repartition(4).select("v", normalize_text("v").alias("r"))
+    assert [(r["v"], r["r"]) for r in df.collect() if r["r"] != python(r["v"])] == []
+    assert "Python" not in df._jdf.queryExecution().toString() and "Arrow" not in df._jdf.queryExecution().toString()
+
+
 def test_join_list(spark):
     df = spark.createDataFrame([(["a", None, "", "b"],), (None,), ([],)], "v array<string>")
     got = [r["r"] for r in df.select(join_list("v").alias("r")).collect()]
