@@ -308,6 +308,7 @@ s AS (SELECT *, CASE WHEN is_rising
       FROM b)"""
     q["q_rising"] = hist + """
 SELECT appid, run, prev_score, hidden_gem_score, score_delta, rise_streak FROM s WHERE score_delta > 0"""
+    q["q_rising_incremental"] = q["q_rising"]
     q["q_latest_snapshot"] = with_(SNAPSHOTS) + """,
 r AS (SELECT *, row_number() OVER (PARTITION BY appid ORDER BY run DESC) AS rn FROM snapshots)
 SELECT appid, run, nombre, total_resenas, resenas_positivas, puntuacion FROM r WHERE rn = 1"""

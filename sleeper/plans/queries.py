@@ -441,6 +441,19 @@ def q_gold_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(seen, "wave int, arrived long, items long, maximum int, rescored boolean")
 
 
+def q_rising_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`q_rising` kept run by run: the runs come one or two at a time, two of them late, one again."""
+    from sleeper.plans.rising import advance, read_changes
+    from sleeper.session import scratch_path
+
+    h = materialize(score_history(spark, sf_dir).select("appid", "run", "hidden_gem_score"), "history")
+    root = scratch_path(spark, "rising")
+    for lo, hi in ((0, 1993), (1995, 1995), (1997, 9999), (1996, 1996), (1994, 1994), (1997, 1997)):
+        advance(h.where(F.col("run").between(lo, hi)), root)
+    return read_changes(spark, root).where("score_delta > 0").select(
+        F.col("appid").cast("int").alias("appid"), "run", "prev_score", "hidden_gem_score", "score_delta", "rise_streak")
+
+
 def _history_of_runs(spark: SparkSession, sf_dir: str) -> str:
     """Outcomes of two Silver runs and of a stream's batch; the first run is replayed once."""
     from sleeper.plans.silver import bronze_to_silver
