@@ -181,8 +181,13 @@ def evaluate(df: DataFrame, rules, col: str = "failed_rules") -> DataFrame:
 
 
 def split(df: DataFrame, rules, col: str = "failed_rules") -> tuple[DataFrame, DataFrame]:
-    """(passed, rejected). ``passed`` keeps the input columns only."""
-    ev = evaluate(df, rules, col)
+    """(passed, rejected). ``passed`` keeps the input columns only.
+
+    The failed rules come out of an array of one, so that neither the filter is pushed
+    below them (and every rule evaluated once more there) nor the input's own
+    expressions are repeated in each rule.
+    """
+    ev = df.select("*", F.explode(F.array(failed_rules(rules))).alias(col))
     return ev.where(F.size(col) == 0).drop(col), ev.where(F.size(col) > 0)
 
 

@@ -46,7 +46,8 @@ def sources_from_pages(search: DataFrame, charts: DataFrame, ranks: DataFrame, p
     ``ranks`` (payload): the ranked list, of which the first ``head`` entries count.
     A place in a list is page and place on it in one number.
     """
-    store = materialize(P.session_first_ids(search, max_pages=profile.store_pages), "store_ids")
+    store, totals = P.session_first(search, max_pages=profile.store_pages)
+    store = materialize(store, "store_ids")
     links = P.chart_page_links(charts, CHART_LINK_PATTERN, max_pages=profile.chart_pages)
     top = materialize(P.parse_ranks(ranks, limit=head), "top_list")
     lists = [(STORE, store.select("appid", P.place("first_page", "first_pos").alias("pos"))),
@@ -55,7 +56,7 @@ def sources_from_pages(search: DataFrame, charts: DataFrame, ranks: DataFrame, p
     tagged = C.first_occurrence(C.tag_sources(lists).where(F.col("appid").isNotNull()), by=["source", "prio"])
     last = latest_per_key(top, ["appid"], ["pos"], tiebreak=False)
     return PageSources(materialize(tagged, "sources"), last.select("appid", F.col("rank").alias("chart_rank")),
-                       store.agg(F.max("reported_total").alias("reported_total")))
+                       totals.agg(F.max("reported_total").alias("reported_total")))
 
 
 def select_candidates(sources: list[tuple[str, DataFrame]] | DataFrame, profile: Profile,

@@ -89,9 +89,12 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     Session = order, page = line number. The page lists the part id, a
     bracketed ``[supplier, part]`` pair and a non-numeric id. Lines with
     return flag 'N' and status 'O' render a page without ids (end of results).
-    total_count is the line quantity ('0' on line 1).
+    total_count is the line quantity ('0' on line 1). The pages lie as many files would, dealt
+    by session and page (the numbers they are rendered from are, not the pages).
     """
-    li = W.table(spark, sf_dir, "lineitem")
+    li = W.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_quantity").repartition(
+        "l_orderkey", "l_linenumber")
     empty = (F.col("l_returnflag") == "N") & (F.col("l_linestatus") == "O")
     full = F.concat(
         F.lit('<div class="row" data-ds-appid="'), F.col("l_partkey").cast("string"), F.lit('"></div>'),
@@ -108,8 +111,9 @@ def search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ranks_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(list_id, list_page, payload): a ranked list per lineitem row:
-    [part (rank 1), supplier (rank 2), a non-integer id (rank 3)]."""
-    li = W.table(spark, sf_dir, "lineitem")
+    [part (rank 1), supplier (rank 2), a non-integer id (rank 3)], dealt as :func:`search_pages`."""
+    li = W.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").repartition(
+        "l_orderkey", "l_linenumber")
     ranks = F.array(
         F.struct(F.col("l_partkey").cast("string").alias("appid"), F.lit(1).alias("rank")),
         F.struct(F.col("l_suppkey").cast("string").alias("appid"), F.lit(2).alias("rank")),

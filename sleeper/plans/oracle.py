@@ -473,6 +473,9 @@ SELECT appid, list_id, list_page, rank FROM r WHERE rn = 1"""
 SELECT f.session_id, f.appid, CAST(f.k // 10 AS INTEGER) AS first_page, CAST(f.k % 10 AS INTEGER) AS first_pos,
        t.reported_total
 FROM firsts f LEFT JOIN totals t USING (session_id)"""
+    q["q_search_totals"] = with_(SEARCH) + """
+SELECT session_id, reported_total FROM totals
+UNION ALL SELECT -1 - n_nationkey, n_nationkey + 5 FROM nation"""
     q["q_html_ids"] = """
 WITH l AS (SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host,
                   regexp_extract_all(html, 'href="/([^"]+)"', 1) AS links FROM pages),

@@ -164,14 +164,25 @@ def q_flatten_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_ranked_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First two entries of every ranked list; the last occurrence of an id wins."""
     r = P.parse_ranks(L.ranks_payloads(spark, sf_dir), limit=2, list_cols=["list_id", "list_page"])
-    last = latest_per_key(r, ["appid"], ["list_id", "list_page", "pos"], tiebreak=False)
-    return last.select("appid", "list_id", "list_page", "rank")
+    last = r.groupBy("appid").agg(F.max(F.struct("list_id", "list_page", "pos", "rank")).alias("last"))
+    return last.select("appid", "last.list_id", "last.list_page", "last.rank")
 
 
 def q_search_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.session_first_ids(L.search_pages(spark, sf_dir))
 
 
+def q_search_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each session reports to hold, beside :func:`q_search_pages` one session a nation whose pages list nothing."""
+    pages = L.search_pages(spark, sf_dir)
+    nothing = W.table(spark, sf_dir, "nation").select(
+        (-1 - F.col("n_nationkey")).cast(pages.schema["session_id"].dataType).alias("session_id"),
+        F.lit(0).cast(pages.schema["page_idx"].dataType).alias("page_idx"),
+        F.to_json(F.struct((F.col("n_nationkey") + 5).cast("string").alias("total_count"),
+                           F.lit("<p>nothing found</p>").alias("results_html"))).alias("payload"))
+    return P.session_first(pages.unionByName(nothing))[1]
+
+
 def q_html_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one crawl session per site: pages of a host in page order, each site stopping
     # at its first page without links

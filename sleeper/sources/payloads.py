@@ -127,20 +127,6 @@ def place(page: str, pos: str) -> Column:
     return F.col(page).cast("long") * (1 << 32) + F.col(pos)
 
 
-#: One page in a page-and-total number: more than any total.
-_PAGE_UNIT = "10000000000000000000"
-
-
-def _page_unit() -> Column:
-    return F.lit(_PAGE_UNIT).cast("decimal(20,0)")
-
-
-def _total_key(page: str) -> Column:
-    """Page and total in one number, so that the smallest is the first page's: a plain hash aggregate."""
-    key = F.col(page).cast("decimal(18,0)") * _page_unit()
-    return F.when(F.col("total") > 0, (key + F.col("total").cast("decimal(19,0)")).cast("decimal(38,0)"))
-
-
 def _refuse_corrupt(sessions: DataFrame, stop: str, bad: str, on_corrupt: str) -> None:
     """A corrupt page up to a session's stop is a failed fetch that ends the run; with
     ``on_corrupt="report"`` it is left out (see :func:`corrupt_pages`). It never is the end of the results."""
@@ -154,66 +140,73 @@ def corrupt_pages(df: DataFrame, session: str = "session_id", page: str = "page_
     return df.where(~_parsed(F.col("payload"), T.SEARCH_PAYLOAD)[1]).select(session, page)
 
 
-def session_first_ids(df: DataFrame, max_pages: int | None = None, session: str = "session_id",
-                      page: str = "page_idx", on_corrupt: str = "fail") -> DataFrame:
-    """Each session's distinct ids at their first place: (session, appid, first_page, first_pos,
-    reported_total).
-
-    The pages are read once and reduced to one row per session and id; what a
-    session's rules need (the first page without ids, the first total, the first
-    corrupt page) rides along in the same aggregate and is taken from its result. As
-    the first place is a minimum, dropping ids after the stop then is the same as
-    before. ``on_corrupt``: see :func:`_refuse_corrupt`.
-    """
+def _session_rules(pages: DataFrame, session: str, page: str, on_corrupt: str) -> DataFrame:
+    """(_s, _stop, _total, _n): per session the first page without ids, the reported total and the number of pages,
+    from an aggregate over pages, whose ids are not looked at. The total is that of the first page that
+    reports one (the smaller if two pages share an index), ids or not, unless it lies behind the stop."""
+    rules = pages.groupBy(F.struct(session).alias("_s")).agg(
+        F.min(F.when(F.col("ok") & (F.size("ids") == 0), F.col(page))).alias("_stop"),
+        F.min(F.when(~F.col("ok"), F.col(page))).alias("_bad"),
+        F.min(F.when(F.col("total") > 0, F.struct(F.col(page).alias("page"), "total"))).alias("_first"),
+        F.count(F.lit(1)).alias("_n"))
+    read = F.col("_stop").isNull() | (F.col("_first.page") <= F.col("_stop"))
+    from sleeper.session import materialize
+
+    rules = materialize(rules.select("_s", "_stop", "_bad", F.when(read, F.col("_first.total")).alias("_total"), "_n"),
+                        "session_rules")
+    _refuse_corrupt(rules, "_stop", "_bad", on_corrupt)
+    return rules
+
+
+def _read_pages(df: DataFrame, max_pages: int | None, session: str, page: str, on_corrupt: str) -> tuple[DataFrame, DataFrame]:
+    """(pages that are read, rules of their sessions): every page is parsed once, and those behind the stop
+    go before their ids are listed. Sessions of any size are joined to their rules."""
     from sleeper.operators.skew import join_sites
     from sleeper.session import materialize
 
-    rows = search_pages(df, max_pages, session, page).select(
-        F.struct(session).alias("_s"), page, "ok", "total", (F.size("ids") == 0).alias("empty"),
-        F.posexplode_outer("ids").alias("pos", "appid"))
-    first = materialize(rows.groupBy("_s", "appid").agg(
-        F.min(place(page, "pos")).alias("place"),
-        F.min(F.when(F.col("ok") & F.col("empty"), F.col(page))).alias("stop"),
-        F.min(F.when(~F.col("ok"), F.col(page))).alias("bad"),
-        F.min(_total_key(page)).alias("total")), "session_ids")
-    sessions = materialize(first.groupBy("_s").agg(
-        F.min("stop").alias("s_stop"), F.min("bad").alias("s_bad"), F.min("total").alias("s_total"),
-        F.count(F.lit(1)).alias("n")), "sessions")
-    _refuse_corrupt(sessions, "s_stop", "s_bad", on_corrupt)
-    first_page = F.shiftright("place", 32)
-    total_page = F.floor(F.col("s_total") / _page_unit())
-    out = join_sites(first.select("_s", "appid", "place"), sessions, ["_s"], "n")
-    read = F.col("s_stop").isNull() | (first_page <= F.col("s_stop"))
-    return out.where(read & F.col("appid").isNotNull()).select(
-        F.col(f"_s.{session}").alias(session), "appid", first_page.cast(df.schema[page].dataType).alias("first_page"),
-        F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("first_pos"),
-        F.when(F.col("s_stop").isNull() | (total_page <= F.col("s_stop")),
-               (F.col("s_total") % _page_unit()).cast("long")).alias("reported_total"))
+    pages = materialize(search_pages(df, max_pages, session, page), "parsed_pages")
+    rules = _session_rules(pages, session, page, on_corrupt)
+    listed = pages.where(F.size("ids") > 0).select(F.struct(session).alias("_s"), page, "ids")
+    kept = join_sites(listed, rules, ["_s"], "_n").where(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop")))
+    return kept.select("_s", page, "ids", "_total"), rules
 
 
-def search_page_ids(df: DataFrame, max_pages: int | None = None, session: str = "session_id",
-                    page: str = "page_idx", on_corrupt: str = "fail") -> tuple[DataFrame, DataFrame]:
-    """Search-result pages -> ((session, page, pos, appid), (session, reported_total)).
+def _totals(rules: DataFrame, session: str) -> DataFrame:
+    return rules.where(F.col("_total").isNotNull()).select(F.col(f"_s.{session}").alias(session),
+                                                           F.col("_total").alias("reported_total"))
+
+
+def session_first(df: DataFrame, max_pages: int | None = None, session: str = "session_id",
+                  page: str = "page_idx", on_corrupt: str = "fail") -> tuple[DataFrame, DataFrame]:
+    """Each session's distinct ids at their first place, (session, appid, first_page, first_pos, reported_total),
+    and (session, reported_total) of every session that reports one, also of those that list no ids.
 
-    Paging stops at the first page with no ids; the reported total is the first
-    non-zero ``total_count`` in page order (the smaller one if two pages share an
-    index), if its page is read. ``on_corrupt``: see :func:`_refuse_corrupt`. The
-    parsed pages are written once; one aggregate over them yields the rules.
+    Paging stops at a session's first page without ids. ``on_corrupt``: see :func:`_refuse_corrupt`.
     """
-    from sleeper.session import materialize
+    kept, rules = _read_pages(df, max_pages, session, page, on_corrupt)
+    # a session has one total: it rides along as part of the group
+    first = kept.select("_s", "_total", page, F.posexplode("ids").alias("pos", "appid")).where(
+        F.col("appid").isNotNull()).groupBy("_s", "_total", "appid").agg(F.min(place(page, "pos")).alias("place"))
+    ids = first.select(
+        F.col(f"_s.{session}").alias(session), "appid",
+        F.shiftright("place", 32).cast(df.schema[page].dataType).alias("first_page"),
+        F.col("place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("first_pos"), F.col("_total").alias("reported_total"))
+    return ids, _totals(rules, session)
 
-    pages = materialize(search_pages(df, max_pages, session, page), "parsed_pages")
-    rules = materialize(pages.groupBy(session).agg(
-        F.min(F.when(F.col("ok") & (F.size("ids") == 0), F.col(page))).alias("_stop"),
-        F.min(F.when(~F.col("ok"), F.col(page))).alias("_bad"), F.min(_total_key(page)).alias("_total")), "page_rules")
-    _refuse_corrupt(rules, "_stop", "_bad", on_corrupt)
-    read = F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))
-    mine = rules.withColumnRenamed(session, "_session")
-    kept = pages.join(mine, pages[session].eqNullSafe(mine["_session"])).where(read)
-    total_page = F.floor(F.col("_total") / _page_unit())
-    totals = rules.where(F.col("_total").isNotNull() & (F.col("_stop").isNull() | (total_page <= F.col("_stop")))).select(
-        session, (F.col("_total") % _page_unit()).cast("long").alias("reported_total"))
-    return kept.select(session, page, F.posexplode("ids").alias("pos", "appid")), totals
+
+def session_first_ids(df: DataFrame, max_pages: int | None = None, session: str = "session_id",
+                      page: str = "page_idx", on_corrupt: str = "fail") -> DataFrame:
+    """The ids of :func:`session_first`."""
+    return session_first(df, max_pages, session, page, on_corrupt)[0]
+
+
+def search_page_ids(df: DataFrame, max_pages: int | None = None, session: str = "session_id",
+                    page: str = "page_idx", on_corrupt: str = "fail") -> tuple[DataFrame, DataFrame]:
+    """Search-result pages -> ((session, page, pos, appid), (session, reported_total)), all ids of the pages
+    that are read; see :func:`session_first`."""
+    kept, rules = _read_pages(df, max_pages, session, page, on_corrupt)
+    ids = kept.select(F.col(f"_s.{session}").alias(session), page, F.posexplode("ids").alias("pos", "appid"))
+    return ids, _totals(rules, session)
 
 
 def chart_page_links(df: DataFrame, pattern: str, max_pages: int | None = None,

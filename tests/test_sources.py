@@ -78,3 +78,19 @@ def test_page_fed_lists_grow_with_the_tables(spark):
     got = {r["source"]: r["n"] for r in Q.session_sources(spark, SF_ORACLE).tagged.groupBy("source").agg(
         F.count_distinct("appid").alias("n")).collect()}
     assert got["store"] >= n["part"] / 2 and got["charts"] >= n["supplier"] / 2 and got["top_list"] >= n["customer"] / 2
+
+
+def test_a_total_without_ids_is_kept(spark):
+    """A session that lists nothing still reports a total; a total behind the stop does not count."""
+    from sleeper.sources import payloads as P
+
+    empty, some = "<p></p>", '<a data-ds-appid=\\"7\\"></a>'
+    rows = [(1, 0, f'{{"total_count": "5", "results_html": "{empty}"}}'),
+            (2, 0, f'{{"total_count": 0, "results_html": "{some}"}}'), (2, 1, f'{{"total_count": 9, "results_html": "{empty}"}}'),
+            (2, 2, f'{{"total_count": 4, "results_html": "{some}"}}'),
+            (3, 0, f'{{"results_html": "{empty}"}}'), (3, 1, f'{{"total_count": 8, "results_html": "{some}"}}'),
+            (None, 0, '{"total_count": 6}')]
+    pages = spark.createDataFrame(rows, "session_id int, page_idx int, payload string")
+    ids, totals = P.session_first(pages)
+    assert sorted(totals.collect(), key=str) == sorted([(1, 5), (2, 9), (None, 6)], key=str)
+    assert [tuple(r) for r in ids.collect()] == [(2, 7, 0, 0, 9)]
