@@ -11,7 +11,9 @@ likelihoods and decides. Spans of the strict patterns (the base) always stay.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -98,10 +100,12 @@ def candidates(text: str) -> list[tuple[str, int, int, bool]]:
     base = base_spans(text)
     wide: list[tuple[str, int, int]] = []
     if "at" in text or "At" in text or "AT" in text:
+        end = 0
         for m in _AT.finditer(text):
-            before = text[max(0, m.start() - 64):m.start()]
+            before = text[end:m.start()]
+            end = m.end()
             n = len(before) - len(before.rstrip(_LOCAL))
-            if n and (d := _SPOKEN.match(text, m.end())):
+            if n and (d := _SPOKEN.match(text, end)):
                 wide.append(("email", m.start() - n, d.end()))
     if _DIGITS.search(text):
         wide += [("ip", a, b) for a, b, _ in dotted(text)]
@@ -110,12 +114,14 @@ def candidates(text: str) -> list[tuple[str, int, int, bool]]:
     out = [(*s, True) for s in base]
     if not wide:
         return out
-    taken = sorted((a, b) for _, a, b in base)
+    starts = sorted(a for _, a, _ in base)
+    ends = list(accumulate((b for _, b in sorted((a, b) for _, a, b in base)), max))  # the largest end up to each start
+    reach = 0  # of the wide spans so far, which come by their start
     for kind, a, b in sorted(set(wide) - set(base), key=lambda s: (s[1], -s[2], s[0])):
-        i = np.searchsorted([x for x, _ in taken], b)
-        if not any(x < b and a < y for x, y in taken[max(0, i - 2):i]):
+        i = bisect_left(starts, b)
+        if reach <= a and not (i and ends[i - 1] > a):
             out.append((kind, a, b, False))
-            taken = sorted([*taken, (a, b)])
+            reach = b
     return out
 
 

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import time
 
 import numpy as np
 from hypothesis import given, settings
@@ -41,6 +43,23 @@ def test_base_of_planted_spans():
         P.candidates(long)  # in a moment, not in hours
 
 
+def test_many_spans_in_one_text():
+    """Ten megabytes of numbers in seconds, and no proposed span overlaps another or the base."""
+    began = time.process_time()
+    found = P.candidates("555-123-4567 " * 800_000)
+    assert len(found) >= 400_000 and time.process_time() - began < 60
+    rng = random.Random(1)
+    for _ in range(300):
+        text = "".join(rng.choice(["+1", ".1", " 2", "300", "555-123-4567", "(at)", "a.b", "@", "4795 5229 3596 1213", ":f", " "])
+                       for _ in range(30))
+        spans = P.candidates(text)
+        for k, a, b, base in spans:
+            assert base or not any(x < b and a < y for o, x, y, _ in spans if (o, x, y) != (k, a, b)), (text, spans)
+    assert ("ip", 17, 26, False) not in P.candidates("+1.1.1.1 2.2.2.2 300.1.1.1")
+    name = "n" * 300
+    assert ("email", 1, 1 + 300 + 6 + 11, False) in P.candidates(f" {name} (at) example.com")
+
+
 def test_query_matches_brute_force(spark):
     docs = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
     got = queries.op5_weak_supervision(spark, SF_SMALL).collect()
