@@ -7,7 +7,8 @@ equivalence class; classes that occur on enough pages and have enough tokens are
 the template, nested by the containers of their tokens. Each page is cut at the
 template's block tags, and what lies between two cuts is a slot. A slot that says the
 same on every page is the template's, inside the article too, unless the pages say
-the same as a whole (copies). The text of the slots that vary is the page's, without
+the same as a whole; copies of a page count as one page, and a heading over text that varies
+is the article's, whatever other articles are headed. The text of the slots that vary is the page's, without
 menus, adverts and the like, which elements and whole names tell.
 
 Vectors are never gathered: a token's vector is known by the exclusive or of one
@@ -45,26 +46,42 @@ MAIN = frozenset(("article", "main"))
 UNNAMED = MAIN | {"html", "body"}  # whose names say nothing of what they hold
 # A container's class, id or role made of such words only, or of such words and PLACES, says what it is for.
 BOILERPLATE = frozenset("""ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion
-    cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription paywall
+    cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription paywall signup
     nav navbar navigation menu menubar breadcrumb breadcrumbs pagination pager toolbar sidebar complementary widget
     footer contentinfo masthead search searchbox share sharing social related recommended teaser
     comment comments commentlist disqus respond replies reply""".split())
 PLACES = frozenset("""slot box bar list item items area block section container wrapper wrap inner outer unit zone panel
     column col row link links button buttons icon icons top bottom left right primary secondary main site page post posts
-    article articles entry global content header form signup policy message thread""".split())
+    article articles entry global content header form policy message thread""".split())
+
+# Words that decide whatever stands beside them, and words that turn a name's meaning.
+STRONG = frozenset("""ad ads advert adverts advertisement advertising adsbygoogle adslot adsense sponsored cookie cookies
+    gdpr comment comments commentlist disqus newsletter paywall""".split())
+TURNING = frozenset("no not non with without has free off hide hidden disable disabled enable enabled".split())
+# Words that together announce other pages.
+ELSEWHERE = (frozenset(("more", "also", "most", "other", "latest", "popular", "trending")),
+             frozenset(("stories", "story", "articles", "news", "posts", "read", "like", "viewed", "headlines")))
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 
 _TOKEN = re.compile(
     rf"(?is)<!--.*?(?:-->|\Z)|<(?:svg|math)\b(?:[^>/]|/(?!>))*+/>|<({'|'.join(RAW)})\b[^>]*+(?:>.*?(?:</\1\s*+>|\Z)|\Z)|<[!?][^>]*+(?:>|\Z)"
     r"""|<(/?)([a-z][a-z0-9:-]*+)((?:[^<>"']++|"[^"<]*+"|'[^'<]*+'|["'])*+)(?:>|(?=<)|\Z)""")
 _NAME = re.compile(r"""(?i)\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-_WORD = re.compile(r"[a-z]+")
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _SIGNS = str.maketrans("/>[]=", "_____")
 
 
 def boilerplate(name: str) -> bool:
-    """Does a whole name say that its container is no text? ``ad-slot`` does, ``with-sidebar`` doesn't."""
-    words = set(_WORD.findall(name))
-    return bool(words & BOILERPLATE) and words <= BOILERPLATE | PLACES
+    """Does a whole name say that its container is no text?
+
+    Its words are told by signs, digits and camel case. ``ad-slot``, ``ad-300x250``, ``readerComments`` and
+    ``more-stories`` do, ``with-sidebar``, ``no-comments`` and ``post`` don't.
+    """
+    words = {w.lower() for w in _WORD.findall(name)}
+    if words & TURNING:
+        return False
+    return bool(words & STRONG) or all(words & part for part in ELSEWHERE) or (
+        bool(words & BOILERPLATE) and words <= BOILERPLATE | PLACES)
 
 
 def short(path: str) -> str:
@@ -116,9 +133,9 @@ class Page:
         self.chars[node] += len(text.strip())
 
     def _open(self, stack: list[int], name: str, attributes: str) -> None:
-        found = [(k.lower(), (a or b or c).lower().split()) for k, a, b, c in _NAME.findall(attributes)] \
+        found = [(k.lower(), (a or b or c).split()) for k, a, b, c in _NAME.findall(attributes)] \
             if "=" in attributes else []
-        marks = "".join(f"[{k}={' '.join(v).translate(_SIGNS)}]" for k, v in found)
+        marks = "".join(f"[{k}={' '.join(v).lower().translate(_SIGNS)}]" for k, v in found)
         above = self.paths[stack[-1]]
         if len(stack) > DEPTH:
             above = short(above)
@@ -126,7 +143,7 @@ class Page:
         self.parents.append(stack[-1])
         self.elements.append(name)
         self.named.append(name not in UNNAMED and any(boilerplate(x) for _, v in found for x in v))
-        self.mains.append(name in MAIN or any(k == "role" and "main" in v for k, v in found))
+        self.mains.append(name in MAIN or any(k == "role" and "main" in (x.lower() for x in v) for k, v in found))
         self.chars.append(0)
         stack.append(len(self.paths) - 1)
 
@@ -154,17 +171,17 @@ class Page:
         article = any(self.mains[i] and not drop[i] for i in range(1, n))
         return [not drop[i] and (main[i] or not article) for i in range(n)]
 
-    def blocks(self, cuts) -> list[tuple[str, str]]:
-        """(slot, text) of each block whose text counts; a slot has the token of the cut before it."""
+    def blocks(self, cuts) -> list[tuple[str, str, bool]]:
+        """(slot, text, is it a heading) of each block whose text counts; a slot has the token of the cut before it."""
         counts = self.roles()
-        out: list[tuple[str, str]] = []
+        out: list[tuple[str, str, bool]] = []
         block: list[str] = []
-        slot = START
+        slot, heading = START, False
 
         def flush():
             text = " ".join(html.unescape("".join(block)).split())
             if text:
-                out.append((slot, text))
+                out.append((slot, text, heading))
             block.clear()
 
         for node, token, name, text in self.tokens:
@@ -173,6 +190,7 @@ class Page:
                     block.append(text)
             elif name in BLOCKS:
                 flush()
+                heading = name in HEADINGS and not token.endswith("/" + name)
                 if token in cuts:
                     slot = token
             elif name == "br":
@@ -186,8 +204,17 @@ START, WHOLE = "^", ""
 
 
 def main_text(page: str, cuts, same) -> str:
-    """The text of the page's slots. ``cuts``: the template's tokens; ``same``: the slots that say the same on every page."""
-    return "\n".join(text for slot, text in Page(page).blocks(cuts) if slot not in same)
+    """The text of the page's slots. ``cuts``: the template's tokens; ``same``: the slots that say the same on
+    every page. These go; but a heading, which articles may share, goes only with what it is over."""
+    blocks = Page(page).blocks(cuts)
+    out, varies = [], False  # does the next block that is no heading stay?
+    for slot, text, heading in reversed(blocks):
+        stays = slot not in same or heading and varies
+        if stays:
+            out.append(text)
+        if not heading:
+            varies = stays
+    return "\n".join(reversed(out))
 
 
 # ---------------------------------------------------------------- templates
@@ -303,7 +330,7 @@ def same_slots(joined: DataFrame, counts: DataFrame, common: frozenset[str]) ->
                     if cuts is None:
                         continue
                     slots: dict[str, list[str]] = {}
-                    for slot, text in parsed.blocks(cuts):
+                    for slot, text, _ in parsed.blocks(cuts):
                         slots.setdefault(slot, []).append(text)
                         slots.setdefault(WHOLE, []).append(text)
                     for slot, said in slots.items():
@@ -329,23 +356,36 @@ def _nested(known: dict[str, frozenset], host_name: str, template: pa.Scalar, de
     return known[host_name]
 
 
+def distinct_pages(rows: DataFrame) -> DataFrame:
+    """``rows`` (_file, _row, host, html) without the copies of pages on their host, which would vouch for each other.
+    Only the pages' digests are shuffled to find them."""
+    narrow = keep(rows.select("_file", "_row", "host", F.unhex(F.sha2(F.coalesce("html", F.lit("")), 256)).alias("digest")),
+                  "page_digests")
+    groups = keep(narrow.groupBy("host", "digest").agg(F.count("*").alias("n"), F.min(F.struct("_file", "_row")).alias("one"))
+                  .where(F.col("n") > 1), "copied_pages")
+    copies = join_sites(narrow, groups, ["host", "digest"], "n").where(F.struct("_file", "_row") != F.col("one"))
+    return rows.join(keep(copies.select("_file", "_row"), "page_copies"), ["_file", "_row"], "left_anti")
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """The main text of every page.
 
     Returns one row per row of ``pages``: ``_file``, ``_row``, ``page_id``, ``url``,
     ``text``. A null or empty page has the empty text; a page without markup is one
     block. A page of a host with fewer than MIN_PAGES pages, or without a url, is
-    read by the template of all pages. Equal rows get equal texts; an empty table
-    gives no rows. Other columns are not read.
+    read by the template of all pages. Equal rows get equal texts, and copies of a page count once when the
+    template is learned, so ties between pages decide nothing. An empty table gives no rows. Pages of
+    any length are parsed whole, in one pass over their text. Other columns are not read.
     """
     rows = with_row_id(pages, F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                        F.col(html_col).cast("string").alias("html"), host(F.col(url_col)).alias("host"))
-    learned = keep(templates(rows.select("_file", "_row", "host", "html")), "templates")
+    unlike = distinct_pages(rows.select("_file", "_row", "host", "html"))
+    learned = keep(templates(unlike), "templates")
     common = nest((learned.where("host = '*'").select("template").first() or [[]])[0])  # no more than a few pages' tokens
     hosts = learned.where("host != '*' and host != ''").select("host", "template")
-    counts = _pages(rows)
+    counts = _pages(unlike)
     known = keep(counts.where("host != '*'").join(hosts, "host", "left").select("host", "n", "template"), "hosts")
-    same = keep(same_slots(join_sites(rows.select("host", "html"), known, ["host"], "n").select("host", "html", "template"),
+    same = keep(same_slots(join_sites(unlike.select("host", "html"), known, ["host"], "n").select("host", "html", "template"),
                            counts, common), "slots")
     common_same = frozenset((same.where("host = '*'").select("same").first() or [[]])[0])
     known = keep(known.join(same.where("host != '*'"), "host", "left"), "hosts")

@@ -134,3 +134,31 @@ def test_slots_far_below(spark, make):
     rows = [(i, "http://h.example/", "<div>" * 40 + f"<section>Daily</section><ul>Text {i}</ul>" + "</div>" * 40)
             for i in range(6)]
     assert texts(make(rows, PAGES)) == {i: f"Text {i}" for i in range(6)}
+
+
+def test_articles_keep_their_headings_and_copies_vouch_for_nothing(spark, make):
+    def page(i, body):
+        return f"<html><body><article><h1>Story {i}</h1>{body}</article></body></html>"
+    rows = [(i, "http://h.example/", page(i, f"<h2>Introduction</h2><p>Intro {i}.</p><h2>Results</h2><p>Found {i}.</p>"))
+            for i in range(6)]
+    rows += [(10 + i, "http://d.example/", f"<html><body><article><h2>Daily report</h2><p>Day {i}</p></article></body></html>")
+             for i in range(4)]
+    copy = page(9, "<h3>Only here</h3><p>Some words.</p>")
+    rows += [(20 + i, "http://c.example/", copy if i < 3 else page(i, f"<p>Words {i}.</p>")) for i in range(6)]
+    got = texts(make(rows, PAGES))
+    assert [got[i] for i in range(6)] == [f"Story {i}\nIntroduction\nIntro {i}.\nResults\nFound {i}." for i in range(6)]
+    assert [got[10 + i] for i in range(4)] == [f"Daily report\nDay {i}" for i in range(4)]
+    assert [got[20 + i] for i in range(6)] == ["Story 9\nOnly here\nSome words."] * 3 + [f"Story {i}\nWords {i}." for i in (3, 4, 5)]
+
+
+def test_names_of_adverts_and_comments(spark, make):
+    gone = ("reader-comments", "user-comments", "readerComments", "ad-300x250", "adsbygoogle", "google-ad", "signup-box",
+            "more-stories", "AdSlot2", "cookie_bar", "comment-list-17", "mostRead")
+    kept = ("no-comments", "with-sidebar", "content", "post", "commentary", "ad-free", "adder", "story", "address-book")
+    assert [n for n in gone if not H.boilerplate(n)] == [] and [n for n in kept if H.boilerplate(n)] == []
+    rows = [(i, f"http://h{i}.example/", f"<article><p>Text {i}</p><div class='{n}'>Box {i}</div></article>")
+            for i, n in enumerate(gone + kept)]
+    rows += [(100 + i, f"http://n{i}.example/", f"<p>Text {i}</p><div id='{n}'>Box {i}</div>") for i, n in enumerate(gone)]
+    got = texts(make(rows, PAGES))
+    assert got == {i: f"Text {i}" if i < len(gone) else f"Text {i}\nBox {i}" for i in range(len(gone) + len(kept))} | {
+        100 + i: f"Text {i}" for i in range(len(gone))}
