@@ -186,16 +186,21 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.3) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           fitted: int = FITTED) -> Classifier:
-    """Fit on the documents that ``labels`` (doc_id, quality, toxic) covers, of at most ``fitted`` ids:
-    the first by their hash. Their rows are few and go to the documents, whose texts stay where they
-    are. Labels with a null id are dropped, null classes count as good, and of several labels of one
-    id the worst counts."""
+    """Fit on the documents that ``labels`` (doc_id, quality, toxic) covers, at most ``fitted`` of them: the
+    first by the hash of their id, and then of their text. Rows with the same id and text count once, so that no
+    id, however many rows it has, is more than ``fitted`` rows or outweighs the others by its copies.
+    The labels go to the documents, whose texts stay where they are but for those chosen. Labels with a null
+    id are dropped, null classes count as good, and of several labels of one id the worst counts."""
     by_id = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("id")).agg(
         (1 - F.min(F.coalesce("quality", F.lit(1)))).cast("int").alias("low"),
         F.max(F.coalesce("toxic", F.lit(0))).cast("int").alias("toxic"))
     chosen = by_id.orderBy(F.xxhash64("id"), "id").limit(fitted)
-    labelled = keep(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-                    .join(F.broadcast(chosen), "id").select("text", *HEADS), "labelled")
+    rows = with_row_id(docs, F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    found = rows.join(F.broadcast(chosen), "id").select(
+        "id", *HEADS, F.xxhash64(F.coalesce("text", F.lit(""))).alias("hash"), F.struct("_file", "_row").alias("at"))
+    picked = found.groupBy("id", *HEADS, "hash").agg(F.min("at").alias("at")).orderBy(F.xxhash64("id"), "id", "hash").limit(fitted)
+    picked = keep(picked.select("at.*", *HEADS), "labelled_rows")
+    labelled = keep(rows.join(F.broadcast(picked), ["_file", "_row"]).select("text", *HEADS), "labelled")
     model = Classifier(markers(labelled.select("text", *HEADS)))
 
     def run(batches):
@@ -255,9 +260,10 @@ def judge_rows(rows: DataFrame, model: Classifier) -> DataFrame:
     Returns one row per row: ``_file``, ``_row``, ``doc_id``, for each head the
     document's own probability (``p_low``, ``p_toxic``), its host's and path's
     posterior shares (``host_low``, ``path_low``, ...) and the combined probability
-    (``low``, ``toxic``), and ``kept`` (neither reaches THRESHOLD). Null and empty
-    texts have the form of an empty text; a null host or path is a site named by the
-    empty string. Equal rows get equal results; an empty table gives no rows.
+    (``low``, ``toxic``), and ``kept`` (neither reaches THRESHOLD, a tie with it is one that does).
+    Null and empty texts have the form of an empty text, texts of any length are read whole; a null
+    host or path is a site named by the empty string. Equal rows get equal results; an empty
+    table gives no rows.
     """
     def run(batches):
         for b in batches:

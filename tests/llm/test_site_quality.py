@@ -53,16 +53,14 @@ class Planted(Q.Classifier):
         return {h: np.array([float(t or 0) for t in texts]) for h in Q.HEADS}
 
 
-def test_posteriors_match_brute_force(spark, make):
-    rows = site_rows()
-    df = make([(i, str(x), h, p) for i, h, p, x in rows], DOCS)
-    got = {r["doc_id"]: r for r in Q.judge(df, Planted()).collect()}
+def brute(rows):
+    """{id: (host share, path share, combined probability)} of rows (id, host, path, log odds)."""
     share = {i: 1 / (1 + np.exp(-x)) for i, _, _, x in rows}
     sites, paths = {}, {}
     for i, h, p, _ in rows:
         sites.setdefault(h, []).append(share[i])
         paths.setdefault((h, p), []).append(share[i])
-    overall = np.mean(list(share.values()))
+    overall = np.clip(np.mean(list(share.values())), 1e-4, 1 - 1e-4)
 
     def strength(groups):
         n = np.array([len(g) for g in groups])
@@ -73,15 +71,56 @@ def test_posteriors_match_brute_force(spark, make):
 
     ks, kp = strength(sites.values()), strength(paths.values())
     logit = lambda q: np.log(np.clip(q, 1e-4, 1 - 1e-4) / (1 - np.clip(q, 1e-4, 1 - 1e-4)))
+    out = {}
     for i, h, p, x in rows:
         host = (sum(sites[h]) + ks * overall) / (len(sites[h]) + ks)
         path = (sum(paths[h, p]) + kp * host) / (len(paths[h, p]) + kp)
-        both = 1 / (1 + np.exp(-(x + np.clip(logit(path) - logit(overall), -Q.SWAY, Q.SWAY))))
+        out[i] = host, path, 1 / (1 + np.exp(-(x + np.clip(logit(path) - logit(overall), -Q.SWAY, Q.SWAY))))
+    return out
+
+
+def test_posteriors_match_brute_force(spark, make):
+    rows = site_rows()
+    df = make([(i, str(x), h, p) for i, h, p, x in rows], DOCS)
+    got = {r["doc_id"]: r for r in Q.judge(df, Planted()).collect()}
+    for i, (host, path, both) in brute(rows).items():
         r = got[i]
         assert np.allclose([r["host_low"], r["path_low"], r["low"]], [host, path, both], rtol=1e-6)
         assert r["kept"] == (both < 0.5)
 
 
+def test_query_matches_brute_force(spark):
+    """The query's model on every whole document, its sites worked out here."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    model = Q.train(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    rows = docs.select("doc_id", "text", "source", "lang").collect()
+    odds = model.odds([r["text"] or "" for r in rows])
+    got = {r["doc_id"]: r for r in queries.op3_hierarchical_quality(spark, sf).collect()}
+    assert len(got) == len(rows)
+    want = {h: brute([(r["doc_id"], r["source"] or "", r["lang"] or "", float(x)) for r, x in zip(rows, odds[h])]) for h in Q.HEADS}
+    for i, r in got.items():
+        for h in Q.HEADS:
+            assert np.allclose([r[f"host_{h}"], r[f"path_{h}"], r[h]], want[h][i], rtol=1e-5, atol=1e-9)
+        assert r["kept"] == all(want[h][i][2] < 0.5 for h in Q.HEADS)
+
+
+def test_the_sample_is_bounded_by_rows(spark, make):
+    """One labelled id with most of the rows: copies count once, and unlike texts no more than the bound."""
+    rows = [(1, "same words here", "h", "p")] * 3000 + [(1, f"other words {i}", "h", "p") for i in range(3000)]
+    rows += [(i, f"good text {i}", "h", "p") for i in range(2, 40)]
+    labels = make([(i, int(i != 1), 0) for i in range(1, 40)], "doc_id long, quality int, toxic int")
+    seen = []
+    real = Q.Classifier.fit
+    try:
+        Q.Classifier.fit = lambda self, x, y: (seen.append((len(x), int(sum(y["low"])))), real(self, x, y))[1]
+        Q.train(make(rows, DOCS), labels, fitted=50)
+        Q.train(make(rows[:3000] + rows[6000:], DOCS), labels, fitted=50)
+    finally:
+        Q.Classifier.fit = real
+    assert seen[0][0] == 50 and seen[1] == (39, 1)
+
+
 def test_sparse_sites_shrink_to_the_whole(spark, make):
     got = {r["doc_id"]: r for r in Q.judge(make([(i, str(x), h, p) for i, h, p, x in site_rows()], DOCS), Planted()).collect()}
     assert got[1000]["host_low"] > 0.8
