@@ -5,36 +5,47 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sleeper.operators.ordering import with_position
+from sleeper.operators.ordering import ONE_TASK, position_within, with_position
 
-# Rows of one list that the last ranking step gets: groups of them are cut to the limit first.
+# Groups of one list that are cut to its limit before the last ranking step.
 GROUPS = 64
 
 
-def top_ranked_many(df: DataFrame, lists: list[tuple[str, int, list[Column]]], key: str = "appid",
-                    pos: str = "pos") -> DataFrame:
+def top_ranked_many(df: DataFrame, lists: list[tuple[str, int | None, list[Column]]], key: str = "appid",
+                    pos: str = "pos", one_task: int = ONE_TASK) -> DataFrame:
     """Several top-k lists from one input in one pass: (source, prio, key, pos).
 
     ``lists`` is ``[(name, k, values), ...]`` in priority order, where ``values``
     are ascending sort values ending in ``key`` (negate a metric for "largest
-    first"). The input is exploded to one row per (list, key) carrying that
-    list's sort key, then ranked per list in two steps: inside GROUPS groups of each
-    list (by the key's hash), then among the first ``max(k)`` of every group. So the
-    last step gets GROUPS * ``max(k)`` rows of a list, however many tasks there are.
-    Both steps trim before their shuffle (WindowGroupLimit).
+    first") and a ``k`` of None keeps the whole list. The input is exploded to one row
+    per (list, key) carrying that list's sort key, then ranked per list in two steps:
+    inside groups of each list (by the key's hash), which trims before the shuffle
+    (WindowGroupLimit), then among the first ``max(k)`` of every group.
+    If GROUPS of them give one list more than ``one_task`` rows, there are as many groups as
+    shuffle partitions, and the last step deals each list by range over all tasks
+    (:func:`ordering.position_within`) instead of ranking it in one.
     """
-    kmax = max(k for _, k, _ in lists)
+    limits = [k for _, k, _ in lists]
+    kmax = None if None in limits else max(limits)
+    wide = kmax is None or kmax * GROUPS > one_task
     entries = []
     for prio, (name, _k, order) in enumerate(lists):
         sort = F.struct(*[o.alias(f"_s{i}") for i, o in enumerate(order)])
         entries.append(F.struct(F.lit(name).alias("source"), F.lit(prio).alias("prio"), sort.alias("sort")))
     ex = df.select(F.col(key), F.explode(F.array(*entries)).alias("e")).select(key, "e.*")
-    ex = ex.withColumn("_group", F.pmod(F.xxhash64(key), F.lit(GROUPS)))
-    inside = Window.partitionBy("source", "_group").orderBy("sort")
-    ex = ex.withColumn("_r", F.row_number().over(inside)).where(F.col("_r") <= kmax).drop("_r", "_group")
-    ranked = ex.withColumn(pos, F.row_number().over(Window.partitionBy("source").orderBy("sort")))
-    limits = F.create_map(*[x for name, k, _ in lists for x in (F.lit(name), F.lit(k))])
-    return (ranked.where(F.col(pos) <= kmax).where(F.col(pos) <= F.element_at(limits, F.col("source")))
+    if kmax is not None:
+        groups = max(GROUPS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))) if wide else GROUPS
+        ex = ex.withColumn("_group", F.pmod(F.xxhash64(key), F.lit(groups)))
+        inside = Window.partitionBy("source", "_group").orderBy("sort")
+        ex = ex.withColumn("_r", F.row_number().over(inside)).where(F.col("_r") <= kmax).drop("_r", "_group")
+    if wide:
+        ranked = position_within(ex, "source", ["sort"], pos)
+    else:
+        last = Window.partitionBy("source").orderBy("sort")
+        ranked = ex.withColumn(pos, F.row_number().over(last)).where(F.col(pos) <= kmax)
+    kept = F.create_map(*[x for name, k, _ in lists for x in (F.lit(name), F.lit(k).cast("long"))])
+    limit = F.element_at(kept, F.col("source"))
+    return (ranked.where(limit.isNull() | (F.col(pos) <= limit))
                   .select("source", "prio", key, F.col(pos).cast("long").alias(pos)))
 
 

@@ -11,15 +11,21 @@ from pyspark.sql import functions as F
 
 from sleeper.functions.scores import round_half_even
 from sleeper.functions.text import split_list
+from sleeper.operators.ordering import ONE_TASK, with_position
 
 GEM_TIERS = ("S", "A")
 
 
-def top_gems(df: DataFrame, k: int, score: str = "hidden_gem_score", key: str = "appid",
-             rank_col: str = "gem_rank") -> DataFrame:
-    """Top ``k`` by score (ties by key). Planned as TakeOrderedAndProject: each task
-    keeps its own top ``k`` and only those reach the final merge."""
+def top_gems(df: DataFrame, k: int | None, score: str = "hidden_gem_score", key: str = "appid",
+             rank_col: str = "gem_rank", one_task: int = ONE_TASK) -> DataFrame:
+    """Top ``k`` by score (ties by key), or all rows in that order if ``k`` is None.
+
+    Planned as TakeOrderedAndProject: each task keeps its own top ``k`` and only those
+    reach the final merge. More than ``one_task`` rows are ranked by range over all tasks."""
     order = [F.col(score).desc_nulls_last(), F.col(key).asc()]
+    if k is None or k > one_task:
+        ranked = with_position(df, order, rank_col)
+        return ranked if k is None else ranked.where(F.col(rank_col) <= k)
     top = df.orderBy(*order).limit(k)
     return top.withColumn(rank_col, F.row_number().over(Window.orderBy(*order)).cast("long"))
 

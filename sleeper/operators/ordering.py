@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from sleeper.session import materialize
 
+#: Rows that one task may be given to rank; more are dealt by range.
+ONE_TASK = 1 << 17
+
 
 def with_position(df: DataFrame, order: list[Column | str], name: str = "position",
                   num_partitions: int | None = None) -> DataFrame:
@@ -34,6 +37,31 @@ def with_position(df: DataFrame, order: list[Column | str], name: str = "positio
     return out.withColumn(name, F.col("_off") + local + 1).drop("_pid", "_local", "_off")
 
 
+def position_within(df: DataFrame, group: str, order: list[Column | str], name: str = "position",
+                    num_partitions: int | None = None) -> DataFrame:
+    """1-based position of each row inside its ``group``, in ``order`` (which must end in a unique column).
+
+    As :func:`with_position`, dealt by range of (group, order): a group that holds most
+    of the rows lies in many partitions, and the rows it has in each of them are summed up in
+    order (one count a group and partition: together no more than groups and partitions).
+    A window over the group would bring it whole into one task.
+    Rows without a group are a group of their own.
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = [F.col(group), *[F.col(o) if isinstance(o, str) else o for o in order]]
+    ranged = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+                .withColumn("_pid", F.spark_partition_id())
+                .withColumn("_local", F.monotonically_increasing_id()))
+    ranged = materialize(ranged, "positions")
+    runs = ranged.groupBy("_pid", F.col(group).alias("_g")).agg(F.count(F.lit(1)).alias("_n"),
+                                                               F.min("_local").alias("_begin"))
+    before = F.sum("_n").over(Window.partitionBy("_g").orderBy("_pid")) - F.col("_n")
+    runs = runs.select(F.col("_pid").alias("_p"), "_g", (before - F.col("_begin")).alias("_shift"))
+    out = ranged.join(runs, (F.col("_pid") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g")))
+    return out.withColumn(name, F.col("_local") + F.col("_shift") + 1).drop("_pid", "_local", "_p", "_g", "_shift")
+
+
 def kth_smallest(df: DataFrame, order: str, k: int, num_partitions: int | None = None) -> Column:
     """Scalar subquery: the ``k``-th smallest value of ``order`` (NULL if fewer rows are not null).
 

@@ -276,6 +276,9 @@ def oracle_sql() -> dict[str, str]:
 SELECT appid, nombre, generos, hidden_gem_score, tier,
        row_number() OVER (ORDER BY hidden_gem_score DESC NULLS LAST, appid) AS gem_rank
 FROM g ORDER BY hidden_gem_score DESC NULLS LAST, appid LIMIT 20"""
+    q["q_hgs_ranked"] = with_(CATALOG, scored("catalog", "g")) + """
+SELECT appid, hidden_gem_score, tier,
+       row_number() OVER (ORDER BY hidden_gem_score DESC NULLS LAST, appid) AS gem_rank FROM g"""
     q["q_tier_distribution"] = with_(CATALOG, scored("catalog", "g")) + f"""
 SELECT tier, count(*) AS items, min(hidden_gem_score) AS min_score,
        max(hidden_gem_score) AS max_score, {r4('avg(hidden_gem_score)')} AS avg_score
@@ -449,6 +452,20 @@ def extract_oracles() -> dict[str, str]:
     q: dict[str, str] = {}
     q["q_candidates"] = with_(CANDIDATES) + """
 SELECT candidate_rank, appid, first_source, first_pos, sources FROM cands"""
+    q["q_candidates_whole"] = """
+WITH per_part AS (
+  SELECT l_partkey AS appid, count(*) AS lines, sum(l_quantity) AS qty,
+         count(*) FILTER (WHERE l_returnflag = 'R') AS returns
+  FROM lineitem GROUP BY l_partkey
+),
+ranks AS (
+  SELECT appid, row_number() OVER (ORDER BY lines DESC, appid) AS by_lines,
+         row_number() OVER (ORDER BY qty DESC, appid) AS by_quantity,
+         row_number() OVER (ORDER BY returns DESC, appid) AS by_returns FROM per_part
+)
+SELECT by_lines AS candidate_rank, appid, 'top_lines' AS first_source, by_lines AS first_pos,
+       'top_lines,top_quantity' || CASE WHEN by_returns <= 1500 THEN ',top_returns' ELSE '' END AS sources
+FROM ranks"""
     q["q_funnel_rows"] = with_(CANDIDATES, ITEM) + """
 SELECT candidate_rank, appid, outcome FROM evaluated"""
     q["q_funnel_stats"] = with_(CANDIDATES, ITEM) + """

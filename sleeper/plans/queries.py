@@ -67,6 +67,12 @@ def q_hgs_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insights.top_gems(g, 20)
 
 
+def q_hgs_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every item of the catalogue in the order of q_hgs_topk."""
+    g = gold_catalog(spark, sf_dir, "appid").select("appid", "hidden_gem_score", "tier")
+    return insights.top_gems(g, None)
+
+
 def q_tier_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insights.tier_distribution(gold_catalog(spark, sf_dir))
 
@@ -100,7 +106,7 @@ DRIVER_PROFILE = Profile(target=3, max_candidates=400, max_evaluations=300, min_
                          max_current_players=18)
 
 
-def candidate_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+def candidate_sources(spark: SparkSession, sf_dir: str, limits: tuple = (300, 300, 100)) -> DataFrame:
     """Tagged (source, prio, appid, pos): three ranked lists from one lineitem pass."""
     li = W.table(spark, sf_dir, "lineitem")
     per_part = li.groupBy(F.col("l_partkey").alias("appid")).agg(
@@ -108,11 +114,14 @@ def candidate_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("l_quantity").alias("qty"),
         F.count_if(F.col("l_returnflag") == "R").alias("returns"))
     key = F.col("appid")
-    return C.top_ranked_many(per_part, [
-        ("top_lines", 300, [-F.col("lines"), key]),
-        ("top_quantity", 300, [-F.col("qty"), key]),
-        ("top_returns", 100, [-F.col("returns"), key]),
-    ])
+    values = {"top_lines": -F.col("lines"), "top_quantity": -F.col("qty"), "top_returns": -F.col("returns")}
+    return C.top_ranked_many(per_part, [(n, k, [v, key]) for (n, v), k in zip(values.items(), limits)])
+
+
+def q_candidates_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first two lists whole and the first 1,500 of the third, merged without a cap."""
+    merged = C.merge_sources(candidate_sources(spark, sf_dir, (None, None, 1500)))
+    return merged.withColumn("sources", F.array_join("sources", ","))
 
 
 def driver_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from sleeper.config import Profile
 from sleeper.operators import candidates as C
 from sleeper.operators import funnel as FN
-from sleeper.operators.ordering import kth_smallest, with_position
+from sleeper.operators import insights
+from sleeper.operators.ordering import kth_smallest, position_within, with_position
 
 from conftest import rows
 
@@ -34,6 +35,51 @@ def test_with_position_matches_row_number(spark):
     assert rows(dist, "k", "p") == rows(ref, "k", "p")
 
 
+def test_position_within_matches_row_number(spark):
+    """Half of the rows in one group, many small groups, rows without a group, ties in the first sort value."""
+    g = F.when(F.col("id") % 2 == 0, F.lit("hot")).when(F.col("id") % 7 > 0, F.concat(F.lit("g"), F.col("id") % 50))
+    df = spark.range(0, 5000).select(g.alias("g"), (F.col("id") * 7919 % 100).alias("k"), F.col("id"))
+    got = position_within(df, "g", [F.col("k").desc(), "id"], "p", num_partitions=7)
+    ref = df.withColumn("p", F.row_number().over(Window.partitionBy("g").orderBy(F.col("k").desc(), "id")))
+    assert got.columns == ["g", "k", "id", "p"]
+    assert rows(got) == rows(ref)
+    assert rows(position_within(df.limit(0), "g", ["id"], "p")) == []
+
+
+def test_ranked_lists_by_range_equal_those_of_one_task(spark):
+    df = spark.range(0, 3000).select(F.col("id").alias("appid"), (F.col("id") % 13).alias("a"),
+                                     (F.col("id") * 31 % 101).alias("b"))
+
+    def lists(*limits):
+        return [(n, k, [-F.col(n), F.col("appid")]) for n, k in zip("ab", limits)]
+
+    ranked = [df.select(F.lit(n).alias("source"), F.lit(i).alias("prio"), "appid",
+                        F.row_number().over(Window.orderBy(-F.col(n), "appid")).cast("long").alias("pos"))
+              for i, n in enumerate("ab")]
+    whole = ranked[0].unionByName(ranked[1])
+
+    def expected(a, b):
+        return rows(whole.where(F.col("pos") <= F.when(F.col("source") == "a", F.lit(a)).otherwise(F.lit(b))))
+
+    assert rows(C.top_ranked_many(df, lists(70, 9))) == expected(70, 9)
+    assert rows(C.top_ranked_many(df, lists(70, 9), one_task=100)) == expected(70, 9)
+    assert rows(C.top_ranked_many(df, lists(None, 9))) == expected(3000, 9)
+    by_range = C.top_ranked_many(df, lists(None, None))
+    assert rows(by_range) == expected(3000, 3000)
+    plan = by_range._jdf.queryExecution().executedPlan().toString()
+    assert "row_number" not in plan  # no task ranks a list: what windows there are sum the partitions' counts
+
+
+def test_large_k_is_ranked_by_range(spark):
+    df = spark.range(0, 2000).select(F.col("id").alias("appid"), (F.col("id") * 7 % 11).cast("double").alias("s"))
+    df = df.withColumn("s", F.when(F.col("appid") % 10 > 0, F.col("s")))
+    small = insights.top_gems(df, 500, score="s")
+    assert rows(insights.top_gems(df, 500, score="s", one_task=100)) == rows(small)
+    whole = insights.top_gems(df, None, score="s")
+    assert rows(whole.where("gem_rank <= 500")) == rows(small) and whole.count() == 2000
+    assert whole.schema["gem_rank"].dataType == small.schema["gem_rank"].dataType
+
+
 def test_kth_smallest(spark):
     df = spark.range(1, 101).withColumnRenamed("id", "r")
     assert spark.range(1).select(kth_smallest(df, "r", 7)).first()[0] == 7
