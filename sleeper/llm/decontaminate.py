@@ -3,7 +3,8 @@
 The index is sharded by document: each shard holds, for some hundreds of whole
 documents, every term (by hash) with the ascending positions at which it occurs,
 on one axis where documents lie apart. It is written once. Queries (sequences of
-terms) go to all shards in blocks of bounded size; a shard drops a query as soon as
+terms) are cut from the benchmark in tasks, written in blocks of bounded size, and go to all
+shards round by round; a shard drops a query as soon as
 one of its terms has no posting, and otherwise intersects the terms' postings,
 moved by the term's place in the query, from the rarest on.
 """
@@ -15,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -154,66 +156,118 @@ class Shard:
 
 # ---------------------------------------------------------------- queries
 
+BLOCK = ("block long, size long, names array<string>, terms binary, codes binary, starts binary, sizes binary, "
+         "owner_starts binary, owners binary")
+
+
 class Queries:
-    """Windows of benchmark items as terms; equal windows of several items are one."""
-
-    def __init__(self, items: list[tuple[str, list[int]]], window: int = WINDOW):
-        owners: dict[tuple, set[int]] = {}
-        self.names = [name for name, _ in items]
-        for item, (_, terms) in enumerate(items):
-            size = min(window, len(terms))
-            for i in range(len(terms) - size + 1 if size else 0):
-                owners.setdefault(tuple(terms[i:i + size]), set()).add(item)
-        self.owners = [sorted(x) for x in owners.values()]
-        distinct = {t: i for i, t in enumerate(sorted({t for w in owners for t in w}))}
-        self.terms = np.fromiter(distinct, np.uint64, len(distinct))
-        self.sizes = np.fromiter(map(len, owners), np.int64, len(owners))
-        self.flat = np.fromiter((distinct[t] for w in owners for t in w), np.int64, int(self.sizes.sum()))
-        self.starts = np.cumsum(self.sizes) - self.sizes
+    """Windows of benchmark items as stretches of the items' terms; equal windows are one, with all their items."""
+
+    def __init__(self, row: dict):
+        self.names = row["names"]
+        self.terms = np.frombuffer(row["terms"], "<u8")
+        self.codes, self.starts, self.sizes, self.owner_starts, self.owners = (
+            np.frombuffer(row[n], "<i4") for n in ("codes", "starts", "sizes", "owner_starts", "owners"))
 
     def possible(self, places: np.ndarray) -> np.ndarray:
         """The windows all of whose terms a shard has (``places`` of the distinct terms)."""
-        if not len(self.sizes):
-            return self.sizes
-        return np.flatnonzero(np.minimum.reduceat(places[self.flat], self.starts) >= 0)
+        missing = np.concatenate([[0], np.cumsum(places[self.codes] < 0)])
+        return np.flatnonzero(missing[self.starts + self.sizes] == missing[self.starts])
+
+    def window(self, w: int) -> np.ndarray:
+        return self.codes[self.starts[w]:self.starts[w] + self.sizes[w]]
+
+    def items(self, w: int) -> np.ndarray:
+        return self.owners[self.owner_starts[w]:self.owner_starts[w + 1]]
+
+
+def _block(number: int, size: int, items: list[tuple[str, list[bytes]]], window: int) -> pa.RecordBatch:
+    seen: dict[bytes, int] = {}
+    codes = np.array([seen.setdefault(w, len(seen)) for _, text in items for w in text], "<i4")
+    raw, first, owners, end = codes.tobytes(), {}, {}, 0
+    for item, (_, text) in enumerate(items):
+        begin, end = end, end + len(text)
+        n = min(window, len(text))
+        for at in range(begin, end - n + 1 if n else begin):
+            key = raw[4 * at:4 * (at + n)]
+            first.setdefault(key, at)
+            own = owners.setdefault(key, [])
+            if not own or own[-1] != item:
+                own.append(item)
+    owned = np.cumsum([0, *map(len, owners.values())])
+    arrays = {"terms": np.fromiter(map(term, seen), "<u8", len(seen)), "codes": codes, "starts": [*first.values()],
+              "sizes": [len(k) // 4 for k in first], "owner_starts": owned,
+              "owners": [x for own in owners.values() for x in own]}
+    return pa.RecordBatch.from_arrays(
+        [pa.array([number]), pa.array([size]), pa.array([[n for n, _ in items]], pa.list_(pa.string())),
+         *(pa.array([np.asarray(x, "<u8" if n == "terms" else "<i4").tobytes()], pa.binary()) for n, x in arrays.items())],
+        ["block", "size", "names", *arrays])
+
 
+def build_blocks(benchmark: DataFrame, window: int = WINDOW, id_col: str = "item_id", text_col: str = "text",
+                 size: int = BLOCK_BYTES) -> DataFrame:
+    """The written windows of the items (ids as text) in blocks of about ``size`` bytes of text.
+
+    Items are cut into windows where they lie; an item is whole in one block.
+    """
+    items = benchmark.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string").alias("name"),
+                                                              F.col(text_col).cast("string").alias("text"))
+
+    def run(batches):
+        held, used, number = [], 0, TaskContext.get().partitionId() << 32
+        for b in batches:
+            for name, text in zip(b["name"].to_pylist(), texts_of(b["text"])):
+                if not (w := words(text)):
+                    continue
+                held.append((name, w))
+                used += len(text)
+                if used >= size:
+                    yield _block(number, used, held, window)
+                    held, used, number = [], 0, number + 1
+        if held:
+            yield _block(number, used, held, window)
+
+    return keep(map_batches(items, run, BLOCK), "benchmark_blocks")
 
-def blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text",
-           size: int = BLOCK_BYTES) -> Iterator[list[tuple[str, list[int]]]]:
-    """The items (id as text, terms) in blocks of about ``size`` bytes of text, never all at once."""
-    held, used = [], 0
-    items = benchmark.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("string"), F.col(text_col))
-    for name, text in items.toLocalIterator():
-        held.append((name, [term(w) for w in words(text or "")]))
-        used += len(text or "")
-        if used >= size:
-            yield held
-            held, used = [], 0
-    yield held
+
+def rounds(blocks: DataFrame, size: int = BLOCK_BYTES) -> Iterator[list[Queries]]:
+    """The blocks in rounds of ``size`` bytes of text (or one block); only one round is read at a time."""
+    ids, used = [], 0
+
+    def read():
+        return [Queries(r) for r in blocks.where(F.col("block").isin(ids)).toArrow().to_pylist()] if ids else []
+
+    for number, more in sorted(tuple(r) for r in blocks.select("block", "size").collect()):  # two numbers a block
+        if ids and used + more > size:
+            yield read()
+            ids, used = [], 0
+        ids.append(number)
+        used += more
+    yield read()
 
 
 HITS = "_file long, _row long, doc_id long, n_words long, hits array<struct<from:long,to:long>>, items array<string>"
 
 
-def _hits(shard: Shard, queries: Queries) -> pa.RecordBatch:
+def _hits(shard: Shard, queries: list[Queries]) -> pa.RecordBatch:
     """For each document of the shard the merged hit word ranges and the items that occur in it."""
     spans: dict[int, list[tuple[int, int]]] = {}
-    items: dict[int, set[int]] = {}
-    places = shard.find(queries.terms)
-    for w in queries.possible(places).tolist():
-        size = int(queries.sizes[w])
-        at = shard.phrase(places[queries.flat[queries.starts[w]:queries.starts[w] + size]])
-        docs = np.searchsorted(shard.starts, at, "right") - 1
-        for d, x in zip(docs.tolist(), (at - shard.starts[docs]).tolist()):
-            spans.setdefault(d, []).append((x, x + size))
-            items.setdefault(d, set()).update(queries.owners[w])
+    items: dict[int, set[str]] = {}
+    for q in queries:
+        places = shard.find(q.terms)
+        for w in q.possible(places).tolist():
+            size = int(q.sizes[w])
+            at = shard.phrase(places[q.window(w)])
+            docs = np.searchsorted(shard.starts, at, "right") - 1
+            for d, x in zip(docs.tolist(), (at - shard.starts[docs]).tolist()):
+                spans.setdefault(d, []).append((x, x + size))
+                items.setdefault(d, set()).update(q.names[i] for i in q.items(w).tolist())
     merged = [merge_spans(spans.get(d, [])) for d in range(len(shard.ids))]
     return pa.RecordBatch.from_arrays(
         [pa.array(shard.files, pa.int64()), pa.array(shard.rows, pa.int64()), pa.array(shard.ids, pa.int64()),
          pa.array(shard.n_words), pa.array([[{"from": a, "to": b} for a, b in m] for m in merged],
                                            pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))),
-         pa.array([sorted({queries.names[i] for i in items.get(d, ())}) for d in range(len(shard.ids))],
-                  pa.list_(pa.string()))],
+         pa.array([sorted(items.get(d, ())) for d in range(len(shard.ids))], pa.list_(pa.string()))],
         ["_file", "_row", "doc_id", "n_words", "hits", "items"])
 
 
@@ -227,14 +281,13 @@ def merge_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def search(index: DataFrame, queries: Queries) -> DataFrame:
-    """One block of queries against all shards, a row for each document (HITS)."""
-    spread = index.sparkSession.sparkContext.broadcast(queries)  # a block: bounded
+def search(index: DataFrame, queries: Broadcast) -> DataFrame:
+    """One round of queries against all shards, a row for each document (HITS)."""
 
     def run(batches):
         for b in batches:
             for row in b.to_pylist():
-                yield _hits(Shard(row), spread.value)
+                yield _hits(Shard(row), queries.value)
 
     return map_batches(index, run, HITS, rows=1)
 
@@ -258,6 +311,11 @@ def search_near(index: DataFrame, phrase: str, within: int) -> DataFrame:
     return map_batches(index, run, "doc_id long, position long", rows=1)
 
 
+def _written(found: DataFrame | None, hits: DataFrame) -> DataFrame:
+    """The first round's rows, and of further rounds those of the documents they hit."""
+    return keep(hits, "hits") if found is None else found.unionByName(keep(hits.where(F.size("hits") > 0), "hits"))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id",
                   text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """:func:`contamination_rows` over any frame with an id and a text column."""
@@ -275,16 +333,23 @@ def contamination_rows(rows: DataFrame, benchmark: DataFrame, window: int = WIND
     if it has fewer; an item without words, with null text or null id has none.
     Items that share an id count as one id. Null and empty texts have no words;
     equal rows get equal results; an empty table gives no rows, an empty benchmark
-    no hits. Terms are compared by 64-bit hashes. Other columns are not read.
+    no hits. An item that occurs by several windows counts once. Very long texts are
+    indexed whole: a document lies in one shard, an item in one block, whatever their length.
+    Terms are compared by 64-bit hashes. Other columns are not read.
     """
     assert window < GAP
     index = build_index(rows)
-    parts = [search(index, Queries(items, window)) for items in blocks(benchmark, size=block_bytes)]
-    found = parts[0]
-    if len(parts) == 1:
-        return found
-    for hits in parts[1:]:  # of further blocks, the documents they hit
-        found = found.unionByName(hits.where(F.size("hits") > 0))
+    blocks = build_blocks(benchmark, window, size=block_bytes)
+    spread, found = None, None
+    for queries in rounds(blocks, block_bytes):
+        if spread is not None:  # another round comes: the last one's results are written, its queries dropped
+            found = _written(found, search(index, spread))
+            spread.destroy()
+        spread = index.sparkSession.sparkContext.broadcast(queries)  # a round: bounded
+    if found is None:
+        return search(index, spread)
+    found = _written(found, search(index, spread))
+    spread.destroy()
     ranges = F.array_sort(F.flatten(F.collect_list("hits")))
     return found.groupBy("_file", "_row").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), ranges.alias("hits"),

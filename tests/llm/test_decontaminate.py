@@ -74,6 +74,30 @@ def test_small_cases_in_one_block_and_many(spark, make, monkeypatch):
     assert len(D.contamination(odd_docs(make), bench).collect()) == 12
 
 
+def test_benchmark_is_cut_in_tasks_and_read_round_by_round(spark, make):
+    items = [(i, f"w{i} " + "a b c d e f g h i j k l " * (i % 3) + f"w{i}") for i in range(40)]
+    bench = make(items, "item_id long, text string").repartition(5)
+    blocks = D.build_blocks(bench, size=100)
+    assert blocks.count() >= 5
+    got = list(D.rounds(blocks, 100))
+    assert len(got) > 5 and sum(len(q.names) for r in got for q in r) == 40
+    merged = list(D.rounds(blocks, 1 << 20))
+    assert len(merged) == 1 and len(merged[0]) == blocks.count()
+    docs = [(i, f"x {t} y") for i, t in items] + [(99, "a b c d e f g h i j")]
+    want = brute(docs, items)
+    for size in (100, 1 << 20):
+        found = D.contamination(make(docs, "doc_id long, text string"), bench, block_bytes=size)
+        found = found.withColumn("n_hit", D.n_hit()).collect()
+        assert sorted((r["doc_id"], r["n_words"], r["n_hit"], r["items"]) for r in found) == sorted(want)
+
+
+def test_very_long_item_and_document(make):
+    long = " ".join(f"w{i}" for i in range(200_000))
+    got = D.contamination(make([(1, long), (2, "w5 w6")], "doc_id long, text string"),
+                          make([("all", long)], "item_id string, text string")).withColumn("n_hit", D.n_hit())
+    assert {(r["doc_id"], r["n_hit"], *r["items"]) for r in got.collect()} == {(1, 200_000, "all"), (2, 0)}
+
+
 def test_proximity(spark, make):
     docs = [(1, "a x x b x a"), (2, "a b"), (3, "b x x x a"), (4, "c a d b"), (5, "a"), (6, "a a b a")]
     index = D.build_index(make(docs, "doc_id long, text string").selectExpr("0L _file", "0L _row", "doc_id", "text"))
