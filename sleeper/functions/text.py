@@ -93,9 +93,12 @@ def normalize_text(text: Column | str) -> Column:
     d = _decomposition()
     t = F.coalesce(_c(text), F.lit(""))
 
+    # an ASCII sign is told by one comparison, not by all ranges
+    around, others = f"[\\x{{80}}-\\x{{10ffff}}&&[{d.around}]]", f"[\\x00-\\x7f[^{d.around}]]+"
+
     def fold(single: Column) -> Column:
-        cut = F.regexp_extract_all(single, F.lit(f"[{d.around}]|[^{d.around}]+"), F.lit(0))
-        return F.when((F.octet_length(single) > F.length(single)) & single.rlike(f"[{d.around}]"),
+        cut = F.regexp_extract_all(single, F.lit(f"{around}|{others}"), F.lit(0))
+        return F.when((F.octet_length(single) > F.length(single)) & single.rlike(around),
                       F.array_join(F.transform(cut, _fold_one), "")).otherwise(single)
 
     # the array of one holds the translated text, which is read several times
