@@ -2,8 +2,10 @@
 
 Every stage works on all rows its predecessor kept and, but for the last, returns
 the columns of ``documents``. Rows are told apart by their place in the files, so
-repeated ids, nulls in any column and further columns pass through as they are. An
-empty table stays empty.
+repeated ids, nulls in any column and further columns pass through as they are. Null and
+empty texts are judged like other texts (they are copies of each other, have no benchmark
+window and no tokens), very long texts are read whole by every stage, and ties between copies are
+decided by id and then by place. An empty table stays empty.
 """
 
 from __future__ import annotations

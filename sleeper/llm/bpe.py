@@ -319,8 +319,9 @@ def round_trip(docs: DataFrame, vocab: str, words: int = LEXICON_WORDS, id_col:
                text_col: str = "text") -> DataFrame:
     """Encode every text and decode its ids: ``_file``, ``_row``, ``doc_id``, ``n_tokens``, ``ids_sha256``, ``text``.
 
-    Null and empty texts have no ids and decode to the empty text. Equal rows give
-    equal rows; no rows give none. Other columns of ``docs`` are not read.
+    Null and empty texts have no ids and decode to the empty text. Very long texts are
+    encoded whole, each in one task. Ties between words of equal frequency decide which of them the
+    lexicon holds, never ids. Equal rows give equal rows; no rows give none. Other columns of ``docs`` are not read.
     """
     rows = with_row_id(docs, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     lexicon = train_lexicon(docs.sparkSession, rows.select("text"), vocab, words)

@@ -61,7 +61,8 @@ def fold(events: DataFrame) -> DataFrame:
     events without a message id are dropped, as are deltas, edits and the like for a
     message that no event opens. Of events with the same seq for one message, ``op``
     and then ``text`` decide the order, and equal events (a redelivery) count once.
-    A conversation whose id is null is a conversation like any other.
+    A conversation whose id is null is a conversation like any other. Very long texts and
+    long runs of deltas are joined whole, message by message.
     """
     e = events.where(F.col("msg").isNotNull()).select(
         "conv_id", F.col("msg").cast("string").alias("msg"),

@@ -253,7 +253,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", held:
     Returns one row per row of ``docs``: ``_file``, ``_row``, ``doc_id``,
     ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (add-one
     over single tokens) and ``score`` (the mixture), both log10 probabilities of the
-    text. Null and empty texts are the end alone. Without training documents every
+    text. Very long texts are counted and scored whole, each in one block. No order
+    decides anything, so there are no ties. Null and empty texts are the end alone. Without training documents every
     token is unknown and the weights are even. Equal rows get equal scores; a null
     id is a training document; an empty table gives no rows. Other columns are not
     read.

@@ -288,7 +288,8 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     (spans of the strict patterns) and ``spans`` (these and what the classifier
     finds likely), by kind and start, in code points, end exclusive. Spans of the
     wide patterns never overlap others; of two that would, the one that starts
-    first stays, then the longer, then the kind's name. Null and empty texts have
+    first stays, then the longer, then the kind's name. Very long texts are read whole,
+    and their spans swept in one pass, however many there are. Null and empty texts have
     none; equal rows get equal spans; an empty table gives no rows. Other columns
     are not read.
     """

@@ -180,7 +180,12 @@ def near_duplicate_rows(rows: DataFrame, shingle: int = 3, max_bits: int = 2) ->
     each component: the smallest id, then the first place). Null and empty texts
     and texts of white space have the fingerprint 0 and are one group. Null ids
     are never the smallest, unless a component has no other. Equal rows share
-    their component, and one of them is kept. No rows give no rows.
+    their component, and one of them is kept. Very long texts are fingerprinted
+    whole, their shingles a chunk at a time. No rows give no rows.
+
+    Scale: with two bits the chains that may not differ make a key of some 26 bits, so beyond some
+    two billion distinct fingerprints nearly every key is crowded and its members go through
+    shared centres, 65 rows a fingerprint. The result is the same.
     """
     docs = keep(fingerprints(rows, shingle), "fingerprints")
     least = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_file", "_row")
