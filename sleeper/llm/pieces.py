@@ -12,13 +12,23 @@ import re
 from collections.abc import Callable
 from itertools import islice
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 # A space ends a piece unless white space (to either library) or nothing follows.
 _CUT = re.compile(r" (?=[^\s\x1c-\x1f\x85])")
 _UNSAFE = re.compile(r" (?:[\s\x1c-\x1f\x85]|\Z)")
 #: Signs that are a word of their own behind letters.
 STOPS = frozenset(".,;:!?")
+#: Letters, signs and perhaps a new line with letters and signs behind them: words of their own, one after the other.
+#: No sign that contractions or special tokens hold.
+_SIGNS = r'[!"#$%&()*+,\-./:;=?@\\^_`{}~]'
+_PARTS = re.compile(rf"(\n?[^\W\d_]+)({_SIGNS}*)(?:\n([^\W\d_]+)({_SIGNS}*))?")
 #: Distinct pieces a worker keeps.
 KEPT = 1_000_000
+#: Bytes of text that are cut and looked up at once (a longer text is taken whole).
+RUN_BYTES = 8 << 20
 
 
 def cut(text: str) -> list[str]:
@@ -26,6 +36,18 @@ def cut(text: str) -> list[str]:
     return _CUT.split(text) if _UNSAFE.search(text) else text.split(" ")
 
 
+def parts(piece: str) -> list[str] | None:
+    """The words that a piece is made of, if it is plain, each as a piece; those that no space goes before
+    begin with a line feed, as first pieces do."""
+    m = _PARTS.fullmatch(piece)
+    if not m:
+        return None
+    word, signs, then, more = m.groups()
+    if not word.lstrip("\n").isalpha() or then and not then.isalpha():
+        return None  # numbers that are no digits
+    return [word] + ["\n" + x for x in (signs, then and "\n", then, more) if x]
+
+
 class Pieces:
     """Remembers what ``encode`` (pieces -> ids as bytes, one for each) gave for each piece.
 
@@ -33,7 +55,7 @@ class Pieces:
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], kept: int = KEPT):
-        self.encode, self.kept, self.ids, self.stops = encode, kept, {}, {}
+        self.encode, self.kept, self.ids = encode, kept, {}
 
     def texts(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
@@ -48,6 +70,41 @@ class Pieces:
         known = self.ids
         return [b"".join([known[p] if x is None else x for p, x in zip(c, f)]) for c, f in zip(cuts, found)]
 
+    def column(self, texts: pa.Array, last: bytes) -> pa.Array:
+        """The ids of each text of an Arrow column (null: empty) and ``last`` behind them: a run's texts are cut and
+        put together by Arrow, and each distinct piece of the run is looked up once."""
+        texts = pc.fill_null(texts, "")
+        runs = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64) // RUN_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(texts)]
+        return pa.concat_arrays([self._run(texts.slice(x, y - x), last) for x, y in zip(cuts, cuts[1:])])
+
+    def _run(self, texts: pa.Array, last: bytes) -> pa.Array:
+        unsafe = np.fromiter((_UNSAFE.search(t) is not None for t in texts.to_pylist()), bool, len(texts))
+        lists = pc.split_pattern(pc.binary_join_element_wise("\n", texts.filter(pa.array(~unsafe)), ""), " ")
+        flat, sizes = lists.flatten(), pc.list_value_length(lists).to_numpy()
+        if unsafe.any():
+            apart = [cut(t) for t in texts.filter(pa.array(unsafe)).to_pylist()]
+            for c in apart:
+                c[0] = "\n" + c[0]
+            flat = pa.concat_arrays([flat, pa.array([p for c in apart for p in c], flat.type)])
+            sizes = np.concatenate([sizes, [len(c) for c in apart]])
+        coded = flat.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        found, new = self._look_up([distinct])
+        if len(new) + len(self.ids) > self.kept:
+            self.ids = dict(islice(self.ids.items(), self.kept // 2))
+            found, new = self._look_up([distinct])
+        self.learn(new)
+        known = self.ids
+        each = [known[p] if x is None else x for p, x in zip(distinct, found[0])] + [last]
+        bounds = np.cumsum([0, *map(len, each)], dtype=np.int32)
+        ids = pa.Array.from_buffers(pa.binary(), len(each), [None, pa.py_buffer(bounds), pa.py_buffer(b"".join(each))])
+        at = np.insert(coded.indices.to_numpy(), np.cumsum(sizes), len(distinct))  # ``last`` ends each text
+        whole = ids.take(pa.array(at))
+        ends = np.frombuffer(whole.buffers()[1], np.int32)[np.concatenate([[0], np.cumsum(sizes + 1)])]
+        out = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), whole.buffers()[2]])
+        return out.take(pa.array(np.argsort(np.argsort(unsafe, kind="stable")))) if unsafe.any() else out
+
     def _look_up(self, cuts: list[list[str]]) -> tuple[list[list[bytes | None]], set[str]]:
         """What is known of each piece, and the pieces that aren't."""
         get, new = self.ids.get, set()
@@ -58,11 +115,9 @@ class Pieces:
         return found, new
 
     def learn(self, new: set[str]) -> None:
-        """Encode pieces that aren't known; letters with a sign behind them as two words."""
-        known, two = self.ids, {p for p in new if p[-1:] in STOPS and p[:-1].isalpha()}
-        one = list((new - two) | {p[:-1] for p in two if p[:-1] not in known})
+        """Encode pieces that aren't known; those made of several words by these."""
+        known, made = self.ids, {p: x for p in new if not p.isalpha() and (x := parts(p)) and len(x) > 1}
+        one = list({p for p in new if p not in made} | {x for w in made.values() for x in w if x not in known})
         known.update(zip(one, self.encode([p[1:] if p[:1] == "\n" else " " + p for p in one])))
-        if two and not self.stops:
-            self.stops = dict(zip(STOPS, self.encode(list(STOPS))))
-        for p in two:
-            known[p] = known[p[:-1]] + self.stops[p[-1]]
+        for p, words in made.items():
+            known[p] = b"".join([known[x] for x in words])

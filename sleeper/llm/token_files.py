@@ -18,43 +18,59 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from sleeper.llm.common import drop_kept, keep, map_batches, setting, texts_of
+from sleeper.llm.common import drop_kept, keep, map_batches
 from sleeper.llm.bpe import byte_signs
 from sleeper.llm.pieces import Pieces
 from sleeper.session import scratch_path
 
 #: For each control byte, the bytes that its four values take.
-LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
+LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1).astype(np.uint8)
+
+
+def _used(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, used): each text begins a control byte of its own; where each begins and the last ends, and
+    which places hold values."""
+    whole = -(-sizes // 4) * 4
+    places = np.concatenate([[0], np.cumsum(whole)])
+    used = np.ones(places[-1], bool)
+    for k in range(3):
+        used[(places[:-1] + sizes + k)[sizes + k < whole]] = False
+    return places, used
 
 
 def pack(values: np.ndarray, sizes: np.ndarray) -> list[tuple[bytes, bytes]]:
     """(control, data) of each text: ``values`` holds the unsigned 32-bit values of all texts, ``sizes``
     how many each has."""
-    whole = -(-sizes // 4) * 4  # each text begins a control byte of its own
-    first, place = np.cumsum(sizes) - sizes, np.cumsum(whole) - whole
-    at = np.repeat(place - first, sizes) + np.arange(len(values))
-    padded, used = np.zeros(int(whole.sum()), "<u4"), np.zeros(int(whole.sum()), bool)
-    padded[at], used[at] = values, True
-    extra = (padded > 0xFF).astype(np.uint8) + (padded > 0xFFFF) + (padded > 0xFFFFFF)
-    control = (extra.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8).tobytes()
-    data = padded.view(np.uint8).reshape(-1, 4)[(np.arange(4) <= extra[:, None]) & used[:, None]].tobytes()
-    ends = np.concatenate([[0], np.cumsum((extra + 1) * used, dtype=np.int64)])[np.concatenate([place, [len(padded)]])].tolist()
-    parts = [*(place // 4).tolist(), len(control)]
-    return [(control[c:d], data[x:y]) for c, d, x, y in zip(parts, parts[1:], ends, ends[1:])]
+    places, used = _used(sizes)
+    extra, more = np.zeros(len(values), np.uint8), []
+    for k in range(1, 4):
+        more.append(np.flatnonzero(values >= 1 << 8 * k))
+        if not len(more[-1]):
+            break
+        extra[more[-1]] = k
+    spread = np.zeros(len(used), np.uint8)
+    spread[used] = extra
+    control = (spread[::4] | spread[1::4] << 2 | spread[2::4] << 4 | spread[3::4] << 6).tobytes()
+    at = np.concatenate([[0], np.cumsum(extra, dtype=np.int64)]) + np.arange(len(values) + 1)
+    raw = np.empty(at[-1], np.uint8)
+    raw[at[:-1]] = values.astype(np.uint8)
+    for k, where in enumerate(more, 1):
+        raw[at[where] + k] = (values[where] >> 8 * k).astype(np.uint8)
+    data, ends, places = raw.tobytes(), at[np.concatenate([[0], np.cumsum(sizes)])].tolist(), (places // 4).tolist()
+    return [(control[c:d], data[x:y]) for c, d, x, y in zip(places, places[1:], ends, ends[1:])]
 
 
 def unpack(control: list[bytes], data: list[bytes], sizes: np.ndarray) -> np.ndarray:
     """The values of all texts that :func:`pack` was given, by looking up each control byte's lengths."""
     raw = np.frombuffer(b"".join(data), np.uint8)
-    lengths = LENGTHS[np.frombuffer(b"".join(control), np.uint8)].ravel()
-    whole = -(-sizes // 4) * 4
-    lengths = lengths[np.arange(len(lengths)) - np.repeat(np.cumsum(whole) - whole, whole) < np.repeat(sizes, whole)]
-    at = np.cumsum(lengths) - lengths
+    lengths = LENGTHS[np.frombuffer(b"".join(control), np.uint8)].ravel()[_used(sizes)[1]]
+    at = np.cumsum(lengths, dtype=np.int64) - lengths
     values = raw[at].astype(np.uint32)
     for k in range(1, 4):
         more = np.flatnonzero(lengths > k)
@@ -79,15 +95,18 @@ def _library(vocab: str, code: str) -> Pieces:
         signs = {byte: sign for sign, byte in byte_signs().items()}
         model, space = t.model, signs[0x20]
 
-        def ids(word: str) -> list[int]:
-            spelt = space + word[1:] if word.isascii() else word.encode().decode("latin-1").translate(signs)
-            return [x.id for x in model.tokenize(spelt)]
+        def ids(word: str) -> bytes:
+            if word.isascii():
+                spelt = space + word[1:] if word[0] == " " else word
+            else:
+                spelt = word.encode().decode("latin-1").translate(signs)
+            return array(code, [x.id for x in model.tokenize(spelt)]).tobytes()
 
         def encode(pieces: list[str]) -> list[bytes]:
-            # a space and letters are one word: it goes to the library's model, in its alphabet for bytes
-            words = [p[:1] == " " and p[1:].isalpha() for p in pieces]
-            rest = iter(t.encode_batch_fast([p for p, w in zip(pieces, words) if not w], add_special_tokens=False))
-            return [array(code, ids(p) if w else next(rest).ids).tobytes() for p, w in zip(pieces, words)]
+            # letters, and a space before them, are one word: it goes to the library's model, in its alphabet for bytes
+            got = [ids(p) if p.removeprefix(" ").isalpha() else None for p in pieces]
+            rest = iter(t.encode_batch_fast([p for p, x in zip(pieces, got) if x is None], add_special_tokens=False))
+            return [array(code, next(rest).ids).tobytes() if x is None else x for x in got]
 
         _LIBRARY[vocab, code] = Pieces(encode)
     return _LIBRARY[vocab, code]
@@ -103,15 +122,15 @@ def _ids(docs: DataFrame, vocab: str, end: int) -> DataFrame:
         library, shard, local = _library(vocab, "H" if width == "<u2" else "I"), TaskContext.get().partitionId(), 0
         last = np.array([end], width).tobytes()
         for b in batches:
-            ids = [x + last for x in library.texts(texts_of(b["text"]))]
-            n = np.fromiter(map(len, ids), np.int64, len(ids)) // np.dtype(width).itemsize
+            ids = library.column(b["text"], last)
+            n = pc.binary_length(ids).to_numpy().astype(np.int64) // np.dtype(width).itemsize
             before = local + np.cumsum(n) - n
             local += int(n.sum())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(ids), shard, np.int32)), pa.array(before), b["doc_id"], pa.array(n),
-                 pa.array(ids, pa.binary())], ["shard", "local", "doc_id", "n_tokens", "ids"])
+                [pa.array(np.full(len(ids), shard, np.int32)), pa.array(before), b["doc_id"], pa.array(n), ids],
+                ["shard", "local", "doc_id", "n_tokens", "ids"])
 
-    got = map_batches(ordered, run, "shard int, local long, doc_id long, n_tokens long, ids binary", rows=128)
+    got = map_batches(ordered, run, "shard int, local long, doc_id long, n_tokens long, ids binary", rows=2048)
     return keep(got, "token_ids"), width
 
 

@@ -3,12 +3,13 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_support import SF_SMALL, make, odd_docs  # noqa: F401
 from tokenizers import Tokenizer
 
-from sleeper.llm import queries
+from sleeper.llm import pieces, queries
 from sleeper.llm import token_files as T
 
 VOCAB = queries.vocabulary()
@@ -33,6 +34,32 @@ def test_library_by_pieces(text):
         Tokenizer.from_file(VOCAB).encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(st.sampled_from("abstdz 1\n\n.,$'<|>é漢ªʰ²\u2167\x1c\x85\U0001f600"), max_size=50)), max_size=6))
+def test_library_by_column(texts):
+    got = T._library(VOCAB, "I").column(pa.array(texts, pa.string()), np.array([2], "<u4").tobytes())
+    library = Tokenizer.from_file(VOCAB)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got.to_pylist()] == \
+        [library.encode(t or "", add_special_tokens=False).ids + [2] for t in texts]
+
+
+def test_a_column_costs_one_look_up_for_each_distinct_piece(monkeypatch):
+    """Words that signs and a new line join are encoded as words, once; a column longer than a run gives the same."""
+    library, given = Tokenizer.from_file(VOCAB), []
+
+    def encode(words):
+        given.extend(words)
+        return [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(words, add_special_tokens=False)]
+
+    texts = ["One stone.\nTwo stone,\nTwo stone$$$", None, "two  spaces stone.\nTwo end ", "", "stone\nTwo don't stone²"] * 3
+    want = [np.array(library.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() + b"end." for t in texts]
+    assert pieces.Pieces(encode).column(pa.array(texts), b"end.").to_pylist() == want
+    assert len(given) == len(set(given))
+    assert {" stone", "Two", ".", ",", "$$$", "\n"} <= set(given) and not {" stone.\nTwo", " stone$$$"} & set(given)
+    monkeypatch.setattr(pieces, "RUN_BYTES", 20)
+    assert pieces.Pieces(encode, kept=4).column(pa.array(texts), b"end.").to_pylist() == want
+
+
 def test_query_matches_library(spark):
     library = Tokenizer.from_file(VOCAB)
     docs = sorted((r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect())
