@@ -5,7 +5,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Iterator
-from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
@@ -13,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sleeper.operators.skew import join_sites  # noqa: F401  for the operators
-from sleeper.session import scratch_path
+from sleeper.session import scratch_path, setting
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -100,17 +99,3 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable
 def texts_of(column: pa.Array) -> list[str]:
     """The strings of an Arrow column, null as the empty text."""
     return [x or "" for x in column.to_pylist()]
-
-
-@contextmanager
-def setting(spark: SparkSession, **conf: str):
-    """SQL settings (dots as double underscores) for the plans that run inside."""
-    names = {k.replace("__", "."): v for k, v in conf.items()}
-    before = {k: spark.conf.get(k, None) for k in names}
-    try:
-        for k, v in names.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -101,7 +102,7 @@ def purge_scratch(spark: SparkSession) -> int:
     return done
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", **options):
     """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
 
     For intermediates that several consumers read (a scalar subquery plus the
@@ -111,5 +112,19 @@ def materialize(df, name: str = "stage"):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
     return spark.read.parquet(path)
+
+
+@contextmanager
+def setting(spark: SparkSession, **conf: str):
+    """SQL settings (dots as double underscores) for the plans that run inside."""
+    names = {k.replace("__", "."): v for k, v in conf.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

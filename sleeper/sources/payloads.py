@@ -107,6 +107,11 @@ def parse_ranks(df: DataFrame, limit: int = 0, list_cols: list[str] | None = Non
 
 CORRUPT_PAGE = "a results page did not parse"
 
+#: Pages and ids that one task of the search pages sorts or aggregates.
+ROWS_A_TASK = 200_000
+#: Bytes of a row group of parsed pages, and of what a task reads for their sessions' rules.
+PAGE_BYTES = 8 << 20
+
 
 def search_pages(df: DataFrame, max_pages: int | None = None, session: str = "session_id",
                  page: str = "page_idx") -> DataFrame:
@@ -141,34 +146,52 @@ def corrupt_pages(df: DataFrame, session: str = "session_id", page: str = "page_
 
 
 def _session_rules(pages: DataFrame, session: str, page: str, on_corrupt: str) -> DataFrame:
-    """(_s, _stop, _total, _n): per session the first page without ids, the reported total and the number of pages,
-    from an aggregate over pages, whose ids are not looked at. The total is that of the first page that
-    reports one (the smaller if two pages share an index), ids or not, unless it lies behind the stop."""
+    """(_s, _stop, _total, _n, _ids): per session the first page without ids, the reported total and the numbers
+    of pages and ids, from an aggregate over pages, whose ids are counted only. The total is that of the first page
+    that reports one (the smaller if two pages share an index), ids or not, unless it lies behind the stop.
+
+    Scan and shuffle are cut by the number of pages, so that no task's aggregate grows with the input.
+    """
     rules = pages.groupBy(F.struct(session).alias("_s")).agg(
         F.min(F.when(F.col("ok") & (F.size("ids") == 0), F.col(page))).alias("_stop"),
         F.min(F.when(~F.col("ok"), F.col(page))).alias("_bad"),
         F.min(F.when(F.col("total") > 0, F.struct(F.col(page).alias("page"), "total"))).alias("_first"),
-        F.count(F.lit(1)).alias("_n"))
+        F.count(F.lit(1)).alias("_n"), F.sum(F.size("ids")).alias("_ids"))
     read = F.col("_stop").isNull() | (F.col("_first.page") <= F.col("_stop"))
-    from sleeper.session import materialize
-
-    rules = materialize(rules.select("_s", "_stop", "_bad", F.when(read, F.col("_first.total")).alias("_total"), "_n"),
-                        "session_rules")
+    from sleeper.session import materialize, setting
+
+    spark = pages.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-pages.count() // ROWS_A_TASK))
+    with setting(spark, spark__sql__files__maxPartitionBytes=str(PAGE_BYTES), spark__sql__shuffle__partitions=str(parts),
+                 spark__sql__adaptive__advisoryPartitionSizeInBytes=str(PAGE_BYTES)):
+        rules = materialize(rules.select("_s", "_stop", "_bad", F.when(read, F.col("_first.total")).alias("_total"),
+                                         "_n", "_ids"), "session_rules")
     _refuse_corrupt(rules, "_stop", "_bad", on_corrupt)
     return rules
 
 
-def _read_pages(df: DataFrame, max_pages: int | None, session: str, page: str, on_corrupt: str) -> tuple[DataFrame, DataFrame]:
-    """(pages that are read, rules of their sessions): every page is parsed once, and those behind the stop
-    go before their ids are listed. Sessions of any size are joined to their rules."""
-    from sleeper.operators.skew import join_sites
+def _read_pages(df: DataFrame, max_pages: int | None, session: str, page: str,
+                on_corrupt: str) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """(pages of hot sessions, pages of the others, rules of all, parts): every page is parsed once, and those
+    behind the stop go before their ids are listed.
+
+    A hot session has so large a share of all pages (see :mod:`sleeper.operators.skew`) that its pages stay where
+    they are and its rule is broadcast. The others are dealt by session, into ``parts`` of about ROWS_A_TASK pages and ids.
+    """
+    from sleeper.operators.skew import HOT_SHARE
     from sleeper.session import materialize
 
-    pages = materialize(search_pages(df, max_pages, session, page), "parsed_pages")
+    pages = materialize(search_pages(df, max_pages, session, page), "parsed_pages", **{"parquet.block.size": PAGE_BYTES})
     rules = _session_rules(pages, session, page, on_corrupt)
+    total = rules.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("pages"), F.coalesce(F.sum("_ids"), F.lit(0)).alias("ids")).first()
+    parts, floor = max(1, -(-(total["pages"] + total["ids"]) // ROWS_A_TASK)), max(1, int(total["pages"] * HOT_SHARE))
     listed = pages.where(F.size("ids") > 0).select(F.struct(session).alias("_s"), page, "ids")
-    kept = join_sites(listed, rules, ["_s"], "_n").where(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop")))
-    return kept.select("_s", page, "ids", "_total"), rules
+    rule = rules.select("_s", "_stop", "_total")
+    hot, cold = F.broadcast(rule.where(rules["_n"] > floor)), rule.where(rules["_n"] <= floor)
+    rest = listed.join(hot.select("_s"), "_s", "left_anti").repartition(parts, "_s").join(cold.repartition(parts, "_s"), "_s")
+    hot, cold = (x.where(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))).select("_s", page, "ids", "_total")
+                 for x in (listed.join(hot, "_s"), rest))
+    return hot, cold, rules, parts
 
 
 def _totals(rules: DataFrame, session: str) -> DataFrame:
@@ -183,10 +206,17 @@ def session_first(df: DataFrame, max_pages: int | None = None, session: str = "s
 
     Paging stops at a session's first page without ids. ``on_corrupt``: see :func:`_refuse_corrupt`.
     """
-    kept, rules = _read_pages(df, max_pages, session, page, on_corrupt)
-    # a session has one total: it rides along as part of the group
-    first = kept.select("_s", "_total", page, F.posexplode("ids").alias("pos", "appid")).where(
-        F.col("appid").isNotNull()).groupBy("_s", "_total", "appid").agg(F.min(place(page, "pos")).alias("place"))
+    hot, cold, rules, parts = _read_pages(df, max_pages, session, page, on_corrupt)
+    group = ["_s", "_total", "appid"]  # a session has one total: it rides along as part of the group
+
+    def places(kept: DataFrame, *more: str) -> DataFrame:
+        each = kept.select("_s", "_total", *more, page, F.posexplode("ids").alias("pos", "appid"))
+        return each.where(F.col("appid").isNotNull()).groupBy(*group, *more).agg(F.min(place(page, "pos")).alias("place"))
+
+    # the others lie by session already; the ids of a hot one meet in two steps: where groups of its pages lie, then by id
+    dealt = hot.withColumn("_deal", F.pmod(F.xxhash64(page), F.lit(parts))).repartition(parts, "_s", "_deal")
+    met = places(dealt, "_deal").repartition(parts, "_s", "appid").groupBy(*group).agg(F.min("place").alias("place"))
+    first = met.unionByName(places(cold))
     ids = first.select(
         F.col(f"_s.{session}").alias(session), "appid",
         F.shiftright("place", 32).cast(df.schema[page].dataType).alias("first_page"),
@@ -204,8 +234,8 @@ def search_page_ids(df: DataFrame, max_pages: int | None = None, session: str =
                     page: str = "page_idx", on_corrupt: str = "fail") -> tuple[DataFrame, DataFrame]:
     """Search-result pages -> ((session, page, pos, appid), (session, reported_total)), all ids of the pages
     that are read; see :func:`session_first`."""
-    kept, rules = _read_pages(df, max_pages, session, page, on_corrupt)
-    ids = kept.select(F.col(f"_s.{session}").alias(session), page, F.posexplode("ids").alias("pos", "appid"))
+    hot, cold, rules, _ = _read_pages(df, max_pages, session, page, on_corrupt)
+    ids = hot.unionByName(cold).select(F.col(f"_s.{session}").alias(session), page, F.posexplode("ids").alias("pos", "appid"))
     return ids, _totals(rules, session)
 
 

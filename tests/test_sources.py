@@ -94,3 +94,28 @@ def test_a_total_without_ids_is_kept(spark):
     ids, totals = P.session_first(pages)
     assert sorted(totals.collect(), key=str) == sorted([(1, 5), (2, 9), (None, 6)], key=str)
     assert [tuple(r) for r in ids.collect()] == [(2, 7, 0, 0, 9)]
+
+
+def test_no_task_of_the_search_pages_grows_with_them(spark, monkeypatch):
+    """Pages and ids are dealt by their number: small sessions by session, a large one's by id; the ids are those
+    that reading the pages in order gives."""
+    n, ids_a_page = 600, 4
+    listed = [(s, p, [(s * 7 + p * i) % 90 for i in range(ids_a_page)]) for s in range(n) for p in range(2)]
+    listed += [(-1, p, [p * 3 + i for i in range(ids_a_page)] if p != 380 else []) for p in range(400)]
+    listed += [(None, 0, [5, 5, 6]), (None, 0, [6, 4])]
+    pages = spark.createDataFrame([(s, p, page("9", map(str, x))) for s, p, x in listed],
+                                  "session_id long, page_idx int, payload string")
+    want = {}
+    for s, p, x in sorted(listed, key=lambda r: (r[0] is None, r[0], r[1])):
+        if s != -1 or p < 380:
+            for i, a in enumerate(x):
+                want[s, a] = min(want.get((s, a), (p, i)), (p, i))
+    monkeypatch.setattr(P, "ROWS_A_TASK", 250, raising=False)
+    got = P.session_first_ids(pages)
+    assert sorted(((r[0], r[1]), (r[2], r[3])) for r in got.where("session_id is not null").collect()) == \
+        sorted((k, v) for k, v in want.items() if k[0] is not None)
+    assert {(r[1], r[2], r[3], r[4]) for r in got.where("session_id is null").collect()} == {(5, 0, 0, 9), (6, 0, 0, 9), (4, 0, 1, 9)}
+    most = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert most < len(want) / 8
+    assert sum(len(x) for _, _, x in listed) == P.search_page_ids(pages)[0].count() + sum(
+        len(x) for s, p, x in listed if s == -1 and p > 380)
