@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from itertools import islice
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,29 @@ STOPS = frozenset(".,;:!?")
 #: No sign that contractions or special tokens hold.
 _SIGNS = r'[!"#$%&()*+,\-./:;=?@\\^_`{}~]'
 _PARTS = re.compile(rf"(\n?[^\W\d_]+)({_SIGNS}*)(?:\n([^\W\d_]+)({_SIGNS}*))?")
+#: What a byte is: a letter (or one of several bytes of it), a sign, a new line, a space, other white space, else.
+LETTER, SIGN, LINE, SPACE, WHITE, ELSE = range(6)
+_KINDS = np.array([LETTER if i > 127 or chr(i).isalpha() else SIGN if re.match(_SIGNS, chr(i)) else LINE if i == 10
+                   else SPACE if i == 32 else WHITE if chr(i).isspace() else ELSE for i in range(256)], np.uint8)
+#: The same for each code point, where it has been looked up.
+_UNKNOWN = 255
+_CHARACTERS = np.full(0x110000, _UNKNOWN, np.uint8)
+#: What a byte (of kind k) and the next (of kind n) tell, at k << 3 | n: a piece begins here, its piece stays whole,
+#: a word ends here if the piece does not.
+BEGINS, WHOLE, ENDS = 1, 2, 4
+
+
+def _pairs() -> np.ndarray:
+    out = np.zeros(64, np.uint8)
+    for k in range(6):
+        for n in range(6):
+            white = n in (LINE, SPACE, WHITE)
+            whole = k >= WHITE or k == SPACE and white or k == LINE and white and n != SPACE
+            out[k << 3 | n] = BEGINS * (k == SPACE and not white) | WHOLE * whole | ENDS * (k not in (n, SPACE))
+    return out
+
+
+_PAIRS = _pairs()
 #: Distinct pieces a worker keeps.
 KEPT = 1_000_000
 #: Bytes of text that are cut and looked up at once (a longer text is taken whole).
@@ -48,14 +71,63 @@ def parts(piece: str) -> list[str] | None:
     return [word] + ["\n" + x for x in (signs, then and "\n", then, more) if x]
 
 
+def _kinds(raw: np.ndarray) -> np.ndarray:
+    """What each byte of UTF-8 is; a character's first byte says what it is, the others are LETTER."""
+    out = _KINDS[raw]
+    at = np.flatnonzero(raw >= 0xc0)  # a character of several bytes begins
+    if len(at):
+        first = raw[at]
+        more = (first >= 0xe0).astype(np.uint8) + (first >= 0xf0)
+        code = (first & (0x1f >> more)).astype(np.int32) << 6 | raw[at + 1] & 0x3f
+        for k in (1, 2):
+            longer = np.flatnonzero(more >= k)
+            code[longer] = code[longer] << 6 | raw[at[longer] + 1 + k] & 0x3f
+        kind = _CHARACTERS[code]
+        if len(new := np.unique(code[kind == _UNKNOWN])):
+            _CHARACTERS[new] = [LETTER if c.isalpha() else WHITE if c.isspace() else ELSE for c in map(chr, new.tolist())]
+            kind = _CHARACTERS[code]
+        out[at] = kind
+    return out
+
+
+def word_starts(raw: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Where texts in UTF-8, none of them empty, are cut so that the ids of what is between are the texts' ids.
+
+    ``texts`` is where texts begin. A piece (from a space that something other than white
+    space follows) is cut into words where letters, signs and a new line meet, if it has
+    nothing else; or it stays whole.
+    """
+    if not len(raw):
+        return np.zeros(0, np.int64)
+    kind = _kinds(raw)
+    told = kind << 3
+    told[:-1] |= kind[1:]
+    lasts = np.append(texts[1:], len(raw)) - 1
+    told[lasts] = kind[lasts] << 3 | WHITE  # nothing follows
+    told = _PAIRS[told]
+    starts = (told & BEGINS).astype(bool)
+    starts[texts] = True
+    ends = (told[:-1] & ENDS).astype(bool)
+    whole = np.flatnonzero(told & WHOLE)
+    if len(whole):
+        pieces = np.flatnonzero(starts)
+        plain = np.ones(len(pieces), bool)
+        plain[np.searchsorted(pieces, whole, "right") - 1] = False
+        ends &= np.repeat(plain, np.diff(np.append(pieces, len(raw))))[:-1]
+    starts[1:] |= ends
+    return np.flatnonzero(starts)
+
+
 class Pieces:
     """Remembers what ``encode`` (pieces -> ids as bytes, one for each) gave for each piece.
 
-    When it is full, the younger half goes: frequent pieces come early.
+    When it is full, the younger half goes: frequent pieces come early. Columns have a
+    memory of their own: the number of each word, in the order of ``bounds`` and ``raw``.
     """
 
     def __init__(self, encode: Callable[[list[str]], list[bytes]], kept: int = KEPT):
         self.encode, self.kept, self.ids = encode, kept, {}
+        self.numbers, self.bounds, self.raw = {}, np.zeros(1, np.int64), b""
 
     def texts(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
@@ -71,39 +143,52 @@ class Pieces:
         return [b"".join([known[p] if x is None else x for p, x in zip(c, f)]) for c, f in zip(cuts, found)]
 
     def column(self, texts: pa.Array, last: bytes) -> pa.Array:
-        """The ids of each text of an Arrow column (null: empty) and ``last`` behind them: a run's texts are cut and
-        put together by Arrow, and each distinct piece of the run is looked up once."""
-        texts = pc.fill_null(texts, "")
+        """The ids of each text of an Arrow column (null: empty) and ``last`` behind them: a run's texts are cut as
+        bytes, put together by Arrow, and each distinct word of the run is looked up once."""
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
         runs = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64) // RUN_BYTES
         cuts = [0, *(np.flatnonzero(np.diff(runs)) + 1).tolist(), len(texts)]
         return pa.concat_arrays([self._run(texts.slice(x, y - x), last) for x, y in zip(cuts, cuts[1:])])
 
     def _run(self, texts: pa.Array, last: bytes) -> pa.Array:
-        unsafe = np.fromiter((_UNSAFE.search(t) is not None for t in texts.to_pylist()), bool, len(texts))
-        lists = pc.split_pattern(pc.binary_join_element_wise("\n", texts.filter(pa.array(~unsafe)), ""), " ")
-        flat, sizes = lists.flatten(), pc.list_value_length(lists).to_numpy()
-        if unsafe.any():
-            apart = [cut(t) for t in texts.filter(pa.array(unsafe)).to_pylist()]
-            for c in apart:
-                c[0] = "\n" + c[0]
-            flat = pa.concat_arrays([flat, pa.array([p for c in apart for p in c], flat.type)])
-            sizes = np.concatenate([sizes, [len(c) for c in apart]])
-        coded = flat.dictionary_encode()
-        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        found, new = self._look_up([distinct])
-        if len(new) + len(self.ids) > self.kept:
-            self.ids = dict(islice(self.ids.items(), self.kept // 2))
-            found, new = self._look_up([distinct])
-        self.learn(new)
-        known = self.ids
-        each = [known[p] if x is None else x for p, x in zip(distinct, found[0])] + [last]
-        bounds = np.cumsum([0, *map(len, each)], dtype=np.int32)
-        ids = pa.Array.from_buffers(pa.binary(), len(each), [None, pa.py_buffer(bounds), pa.py_buffer(b"".join(each))])
-        at = np.insert(coded.indices.to_numpy(), np.cumsum(sizes), len(distinct))  # ``last`` ends each text
-        whole = ids.take(pa.array(at))
-        ends = np.frombuffer(whole.buffers()[1], np.int32)[np.concatenate([[0], np.cumsum(sizes + 1)])]
-        out = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), whole.buffers()[2]])
-        return out.take(pa.array(np.argsort(np.argsort(unsafe, kind="stable")))) if unsafe.any() else out
+        _, offsets, data = texts.buffers()
+        ends = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, int)
+        raw = np.frombuffer(data or b"", np.uint8)[ends[0]:ends[-1]]
+        ends = ends - ends[0]
+        starts = word_starts(raw, ends[:-1][ends[:-1] < ends[1:]])
+        words = pa.Array.from_buffers(pa.large_string(), len(starts), [
+            None, pa.py_buffer(np.append(starts, len(raw))), pa.py_buffer(raw)])
+        coded = words.dictionary_encode()
+        numbers = self._numbers(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        known = len(self.bounds) - 1
+        ids = pa.Array.from_buffers(pa.large_binary(), known + 1, [  # and ``last``, which ends each text
+            None, pa.py_buffer(np.append(self.bounds, len(self.raw) + len(last))), pa.py_buffer(self.raw + last)])
+        until = np.searchsorted(starts, ends[1:])
+        whole = ids.take(pa.array(np.insert(numbers[coded.indices.to_numpy()], until, known)))
+        at = np.frombuffer(whole.buffers()[1], np.int64)[np.append(0, until + np.arange(1, len(until) + 1))]
+        return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(at), whole.buffers()[2]]) \
+            .cast(pa.binary())
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        """The number of each of different words; those that aren't known are encoded."""
+        def found() -> np.ndarray:
+            return np.fromiter(map(self.numbers.get, words, repeat(-1)), np.int64, len(words))
+
+        numbers = found()
+        if np.count_nonzero(numbers < 0) + len(self.numbers) > self.kept:
+            half = self.kept // 2
+            self.numbers, self.bounds = dict(islice(self.numbers.items(), half)), self.bounds[:half + 1]
+            self.raw = self.raw[:self.bounds[-1]]
+            numbers = found()
+        at = np.flatnonzero(numbers < 0)
+        if len(at):
+            new = [words[i] for i in at.tolist()]
+            ids, known = self.encode(new), len(self.numbers)
+            numbers[at] = np.arange(known, known + len(new))
+            self.numbers.update(zip(new, range(known, known + len(new))))
+            self.bounds = np.append(self.bounds, self.bounds[-1] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))))
+            self.raw += b"".join(ids)
+        return numbers
 
     def _look_up(self, cuts: list[list[str]]) -> tuple[list[list[bytes | None]], set[str]]:
         """What is known of each piece, and the pieces that aren't."""

@@ -32,6 +32,9 @@ from sleeper.session import scratch_path
 #: For each control byte, the bytes that its four values take.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1).astype(np.uint8)
 
+#: Words that go to the library's model before their ids are taken.
+WORDS = 8192
+
 
 def _used(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(places, used): each text begins a control byte of its own; where each begins and the last ends, and
@@ -92,21 +95,24 @@ def _library(vocab: str, code: str) -> Pieces:
         t.no_truncation()
         t.no_padding()
 
-        signs = {byte: sign for sign, byte in byte_signs().items()}
-        model, space = t.model, signs[0x20]
+        sign_of = {byte: sign for sign, byte in byte_signs().items()}
+        alphabet, line = np.array([ord(sign_of[i]) for i in range(256)], "<u4"), sign_of[0x0a]
+        tokenize, size = t.model.tokenize, array(code).itemsize
 
-        def ids(word: str) -> bytes:
-            if word.isascii():
-                spelt = space + word[1:] if word[0] == " " else word
-            else:
-                spelt = word.encode().decode("latin-1").translate(signs)
-            return array(code, [x.id for x in model.tokenize(spelt)]).tobytes()
+        def words(some: list[str]) -> list[bytes]:
+            spelt = alphabet[np.frombuffer("\n".join(some).encode(), np.uint8)].tobytes().decode("utf-32-le").split(line)
+            tokens = [tokenize(x) for x in spelt]
+            raw = array(code, [x.id for ts in tokens for x in ts]).tobytes()
+            ends = (np.cumsum([len(ts) for ts in tokens]) * size).tolist()
+            return [raw[x:y] for x, y in zip([0, *ends], ends)]
 
         def encode(pieces: list[str]) -> list[bytes]:
             # letters, and a space before them, are one word: it goes to the library's model, in its alphabet for bytes
-            got = [ids(p) if p.removeprefix(" ").isalpha() else None for p in pieces]
-            rest = iter(t.encode_batch_fast([p for p, x in zip(pieces, got) if x is None], add_special_tokens=False))
-            return [array(code, next(rest).ids).tobytes() if x is None else x for x in got]
+            plain = [p.removeprefix(" ").isalpha() for p in pieces]
+            some = [p for p, x in zip(pieces, plain) if x]
+            got = iter([x for i in range(0, len(some), WORDS) for x in words(some[i:i + WORDS])])
+            rest = iter(t.encode_batch_fast([p for p, x in zip(pieces, plain) if not x], add_special_tokens=False))
+            return [next(got) if x else array(code, next(rest).ids).tobytes() for x in plain]
 
         _LIBRARY[vocab, code] = Pieces(encode)
     return _LIBRARY[vocab, code]

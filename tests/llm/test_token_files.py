@@ -60,6 +60,53 @@ def test_a_column_costs_one_look_up_for_each_distinct_piece(monkeypatch):
     assert pieces.Pieces(encode, kept=4).column(pa.array(texts), b"end.").to_pylist() == want
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aZ 1\n\n\t.,$'[<|>é漢ßªʰǅ٠²Ⅷ—€\u0301\u3000\xa0\x00\x1c\x85\U00010400\U0001f600  "), min_size=1, max_size=30), max_size=5))
+def test_texts_are_cut_where_the_library_cuts(texts):
+    """The ids of what is between the starts are the texts' ids, whatever stands there."""
+    library, raw = Tokenizer.from_file(VOCAB), [t.encode() for t in texts]
+    begins = np.cumsum([0, *map(len, raw)])
+    starts = pieces.word_starts(np.frombuffer(b"".join(raw), np.uint8), begins[:-1])
+    assert set(begins[:-1].tolist()) <= set(starts.tolist())
+    for t, x, y in zip(raw, begins, begins[1:]):
+        at = [*(starts[(starts >= x) & (starts < y)] - x).tolist(), len(t)]
+        words = [t[a:b].decode() for a, b in zip(at, at[1:])]
+        assert [i for w in words for i in library.encode(w, add_special_tokens=False).ids] == \
+            library.encode(t.decode(), add_special_tokens=False).ids
+
+
+def test_plain_text_is_cut_into_words():
+    text = "(One stone.\nÉté&&& a—b don't  7up, end.".encode()
+    starts = pieces.word_starts(np.frombuffer(text, np.uint8), np.zeros(1, np.int64)).tolist()
+    assert [text[a:b].decode() for a, b in zip(starts, [*starts[1:], len(text)])] == \
+        ["(", "One", " stone", ".", "\n", "Été", "&&&", " a—b", " don't ", " 7up,", " end", "."]
+
+
+def test_words_stay_known_whatever_signs_they_stand_before():
+    """What is remembered are words: their pairs with signs and with each other take no room."""
+    given, letters = [], "abcdefgh"
+    words, tails = [x + y for x in letters for y in letters], [x * n for x in ".,!?&$#%" for n in (1, 2, 3)]
+
+    def encode(new):
+        given.extend(new)
+        return [w.encode() + b"|" for w in new]
+
+    memory = pieces.Pieces(encode, kept=2 * len(words) + len(tails) + 1)
+    for tail in tails:
+        text = "".join(f" {w}{tail}\n{w}" for w in words)
+        assert memory.column(pa.array([text]), b"").to_pylist()[0].decode().replace("|", "") == text
+    assert len(given) == len(set(given)) == 2 * len(words) + len(tails) + 1
+
+
+def test_slices_nulls_and_empty_columns():
+    memory = pieces.Pieces(lambda new: [w.encode() for w in new])
+    texts = pa.array(["skip", None, "", "a b.", None, "c", "skip"])
+    assert memory.column(texts.slice(1, 5), b"$").to_pylist() == [b"$", b"$", b"a b.$", b"$", b"c$"]
+    assert memory.column(texts.slice(1, 2), b"$").to_pylist() == [b"$", b"$"]
+    assert memory.column(texts.slice(0, 0), b"$").to_pylist() == []
+    assert memory.column(texts.cast(pa.large_string()).slice(3, 1), b"$").type == pa.binary()
+
+
 def test_query_matches_library(spark):
     library = Tokenizer.from_file(VOCAB)
     docs = sorted((r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect())
