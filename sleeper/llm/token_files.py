@@ -32,7 +32,7 @@ from sleeper.session import scratch_path
 #: For each control byte, the bytes that its four values take.
 LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1).astype(np.uint8)
 
-#: Words that go to the library's model before their ids are taken.
+#: Words that are spelt at once for the library's model.
 WORDS = 8192
 
 
@@ -101,9 +101,11 @@ def _library(vocab: str, code: str) -> Pieces:
 
         def words(some: list[str]) -> list[bytes]:
             spelt = alphabet[np.frombuffer("\n".join(some).encode(), np.uint8)].tobytes().decode("utf-32-le").split(line)
-            tokens = [tokenize(x) for x in spelt]
-            raw = array(code, [x.id for ts in tokens for x in ts]).tobytes()
-            ends = (np.cumsum([len(ts) for ts in tokens]) * size).tolist()
+            got, ends = [], []
+            for x in spelt:
+                got += [token.id for token in tokenize(x)]
+                ends.append(len(got) * size)
+            raw = array(code, got).tobytes()
             return [raw[x:y] for x, y in zip([0, *ends], ends)]
 
         def encode(pieces: list[str]) -> list[bytes]:
